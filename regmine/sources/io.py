@@ -42,17 +42,24 @@ def read_registry(spark: SparkSession, path: str, columns: list[str] | None = No
                       .otherwise(F.col(c)).alias(c) for c in df.columns])
 
 
+def write_csv(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
+    """CSV with header; whitespace kept as is (the writer trims by default),
+    nulls as empty fields, empty strings quoted."""
+    (df.write.mode(mode).option("header", True).option("ignoreLeadingWhiteSpace", False)
+     .option("ignoreTrailingWhiteSpace", False).option("nullValue", "").option("emptyValue", '""')
+     .csv(path))
+
+
 def write_products(products: dict[str, DataFrame], path: str, fmt: str = "parquet",
                    mode: str = "overwrite") -> dict[str, str]:
     """A3: write each product once (no index column, nulls as empty in CSV)."""
     out = {}
     for name, df in products.items():
         target = f"{path.rstrip('/')}/{name}"
-        w = df.write.mode(mode)
         if fmt == "csv":
-            w.option("header", True).option("nullValue", "").option("emptyValue", '""').csv(target)
+            write_csv(df, target, mode)
         else:
-            w.parquet(target)
+            df.write.mode(mode).parquet(target)
         out[name] = target
     return out
 
