@@ -23,7 +23,6 @@ import math
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -52,14 +51,22 @@ def to_transactions(df: DataFrame, cols: list[str], id_col: str | None = None) -
         v = F.regexp_replace(F.col(c).cast("string"), r"(?U)^\s+|\s+$", "")
         parts.append(F.when(v.isNotNull() & (v != "") & (v != "nan"),
                             F.concat(F.lit(c + "="), v)))
-    items = F.array_sort(F.array_distinct(F.filter(F.array(*parts), lambda x: x.isNotNull())))
+    items = F.array_sort(F.array_distinct(F.array_compact(F.array(*parts))))
     sel = [F.col(id_col).alias("tx_id")] if id_col else []
     return df.select(*sel, items.alias("items"))
 
 
+def explode_items(df: DataFrame, col: Column | str, name: str, *keep) -> DataFrame:
+    """explode + null filter on the generated column.  Plain ``explode`` makes
+    the optimizer infer ``size(col) > 0`` and push it below the generator,
+    inlining the whole upstream expression tree into scans and joins; the
+    outer form avoids that inference."""
+    return df.select(*keep, F.explode_outer(col).alias(name)).where(F.col(name).isNotNull())
+
+
 def transaction_items(tx: DataFrame) -> DataFrame:
     """I2 (long form): one (tx_id, item) row per membership."""
-    return tx.select("tx_id", F.explode("items").alias("item"))
+    return explode_items(tx, "items", "item", "tx_id")
 
 
 def encode_transactions(tx: DataFrame, min_df: float = 1.0):
@@ -100,9 +107,27 @@ def combinations_expr(arr: Column, k: int) -> Column:
     return F.flatten(F.transform(arr, extend))
 
 
+# Above this many index combinations per row the generic lambda form is used.
+MAX_INDEX_COMBOS = 5000
+
+
+def combination_keys_expr(items: Column, k: int, width: int) -> Column:
+    """k-combinations of a sorted array of at most ``width`` elements, as
+    canonical text keys, built from fixed index tuples with element_at and
+    concat_ws only (whole-stage codegen, no lambdas).  Tuples beyond the
+    row's length give null and are dropped after the explode."""
+    from itertools import combinations as _comb
+    n = F.size(items)
+    keys = []
+    for c in _comb(range(1, width + 1), k):
+        key = F.concat_ws(KEY_SEP, *[F.element_at(items, i) for i in c])
+        keys.append(F.when(n >= c[-1], key))
+    return F.array(*keys)
+
+
 def frequent_items(tx: DataFrame, min_count: int) -> DataFrame:
     """Single items with count >= min_count as (k, items, freq)."""
-    return (tx.select(F.explode("items").alias("item")).groupBy("item")
+    return (explode_items(tx, "items", "item").groupBy("item")
             .agg(F.count(F.lit(1)).alias("freq")).where(F.col("freq") >= min_count)
             .select(F.lit(1).alias("k"), F.array("item").alias("items"), "freq"))
 
@@ -134,24 +159,27 @@ def prune_candidates(cand: DataFrame, prev: DataFrame, k: int) -> DataFrame:
 def restrict_to_items(tx: DataFrame, items: list[str]) -> DataFrame:
     """Keep only listed items in each transaction (bounded literal set)."""
     lit = F.array(*[F.lit(i) for i in sorted(items)]) if items else F.array().cast("array<string>")
-    return tx.select("items").select(
-        F.filter("items", lambda x: F.array_contains(lit, x)).alias("items"))
+    return tx.select(F.array_sort(F.array_intersect("items", lit)).alias("items"))
 
 
 def count_support(tx: DataFrame, cand: DataFrame | None, k: int, min_count: int,
-                  n_cand: int | None = None) -> DataFrame:
-    """Emit each row's k-combinations, keep the candidates, count with a
-    partially aggregated groupBy, keep count >= min_count."""
-    combos = (tx.where(F.size("items") >= k)
-              .select(F.explode(combinations_expr(F.col("items"), k)).alias("items")))
-    combos = combos.select("items", item_key("items").alias("key"))
+                  n_cand: int | None = None, width: int | None = None) -> DataFrame:
+    """Emit each row's k-combinations (as text keys), keep the candidates,
+    count with a partially aggregated groupBy, keep count >= min_count.
+    ``width`` (longest transaction) enables the lambda-free combination form."""
+    from math import comb
+    rows = tx.where(F.size("items") >= k)
+    if width is not None and comb(width, k) <= MAX_INDEX_COMBOS:
+        combos = explode_items(rows, combination_keys_expr(F.col("items"), k, width), "key")
+    else:
+        combos = explode_items(rows, combinations_expr(F.col("items"), k), "c").select(
+            item_key("c").alias("key"))
     if cand is not None and (n_cand is None or n_cand <= BROADCAST_CANDIDATES):
         ck = F.broadcast(cand.select(item_key("items").alias("key")))
         combos = combos.join(ck, "key", "left_semi")
-    counted = combos.groupBy("key").agg(F.first("items").alias("items"),
-                                        F.count(F.lit(1)).alias("freq"))
+    counted = combos.groupBy("key").agg(F.count(F.lit(1)).alias("freq"))
     return counted.where(F.col("freq") >= min_count).select(
-        F.lit(k).alias("k"), "items", "freq")
+        F.lit(k).alias("k"), F.split("key", KEY_SEP).alias("items"), "freq")
 
 
 @dataclass
@@ -167,47 +195,69 @@ def _checkpoint(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def _item_counts_and_n(tx: DataFrame) -> tuple[DataFrame, int]:
+    """One pass over the transactions: count every item and, through a marker
+    item present once in each row, the number of transactions.  The result
+    (one row per distinct item) is checkpointed."""
+    marked = tx.select(F.concat(F.array(F.lit(_MARK)), "items").alias("items"))
+    counts = _checkpoint(explode_items(marked, "items", "item").groupBy("item")
+                         .agg(F.count(F.lit(1)).alias("freq")))
+    n = counts.where(F.col("item") == _MARK).select("freq").first()
+    return counts.where(F.col("item") != _MARK), (n[0] if n else 0)
+
+
+_MARK = "\u0000tx"
+
+
 def apriori(tx: DataFrame, min_support: float = 0.02, max_k: int | None = 3) -> MiningResult:
     """Level-wise Apriori with candidate generation, subset pruning and
-    distributed support counting; stops at max_k or when a level is empty."""
+    distributed support counting; stops at max_k or when a level is empty.
+
+    Source passes: one for item counts and the transaction count, one to
+    write the transactions restricted to frequent items (checkpointed, then
+    scanned once per level)."""
     spark = tx.sparkSession
     tx = tx.select("items")
-    n = tx.count()
+    counts, n = _item_counts_and_n(tx)
     min_count = min_count_for(min_support, n)
-    f1 = _checkpoint(frequent_items(tx, min_count))
-    f1_items = [r[0] for r in f1.select(F.element_at("items", 1)).collect()] \
-        if f1.count() <= LITERAL_ITEMS else None
-    levels = [(1, None, len(f1_items) if f1_items is not None else f1.count())]
+    f1 = counts.where(F.col("freq") >= min_count).select(
+        F.lit(1).alias("k"), F.array("item").alias("items"), "freq")
+    n1 = f1.count()
+    levels = [(1, None, n1)]
     out = [f1]
-    if f1_items is not None:
+    if n1 <= LITERAL_ITEMS:
+        f1_items = [r[0] for r in f1.select(F.element_at("items", 1)).collect()]
         txf = restrict_to_items(tx, f1_items)
     else:
         keep = f1.select(F.element_at("items", 1).alias("item"))
-        txf = (tx.withColumn("__id", F.monotonically_increasing_id())
-               .select("__id", F.explode("items").alias("item")).join(keep, "item")
+        txf = (explode_items(tx.withColumn("__id", F.monotonically_increasing_id()), "items", "item", "__id")
+               .join(keep, "item")
                .groupBy("__id").agg(F.array_sort(F.collect_list("item")).alias("items")))
-    txf = txf.where(F.size("items") >= 2).persist(StorageLevel.MEMORY_AND_DISK)
-    prev, n_prev, k = f1, levels[0][2], 1
-    try:
-        while n_prev > 0:
-            k += 1
-            if max_k is not None and k > max_k:
-                break
-            cand = _checkpoint(prune_candidates(generate_candidates(prev, k), prev, k)) \
-                if k > 2 else _checkpoint(generate_candidates(prev, k))
-            n_cand = cand.count()
-            if n_cand == 0:
-                levels.append((k, 0, 0))
-                break
-            fk = _checkpoint(count_support(txf, cand, k, min_count, n_cand))
-            n_prev = fk.count()
-            levels.append((k, n_cand, n_prev))
-            if n_prev == 0:
-                break
-            out.append(fk)
-            prev = fk
-    finally:
-        txf.unpersist()
+    # Materialise before any predicate on the derived array: a filter on it
+    # would be pushed below the projection, re-inlining the whole upstream
+    # expression tree into the scan/join (count_support filters the copy).
+    txf = _checkpoint(txf)
+    width = txf.agg(F.max(F.size("items"))).first()[0] or 0
+    prev, n_prev, k = f1, n1, 1
+    while n_prev > 0:
+        k += 1
+        if max_k is not None and k > max_k:
+            break
+        cand = generate_candidates(prev, k)
+        if k > 2:
+            cand = prune_candidates(cand, prev, k)
+        cand = _checkpoint(cand)
+        n_cand = cand.count()
+        if n_cand == 0:
+            levels.append((k, 0, 0))
+            break
+        fk = _checkpoint(count_support(txf, cand, k, min_count, n_cand, width))
+        n_prev = fk.count()
+        levels.append((k, n_cand, n_prev))
+        if n_prev == 0:
+            break
+        out.append(fk)
+        prev = fk
     allsets = reduce(DataFrame.unionByName, out).select(
         "k", "items", "freq", (F.col("freq") / F.lit(float(n))).alias("support"))
     lv = spark.createDataFrame(

@@ -21,6 +21,11 @@ LIFT_INDEPENDENT = "Independencia"
 LIFT_NEGATIVE = "Asociación negativa"
 
 
+def _bit(mask: Column, i: Column) -> Column:
+    """Bit i of an integer mask (exact for k <= 52)."""
+    return (mask / F.pow(F.lit(2.0), i)).cast("long") % 2
+
+
 def generate_rules(itemsets: DataFrame, n_transactions: int,
                    min_confidence: float = 0.70) -> DataFrame:
     """(antecedents, consequents, antecedent_support, consequent_support,
@@ -30,8 +35,8 @@ def generate_rules(itemsets: DataFrame, n_transactions: int,
         F.sequence(F.lit(1), F.pow(F.lit(2), F.col("k")).cast("int") - 2)).alias("m"))
     split = masks.select(
         "freq",
-        F.filter("items", lambda x, i: (F.shiftright(F.col("m"), i) % 2) == 1).alias("ante"),
-        F.filter("items", lambda x, i: (F.shiftright(F.col("m"), i) % 2) == 0).alias("cons"))
+        F.filter("items", lambda x, i: _bit(F.col("m"), i) == 1).alias("ante"),
+        F.filter("items", lambda x, i: _bit(F.col("m"), i) == 0).alias("cons"))
     sup = itemsets.select(item_key("items").alias("key"), F.col("freq").alias("f"))
     n = F.lit(float(n_transactions))
     r = (split.join(sup.withColumnRenamed("key", "akey").withColumnRenamed("f", "fa"),
@@ -122,13 +127,13 @@ def pattern(rules: DataFrame, name: str, min_lift: float = 1.2) -> DataFrame:
     return filter_rules(rules, ant or None, cons or None, min_lift=min_lift)
 
 
-def rule_text(rules: DataFrame) -> DataFrame:
+def rule_text(rules: DataFrame, extra: list[str] | None = None) -> DataFrame:
     """Rules as sorted ', '-joined text with rounded measures."""
     return rules.select(
         F.array_join(F.array_sort("antecedents"), ", ").alias("antecedents"),
         F.array_join(F.array_sort("consequents"), ", ").alias("consequents"),
         r6(F.col("support")).alias("support"), r6(F.col("confidence")).alias("confidence"),
-        r6(F.col("lift")).alias("lift"))
+        r6(F.col("lift")).alias("lift"), *(extra or []))
 
 
 def max_lift_by_term(rules: DataFrame, min_lift: float = 1.2) -> DataFrame:

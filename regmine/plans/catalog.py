@@ -910,3 +910,212 @@ def k8m(spark, sf):
 GROUP BY 1, 2""")
 def k9(spark, sf):
     return K.source_by_state(general(spark, sf))
+
+
+# ---- I: association mining -------------------------------------------------------
+
+_ITEMSETS = f"""
+{O.tx_items(O.ITEM_COLS)},
+ntx AS (SELECT count(*) AS n FROM mining),
+thr AS (SELECT CAST(ceil(0.02 * CAST(n AS DOUBLE)) AS BIGINT) AS m, CAST(n AS DOUBLE) AS n FROM ntx),
+f1 AS (SELECT item AS i1, count(*) AS freq FROM tx_items GROUP BY item HAVING count(*) >= (SELECT m FROM thr)),
+t1 AS (SELECT t.tx_id, t.item FROM tx_items t JOIN f1 ON t.item = f1.i1),
+f2 AS (SELECT a.item AS i1, b.item AS i2, count(*) AS freq FROM t1 a JOIN t1 b
+       ON a.tx_id = b.tx_id AND a.item < b.item GROUP BY 1, 2 HAVING count(*) >= (SELECT m FROM thr)),
+f3 AS (SELECT a.item AS i1, b.item AS i2, c.item AS i3, count(*) AS freq FROM t1 a
+       JOIN t1 b ON a.tx_id = b.tx_id AND a.item < b.item JOIN t1 c ON a.tx_id = c.tx_id AND b.item < c.item
+       GROUP BY 1, 2, 3 HAVING count(*) >= (SELECT m FROM thr)),
+itemsets AS (SELECT 1 AS k, i1 AS itemset, freq FROM f1
+  UNION ALL SELECT 2, i1 || ', ' || i2, freq FROM f2
+  UNION ALL SELECT 3, i1 || ', ' || i2 || ', ' || i3, freq FROM f3),
+c3raw AS (SELECT a.i1, a.i2, b.i2 AS i3 FROM f2 a JOIN f2 b ON a.i1 = b.i1 AND a.i2 < b.i2),
+c3 AS (SELECT r.* FROM c3raw r JOIN f2 s ON s.i1 = r.i2 AND s.i2 = r.i3),
+rr AS (
+  SELECT f2.i1 AS ante, f2.i2 AS cons, 1 AS nc, f2.freq, a.freq AS fa, c.freq AS fc
+    FROM f2 JOIN f1 a ON a.i1 = f2.i1 JOIN f1 c ON c.i1 = f2.i2
+  UNION ALL SELECT f2.i2, f2.i1, 1, f2.freq, a.freq, c.freq
+    FROM f2 JOIN f1 a ON a.i1 = f2.i2 JOIN f1 c ON c.i1 = f2.i1
+  UNION ALL SELECT f3.i1, f3.i2 || ', ' || f3.i3, 2, f3.freq, a.freq, c.freq
+    FROM f3 JOIN f1 a ON a.i1 = f3.i1 JOIN f2 c ON c.i1 = f3.i2 AND c.i2 = f3.i3
+  UNION ALL SELECT f3.i2, f3.i1 || ', ' || f3.i3, 2, f3.freq, a.freq, c.freq
+    FROM f3 JOIN f1 a ON a.i1 = f3.i2 JOIN f2 c ON c.i1 = f3.i1 AND c.i2 = f3.i3
+  UNION ALL SELECT f3.i3, f3.i1 || ', ' || f3.i2, 2, f3.freq, a.freq, c.freq
+    FROM f3 JOIN f1 a ON a.i1 = f3.i3 JOIN f2 c ON c.i1 = f3.i1 AND c.i2 = f3.i2
+  UNION ALL SELECT f3.i1 || ', ' || f3.i2, f3.i3, 1, f3.freq, a.freq, c.freq
+    FROM f3 JOIN f2 a ON a.i1 = f3.i1 AND a.i2 = f3.i2 JOIN f1 c ON c.i1 = f3.i3
+  UNION ALL SELECT f3.i1 || ', ' || f3.i3, f3.i2, 1, f3.freq, a.freq, c.freq
+    FROM f3 JOIN f2 a ON a.i1 = f3.i1 AND a.i2 = f3.i3 JOIN f1 c ON c.i1 = f3.i2
+  UNION ALL SELECT f3.i2 || ', ' || f3.i3, f3.i1, 1, f3.freq, a.freq, c.freq
+    FROM f3 JOIN f2 a ON a.i1 = f3.i2 AND a.i2 = f3.i3 JOIN f1 c ON c.i1 = f3.i1),
+rules AS (
+  SELECT ante AS antecedents, cons AS consequents, nc, freq / n AS support, freq / fa AS confidence,
+         (freq / fa) / (fc / n) AS lift FROM rr, thr WHERE freq / fa >= 0.70)"""
+
+P_ITEMS = O.with_ctes(O.REGISTRY, O.MINING, _ITEMSETS)
+_RULE_COLS = ("antecedents, consequents, round(support, 6) AS support, round(confidence, 6) AS confidence, "
+              "round(lift, 6) AS lift")
+_TRIVIAL = "(consequents LIKE '%ENTIDAD%' OR antecedents LIKE '%SE DESCONOCE%' OR consequents LIKE '%SE DESCONOCE%')"
+
+
+def _itemset_out(df):
+    return df.select(F.col("k").cast("int").alias("k"),
+                     F.array_join(F.array_sort("items"), ", ").alias("itemset"),
+                     F.col("freq").cast("long").alias("freq"), r6(F.col("support")).alias("support"))
+
+
+_ITEMSET_SQL = P_ITEMS + "SELECT k, itemset, freq, round(freq / (SELECT n FROM thr), 6) AS support FROM itemsets"
+
+
+@register("i1_to_transactions", O.with_ctes(O.REGISTRY, O.MINING, O.tx_items(O.ITEM_COLS)) + """
+SELECT m.ID_VICTIMA AS tx_id, coalesce(string_agg(t.item, ', ' ORDER BY t.item), '') AS items
+FROM mining m LEFT JOIN tx_items t ON t.tx_id = m.ID_VICTIMA GROUP BY m.ID_VICTIMA""")
+def i1(spark, sf):
+    return transactions(spark, sf).select("tx_id", F.array_join("items", ", ").alias("items"))
+
+
+@register("i2_encode_transactions", P_ITEMS + "SELECT item, count(*) AS count FROM tx_items GROUP BY item")
+def i2(spark, sf):
+    enc, model = I.encode_transactions(transactions(spark, sf))
+    return I.item_totals(enc, model.vocabulary)
+
+
+@register("i3_frequent_items", P_ITEMS + "SELECT i1 AS item, freq FROM f1")
+def i3(spark, sf):
+    tx = transactions(spark, sf)
+    m = I.min_count_for(0.02, tx.count())
+    return I.frequent_items(tx, m).select(F.element_at("items", 1).alias("item"), "freq")
+
+
+def _level(spark, sf, k):
+    return mined(spark, sf).itemsets.where(F.col("k") == k)
+
+
+@register("i4_generate_candidates", P_ITEMS + "SELECT i1 || ', ' || i2 || ', ' || i3 AS itemset FROM c3raw")
+def i4(spark, sf):
+    return I.generate_candidates(_level(spark, sf, 2), 3).select(
+        F.array_join("items", ", ").alias("itemset"))
+
+
+@register("i4_generate_candidates_k2", P_ITEMS + "SELECT a.i1 || ', ' || b.i1 AS itemset FROM f1 a JOIN f1 b "
+          "ON a.i1 < b.i1")
+def i4k2(spark, sf):
+    return I.generate_candidates(_level(spark, sf, 1), 2).select(
+        F.array_join("items", ", ").alias("itemset"))
+
+
+@register("i5_prune_candidates", P_ITEMS + "SELECT i1 || ', ' || i2 || ', ' || i3 AS itemset FROM c3")
+def i5(spark, sf):
+    f2 = _level(spark, sf, 2)
+    return I.prune_candidates(I.generate_candidates(f2, 3), f2, 3).select(
+        F.array_join("items", ", ").alias("itemset"))
+
+
+@register("i6_count_support", P_ITEMS + "SELECT i1 || ', ' || i2 AS itemset, freq FROM f2")
+def i6(spark, sf):
+    m = mined(spark, sf)
+    f1 = _level(spark, sf, 1)
+    items = [r[0] for r in f1.select(F.element_at("items", 1)).collect()]
+    txf = I._checkpoint(I.restrict_to_items(transactions(spark, sf), items))
+    cand = I.generate_candidates(f1, 2)
+    out = I.count_support(txf, cand, 2, m.min_count, width=len(S.ITEM_COLUMNS))
+    return out.select(F.array_join("items", ", ").alias("itemset"), "freq")
+
+
+@register("i7_apriori", _ITEMSET_SQL)
+def i7(spark, sf):
+    return _itemset_out(mined(spark, sf).itemsets)
+
+
+@register("i8_apriori_join_path", _ITEMSET_SQL)
+def i8(spark, sf):
+    return _itemset_out(mined(spark, sf, literal=False).itemsets)
+
+
+@register("i9_fp_growth", _ITEMSET_SQL)
+def i9(spark, sf):
+    return _itemset_out(mined(spark, sf, "fpgrowth").itemsets)
+
+
+@register("i10_compare_itemsets", P_ITEMS + """SELECT CAST(0 AS BIGINT) AS only_a, CAST(0 AS BIGINT) AS only_b,
+  count(*) AS common FROM itemsets""")
+def i10(spark, sf):
+    return I.compare_itemsets(mined(spark, sf).itemsets, mined(spark, sf, "fpgrowth").itemsets)
+
+
+@register("i11_itemset_table", P_ITEMS + """SELECT itemset, CAST(k AS BIGINT) AS size, freq AS count,
+  round(freq / (SELECT n FROM thr), 6) AS support FROM itemsets""")
+def i11(spark, sf):
+    return I.itemset_table(mined(spark, sf).itemsets)
+
+
+@register("i12_level_stats", P_ITEMS + """
+SELECT 1 AS k, CAST(NULL AS BIGINT) AS candidates, (SELECT count(*) FROM f1) AS frequent, CAST(NULL AS DOUBLE) AS pct_dropped
+UNION ALL SELECT 2, c, f, round(100.0 * (c - f) / c, 6) FROM
+  (SELECT (SELECT count(*) FROM f1) * ((SELECT count(*) FROM f1) - 1) // 2 AS c, (SELECT count(*) FROM f2) AS f)
+UNION ALL SELECT 3, c, f, round(100.0 * (c - f) / c, 6) FROM
+  (SELECT (SELECT count(*) FROM c3) AS c, (SELECT count(*) FROM f3) AS f)""")
+def i12(spark, sf):
+    return mined(spark, sf).levels
+
+
+@register("i13_generate_rules", P_ITEMS + f"SELECT {_RULE_COLS} FROM rules")
+def i13(spark, sf):
+    return R.rule_text(rules(spark, sf))
+
+
+@register("i14_single_consequent", P_ITEMS + f"SELECT {_RULE_COLS} FROM rules WHERE nc = 1")
+def i14(spark, sf):
+    return R.rule_text(R.single_consequent(rules(spark, sf)))
+
+
+@register("i15_consequent_on", P_ITEMS + f"SELECT {_RULE_COLS} FROM rules WHERE nc = 1 AND consequents LIKE 'ENTIDAD%'")
+def i15(spark, sf):
+    return R.rule_text(R.consequent_on(R.single_consequent(rules(spark, sf)), "ENTIDAD"))
+
+
+@register("i16_filter_rules", P_ITEMS + f"SELECT {_RULE_COLS} FROM rules WHERE lift >= 1.2")
+def i16(spark, sf):
+    return R.rule_text(R.filter_rules(rules(spark, sf), min_lift=1.2))
+
+
+@register("i17_drop_trivial_rules", P_ITEMS + f"SELECT {_RULE_COLS} FROM rules WHERE lift >= 1.2 AND NOT {_TRIVIAL}")
+def i17(spark, sf):
+    return R.rule_text(R.drop_trivial_rules(R.filter_rules(rules(spark, sf), min_lift=1.2)))
+
+
+@register("i18_interpret_lift", P_ITEMS + f"""SELECT {_RULE_COLS}, CASE WHEN lift > 1 THEN 'Asociación positiva'
+  WHEN lift = 1 THEN 'Independencia' ELSE 'Asociación negativa' END AS interpretacion_lift FROM rules WHERE nc = 1""")
+def i18(spark, sf):
+    r = R.interpret_lift(R.single_consequent(rules(spark, sf)))
+    return R.rule_text(r, extra=["interpretacion_lift"])
+
+
+@register("i19_rule_funnel", P_ITEMS + f"""SELECT count(*) AS total, count_if(lift >= 1.2) AS lifted,
+  count_if(lift >= 1.2 AND NOT {_TRIVIAL}) AS non_trivial FROM rules""")
+def i19(spark, sf):
+    return R.rule_funnel(rules(spark, sf))
+
+
+def _pattern_sql(ant, cons):
+    cond = " AND ".join([f"antecedents LIKE '%{a}%'" for a in ant] + [f"consequents LIKE '%{c}%'" for c in cons])
+    return P_ITEMS + f"SELECT {_RULE_COLS} FROM rules WHERE lift >= 1.2" + (f" AND {cond}" if cond else "")
+
+
+for _p, (_a, _c) in R.PATTERNS.items():
+    def _mk(p):
+        def q(spark, sf):
+            return R.rule_text(R.pattern(rules(spark, sf), p))
+        return q
+    register(f"i20_pattern_{_p}", _pattern_sql(_a, _c))(_mk(_p))
+
+
+@register("i21_max_lift_by_term", P_ITEMS + """
+SELECT term, round(max(lift), 6) AS max_lift,
+  array_to_string(list_sort(list_distinct(flatten(list(ages)))), ', ') AS age_groups FROM (
+  SELECT regexp_extract(antecedents, 'SEXENIO_DESAPARICION=([^,]*)', 1) AS term,
+         regexp_extract(consequents, 'SEXENIO_REGISTRO=([^,]*)', 1) AS term_r, lift,
+         regexp_extract_all(antecedents || ', ' || consequents, 'GRUPO_EDAD=[^,]*') AS ages
+  FROM rules WHERE lift >= 1.2 AND antecedents LIKE '%SEXENIO_DESAPARICION%' AND consequents LIKE '%SEXENIO_REGISTRO%')
+WHERE term = term_r GROUP BY term""")
+def i21(spark, sf):
+    return R.max_lift_by_term(rules(spark, sf))
