@@ -17,7 +17,7 @@ def main(argv):
     from regmine.session import get_session
     from regmine.plans.catalog import QUERIES, ORACLE
     from regmine.plans.verify import duck_connect, compare
-    spark = get_session("local[8]", shuffle_partitions=8)
+    spark = get_session("local[8]", shuffle_partitions=8, extra={"spark.driver.memory": "16g"})
     spark.sparkContext.setLogLevel("ERROR")
     con = duck_connect(sf)
     results = {}

@@ -68,18 +68,20 @@ def stratified_split(df: DataFrame, label: str | None, test_frac: float = 0.2, s
     h = _hash(id_col, seed)
     rows = df.withColumns({"__cls": F.coalesce(cls, F.lit("\u0000null")), "__h": h,
                            "__b": F.substring(h, 1, bucket_digits)})
-    # per-class allocation (table with one row per class)
-    per = rows.groupBy("__cls").agg(F.count(F.lit(1)).alias("__n"))
-    tot = rows.agg(F.count(F.lit(1)).cast("double")).scalar()
-    n_test = F.ceil(F.lit(float(test_frac)) * tot)
-    exact = n_test * F.col("__n") / tot
+    # Pass 1: counts per (class, hash bucket) -- a table of at most
+    # classes x 16^digits rows, checkpointed; every total derives from it.
+    from regmine.operators.itemsets import _checkpoint
+    bk = _checkpoint(rows.groupBy("__cls", "__b").agg(F.count(F.lit(1)).alias("__bn")))
+    per = bk.groupBy("__cls").agg(F.sum("__bn").alias("__n"))
+    tot = float(per.agg(F.sum("__n")).first()[0] or 0)
+    n_test = F.ceil(F.lit(float(test_frac)) * F.lit(tot))
+    exact = n_test * F.col("__n") / F.lit(tot)
     per = per.withColumns({"__base": F.floor(exact), "__frac": exact - F.floor(exact)})
-    rem = n_test - per.agg(F.sum(F.floor(n_test * F.col("__n") / tot))).scalar()
+    rem = n_test - per.agg(F.sum("__base")).scalar()
     wr = Window.orderBy(F.desc("__frac"), "__cls")  # one row per class
     per = per.withColumn("__t", (F.col("__base") + F.when(F.row_number().over(wr) <= rem, 1)
                                  .otherwise(0)).cast("long")).select("__cls", "__t")
-    # per-(class, bucket) counts and running sums over the bucket table
-    bk = rows.groupBy("__cls", "__b").agg(F.count(F.lit(1)).alias("__bn"))
+    # running sums over the bucket table, side of each bucket
     wb = Window.partitionBy("__cls").orderBy("__b").rowsBetween(Window.unboundedPreceding, 0)
     bk = bk.withColumn("__cum", F.sum("__bn").over(wb)).join(per, "__cls")
     bk = bk.select("__cls", "__b",
@@ -87,6 +89,7 @@ def stratified_split(df: DataFrame, label: str | None, test_frac: float = 0.2, s
                    .when(F.col("__cum") - F.col("__bn") >= F.col("__t"), F.lit("train"))
                    .otherwise(F.lit("edge")).alias("__side"),
                    (F.col("__t") - (F.col("__cum") - F.col("__bn"))).alias("__take"))
+    # Pass 2: assign rows; only the boundary bucket of each class is ranked.
     j = rows.join(bk, ["__cls", "__b"])
     whole = j.where(F.col("__side") != "edge").withColumn(SPLIT, F.col("__side"))
     edge = j.where(F.col("__side") == "edge")
@@ -181,9 +184,12 @@ def classification_report(pred: DataFrame, label: str, predicted: str = "predict
         F.struct(F.lit("accuracy").alias("class"), F.lit(None).cast("double").alias("precision"),
                  F.lit(None).cast("double").alias("recall"), (F.col("tp") / nd).alias("f1"),
                  F.col("n").cast("long").alias("support")),
-        F.struct(F.lit("macro avg"), F.col("mp"), F.col("mr"), F.col("mf"), F.col("n").cast("long")),
-        F.struct(F.lit("weighted avg"), F.col("wp") / nd, F.col("wr") / nd, F.col("wf") / nd,
-                 F.col("n").cast("long")))))
+        F.struct(F.lit("macro avg").alias("class"), F.col("mp").alias("precision"),
+                 F.col("mr").alias("recall"), F.col("mf").alias("f1"),
+                 F.col("n").cast("long").alias("support")),
+        F.struct(F.lit("weighted avg").alias("class"), (F.col("wp") / nd).alias("precision"),
+                 (F.col("wr") / nd).alias("recall"), (F.col("wf") / nd).alias("f1"),
+                 F.col("n").cast("long").alias("support")))))
     allrows = per.drop("tp").unionByName(extra)
     return allrows.select("class", r6(F.col("precision")).alias("precision"),
                           r6(F.col("recall")).alias("recall"), r6(F.col("f1")).alias("f1"), "support")

@@ -1119,3 +1119,218 @@ SELECT term, round(max(lift), 6) AS max_lift,
 WHERE term = term_r GROUP BY term""")
 def i21(spark, sf):
     return R.max_lift_by_term(rules(spark, sf))
+
+
+# ---- J: classification ------------------------------------------------------------
+
+_FEATS = list(S.ITEM_COLUMNS)
+_LABEL = S.STATUS
+
+
+def model_table(spark, sf):
+    return mining(spark, sf).select(S.ID, _LABEL, *_FEATS)
+
+
+def split_table(spark, sf):
+    return J.stratified_split(model_table(spark, sf), _LABEL, 0.2, 42, S.ID)
+
+
+_SPLIT_SQL = O.with_ctes(O.REGISTRY, O.MINING, """
+cls AS (SELECT ESTATUS_VICTIMA AS c, count(*) AS n FROM mining GROUP BY 1),
+tot AS (SELECT CAST(sum(n) AS DOUBLE) AS nn, ceil(0.2 * CAST(sum(n) AS DOUBLE)) AS t FROM cls),
+al AS (SELECT c, floor(t * n / nn) AS base, t * n / nn - floor(t * n / nn) AS frac FROM cls, tot),
+alloc AS (SELECT c, base + CASE WHEN row_number() OVER (ORDER BY frac DESC, c)
+                                   <= (SELECT any_value(t) FROM tot) - (SELECT sum(base) FROM al) THEN 1 ELSE 0 END AS take
+          FROM al),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY ESTATUS_VICTIMA ORDER BY md5(ID_VICTIMA || '#42'), ID_VICTIMA) AS rn
+           FROM mining),
+splitted AS (SELECT r.*, CASE WHEN rn <= take THEN 'test' ELSE 'train' END AS split
+             FROM ranked r JOIN alloc ON alloc.c = r.ESTATUS_VICTIMA)""")
+
+
+@register("j1_label_encode", O.with_ctes(O.REGISTRY, O.MINING) + " UNION ALL ".join(
+    f"SELECT '{c}' AS \"column\", value, CAST(dense_rank() OVER (ORDER BY value) - 1 AS BIGINT) AS code "
+    f"FROM (SELECT DISTINCT CAST({c} AS VARCHAR) AS value FROM mining WHERE {c} IS NOT NULL)" for c in _FEATS))
+def j1(spark, sf):
+    return J.label_codes(model_table(spark, sf), _FEATS)
+
+
+@register("j2_class_distribution", P_MIN + """SELECT ESTATUS_VICTIMA, count(*) AS count,
+  round(count(*) * 100.0 / sum(count(*)) OVER (), 6) AS pct FROM mining GROUP BY 1""")
+def j2(spark, sf):
+    return J.class_distribution(model_table(spark, sf), _LABEL)
+
+
+@register("j2_class_distribution_split", _SPLIT_SQL + """SELECT split, ESTATUS_VICTIMA, count(*) AS count,
+  round(count(*) * 100.0 / sum(count(*)) OVER (PARTITION BY split), 6) AS pct FROM splitted GROUP BY 1, 2""")
+def j2s(spark, sf):
+    return J.class_distribution(split_table(spark, sf), _LABEL, J.SPLIT)
+
+
+@register("j3_random_split", P_MIN + """SELECT split, count(*) AS count FROM (
+  SELECT CASE WHEN row_number() OVER (ORDER BY md5(ID_VICTIMA || '#42'), ID_VICTIMA)
+                   <= ceil(0.3 * CAST(count(*) OVER () AS DOUBLE)) THEN 'test' ELSE 'train' END AS split
+  FROM mining) GROUP BY 1""")
+def j3(spark, sf):
+    return J.random_split(model_table(spark, sf), 0.3, 42, S.ID).groupBy(J.SPLIT).agg(
+        F.count(F.lit(1)).alias("count"))
+
+
+@register("j4_stratified_split", _SPLIT_SQL + "SELECT split, ESTATUS_VICTIMA, count(*) AS count FROM splitted GROUP BY 1, 2")
+def j4(spark, sf):
+    return split_table(spark, sf).groupBy(J.SPLIT, _LABEL).agg(F.count(F.lit(1)).alias("count"))
+
+
+@register("j4_stratified_split_rows", _SPLIT_SQL + "SELECT ID_VICTIMA, split FROM splitted")
+def j4r(spark, sf):
+    return split_table(spark, sf).select(S.ID, J.SPLIT)
+
+
+@register("j5_balanced_weights", _SPLIT_SQL + """SELECT ESTATUS_VICTIMA, count(*) AS count,
+  round(sum(count(*)) OVER () / (count(*) OVER () * count(*)), 6) AS weight FROM splitted WHERE split = 'train'
+  GROUP BY 1""")
+def j5(spark, sf):
+    return J.class_weights(split_table(spark, sf).where(F.col(J.SPLIT) == "train"), _LABEL)
+
+
+_FOREST: dict = {}
+
+
+def forest(spark, sf, features=None, name="model1"):
+    """Forest on label-encoded item features with balanced weights
+    (memoised per session; model metadata is bounded by the feature count)."""
+    feats = features or _FEATS
+    key = (id(spark), sf, name)
+    if key not in _FOREST:
+        enc, _ = J.label_encode(split_table(spark, sf), feats)
+        train = J.balanced_weights(enc.where(F.col(J.SPLIT) == "train"), _LABEL)
+        test = enc.where(F.col(J.SPLIT) == "test")
+        model = J.train_forest(train, [c + "_idx" for c in feats], _LABEL, num_trees=100,
+                               max_depth=12, seed=42)
+        _FOREST[key] = (model, test, feats)
+    return _FOREST[key]
+
+
+@register("j6_train_forest")
+def j6(spark, sf):
+    model, _, feats = forest(spark, sf)
+    return J.feature_importance(model, feats)
+
+
+@register("j7_predict")
+def j7(spark, sf):
+    model, test, _ = forest(spark, sf)
+    return J.predict(model, test, _LABEL).select(S.ID, _LABEL, "predicted")
+
+
+@register("j8_forest_report")
+def j8f(spark, sf):
+    model, test, _ = forest(spark, sf)
+    return J.classification_report(J.predict(model, test, _LABEL), _LABEL)
+
+
+def _rule_pred(spark, sf):
+    st = split_table(spark, sf)
+    return J.group_majority_predict(st.where(F.col(J.SPLIT) == "train"), st.where(F.col(J.SPLIT) == "test"),
+                                    S.MUNI, _LABEL)
+
+
+_PRED_SQL = _SPLIT_SQL.rstrip() + """,
+gm AS (SELECT MUNICIPIO, ESTATUS_VICTIMA, count(*) AS c FROM splitted WHERE split = 'train' GROUP BY 1, 2),
+gb AS (SELECT MUNICIPIO, ESTATUS_VICTIMA AS p FROM (SELECT *, row_number() OVER (PARTITION BY MUNICIPIO
+       ORDER BY c DESC, ESTATUS_VICTIMA) AS rn FROM gm) WHERE rn = 1),
+ov AS (SELECT ESTATUS_VICTIMA AS p FROM splitted WHERE split = 'train' GROUP BY 1
+       ORDER BY count(*) DESC, ESTATUS_VICTIMA LIMIT 1),
+pred AS (SELECT s.ID_VICTIMA, s.ESTATUS_VICTIMA, coalesce(gb.p, (SELECT p FROM ov)) AS predicted
+         FROM splitted s LEFT JOIN gb ON gb.MUNICIPIO = s.MUNICIPIO WHERE s.split = 'test'),
+cm AS (SELECT ESTATUS_VICTIMA AS actual, predicted, count(*) AS count FROM pred GROUP BY 1, 2),
+per AS (SELECT c AS class,
+          coalesce((SELECT sum(count) FROM cm WHERE actual = c AND predicted = c), 0) AS tp,
+          coalesce((SELECT sum(count) FROM cm WHERE actual = c), 0) AS support,
+          coalesce((SELECT sum(count) FROM cm WHERE predicted = c), 0) AS npred
+        FROM (SELECT actual AS c FROM cm UNION SELECT predicted FROM cm)),
+pr AS (SELECT class, support, tp,
+          coalesce(CAST(tp AS DOUBLE) / nullif(npred, 0), 0.0) AS precision,
+          coalesce(CAST(tp AS DOUBLE) / nullif(support, 0), 0.0) AS recall FROM per),
+pf AS (SELECT *, coalesce(2 * precision * recall / nullif(precision + recall, 0), 0.0) AS f1 FROM pr
+       WHERE support > 0)
+"""
+
+
+@register("j8_classification_report", _PRED_SQL + """
+SELECT class, round(precision, 6) AS precision, round(recall, 6) AS recall, round(f1, 6) AS f1,
+       CAST(support AS BIGINT) AS support FROM pf
+UNION ALL SELECT 'accuracy', NULL, NULL, round(sum(tp) / sum(support), 6), CAST(sum(support) AS BIGINT) FROM pf
+UNION ALL SELECT 'macro avg', round(avg(precision), 6), round(avg(recall), 6), round(avg(f1), 6),
+       CAST(sum(support) AS BIGINT) FROM pf
+UNION ALL SELECT 'weighted avg', round(sum(precision * support) / sum(support), 6),
+       round(sum(recall * support) / sum(support), 6), round(sum(f1 * support) / sum(support), 6),
+       CAST(sum(support) AS BIGINT) FROM pf""")
+def j8(spark, sf):
+    return J.classification_report(_rule_pred(spark, sf), _LABEL)
+
+
+@register("j9_accuracy", _PRED_SQL + """SELECT round(avg(CAST(ESTATUS_VICTIMA = predicted AS DOUBLE)), 6) AS accuracy
+FROM pred""")
+def j9(spark, sf):
+    return J.accuracy(_rule_pred(spark, sf), _LABEL)
+
+
+@register("j10_feature_importance")
+def j10(spark, sf):
+    feats = [c for c in _FEATS if c != S.MUNI]
+    model, _, _ = forest(spark, sf, feats, "model2")
+    return J.feature_importance(model, feats)
+
+
+@register("j11_compare_models")
+def j11(spark, sf):
+    reps = {}
+    for name, feats in [("model1", _FEATS), ("model2", [c for c in _FEATS if c != S.MUNI])]:
+        model, test, _ = forest(spark, sf, feats, name)
+        reps[name] = J.classification_report(J.predict(model, test, _LABEL), _LABEL)
+    reps["group_majority"] = J.classification_report(_rule_pred(spark, sf), _LABEL)
+    return J.compare_models(reps, "NO LOCALIZADA")
+
+
+@register("j12_confusion_matrix", _PRED_SQL + "SELECT actual, predicted, count FROM cm")
+def j12(spark, sf):
+    return J.confusion_matrix(_rule_pred(spark, sf), _LABEL)
+
+
+@register("j13_majority_baseline", P_MIN + """SELECT round(max(c) / sum(c), 6) AS baseline_accuracy FROM
+  (SELECT count(*) AS c FROM mining GROUP BY ESTATUS_VICTIMA)""")
+def j13(spark, sf):
+    return J.majority_baseline(model_table(spark, sf), _LABEL)
+
+
+# ---- flagship: state profile (withheld share, age and delay by state) -------------
+
+@register("q0_state_profile", P_CLEAN + f"""
+SELECT ENTIDAD, CAST(sum({_WH}) AS BIGINT) AS withheld, count(*) AS n,
+  round(round(sum({_WH}) * 100.0 / count(*), 1), 6) AS withheld_pct,
+  round(avg(EDAD), 6) AS mean_age, round(median(EDAD), 6) AS median_age,
+  round(avg(DIAS_REGISTRO), 6) AS mean_delay, round(median(DIAS_REGISTRO), 6) AS median_delay
+FROM (SELECT *,
+  CASE WHEN year(FECHA_DESAPARICION_DT) - year(FECHA_NACIMIENTO_DT) BETWEEN 0 AND 110
+       THEN year(FECHA_DESAPARICION_DT) - year(FECHA_NACIMIENTO_DT) END AS EDAD,
+  CASE WHEN floor((epoch(FECHA_REGISTRO_DT) - epoch(FECHA_DESAPARICION_DT)) / 86400) >= 0
+       THEN floor((epoch(FECHA_REGISTRO_DT) - epoch(FECHA_DESAPARICION_DT)) / 86400) END AS DIAS_REGISTRO
+  FROM general) GROUP BY ENTIDAD""")
+def q0(spark, sf):
+    """Registry -> clean (D3, D5, E1-E4) -> F1/F2 -> one grouped aggregate by
+    state: withheld share (G20 without the cut) and mean/median age and delay
+    (G2).  Withheld rows have no parsed dates, so their ages and delays are
+    null and the temporal statistics equal those of the temporal product."""
+    g = FE.delay_days(FE.age_years_diff(B2.withheld_total(general(spark, sf))))
+    return g.groupBy(S.STATE).agg(
+        F.sum("confidencial_total").cast("long").alias("withheld"), F.count(F.lit(1)).alias("n"),
+        r6(F.round(F.sum("confidencial_total") * 100.0 / F.count(F.lit(1)), 1)).alias("withheld_pct"),
+        r6(F.avg("EDAD")).alias("mean_age"), r6(F.median("EDAD")).alias("median_age"),
+        r6(F.avg("DIAS_REGISTRO")).alias("mean_delay"), r6(F.median("DIAS_REGISTRO")).alias("median_delay"))
+
+
+def reset_memo() -> None:
+    """Forget memoised mining results and models (benchmarks time them anew)."""
+    _MEMO.clear()
+    _FOREST.clear()
