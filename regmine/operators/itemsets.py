@@ -213,11 +213,13 @@ def apriori(tx: DataFrame, min_support: float = 0.02, max_k: int | None = 3) ->
     """Level-wise Apriori with candidate generation, subset pruning and
     distributed support counting; stops at max_k or when a level is empty.
 
-    Source passes: one for item counts and the transaction count, one to
-    write the transactions restricted to frequent items (checkpointed, then
-    scanned once per level)."""
+    The source is read once (transactions checkpointed); item counts and the
+    transaction count come from one scan of that copy, the frequent-item
+    restriction is checkpointed again and scanned once per level."""
     spark = tx.sparkSession
-    tx = tx.select("items")
+    # Single pass over the (expensive) source: materialise the transactions,
+    # then every later pass scans the checkpoint.
+    tx = _checkpoint(tx.select("items"))
     counts, n = _item_counts_and_n(tx)
     min_count = min_count_for(min_support, n)
     f1 = counts.where(F.col("freq") >= min_count).select(
@@ -275,13 +277,12 @@ def fp_growth(tx: DataFrame, min_support: float = 0.02, max_k: int | None = 3,
     itemsets longer than max_k dropped."""
     from pyspark.ml.fpm import FPGrowth
     spark = tx.sparkSession
-    tx = tx.select("items")
+    tx = _checkpoint(tx.select("items"))
     n = tx.count()
     min_count = min_count_for(min_support, n)
     frac = (min_count - 0.5) / n if n else 1.0
     fp = FPGrowth(itemsCol="items", minSupport=min(max(frac, 0.0), 1.0), minConfidence=1.0)
-    if num_partitions:
-        fp = fp.setNumPartitions(num_partitions)
+    fp = fp.setNumPartitions(num_partitions or spark.sparkContext.defaultParallelism)
     model = fp.fit(tx)
     fi = model.freqItemsets.select(F.array_sort("items").alias("items"), "freq")
     fi = fi.where(F.col("freq") >= min_count)
