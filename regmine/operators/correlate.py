@@ -16,14 +16,22 @@ from pyspark.sql import functions as F
 from regmine.functions.numeric import r6
 
 
+MAX_DUMMIES = 1000
+
+
 def dummies(df: DataFrame, col: str, prefix: str | None = None,
-            values: list[str] | None = None) -> DataFrame:
-    """H1: one 0/1 column per listed value; null -> all zeros.  ``values`` must
-    be a bounded list (use the long form of H3 for high cardinality)."""
+            values: list[str] | None = None, max_values: int = MAX_DUMMIES) -> DataFrame:
+    """H1: one 0/1 column per listed value; null -> all zeros.  Without
+    ``values`` the distinct values are read (bounded: more than ``max_values``
+    raises -- use the long form of H3/K7 or a sparse OneHotEncoder instead)."""
     prefix = prefix or col
     if values is None:
-        values = [r[0] for r in df.where(F.col(col).isNotNull()).select(col).distinct()
-                  .orderBy(col).limit(1000).collect()]
+        found = [r[0] for r in df.where(F.col(col).isNotNull()).select(col).distinct()
+                 .limit(max_values + 1).collect()]
+        if len(found) > max_values:
+            raise ValueError(f"{col} has more than {max_values} distinct values; "
+                             "use flag_category_correlation / a sparse encoder instead")
+        values = sorted(found)
     return df.withColumns({f"{prefix}_{v}": F.coalesce((F.col(col) == v).cast("int"), F.lit(0))
                            for v in values})
 

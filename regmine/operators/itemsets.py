@@ -245,11 +245,14 @@ def apriori(tx: DataFrame, min_support: float = 0.02, max_k: int | None = 3) ->
         k += 1
         if max_k is not None and k > max_k:
             break
-        cand = generate_candidates(prev, k)
-        if k > 2:
-            cand = prune_candidates(cand, prev, k)
-        cand = _checkpoint(cand)
-        n_cand = cand.count()
+        if k == 2:
+            # Every pair of frequent items is a candidate and the transactions
+            # hold only frequent items, so the candidate filter cannot drop
+            # anything: count the pairs directly, report C2 arithmetically.
+            cand, n_cand = None, n1 * (n1 - 1) // 2
+        else:
+            cand = _checkpoint(prune_candidates(generate_candidates(prev, k), prev, k))
+            n_cand = cand.count()
         if n_cand == 0:
             levels.append((k, 0, 0))
             break
@@ -297,15 +300,17 @@ def fp_growth(tx: DataFrame, min_support: float = 0.02, max_k: int | None = 3,
 
 
 def compare_itemsets(a: DataFrame, b: DataFrame) -> DataFrame:
-    """(only_a, only_b, common) on (items, freq) with multiset semantics."""
-    ka = a.select(item_key("items").alias("key"), "freq")
-    kb = b.select(item_key("items").alias("key"), "freq")
-    only_a = ka.exceptAll(kb).agg(F.count(F.lit(1)).alias("only_a"))
-    only_b = kb.exceptAll(ka).agg(F.count(F.lit(1)).alias("only_b"))
-    common = ka.intersectAll(kb).agg(F.count(F.lit(1)).alias("common"))
-    k = F.lit(1)
-    return (only_a.withColumn("__k", k).join(only_b.withColumn("__k", k), "__k")
-            .join(common.withColumn("__k", k), "__k").drop("__k"))
+    """(only_a, only_b, common) over (items, freq) rows, multiset
+    semantics, in one grouped pass (no joins)."""
+    tagged = (a.select(item_key("items").alias("key"), "freq", F.lit(1).alias("ia"), F.lit(0).alias("ib"))
+              .unionByName(b.select(item_key("items").alias("key"), "freq", F.lit(0).alias("ia"),
+                                    F.lit(1).alias("ib"))))
+    g = tagged.groupBy("key", "freq").agg(F.sum("ia").alias("ca"), F.sum("ib").alias("cb"))
+    return g.agg(F.coalesce(F.sum(F.greatest(F.col("ca") - F.col("cb"), F.lit(0))), F.lit(0))
+                 .cast("long").alias("only_a"),
+                 F.coalesce(F.sum(F.greatest(F.col("cb") - F.col("ca"), F.lit(0))), F.lit(0))
+                 .cast("long").alias("only_b"),
+                 F.coalesce(F.sum(F.least("ca", "cb")), F.lit(0)).cast("long").alias("common"))
 
 
 def itemset_table(itemsets: DataFrame) -> DataFrame:

@@ -100,8 +100,8 @@ def box_stats(df: DataFrame, col: str, by: str | None = None, approx: bool = Fal
     if by:
         j = base.join(p, by)
     else:
-        fences = p.select(F.struct("lo_fence", "hi_fence").alias("f")).scalar()
-        j = base.withColumns({"lo_fence": fences["lo_fence"], "hi_fence": fences["hi_fence"]})
+        prow = p.select(F.struct("q1", "median", "q3", "mean", "lo_fence", "hi_fence").alias("p")).scalar()
+        j = base.withColumns({"lo_fence": prow["lo_fence"], "hi_fence": prow["hi_fence"]})
     inside = (x >= F.col("lo_fence")) & (x <= F.col("hi_fence"))
     w = j.groupBy(*keys).agg(F.min(F.when(inside, x)).alias("whisker_low"),
                              F.max(F.when(inside, x)).alias("whisker_high"),
@@ -110,8 +110,8 @@ def box_stats(df: DataFrame, col: str, by: str | None = None, approx: bool = Fal
     if by:
         out = p.join(w, keys)
     else:
-        # both sides hold exactly one row; zip them through a constant key
-        out = p.withColumn("__k", F.lit(1)).join(w.withColumn("__k", F.lit(1)), "__k").drop("__k")
+        out = w.select("*", *[prow[c].alias(c) for c in ("q1", "median", "q3", "mean", "lo_fence",
+                                                         "hi_fence")])
     return out.select(*keys, "n", r6(F.col("q1")).alias("q1"), r6(F.col("median")).alias("median"),
                       r6(F.col("q3")).alias("q3"), r6(F.col("q3") - F.col("q1")).alias("iqr"),
                       r6(F.col("lo_fence")).alias("lo_fence"), r6(F.col("hi_fence")).alias("hi_fence"),
