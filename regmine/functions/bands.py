@@ -24,11 +24,12 @@ def term_band_expr(ts: Column, edges=None, labels=None,
     """Left-closed [edge_i, edge_i+1) on the calendar year; outside -> missing."""
     edges = edges or S.TERM_EDGES
     labels = labels or S.TERM_LABELS
-    y = F.year(ts)
-    expr = F.when(y.isNull(), F.lit(missing))
+    # year -> label map over the covered years; the year is referenced once.
+    pairs = []
     for lo, hi, label in zip(edges[:-1], edges[1:], labels):
-        expr = expr.when((y >= lo) & (y < hi), F.lit(label))
-    return expr.otherwise(F.lit(missing))
+        for y in range(lo, hi):
+            pairs += [F.lit(y), F.lit(label)]
+    return F.coalesce(F.try_element_at(F.create_map(*pairs), F.year(ts)), F.lit(missing))
 
 
 def month_item_expr(ts: Column, missing: str = S.MISSING_LABEL) -> Column:

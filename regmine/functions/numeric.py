@@ -22,3 +22,24 @@ def safe_long(c: Column) -> Column:
 def try_ratio(num: Column, den: Column) -> Column:
     """num / den as double, null when den is 0 or null (ANSI-safe)."""
     return F.try_divide(num.cast("double"), den.cast("double"))
+
+
+def clamp_null(x: Column, below: Column | None = None, above: Column | None = None) -> Column:
+    """x when below < x < above (exclusive sentinels), else null -- with x
+    referenced exactly once.
+
+    Predicates on derived columns are pushed below projections with the
+    definitions substituted (and null-intolerance constraints inferred from
+    every sub-expression), so each extra reference of an expensive input (a
+    timestamp parse) would be evaluated again underneath.  A one-element
+    array filtered by a lambda binds the input to a variable instead;
+    ``when`` and ``nullif`` (rewritten as ``if(a = b, null, a)``) would both
+    duplicate it."""
+    def keep(t):
+        cond = F.lit(True)
+        if below is not None:
+            cond = cond & (t > below)
+        if above is not None:
+            cond = cond & (t < above)
+        return cond
+    return F.get(F.filter(F.array(x), keep), 0)

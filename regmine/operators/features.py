@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from regmine import schema as S
 from regmine.functions.bands import age_band_expr, month_item_expr, term_band_expr, year_item_expr
 from regmine.functions.dates import floor_days_between
+from regmine.functions.numeric import clamp_null
 from regmine.functions.text import not_equal_null_safe
 
 BIRTH_DT, DIS_DT, REG_DT = S.BIRTH + "_DT", S.DISAPPEARED + "_DT", S.REGISTERED + "_DT"
@@ -17,13 +18,8 @@ def age_years_diff(df: DataFrame, lo: int | None = 0, hi: int | None = 110,
                    out: str = "EDAD", birth: str = BIRTH_DT, event: str = DIS_DT) -> DataFrame:
     """calendar-year difference; null outside [lo, hi] unless both are None."""
     age = (F.year(event) - F.year(birth)).cast("long")
-    if lo is not None or hi is not None:
-        cond = F.lit(True)
-        if lo is not None:
-            cond = cond & (age >= lo)
-        if hi is not None:
-            cond = cond & (age <= hi)
-        age = F.when(cond, age)
+    age = clamp_null(age, F.lit(lo - 1).cast("long") if lo is not None else None,
+                     F.lit(hi + 1).cast("long") if hi is not None else None)
     return df.withColumn(out, age)
 
 
@@ -31,14 +27,18 @@ def delay_days(df: DataFrame, out: str = "DIAS_REGISTRO", keep_negative: bool =
                start: str = DIS_DT, end: str = REG_DT) -> DataFrame:
     """registration delay in floored whole days; negatives nulled by default."""
     d = floor_days_between(F.col(start), F.col(end))
-    return df.withColumn(out, d if keep_negative else F.when(d >= 0, d))
+    return df.withColumn(out, d if keep_negative else clamp_null(d, F.lit(-1).cast("long")))
 
 
 def age_fractional(df: DataFrame, out: str = "EDAD_FRAC", lo: float = 0, hi: float = 120,
                    birth: str = BIRTH_DT, event: str = DIS_DT) -> DataFrame:
     """floored days / 365.25, null outside [lo, hi]."""
-    a = floor_days_between(F.col(birth), F.col(event)) / F.lit(365.25)
-    return df.withColumn(out, F.when((a >= lo) & (a <= hi), a))
+    # lo <= days / 365.25 <= hi  <=>  ceil(lo*365.25) <= days <= floor(hi*365.25)
+    import math
+    d = clamp_null(floor_days_between(F.col(birth), F.col(event)),
+                   F.lit(math.ceil(lo * 365.25) - 1).cast("long"),
+                   F.lit(math.floor(hi * 365.25) + 1).cast("long"))
+    return df.withColumn(out, d / F.lit(365.25))
 
 
 def _median_scalar(df: DataFrame, col: str):
