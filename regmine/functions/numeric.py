@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -43,3 +43,18 @@ def clamp_null(x: Column, below: Column | None = None, above: Column | None = No
             cond = cond & (t < above)
         return cond
     return F.get(F.filter(F.array(x), keep), 0)
+
+
+def scalars(one_row: DataFrame) -> dict:
+    """Run a one-row aggregate now and return its fields as typed literals.
+
+    Used for the handful of summary numbers (totals, moments, fences) that a
+    later row-level expression needs: one small job, a bounded result on the
+    driver, and a compact plan afterwards (a scalar subquery referenced many
+    times would embed the whole upstream plan at every reference)."""
+    row = one_row.first()
+    out = {}
+    for f in one_row.schema.fields:
+        v = row[f.name] if row is not None else None
+        out[f.name] = F.lit(v).cast(f.dataType)
+    return out

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from regmine import schema as S
 from regmine.functions.bands import term_band_expr
-from regmine.functions.numeric import r6, try_ratio
+from regmine.functions.numeric import scalars, r6, try_ratio
 
 ANOMALY = "flag_registro_antes_desaparicion"
 DIS_DT, REG_DT = S.DISAPPEARED + "_DT", S.REGISTERED + "_DT"
@@ -23,7 +23,7 @@ def anomaly_concentration(df: DataFrame, k: int = 5, group: str = S.SOURCE) -> D
     g = df.where(_computable()).groupBy(group).agg(
         F.sum(ANOMALY).alias("a"), F.count(F.lit(1)).alias("c"))
     top = g.orderBy(F.desc("a"), group).limit(k)
-    tot = g.agg(F.struct(F.sum("a").alias("a"), F.sum("c").alias("c")).alias("t")).scalar()
+    tot = scalars(g.agg(F.sum("a").alias("a"), F.sum("c").alias("c")))
     return top.agg(F.sum("a").alias("ta"), F.sum("c").alias("tc")).select(
         F.lit(k).cast("long").alias("k"), F.col("ta").cast("long").alias("anomalies"),
         r6(try_ratio(F.col("ta") * 100, tot["a"])).alias("anomaly_share"),

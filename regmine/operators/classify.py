@@ -14,7 +14,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from regmine.functions.numeric import r6, try_ratio
+from regmine.functions.numeric import scalars, r6, try_ratio
 
 SPLIT = "split"
 
@@ -50,7 +50,7 @@ def class_distribution(df: DataFrame, label: str, split: str | None = None) -> D
         g = g.join(tot, split)
         pct = try_ratio(F.col("count") * 100, F.col("__t"))
     else:
-        pct = try_ratio(F.col("count") * 100, df.agg(F.count(F.lit(1))).scalar())
+        pct = try_ratio(F.col("count") * 100, scalars(df.agg(F.count(F.lit(1)).alias("n")))["n"])
     return g.select(*keys, label, "count", r6(pct).alias("pct"))
 
 
@@ -77,7 +77,7 @@ def stratified_split(df: DataFrame, label: str | None, test_frac: float = 0.2, s
     n_test = F.ceil(F.lit(float(test_frac)) * F.lit(tot))
     exact = n_test * F.col("__n") / F.lit(tot)
     per = per.withColumns({"__base": F.floor(exact), "__frac": exact - F.floor(exact)})
-    rem = n_test - per.agg(F.sum("__base")).scalar()
+    rem = n_test - scalars(per.agg(F.sum("__base").alias("b")))["b"]
     wr = Window.orderBy(F.desc("__frac"), "__cls")  # one row per class
     per = per.withColumn("__t", (F.col("__base") + F.when(F.row_number().over(wr) <= rem, 1)
                                  .otherwise(0)).cast("long")).select("__cls", "__t")
@@ -108,8 +108,8 @@ def random_split(df: DataFrame, test_frac: float = 0.3, seed: int = 42,
 def balanced_weights(df: DataFrame, label: str, out: str = "weight") -> DataFrame:
     """Weight N / (K * n_c) per row (one small class table joined back)."""
     per = df.groupBy(label).agg(F.count(F.lit(1)).alias("__nc"))
-    t = per.agg(F.struct(F.sum("__nc").cast("double").alias("N"),
-                         F.count(F.lit(1)).cast("double").alias("K")).alias("t")).scalar()
+    t = scalars(per.agg(F.sum("__nc").cast("double").alias("N"),
+                        F.count(F.lit(1)).cast("double").alias("K")))
     per = per.select(label, (t["N"] / (t["K"] * F.col("__nc"))).alias(out))
     return df.join(per, label)
 
@@ -117,8 +117,8 @@ def balanced_weights(df: DataFrame, label: str, out: str = "weight") -> DataFram
 def class_weights(df: DataFrame, label: str) -> DataFrame:
     """J5 as a table: (class, count, weight)."""
     per = df.groupBy(label).agg(F.count(F.lit(1)).alias("count"))
-    t = per.agg(F.struct(F.sum("count").cast("double").alias("N"),
-                         F.count(F.lit(1)).cast("double").alias("K")).alias("t")).scalar()
+    t = scalars(per.agg(F.sum("count").cast("double").alias("N"),
+                        F.count(F.lit(1)).cast("double").alias("K")))
     return per.select(label, "count", r6(t["N"] / (t["K"] * F.col("count"))).alias("weight"))
 
 
@@ -240,7 +240,7 @@ def group_majority_predict(train: DataFrame, test: DataFrame, group: str, label:
     g = train.groupBy(group, label).agg(F.count(F.lit(1)).alias("c"))
     best = g.groupBy(group).agg(F.min(F.struct((-F.col("c")).alias("n"), F.col(label).alias("v")))
                                 .alias("b")).select(group, F.col("b.v").alias("__p"))
-    overall = (train.groupBy(label).agg(F.count(F.lit(1)).alias("c"))
+    overall = scalars(train.groupBy(label).agg(F.count(F.lit(1)).alias("c"))
                .agg(F.min(F.struct((-F.col("c")).alias("n"), F.col(label).alias("v"))).alias("b"))
-               .select(F.col("b.v")).scalar())
+               .select(F.col("b.v").alias("v")))["v"]
     return test.join(best, group, "left").withColumn(predicted, F.coalesce("__p", overall)).drop("__p")

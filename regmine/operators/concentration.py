@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from regmine.functions.numeric import r6, try_ratio
+from regmine.functions.numeric import scalars, r6, try_ratio
 
 
 def value_counts_table(df: DataFrame, col: str) -> DataFrame:
@@ -39,7 +39,7 @@ def _sums(vct: DataFrame) -> DataFrame:
 
 
 def _with_n(vct: DataFrame) -> DataFrame:
-    return vct.withColumn("__n", vct.agg(F.sum("c").cast("double")).scalar())
+    return vct.withColumn("__n", scalars(vct.agg(F.sum("c").cast("double").alias("n")))["n"])
 
 
 def concentration_index(df: DataFrame, col: str) -> DataFrame:
@@ -64,8 +64,8 @@ def lorenz_curve(df: DataFrame, col: str) -> DataFrame:
     """Lorenz points (F, Q) at the end of each distinct value, plus the
     origin; the polyline through them equals the per-record polyline."""
     vct = value_counts_table(df, col)
-    tot = vct.agg(F.struct(F.sum("c").cast("double").alias("N"),
-                           F.sum(F.col("v") * F.col("c")).alias("S")).alias("t")).scalar()
+    tot = scalars(vct.agg(F.sum("c").cast("double").alias("N"),
+                          F.sum(F.col("v") * F.col("c")).alias("S")))
     pts = vct.select(r6(try_ratio(F.col("a") + F.col("c"), tot["N"])).alias("f"),
                      r6(try_ratio(F.col("cum_sum"), tot["S"])).alias("q"))
     origin = vct.sparkSession.range(1).select(F.lit(0.0).alias("f"), F.lit(0.0).alias("q"))

@@ -13,7 +13,7 @@ from itertools import combinations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from regmine.functions.numeric import r6
+from regmine.functions.numeric import scalars, r6
 
 
 MAX_DUMMIES = 1000
@@ -77,8 +77,8 @@ def flag_category_correlation(df: DataFrame, flag: str, col: str) -> DataFrame:
     """H3: Pearson (phi) between a 0/1 flag and each category indicator,
     r = (N*n11 - n_o*n_c) / sqrt(n_o(N-n_o) * n_c(N-n_c)); descending.
     A null category is an all-zero indicator row, as with dummy columns."""
-    tot = df.agg(F.struct(F.count(F.lit(1)).cast("double").alias("N"),
-                          F.sum(F.col(flag)).cast("double").alias("nc")).alias("t")).scalar()
+    tot = scalars(df.agg(F.count(F.lit(1)).cast("double").alias("N"),
+                         F.sum(F.col(flag)).cast("double").alias("nc")))
     g = (df.where(F.col(col).isNotNull()).groupBy(F.col(col).alias("category"))
          .agg(F.count(F.lit(1)).cast("double").alias("no"),
               F.sum(F.col(flag)).cast("double").alias("n11")))
@@ -94,8 +94,8 @@ def numeric_category_correlation(df: DataFrame, num: str, col: str) -> DataFrame
     indicator, over rows where the number is present."""
     x = F.col(num).cast("double")
     base = df.where(x.isNotNull())
-    tot = base.agg(F.struct(F.count(F.lit(1)).cast("double").alias("N"),
-                            F.sum(x).alias("S"), F.sum(x * x).alias("Q")).alias("t")).scalar()
+    tot = scalars(base.agg(F.count(F.lit(1)).cast("double").alias("N"),
+                           F.sum(x).alias("S"), F.sum(x * x).alias("Q")))
     g = (base.where(F.col(col).isNotNull()).groupBy(F.col(col).alias("category"))
          .agg(F.count(F.lit(1)).cast("double").alias("no"), F.sum(x).alias("So")))
     N, S, Q = tot["N"], tot["S"], tot["Q"]

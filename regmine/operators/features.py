@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from regmine import schema as S
 from regmine.functions.bands import age_band_expr, month_item_expr, term_band_expr, year_item_expr
 from regmine.functions.dates import floor_days_between
-from regmine.functions.numeric import clamp_null
+from regmine.functions.numeric import scalars, clamp_null
 from regmine.functions.text import not_equal_null_safe
 
 BIRTH_DT, DIS_DT, REG_DT = S.BIRTH + "_DT", S.DISAPPEARED + "_DT", S.REGISTERED + "_DT"
@@ -43,7 +43,7 @@ def age_fractional(df: DataFrame, out: str = "EDAD_FRAC", lo: float = 0, hi: flo
 
 def _median_scalar(df: DataFrame, col: str):
     """Exact median of a column as a scalar subquery (one bounded row)."""
-    return df.agg(F.median(col)).scalar()
+    return scalars(df.agg(F.median(col).alias("m")))["m"]
 
 
 def age_floor_imputed(df: DataFrame, out: str = "EDAD", birth: str = BIRTH_DT,

@@ -1,6 +1,6 @@
 """Descriptive statistics.
 
-Totals reach row-level expressions as scalar subqueries of one-row aggregates
+Totals reach row-level expressions as literals from one-row aggregates
 (never an unpartitioned window); ordered statistics use exact ``percentile``
 (value->count map per task, fine for the integer measures here) with a
 ``percentile_approx`` switch for high-cardinality reals.
@@ -13,7 +13,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from regmine.functions.numeric import r6, try_ratio
+from regmine.functions.numeric import scalars, r6, try_ratio
 
 
 def _q(col: str, p, approx: bool = False, accuracy: int = 10000) -> Column:
@@ -35,7 +35,7 @@ def mode_table(df: DataFrame, cols: list[str], denom: int | None = None) -> Data
               .groupBy("variable", "value").agg(F.count(F.lit(1)).alias("n")))
     best = counts.groupBy("variable").agg(
         F.min(F.struct((-F.col("n")).alias("neg"), F.col("value").alias("value"))).alias("b"))
-    total = F.lit(denom) if denom is not None else df.agg(F.count(F.lit(1))).scalar()
+    total = F.lit(denom) if denom is not None else scalars(df.agg(F.count(F.lit(1)).alias("n")))["n"]
     return best.select("variable", F.col("b.value").alias("mode"),
                        (-F.col("b.neg")).cast("long").alias("count"),
                        r6(try_ratio(-F.col("b.neg") * 100, total)).alias("pct"))
@@ -100,7 +100,7 @@ def box_stats(df: DataFrame, col: str, by: str | None = None, approx: bool = Fal
     if by:
         j = base.join(p, by)
     else:
-        prow = p.select(F.struct("q1", "median", "q3", "mean", "lo_fence", "hi_fence").alias("p")).scalar()
+        prow = scalars(p.select("q1", "median", "q3", "mean", "lo_fence", "hi_fence"))
         j = base.withColumns({"lo_fence": prow["lo_fence"], "hi_fence": prow["hi_fence"]})
     inside = (x >= F.col("lo_fence")) & (x <= F.col("hi_fence"))
     w = j.groupBy(*keys).agg(F.min(F.when(inside, x)).alias("whisker_low"),
@@ -128,8 +128,7 @@ def histogram(df: DataFrame, col: str, bins: int = 60, density: bool = False,
     base = df.where(x.isNotNull())
     if cap is not None:
         base = base.where(x <= cap)
-    rng = base.agg(F.struct(F.min(x).alias("mn"), F.max(x).alias("mx"),
-                            F.count(F.lit(1)).alias("n")).alias("r")).scalar()
+    rng = scalars(base.agg(F.min(x).alias("mn"), F.max(x).alias("mx"), F.count(F.lit(1)).alias("n")))
     width = (rng["mx"] - rng["mn"]) / F.lit(float(bins))
     idx = F.when(width == 0, F.lit(0)).otherwise(
         F.least(F.floor((x - rng["mn"]) / width), F.lit(bins - 1))).cast("long")
@@ -148,9 +147,8 @@ def kde(df: DataFrame, col: str, grid: int = 200, cut: float = 3.0) -> DataFrame
     distinct value over the grid with a generator, then sums per grid point."""
     x = F.col(col).cast("double")
     vc = df.where(x.isNotNull()).groupBy(x.alias("v")).agg(F.count(F.lit(1)).alias("c"))
-    st = df.where(x.isNotNull()).agg(F.struct(
-        F.count(F.lit(1)).alias("n"), F.stddev_samp(x).alias("sd"),
-        F.min(x).alias("mn"), F.max(x).alias("mx")).alias("s")).scalar()
+    st = scalars(df.agg(F.count(x).alias("n"), F.stddev_samp(x).alias("sd"),
+                        F.min(x).alias("mn"), F.max(x).alias("mx")))
     bw = st["sd"] * F.pow(st["n"].cast("double"), F.lit(-0.2))
     lo = st["mn"] - F.lit(cut) * bw
     step = (st["mx"] - st["mn"] + F.lit(2 * cut) * bw) / F.lit(float(grid - 1))
@@ -168,8 +166,7 @@ def kde(df: DataFrame, col: str, grid: int = 200, cut: float = 3.0) -> DataFrame
 def sigma_band(df: DataFrame, col: str) -> DataFrame:
     """Mean +- one sample std and the share of values inside the band."""
     x = F.col(col)
-    st = df.where(x.isNotNull()).agg(F.struct(F.avg(x).alias("m"),
-                                              F.stddev_samp(x).alias("s")).alias("t")).scalar()
+    st = scalars(df.agg(F.avg(x).alias("m"), F.stddev_samp(x).alias("s")))
     lo, hi = st["m"] - st["s"], st["m"] + st["s"]
     return df.where(x.isNotNull()).agg(
         F.count(F.lit(1)).alias("n"), F.count_if((x >= lo) & (x <= hi)).alias("inside")).select(
@@ -185,7 +182,7 @@ def category_share(df: DataFrame, col: str, exclude: list[str] | None = None) ->
     if exclude:
         base = base.where(~c.isin(*exclude))
     vc = base.groupBy(c.alias("value")).agg(F.count(F.lit(1)).alias("count"))
-    total = vc.agg(F.sum("count")).scalar()
+    total = scalars(vc.agg(F.sum("count").alias("t")))["t"]
     return vc.select("value", "count", r6(try_ratio(F.col("count") * 100, total)).alias("pct"))
 
 
@@ -234,7 +231,7 @@ def pielou_evenness(df: DataFrame, col: str, exclude=None) -> DataFrame:
 def proportion_vs_uniform(df: DataFrame, col: str, exclude: list[str] | None = None) -> DataFrame:
     """Category proportion against the uniform share 1/k, over/under label."""
     vc = _proportions(df, col, exclude)
-    t = vc.agg(F.struct(F.sum("c").alias("n"), F.count(F.lit(1)).alias("k")).alias("t")).scalar()
+    t = scalars(vc.agg(F.sum("c").alias("n"), F.count(F.lit(1)).alias("k")))
     p = F.col("c") / t["n"]
     u = F.lit(1.0) / t["k"]
     return vc.select("value", F.col("c").alias("count"), r6(p).alias("proportion"),
@@ -249,7 +246,7 @@ def withheld_share_by(df: DataFrame, group: str, flag: str = "confidencial_total
     (ties by group), with the national mean percent alongside."""
     g = df.groupBy(group).agg(F.sum(flag).cast("long").alias("withheld"),
                               F.count(F.lit(1)).alias("n"))
-    nat = df.agg(F.avg(flag) * 100).scalar()
+    nat = scalars(df.agg((F.avg(flag) * 100).alias("p")))["p"]
     pct = F.round(F.col("withheld") * 100.0 / F.col("n"), 1)
     return (g.select(group, "withheld", "n", r6(pct).alias("pct"), r6(nat).alias("national_pct"))
             .orderBy(F.desc("pct"), F.asc(group)).limit(k))
