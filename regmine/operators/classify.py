@@ -244,3 +244,34 @@ def group_majority_predict(train: DataFrame, test: DataFrame, group: str, label:
                .agg(F.min(F.struct((-F.col("c")).alias("n"), F.col(label).alias("v"))).alias("b"))
                .select(F.col("b.v").alias("v")))["v"]
     return test.join(best, group, "left").withColumn(predicted, F.coalesce("__p", overall)).drop("__p")
+
+
+def train_forest_onehot(train: DataFrame, categorical: list[str], numeric: list[str], label: str,
+                        num_trees: int = 100, max_depth: int = 12, seed: int = 42,
+                        weight_col: str | None = "weight"):
+    """J6 (model 3): sparse one-hot categories (never a dense dummy table) plus
+    numeric columns; returns (PipelineModel, feature names)."""
+    from pyspark.ml import Pipeline
+    from pyspark.ml.classification import RandomForestClassifier
+    from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
+    idx = StringIndexer(inputCols=categorical, outputCols=[c + "__i" for c in categorical],
+                        stringOrderType="alphabetAsc", handleInvalid="keep")
+    ohe = OneHotEncoder(inputCols=[c + "__i" for c in categorical],
+                        outputCols=[c + "__v" for c in categorical], dropLast=False, handleInvalid="keep")
+    lab = StringIndexer(inputCol=label, outputCol="label", stringOrderType="alphabetAsc")
+    vec = VectorAssembler(inputCols=[c + "__v" for c in categorical] + numeric, outputCol="features",
+                          handleInvalid="keep")
+    rf = RandomForestClassifier(featuresCol="features", labelCol="label", numTrees=num_trees,
+                                maxDepth=max_depth, seed=seed, featureSubsetStrategy="sqrt")
+    if weight_col:
+        rf = rf.setWeightCol(weight_col)
+    model = Pipeline(stages=[lab, idx, ohe, vec, rf]).fit(train)
+    # slot names from the assembled vector's attribute metadata (bounded by
+    # the number of features; read from a one-row transform)
+    meta = model.transform(train.limit(1)).schema["features"].metadata["ml_attr"]
+    slots = {}
+    for group in meta["attrs"].values():
+        for a in group:
+            slots[a["idx"]] = a.get("name", str(a["idx"]))
+    names = [slots.get(i, str(i)).replace("__v_", "_") for i in range(meta["num_attrs"])]
+    return model, names

@@ -1334,3 +1334,36 @@ def reset_memo() -> None:
     """Forget memoised mining results and models (benchmarks time them anew)."""
     _MEMO.clear()
     _FOREST.clear()
+
+
+_M3_CATS = [S.SOURCE, S.SEX, S.STATE]
+
+
+def forest_model3(spark, sf):
+    """J6 model 3: clean general product (withheld rows kept, so the target
+    has three classes and the withheld sentinel leaks through SEXO), one-hot
+    institution / sex / state plus imputed age and delay, 70/30 random split."""
+    key = (id(spark), sf, "model3")
+    if key not in _FOREST:
+        g = FE.delay_imputed(FE.age_floor_imputed(general(spark, sf)))
+        g = g.select(S.ID, _LABEL, *_M3_CATS, "EDAD", "RETRASO_REGISTRO")
+        sp = J.random_split(g, 0.3, 42, S.ID)
+        train = J.balanced_weights(sp.where(F.col(J.SPLIT) == "train"), _LABEL)
+        model, names = J.train_forest_onehot(train, _M3_CATS, ["EDAD", "RETRASO_REGISTRO"], _LABEL)
+        _FOREST[key] = (model, sp.where(F.col(J.SPLIT) == "test"), names)
+    return _FOREST[key]
+
+
+@register("j6_forest_model3_importance")
+def j6m3(spark, sf):
+    model, _, names = forest_model3(spark, sf)
+    return J.feature_importance(model, names, 10)
+
+
+@register("j8_forest_model3_report")
+def j8m3(spark, sf):
+    model, test, _ = forest_model3(spark, sf)
+    from pyspark.ml.feature import IndexToString
+    pred = IndexToString(inputCol="prediction", outputCol="predicted",
+                         labels=model.stages[0].labels).transform(model.transform(test))
+    return J.classification_report(pred, _LABEL)
