@@ -58,3 +58,18 @@ def scalars(one_row: DataFrame) -> dict:
         v = row[f.name] if row is not None else None
         out[f.name] = F.lit(v).cast(f.dataType)
     return out
+
+
+# Largest lookup table (rows) shipped to every executor.
+BROADCAST_MAX_ROWS = 1_000_000
+
+
+def broadcast_checked(small: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+    """Broadcast a lookup table only after counting it (bounded by design:
+    distinct values, groups, classes x buckets).  Above the limit the plain
+    table is returned and the join shuffles, with AQE splitting skewed keys.
+    Broadcasting also keeps a key that holds a large share of the big side
+    (a hot value or group) out of a single shuffle partition."""
+    from pyspark.sql import functions as F
+    n = small.limit(max_rows + 1).count()
+    return F.broadcast(small) if n <= max_rows else small

@@ -14,7 +14,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from regmine.functions.numeric import scalars, r6, try_ratio
+from regmine.functions.numeric import broadcast_checked, scalars, r6, try_ratio
 
 SPLIT = "split"
 
@@ -90,7 +90,7 @@ def stratified_split(df: DataFrame, label: str | None, test_frac: float = 0.2, s
                    .otherwise(F.lit("edge")).alias("__side"),
                    (F.col("__t") - (F.col("__cum") - F.col("__bn"))).alias("__take"))
     # Pass 2: assign rows; only the boundary bucket of each class is ranked.
-    j = rows.join(bk, ["__cls", "__b"])
+    j = rows.join(broadcast_checked(bk), ["__cls", "__b"])
     whole = j.where(F.col("__side") != "edge").withColumn(SPLIT, F.col("__side"))
     edge = j.where(F.col("__side") == "edge")
     we = Window.partitionBy("__cls", "__b").orderBy("__h", F.col(id_col).cast("string"))
@@ -111,7 +111,7 @@ def balanced_weights(df: DataFrame, label: str, out: str = "weight") -> DataFram
     t = scalars(per.agg(F.sum("__nc").cast("double").alias("N"),
                         F.count(F.lit(1)).cast("double").alias("K")))
     per = per.select(label, (t["N"] / (t["K"] * F.col("__nc"))).alias(out))
-    return df.join(per, label)
+    return df.join(broadcast_checked(per), label)
 
 
 def class_weights(df: DataFrame, label: str) -> DataFrame:
@@ -243,7 +243,8 @@ def group_majority_predict(train: DataFrame, test: DataFrame, group: str, label:
     overall = scalars(train.groupBy(label).agg(F.count(F.lit(1)).alias("c"))
                .agg(F.min(F.struct((-F.col("c")).alias("n"), F.col(label).alias("v"))).alias("b"))
                .select(F.col("b.v").alias("v")))["v"]
-    return test.join(best, group, "left").withColumn(predicted, F.coalesce("__p", overall)).drop("__p")
+    return (test.join(broadcast_checked(best), group, "left")
+            .withColumn(predicted, F.coalesce("__p", overall)).drop("__p"))
 
 
 def train_forest_onehot(train: DataFrame, categorical: list[str], numeric: list[str], label: str,

@@ -13,7 +13,7 @@ from itertools import combinations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from regmine.functions.numeric import scalars, r6
+from regmine.functions.numeric import broadcast_checked, scalars, r6
 
 
 MAX_DUMMIES = 1000
@@ -110,8 +110,8 @@ def _avg_rank(df: DataFrame, col: str, out: str) -> DataFrame:
     join back on the value (the table is bounded by distinct values)."""
     vc = df.groupBy(F.col(col).alias("__v")).agg(F.count(F.lit(1)).alias("__c"))
     w = Window.orderBy("__v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    ranks = vc.select("__v", (F.sum("__c").over(w) - F.col("__c") + (F.col("__c") + 1) / 2.0)
-                      .alias(out))
+    ranks = broadcast_checked(vc.select(
+        "__v", (F.sum("__c").over(w) - F.col("__c") + (F.col("__c") + 1) / 2.0).alias(out)))
     return df.join(ranks, df[col] == ranks["__v"]).drop("__v")
 
 

@@ -80,15 +80,16 @@ def encode_transactions(tx: DataFrame, min_df: float = 1.0):
 
 
 def item_totals(encoded: DataFrame, vocabulary: list[str]) -> DataFrame:
-    """Column sums of the sparse encoding (one distributed vector sum, bounded
-    by the vocabulary), as (item, count)."""
+    """Column sums of the sparse encoding (one distributed vector sum), as
+    (item, count).  The vocabulary is the fitted model's (already on the
+    driver by design of CountVectorizer) and joins as a small table."""
     from pyspark.ml.functions import vector_to_array
     from pyspark.ml.stat import Summarizer
+    spark = encoded.sparkSession
     s = encoded.select(Summarizer.sum(encoded.features).alias("s"))
-    arr = s.select(vector_to_array("s").alias("a"))
-    vocab = F.array(*[F.lit(v) for v in vocabulary])
-    return arr.select(F.inline(F.arrays_zip(vocab.alias("item"), F.col("a").alias("cnt")))).select(
-        "item", F.col("cnt").cast("long").alias("count"))
+    sums = s.select(F.posexplode(vector_to_array("s")).alias("pos", "cnt"))
+    vocab = spark.createDataFrame(list(enumerate(vocabulary)), "pos int, item string")
+    return sums.join(vocab, "pos").select("item", F.col("cnt").cast("long").alias("count"))
 
 
 def min_count_for(min_support: float, n: int) -> int:

@@ -13,7 +13,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from regmine.functions.numeric import scalars, r6, try_ratio
+from regmine.functions.numeric import broadcast_checked, scalars, r6, try_ratio
 
 
 def _q(col: str, p, approx: bool = False, accuracy: int = 10000) -> Column:
@@ -98,7 +98,7 @@ def box_stats(df: DataFrame, col: str, by: str | None = None, approx: bool = Fal
     p = p.withColumns({"lo_fence": F.col("q1") - 1.5 * (F.col("q3") - F.col("q1")),
                        "hi_fence": F.col("q3") + 1.5 * (F.col("q3") - F.col("q1"))})
     if by:
-        j = base.join(p, by)
+        j = base.join(broadcast_checked(p), by)
     else:
         prow = scalars(p.select("q1", "median", "q3", "mean", "lo_fence", "hi_fence"))
         j = base.withColumns({"lo_fence": prow["lo_fence"], "hi_fence": prow["hi_fence"]})
