@@ -69,7 +69,7 @@ _MEMO: dict = {}
 def mined(spark, sf, algo: str = "apriori", literal: bool = True):
     """Frequent itemsets of the mining transactions (memoised per session;
     the levels are checkpointed to the shared folder)."""
-    key = (id(spark), sf, algo, literal)
+    key = (spark.sparkContext.applicationId, sf, algo, literal)
     if key not in _MEMO:
         tx = transactions(spark, sf)
         if algo == "fpgrowth":
@@ -1200,7 +1200,7 @@ def forest(spark, sf, features=None, name="model1"):
     """Forest on label-encoded item features with balanced weights
     (memoised per session; model metadata is bounded by the feature count)."""
     feats = features or _FEATS
-    key = (id(spark), sf, name)
+    key = (spark.sparkContext.applicationId, sf, name)
     if key not in _FOREST:
         enc, _ = J.label_encode(split_table(spark, sf), feats)
         train = J.balanced_weights(enc.where(F.col(J.SPLIT) == "train"), _LABEL)
@@ -1343,7 +1343,7 @@ def forest_model3(spark, sf):
     """J6 model 3: clean general product (withheld rows kept, so the target
     has three classes and the withheld sentinel leaks through SEXO), one-hot
     institution / sex / state plus imputed age and delay, 70/30 random split."""
-    key = (id(spark), sf, "model3")
+    key = (spark.sparkContext.applicationId, sf, "model3")
     if key not in _FOREST:
         g = FE.delay_imputed(FE.age_floor_imputed(general(spark, sf)))
         g = g.select(S.ID, _LABEL, *_M3_CATS, "EDAD", "RETRASO_REGISTRO")

@@ -69,3 +69,11 @@ def checkpoint_dir(spark: SparkSession) -> str:
         configured = tempfile.mkdtemp(prefix="regmine-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
+
+
+def ensure_utc(spark: SparkSession) -> None:
+    """Day arithmetic on parsed timestamps is defined on wall-clock time; with
+    a DST zone as session time zone a difference could gain or lose an hour.
+    The operators therefore require (and set) a UTC session time zone."""
+    if spark.conf.get("spark.sql.session.timeZone", None) != "UTC":
+        spark.conf.set("spark.sql.session.timeZone", "UTC")

@@ -22,6 +22,8 @@ def text_schema(columns: list[str]) -> T.StructType:
 def read_registry_text(spark: SparkSession, path: str, columns: list[str] | None = None,
                        multi_line: bool = False) -> DataFrame:
     """A2: every column text, only the empty field is null (no inference pass)."""
+    from regmine.session import ensure_utc
+    ensure_utc(spark)
     cols = columns or S.RAW_COLUMNS
     return (spark.read.schema(text_schema(cols)).option("header", True)
             .option("multiLine", multi_line).option("mode", "PERMISSIVE").csv(path))

@@ -27,6 +27,8 @@ def _fmt_ts(ts: Column) -> Column:
 
 def registry_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Registry rows (one per order), every column text, sentinels in place."""
+    from regmine.session import ensure_utc
+    ensure_utc(spark)
     orders = load_table(spark, sf_dir, "orders").select(
         "o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate")
     customer = load_table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
