@@ -13,7 +13,7 @@ from itertools import combinations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from regmine.functions.numeric import broadcast_checked, scalars, r6
+from regmine.functions.numeric import scalars, r6
 
 
 MAX_DUMMIES = 1000
@@ -105,29 +105,41 @@ def numeric_category_correlation(df: DataFrame, num: str, col: str) -> DataFrame
         F.desc_nulls_last("r"), "category")
 
 
-def _avg_rank(df: DataFrame, col: str, out: str) -> DataFrame:
-    """Average rank (ties share the mean rank) via the value->count table and a
-    join back on the value (the table is bounded by distinct values)."""
-    vc = df.groupBy(F.col(col).alias("__v")).agg(F.count(F.lit(1)).alias("__c"))
-    w = Window.orderBy("__v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    ranks = broadcast_checked(vc.select(
-        "__v", (F.sum("__c").over(w) - F.col("__c") + (F.col("__c") + 1) / 2.0).alias(out)))
-    return df.join(ranks, df[col] == ranks["__v"]).drop("__v")
-
-
 def spearman_matrix(df: DataFrame, cols: list[str]) -> DataFrame:
-    """K1: Spearman = Pearson of average ranks, ranked within each pair's
-    complete rows (pairwise deletion)."""
-    out = None
+    """K1: Spearman = Pearson of average ranks (ties share the mean rank),
+    ranked within each pair's complete rows (pairwise deletion).
+
+    One pass over the data: every row emits one (pair, a, b) triple per pair,
+    counted with a partially aggregated groupBy into the joint value table
+    (bounded by distinct_a x distinct_b per pair).  Ranks come from running
+    sums over each pair's marginal value counts, and the correlation is a
+    count-weighted sum over the joint table; average ranks have mean (n+1)/2
+    exactly, so the centred sums need no second pass."""
+    from regmine.operators.itemsets import _checkpoint
     pairs = [(a, a) for a in cols] + list(combinations(cols, 2))
-    for a, b in pairs:
-        sub = df.select(F.col(a).alias("__a"), F.col(b).alias("__b")).where(
-            F.col("__a").isNotNull() & F.col("__b").isNotNull())
-        ra = _avg_rank(sub, "__a", "__ra")
-        rb = _avg_rank(ra, "__b", "__rb")
-        one = rb.agg(*[e.alias(f"s{j}") for j, e in enumerate(_pearson(F.col("__ra"), F.col("__rb")))])
-        part = one.select(F.lit(a).alias("var_a"), F.lit(b).alias("var_b"),
-                          F.col("s0").cast("long").alias("n"),
-                          r6(_r_from(F.col("s1"), F.col("s2"), F.col("s3"))).alias("r"))
-        out = part if out is None else out.unionByName(part)
+    trip = F.array(*[F.struct(F.lit(i).alias("p"), F.col(a).cast("double").alias("va"),
+                              F.col(b).cast("double").alias("vb")) for i, (a, b) in enumerate(pairs)])
+    stacked = df.select(F.inline_outer(trip))
+    joint = _checkpoint(stacked.where(F.col("va").isNotNull() & F.col("vb").isNotNull())
+                        .groupBy("p", "va", "vb").agg(F.count(F.lit(1)).alias("c")))
+
+    def ranks(side: str, out: str) -> DataFrame:
+        m = joint.groupBy("p", side).agg(F.sum("c").alias("__m"))
+        w = Window.partitionBy("p").orderBy(side).rowsBetween(Window.unboundedPreceding, 0)
+        return m.select("p", side, (F.sum("__m").over(w) - F.col("__m") + (F.col("__m") + 1) / 2.0)
+                        .alias(out))
+
+    n = joint.groupBy("p").agg(F.sum("c").alias("n"))
+    j = joint.join(ranks("va", "ra"), ["p", "va"]).join(ranks("vb", "rb"), ["p", "vb"]).join(n, "p")
+    mid = (F.col("n") + 1) / 2.0
+    da, db = F.col("ra") - mid, F.col("rb") - mid
+    agg = j.groupBy("p").agg(F.first("n").alias("n"), F.sum(F.col("c") * da * db).alias("sab"),
+                             F.sum(F.col("c") * da * da).alias("saa"),
+                             F.sum(F.col("c") * db * db).alias("sbb"))
+    names = F.array(*[F.struct(F.lit(i).alias("p"), F.lit(a).alias("var_a"), F.lit(b).alias("var_b"))
+                      for i, (a, b) in enumerate(pairs)])
+    label = df.sparkSession.range(1).select(F.inline(names))
+    r = F.when(F.col("n") >= 2, F.try_divide(F.col("sab"), F.sqrt(F.col("saa") * F.col("sbb"))))
+    out = label.join(agg, "p", "left").select(
+        "var_a", "var_b", F.coalesce(F.col("n"), F.lit(0)).cast("long").alias("n"), r6(r).alias("r"))
     return out

@@ -773,7 +773,7 @@ def corr_input(spark, sf):
     return H.dummies(measures(spark, sf), S.SEX, "SEXO", _SEXV)
 
 
-_CORR_COLS = ["EDAD", "DIAS_REGISTRO", "SEXO_HOMBRE", "SEXO_MUJER"]
+_CORR_COLS = ["EDAD", "DIAS_REGISTRO"] + [f"SEXO_{v}" for v in _SEXV]
 _CI = O.with_ctes(O.REGISTRY, O.CLEAN, "ci AS (SELECT *, " + ", ".join(
     f"coalesce(CAST(SEXO = '{v}' AS INTEGER), 0) AS SEXO_{v}" for v in _SEXV) + " FROM measures)")
 
