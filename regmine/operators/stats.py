@@ -28,7 +28,7 @@ def mode_table(df: DataFrame, cols: list[str], denom: int | None = None) -> Data
 
     One stacked ``groupBy(variable, value)`` with map-side combine, then a tiny
     per-variable ``min(struct(-count, value))``."""
-    stacked = df.select(F.inline(F.array(*[
+    stacked = df.select(F.inline_outer(F.array(*[
         F.struct(F.lit(c).alias("variable"), F.col(c).cast("string").alias("value"))
         for c in cols])))
     counts = (stacked.where(F.col("value").isNotNull())
