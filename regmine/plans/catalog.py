@@ -66,12 +66,18 @@ def transactions(spark, sf):
 _MEMO: dict = {}
 
 
-def mined(spark, sf, algo: str = "apriori", literal: bool = True):
+def transactions_years(spark, sf):
+    """Earlier item set: status and calendar years instead of terms."""
+    return I.to_transactions(FE.mining_table(raw(spark, sf), years=True), S.ITEM_COLUMNS_YEARS,
+                             id_col=S.ID)
+
+
+def mined(spark, sf, algo: str = "apriori", literal: bool = True, years: bool = False):
     """Frequent itemsets of the mining transactions (memoised per session;
     the levels are checkpointed to the shared folder)."""
-    key = (spark.sparkContext.applicationId, sf, algo, literal)
+    key = (spark.sparkContext.applicationId, sf, algo, literal, years)
     if key not in _MEMO:
-        tx = transactions(spark, sf)
+        tx = transactions_years(spark, sf) if years else transactions(spark, sf)
         if algo == "fpgrowth":
             _MEMO[key] = I.fp_growth(tx, 0.02, 3)
         else:
@@ -85,8 +91,8 @@ def mined(spark, sf, algo: str = "apriori", literal: bool = True):
     return _MEMO[key]
 
 
-def rules(spark, sf):
-    m = mined(spark, sf)
+def rules(spark, sf, years: bool = False):
+    m = mined(spark, sf, years=years)
     return R.generate_rules(m.itemsets, m.n_transactions, 0.70)
 
 
@@ -914,8 +920,9 @@ def k9(spark, sf):
 
 # ---- I: association mining -------------------------------------------------------
 
-_ITEMSETS = f"""
-{O.tx_items(O.ITEM_COLS)},
+def _itemsets_sql(cols):
+    return f"""
+{O.tx_items(cols)},
 ntx AS (SELECT count(*) AS n FROM mining),
 thr AS (SELECT CAST(ceil(0.02 * CAST(n AS DOUBLE)) AS BIGINT) AS m, CAST(n AS DOUBLE) AS n FROM ntx),
 f1 AS (SELECT item AS i1, count(*) AS freq FROM tx_items GROUP BY item HAVING count(*) >= (SELECT m FROM thr)),
@@ -951,7 +958,9 @@ rules AS (
   SELECT ante AS antecedents, cons AS consequents, nc, freq / n AS support, freq / fa AS confidence,
          (freq / fa) / (fc / n) AS lift FROM rr, thr WHERE freq / fa >= 0.70)"""
 
-P_ITEMS = O.with_ctes(O.REGISTRY, O.MINING, _ITEMSETS)
+
+P_ITEMS = O.with_ctes(O.REGISTRY, O.MINING, _itemsets_sql(O.ITEM_COLS))
+P_ITEMS_YEARS = O.with_ctes(O.REGISTRY, O.MINING, _itemsets_sql(O.ITEM_COLS_YEARS))
 _RULE_COLS = ("antecedents, consequents, round(support, 6) AS support, round(confidence, 6) AS confidence, "
               "round(lift, 6) AS lift")
 _TRIVIAL = "(consequents LIKE '%ENTIDAD%' OR antecedents LIKE '%SE DESCONOCE%' OR consequents LIKE '%SE DESCONOCE%')"
@@ -1367,3 +1376,36 @@ def j8m3(spark, sf):
     pred = IndexToString(inputCol="prediction", outputCol="predicted",
                          labels=model.stages[0].labels).transform(model.transform(test))
     return J.classification_report(pred, _LABEL)
+
+
+
+# ---- earlier item set (status and years): same algorithms, own checks ----------
+
+@register("i7_apriori_years", P_ITEMS_YEARS + "SELECT k, itemset, freq, round(freq / (SELECT n FROM thr), 6) AS support "
+          "FROM itemsets")
+def i7y(spark, sf):
+    return _itemset_out(mined(spark, sf, years=True).itemsets)
+
+
+@register("i13_generate_rules_years", P_ITEMS_YEARS + f"SELECT {_RULE_COLS} FROM rules")
+def i13y(spark, sf):
+    return R.rule_text(rules(spark, sf, years=True))
+
+
+@register("i15_consequent_on_status", P_ITEMS_YEARS + f"""SELECT {_RULE_COLS} FROM rules
+WHERE nc = 1 AND consequents LIKE 'ESTATUS_VICTIMA%'""")
+def i15s(spark, sf):
+    return R.rule_text(R.consequent_on(R.single_consequent(rules(spark, sf, years=True)), "ESTATUS_VICTIMA"))
+
+
+@register("i15_consequent_on_state_years", P_ITEMS_YEARS + f"""SELECT {_RULE_COLS} FROM rules
+WHERE nc = 1 AND consequents LIKE 'ENTIDAD%'""")
+def i15e(spark, sf):
+    return R.rule_text(R.consequent_on(R.single_consequent(rules(spark, sf, years=True)), "ENTIDAD"))
+
+
+@register("i18_interpret_lift_years", P_ITEMS_YEARS + f"""SELECT {_RULE_COLS}, CASE WHEN lift > 1 THEN 'Asociación positiva'
+  WHEN lift = 1 THEN 'Independencia' ELSE 'Asociación negativa' END AS interpretacion_lift FROM rules WHERE nc = 1""")
+def i18y(spark, sf):
+    r = R.interpret_lift(R.single_consequent(rules(spark, sf, years=True)))
+    return R.rule_text(r, extra=["interpretacion_lift"])

@@ -169,7 +169,9 @@ mining AS (
     {TERM.format(y='year(DIS_DT)')} AS SEXENIO_DESAPARICION,
     {TERM.format(y='year(REG_DT)')} AS SEXENIO_REGISTRO,
     coalesce(lpad(CAST(month(DIS_DT) AS VARCHAR), 2, '0'), 'DESCONOCIDO') AS MES_DESAPARICION,
-    {AGE_BAND.format(a='EDAD_FRAC')} AS GRUPO_EDAD
+    {AGE_BAND.format(a='EDAD_FRAC')} AS GRUPO_EDAD,
+    coalesce(CAST(year(DIS_DT) AS VARCHAR), 'DESCONOCIDO') AS ANIO_DESAPARICION,
+    coalesce(CAST(year(REG_DT) AS VARCHAR), 'DESCONOCIDO') AS ANIO_REGISTRO
   FROM mining_age
 )"""
 
@@ -186,6 +188,8 @@ def tx_items(cols: list[str]) -> str:
 
 ITEM_COLS = ["SEXO", "ENTIDAD", "MUNICIPIO", "SEXENIO_DESAPARICION", "SEXENIO_REGISTRO",
              "MES_DESAPARICION", "GRUPO_EDAD"]
+ITEM_COLS_YEARS = ["SEXO", "ESTATUS_VICTIMA", "ENTIDAD", "MUNICIPIO", "ANIO_DESAPARICION",
+                   "MES_DESAPARICION", "ANIO_REGISTRO", "GRUPO_EDAD"]
 
 
 def with_ctes(*ctes: str) -> str:
