@@ -1141,7 +1141,12 @@ def model_table(spark, sf):
 
 
 def split_table(spark, sf):
-    return J.stratified_split(model_table(spark, sf), _LABEL, 0.2, 42, S.ID)
+    """Stratified 80/20 split of the model table, checkpointed once: train and
+    test parts, weights, encoders and reports all read the same copy."""
+    key = (spark.sparkContext.applicationId, sf, "split")
+    if key not in _MEMO:
+        _MEMO[key] = I._checkpoint(J.stratified_split(model_table(spark, sf), _LABEL, 0.2, 42, S.ID))
+    return _MEMO[key]
 
 
 _SPLIT_SQL = O.with_ctes(O.REGISTRY, O.MINING, """

@@ -16,6 +16,11 @@ BASE_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # With parallelism-first coalescing the post-shuffle target is
+    # min(advisory 64 MB, shuffle bytes / default parallelism), floored by this
+    # minimum: large shuffles are unaffected, small ones keep every core busy
+    # for the CPU-heavy per-row stages that follow.
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "64KB",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
