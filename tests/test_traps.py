@@ -125,3 +125,26 @@ def test_skew_kurtosis_bias_corrected(spark):
     r = G.shape_stats(df, "x").collect()[0]
     assert math.isclose(r.skewness, 0.271668, abs_tol=1e-6)
     assert math.isclose(r.kurtosis, -2.946492, abs_tol=1e-6)
+
+
+def test_running_sums_distributed_equals_single_window(spark):
+    from regmine.operators.concentration import running_sums
+    rows = [(float(i), float(i % 7 + 1)) for i in range(5000)]
+    t = spark.createDataFrame(rows, "v double, c double")
+    a = {r.v: r.cum_c for r in running_sums(t, "v", ["c"]).collect()}
+    b = {r.v: r.cum_c for r in running_sums(t, "v", ["c"], max_single=10, rows_per_range=700).collect()}
+    assert a == b
+
+
+def test_concentration_distributed_path(spark):
+    xs = [(float(v % 97) * 1.5,) for v in range(3000)]
+    df = spark.createDataFrame(xs, "x double")
+    one = C.concentration_index(df, "x").collect()[0].r
+    import regmine.operators.concentration as CC
+    old = CC.SINGLE_WINDOW_ROWS, CC.ROWS_PER_RANGE
+    CC.SINGLE_WINDOW_ROWS, CC.ROWS_PER_RANGE = 10, 20
+    try:
+        many = C.concentration_index(df, "x").collect()[0].r
+    finally:
+        CC.SINGLE_WINDOW_ROWS, CC.ROWS_PER_RANGE = old
+    assert one == many
