@@ -25,9 +25,10 @@ SINGLE_WINDOW_ROWS = 2_000_000
 ROWS_PER_RANGE = 1_000_000
 
 
-def running_sums(table: DataFrame, order: str, cols: list[str],
+def running_sums(table: DataFrame, order, cols: list[str],
                  max_single: int | None = None, rows_per_range: int | None = None) -> DataFrame:
-    """Inclusive running sums ``cum_<c>`` of ``cols`` in ``order`` (a unique key).
+    """Inclusive running sums ``cum_<c>`` of ``cols`` in ``order`` (a column
+    name or list of names forming a unique key).
 
     Small tables: one window.  Large tables: range-partition on the key
     (checkpointed, so the partition of each row is fixed), per-partition
@@ -37,19 +38,20 @@ def running_sums(table: DataFrame, order: str, cols: list[str],
     from regmine.operators.itemsets import _checkpoint
     max_single = SINGLE_WINDOW_ROWS if max_single is None else max_single
     rows_per_range = ROWS_PER_RANGE if rows_per_range is None else rows_per_range
+    order = [order] if isinstance(order, str) else list(order)
     n = table.limit(max_single + 1).count()
     if n <= max_single:
-        w = Window.orderBy(order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        w = Window.orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
         return table.select("*", *[F.sum(c).over(w).alias(f"cum_{c}") for c in cols])
     parts = max(2, -(-table.count() // rows_per_range))
-    ranged = _checkpoint(table.repartitionByRange(parts, order)
+    ranged = _checkpoint(table.repartitionByRange(parts, *order)
                          .withColumn("__pid", F.spark_partition_id()))
     tot = ranged.groupBy("__pid").agg(*[F.sum(c).alias(f"__t_{c}") for c in cols])
     wp = Window.orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)
     offs = tot.select("__pid", *[F.coalesce(F.sum(f"__t_{c}").over(wp), F.lit(0)).alias(f"__o_{c}")
                                  for c in cols])
-    wi = Window.partitionBy("__pid").orderBy(order).rowsBetween(Window.unboundedPreceding,
-                                                                 Window.currentRow)
+    wi = Window.partitionBy("__pid").orderBy(*order).rowsBetween(Window.unboundedPreceding,
+                                                                  Window.currentRow)
     j = ranged.join(F.broadcast(offs), "__pid")
     return j.select(*table.columns, *[(F.sum(c).over(wi) + F.col(f"__o_{c}")).alias(f"cum_{c}")
                                       for c in cols])

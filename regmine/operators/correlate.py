@@ -123,11 +123,18 @@ def spearman_matrix(df: DataFrame, cols: list[str]) -> DataFrame:
     joint = _checkpoint(stacked.where(F.col("va").isNotNull() & F.col("vb").isNotNull())
                         .groupBy("p", "va", "vb").agg(F.count(F.lit(1)).alias("c")))
 
+    from regmine.operators.concentration import running_sums
+
     def ranks(side: str, out: str) -> DataFrame:
+        # running count over (pair, value) minus the counts of earlier pairs
         m = joint.groupBy("p", side).agg(F.sum("c").alias("__m"))
-        w = Window.partitionBy("p").orderBy(side).rowsBetween(Window.unboundedPreceding, 0)
-        return m.select("p", side, (F.sum("__m").over(w) - F.col("__m") + (F.col("__m") + 1) / 2.0)
-                        .alias(out))
+        rs = running_sums(m, ["p", side], ["__m"])
+        per = m.groupBy("p").agg(F.sum("__m").alias("__pt"))
+        wp = Window.orderBy("p").rowsBetween(Window.unboundedPreceding, -1)  # one row per pair
+        start = per.select("p", F.coalesce(F.sum("__pt").over(wp), F.lit(0)).alias("__start"))
+        return rs.join(F.broadcast(start), "p").select(
+            "p", side, (F.col("cum___m") - F.col("__start") - F.col("__m") + (F.col("__m") + 1) / 2.0)
+            .alias(out))
 
     n = joint.groupBy("p").agg(F.sum("c").alias("n"))
     j = joint.join(ranks("va", "ra"), ["p", "va"]).join(ranks("vb", "rb"), ["p", "vb"]).join(n, "p")

@@ -148,3 +148,23 @@ def test_concentration_distributed_path(spark):
     finally:
         CC.SINGLE_WINDOW_ROWS, CC.ROWS_PER_RANGE = old
     assert one == many
+
+
+def test_spearman_distributed_ranks(spark):
+    import regmine.operators.concentration as CC
+    rows = [(float(i % 53), float((i * 7) % 31), None if i % 10 == 0 else float(i % 5)) for i in range(800)]
+    df = spark.createDataFrame(rows, "a double, b double, c double")
+    one = sorted(tuple(r) for r in H.spearman_matrix(df, ["a", "b", "c"]).collect())
+    old = CC.SINGLE_WINDOW_ROWS, CC.ROWS_PER_RANGE
+    CC.SINGLE_WINDOW_ROWS, CC.ROWS_PER_RANGE = 5, 17
+    try:
+        many = sorted(tuple(r) for r in H.spearman_matrix(df, ["a", "b", "c"]).collect())
+    finally:
+        CC.SINGLE_WINDOW_ROWS, CC.ROWS_PER_RANGE = old
+    assert one == many
+    import pandas as pd
+    pdf = pd.DataFrame(rows, columns=["a", "b", "c"])
+    ref = pdf.corr(method="spearman")
+    got = {(r[0], r[1]): r[3] for r in one}
+    assert abs(got[("a", "b")] - round(ref.loc["a", "b"], 6)) < 1e-6
+    assert abs(got[("b", "c")] - round(ref.loc["b", "c"], 6)) < 1e-6
