@@ -45,3 +45,28 @@ def python_udf_nodes(df) -> list[str]:
     return [n.nodeName() for n in walk(_plan(df))
             if n.nodeName() in ("BatchEvalPython", "ArrowEvalPython", "FlatMapGroupsInPandas",
                                 "MapInPandas")]
+
+
+def plan_summary(df) -> dict:
+    """Counts of the operators that matter for scale in a physical plan."""
+    root = _plan(df)
+    nodes = list(walk(root))
+    names = [n.nodeName() for n in nodes]
+    scans = []
+    for n in nodes:
+        if n.nodeName().startswith("Scan"):
+            text = n.toString()
+            rs = text.split("ReadSchema: ")[-1].split("\n")[0] if "ReadSchema" in text else ""
+            pf = text.split("PushedFilters: ")[-1].split(",")[0] if "PushedFilters" in text else ""
+            scans.append({"scan": text.split("\n")[0][:60], "read_schema": rs[:120], "pushed_filters": pf[:80]})
+    single = sum(1 for n in nodes if n.nodeName() == "Exchange" and "SinglePartition" in n.toString().split("\n")[0])
+    return {
+        "exchanges": names.count("Exchange"),
+        "single_partition_exchanges": single,
+        "broadcast_exchanges": names.count("BroadcastExchange"),
+        "joins": {k: names.count(k) for k in ("BroadcastHashJoin", "ShuffledHashJoin", "SortMergeJoin",
+                                                 "BroadcastNestedLoopJoin", "CartesianProduct") if names.count(k)},
+        "windows": names.count("Window"),
+        "python_nodes": len(python_udf_nodes(df)),
+        "scans": scans,
+    }
