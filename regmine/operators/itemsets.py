@@ -196,18 +196,23 @@ def _checkpoint(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def _item_counts_and_n(tx: DataFrame) -> tuple[DataFrame, int]:
-    """One pass over the transactions: count every item and, through a marker
-    item present once in each row, the number of transactions.  The result
-    (one row per distinct item) is checkpointed."""
-    marked = tx.select(F.concat(F.array(F.lit(_MARK)), "items").alias("items"))
+def _item_counts_and_n(tx: DataFrame) -> tuple[DataFrame, int, int]:
+    """One pass over the transactions: count every item and, through marker
+    items present once in each row, the number of transactions and the
+    basket sizes.  The result (one row per distinct item or size) is
+    checkpointed; returns (item counts, n, widest basket)."""
+    marked = tx.select(F.concat(F.array(F.lit(_MARK), F.concat(F.lit(_SIZE), F.size("items").cast("string"))),
+                                "items").alias("items"))
     counts = _checkpoint(explode_items(marked, "items", "item").groupBy("item")
                          .agg(F.count(F.lit(1)).alias("freq")))
-    n = counts.where(F.col("item") == _MARK).select("freq").first()
-    return counts.where(F.col("item") != _MARK), (n[0] if n else 0)
+    meta = counts.where(F.col("item").startswith("\u0000")).collect()   # 1 + distinct sizes rows
+    n = sum(r.freq for r in meta if r.item == _MARK)
+    width = max([int(r.item[len(_SIZE):]) for r in meta if r.item.startswith(_SIZE)] or [0])
+    return counts.where(~F.col("item").startswith("\u0000")), n, width
 
 
 _MARK = "\u0000tx"
+_SIZE = "\u0000size="
 
 
 def apriori(tx: DataFrame, min_support: float = 0.02, max_k: int | None = 3) -> MiningResult:
@@ -221,16 +226,18 @@ def apriori(tx: DataFrame, min_support: float = 0.02, max_k: int | None = 3) ->
     # Single pass over the (expensive) source: materialise the transactions,
     # then every later pass scans the checkpoint.
     tx = _checkpoint(tx.select("items"))
-    counts, n = _item_counts_and_n(tx)
+    counts, n, width = _item_counts_and_n(tx)
     min_count = min_count_for(min_support, n)
     f1 = counts.where(F.col("freq") >= min_count).select(
         F.lit(1).alias("k"), F.array("item").alias("items"), "freq")
-    n1 = f1.count()
+    # the frequent single items are bounded (<= width / min_support): read
+    # them once, at most LITERAL_ITEMS + 1 rows
+    head = [r[0] for r in f1.select(F.element_at("items", 1)).limit(LITERAL_ITEMS + 1).collect()]
+    n1 = len(head) if len(head) <= LITERAL_ITEMS else f1.count()
     levels = [(1, None, n1)]
     out = [f1]
     if n1 <= LITERAL_ITEMS:
-        f1_items = [r[0] for r in f1.select(F.element_at("items", 1)).collect()]
-        txf = restrict_to_items(tx, f1_items)
+        txf = restrict_to_items(tx, head)
     else:
         keep = f1.select(F.element_at("items", 1).alias("item"))
         txf = (explode_items(tx.withColumn("__id", F.monotonically_increasing_id()), "items", "item", "__id")
@@ -239,8 +246,7 @@ def apriori(tx: DataFrame, min_support: float = 0.02, max_k: int | None = 3) ->
     # Materialise before any predicate on the derived array: a filter on it
     # would be pushed below the projection, re-inlining the whole upstream
     # expression tree into the scan/join (count_support filters the copy).
-    txf = _checkpoint(txf)
-    width = txf.agg(F.max(F.size("items"))).first()[0] or 0
+    txf = _checkpoint(txf)   # width: widest original basket bounds the restricted ones
     prev, n_prev, k = f1, n1, 1
     while n_prev > 0:
         k += 1
