@@ -110,6 +110,9 @@ def combinations_expr(arr: Column, k: int) -> Column:
 
 # Above this many index combinations per row the generic lambda form is used.
 MAX_INDEX_COMBOS = 5000
+# Above this many k-combinations per row (very wide baskets) the remaining
+# levels are mined by FP-growth instead -- exact, without per-row expansion.
+MAX_ROW_COMBOS = 100_000
 
 
 def combination_keys_expr(items: Column, k: int, width: int) -> Column:
@@ -248,10 +251,20 @@ def apriori(tx: DataFrame, min_support: float = 0.02, max_k: int | None = 3) ->
     # expression tree into the scan/join (count_support filters the copy).
     txf = _checkpoint(txf)   # width: widest original basket bounds the restricted ones
     prev, n_prev, k = f1, n1, 1
+    from math import comb
     while n_prev > 0:
         k += 1
         if max_k is not None and k > max_k:
             break
+        if comb(width, k) > MAX_ROW_COMBOS:
+            # wide baskets: the remaining levels come from FP-growth (same
+            # threshold, exact), so no row ever expands into C(width, k) keys
+            rest = fp_growth(txf, min_count, max_k).itemsets.where(F.col("k") >= k)
+            rest = _checkpoint(rest.select("k", "items", "freq"))
+            for kk, cnt in sorted((r[0], r[1]) for r in rest.groupBy("k").count().collect()):
+                levels.append((kk, None, cnt))
+            out.append(rest)
+            break
         if k == 2:
             # Every pair of frequent items is a candidate and the transactions
             # hold only frequent items, so the candidate filter cannot drop

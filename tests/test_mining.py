@@ -83,3 +83,22 @@ def test_combination_forms_agree(spark):
         F.array_join("items", ",")).collect())
     k2 = sorted(r[0] for r in I.count_support(tx, None, 2, 1).select(F.array_join("items", ",")).collect())
     assert k1 == k2
+
+
+def test_wide_baskets_fall_back_to_fp_growth(spark):
+    import random
+    import regmine.operators.itemsets as II
+    rnd = random.Random(3)
+    rows = [[f"i{rnd.randint(0, 11)}" for _ in range(9)] for _ in range(200)]
+    tx = baskets(spark, rows)
+    full = as_dict(I.apriori(tx, 0.1, 3).itemsets)
+    old = II.MAX_ROW_COMBOS
+    II.MAX_ROW_COMBOS = 10
+    try:
+        res = I.apriori(tx, 0.1, 3)
+        mixed = as_dict(res.itemsets)
+        lv = {r.k: r.candidates for r in res.levels.collect()}
+    finally:
+        II.MAX_ROW_COMBOS = old
+    assert mixed == full
+    assert lv[3] is None  # level 3 came from FP-growth
