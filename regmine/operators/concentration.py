@@ -60,9 +60,12 @@ def running_sums(table: DataFrame, order, cols: list[str],
 def value_counts_table(df: DataFrame, col: str, max_single: int | None = None) -> DataFrame:
     """(v, c, a, cum_sum): counts per distinct value, records strictly before
     v and the running total of the measure up to and including v."""
+    from regmine.operators.itemsets import _checkpoint
     x = F.col(col)
-    vc = df.where(x.isNotNull()).groupBy(x.cast("double").alias("v")).agg(
-        F.count(F.lit(1)).alias("c")).withColumn("vc", F.col("v") * F.col("c"))
+    # the compressed table is the one pass over the source; everything else
+    # (size check, totals, running sums) reads its checkpoint
+    vc = _checkpoint(df.where(x.isNotNull()).groupBy(x.cast("double").alias("v")).agg(
+        F.count(F.lit(1)).alias("c")).withColumn("vc", F.col("v") * F.col("c")))
     rs = running_sums(vc, "v", ["c", "vc"], max_single=max_single)
     return rs.select("v", "c", (F.col("cum_c") - F.col("c")).alias("a"),
                      F.col("cum_vc").alias("cum_sum"))

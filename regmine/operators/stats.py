@@ -145,10 +145,16 @@ def kde(df: DataFrame, col: str, grid: int = 200, cut: float = 3.0) -> DataFrame
 
     Works on the value->count table (compressed measure) and expands each
     distinct value over the grid with a generator, then sums per grid point."""
+    from regmine.operators.itemsets import _checkpoint
     x = F.col(col).cast("double")
-    vc = df.where(x.isNotNull()).groupBy(x.alias("v")).agg(F.count(F.lit(1)).alias("c"))
-    st = scalars(df.agg(F.count(x).alias("n"), F.stddev_samp(x).alias("sd"),
-                        F.min(x).alias("mn"), F.max(x).alias("mx")))
+    # one pass over the source into the value->count table; n, mean, sample
+    # std, min and max come from it (two small passes over the checkpoint)
+    vc = _checkpoint(df.where(x.isNotNull()).groupBy(x.alias("v")).agg(F.count(F.lit(1)).alias("c")))
+    m1 = scalars(vc.agg(F.sum("c").alias("n"), (F.sum(F.col("v") * F.col("c")) / F.sum("c")).alias("mean"),
+                        F.min("v").alias("mn"), F.max("v").alias("mx")))
+    var = vc.agg((F.sum(F.col("c") * (F.col("v") - m1["mean"]) * (F.col("v") - m1["mean"]))
+                  / (F.sum("c") - 1)).alias("var"))
+    st = dict(m1, sd=scalars(var.select(F.sqrt(F.when(F.col("var") >= 0, F.col("var"))).alias("sd")))["sd"])
     bw = st["sd"] * F.pow(st["n"].cast("double"), F.lit(-0.2))
     lo = st["mn"] - F.lit(cut) * bw
     step = (st["mx"] - st["mn"] + F.lit(2 * cut) * bw) / F.lit(float(grid - 1))
