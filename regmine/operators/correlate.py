@@ -77,11 +77,13 @@ def flag_category_correlation(df: DataFrame, flag: str, col: str) -> DataFrame:
     """H3: Pearson (phi) between a 0/1 flag and each category indicator,
     r = (N*n11 - n_o*n_c) / sqrt(n_o(N-n_o) * n_c(N-n_c)); descending.
     A null category is an all-zero indicator row, as with dummy columns."""
-    tot = scalars(df.agg(F.count(F.lit(1)).cast("double").alias("N"),
-                         F.sum(F.col(flag)).cast("double").alias("nc")))
-    g = (df.where(F.col(col).isNotNull()).groupBy(F.col(col).alias("category"))
-         .agg(F.count(F.lit(1)).cast("double").alias("no"),
-              F.sum(F.col(flag)).cast("double").alias("n11")))
+    from regmine.operators.itemsets import _checkpoint
+    # one pass: per-category counts (null category kept for the totals)
+    allg = _checkpoint(df.groupBy(F.col(col).alias("category"))
+                       .agg(F.count(F.lit(1)).cast("double").alias("no"),
+                            F.sum(F.col(flag)).cast("double").alias("n11")))
+    tot = scalars(allg.agg(F.sum("no").alias("N"), F.sum("n11").alias("nc")))
+    g = allg.where(F.col("category").isNotNull())
     N, nc = tot["N"], tot["nc"]
     r = F.try_divide(N * F.col("n11") - F.col("no") * nc,
                      F.sqrt(F.col("no") * (N - F.col("no")) * nc * (N - nc)))
@@ -92,12 +94,16 @@ def flag_category_correlation(df: DataFrame, flag: str, col: str) -> DataFrame:
 def numeric_category_correlation(df: DataFrame, num: str, col: str) -> DataFrame:
     """K7: point-biserial r between a numeric column and each category
     indicator, over rows where the number is present."""
+    from regmine.operators.itemsets import _checkpoint
     x = F.col(num).cast("double")
     base = df.where(x.isNotNull())
-    tot = scalars(base.agg(F.count(F.lit(1)).cast("double").alias("N"),
-                           F.sum(x).alias("S"), F.sum(x * x).alias("Q")))
-    g = (base.where(F.col(col).isNotNull()).groupBy(F.col(col).alias("category"))
-         .agg(F.count(F.lit(1)).cast("double").alias("no"), F.sum(x).alias("So")))
+    # one pass: per-category n, sum and sum of squares (null category kept
+    # for the totals)
+    allg = _checkpoint(base.groupBy(F.col(col).alias("category"))
+                       .agg(F.count(F.lit(1)).cast("double").alias("no"), F.sum(x).alias("So"),
+                            F.sum(x * x).alias("Qo")))
+    tot = scalars(allg.agg(F.sum("no").alias("N"), F.sum("So").alias("S"), F.sum("Qo").alias("Q")))
+    g = allg.where(F.col("category").isNotNull())
     N, S, Q = tot["N"], tot["S"], tot["Q"]
     r = F.try_divide(N * F.col("So") - F.col("no") * S,
                      F.sqrt(F.col("no") * (N - F.col("no")) * (N * Q - S * S)))

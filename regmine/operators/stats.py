@@ -182,12 +182,9 @@ def sigma_band(df: DataFrame, col: str) -> DataFrame:
 
 def category_share(df: DataFrame, col: str, exclude: list[str] | None = None) -> DataFrame:
     """Count and percent of each non-null category (sentinel classes are
-    categories unless listed in ``exclude``)."""
-    c = F.col(col)
-    base = df.where(c.isNotNull())
-    if exclude:
-        base = base.where(~c.isin(*exclude))
-    vc = base.groupBy(c.alias("value")).agg(F.count(F.lit(1)).alias("count"))
+    categories unless listed in ``exclude``).  One pass: the grouped table is
+    checkpointed and the total comes from it."""
+    vc = _proportions(df, col, exclude).withColumnRenamed("c", "count")
     total = scalars(vc.agg(F.sum("count").alias("t")))["t"]
     return vc.select("value", "count", r6(try_ratio(F.col("count") * 100, total)).alias("pct"))
 
@@ -199,11 +196,14 @@ def top_categories(df: DataFrame, col: str, k: int = 10) -> DataFrame:
 
 
 def _proportions(df: DataFrame, col: str, exclude: list[str] | None) -> DataFrame:
+    """Category counts (nulls and excluded classes dropped), checkpointed: a
+    table bounded by the number of categories, read by every later step."""
+    from regmine.operators.itemsets import _checkpoint
     c = F.col(col)
     base = df.where(c.isNotNull())
     if exclude:
         base = base.where(~c.isin(*exclude))
-    return base.groupBy(c.alias("value")).agg(F.count(F.lit(1)).alias("c"))
+    return _checkpoint(base.groupBy(c.alias("value")).agg(F.count(F.lit(1)).alias("c")))
 
 
 def diversity(df: DataFrame, col: str, exclude: list[str] | None = None) -> DataFrame:
@@ -250,9 +250,11 @@ def withheld_share_by(df: DataFrame, group: str, flag: str = "confidencial_total
                       k: int = 15) -> DataFrame:
     """Withheld sum, count, percent (1 dp) per group; the k highest
     (ties by group), with the national mean percent alongside."""
-    g = df.groupBy(group).agg(F.sum(flag).cast("long").alias("withheld"),
-                              F.count(F.lit(1)).alias("n"))
-    nat = scalars(df.agg((F.avg(flag) * 100).alias("p")))["p"]
+    from regmine.operators.itemsets import _checkpoint
+    g = _checkpoint(df.groupBy(group).agg(F.sum(flag).cast("long").alias("withheld"),
+                                          F.count(F.lit(1)).alias("n")))
+    # national mean from the same grouped table (all groups, the null group too)
+    nat = scalars(g.agg((F.sum("withheld") * 100.0 / F.sum("n")).alias("p")))["p"]
     pct = F.round(F.col("withheld") * 100.0 / F.col("n"), 1)
     return (g.select(group, "withheld", "n", r6(pct).alias("pct"), r6(nat).alias("national_pct"))
             .orderBy(F.desc("pct"), F.asc(group)).limit(k))
