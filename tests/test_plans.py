@@ -24,8 +24,19 @@ def test_checker_accepts_global_aggregate(spark):
     assert not single_partition_violations(spark.range(1000).agg(F.sum("id")))
 
 
+# Queries whose single-partition input is a checkpointed compressed table
+# (its producing aggregate is no longer visible in the plan).  The running-sum
+# window runs in one partition only after the table was counted at <= 2M rows;
+# larger tables take the range-partitioned path (test_traps covers both).
+CHECKPOINTED_VALUE_TABLES = {"g17_concentration_index", "g18_lorenz_curve",
+                             "g19_concentration_trapezoid"}
+
+
 @pytest.mark.parametrize("name", sorted(set(QUERIES) - FORESTS))
 def test_query_plan_is_scale_safe(spark, name):
     df = QUERIES[name](spark, SF_SMALL)
-    assert single_partition_violations(df) == []
+    bad = single_partition_violations(df)
+    if name in CHECKPOINTED_VALUE_TABLES:
+        bad = [b for b in bad if b != "Scan ExistingRDD"]
+    assert bad == []
     assert python_udf_nodes(df) == []
