@@ -63,15 +63,29 @@ def stratified_split(df: DataFrame, label: str | None, test_frac: float = 0.2, s
     """Exact stratified split.  The test part holds ceil(frac * N) rows,
     shared among classes as floor(n_test * n_c / N) plus one extra row for the
     largest remainders (ties by class); within a class the rows with the
-    smallest hash of (id, seed) go to test.  ``label=None`` -> unstratified."""
+    smallest hash of (id, seed) go to test.  ``label=None`` -> unstratified.
+    ``bucket_digits`` is the minimum number of hex digits of the hash bucket;
+    it grows with the largest class (see below)."""
+    import math
+    from regmine.operators.itemsets import _checkpoint
     cls = F.col(label).cast("string") if label else F.lit("")
     h = _hash(id_col, seed)
-    rows = df.withColumns({"__cls": F.coalesce(cls, F.lit("\u0000null")), "__h": h,
-                           "__b": F.substring(h, 1, bucket_digits)})
+
+    def bucket_counts(digits: int):
+        r = df.withColumns({"__cls": F.coalesce(cls, F.lit("\u0000null")), "__h": h,
+                            "__b": F.substring(h, 1, digits)})
+        return r, _checkpoint(r.groupBy("__cls", "__b").agg(F.count(F.lit(1)).alias("__bn")))
+
     # Pass 1: counts per (class, hash bucket) -- a table of at most
     # classes x 16^digits rows, checkpointed; every total derives from it.
-    from regmine.operators.itemsets import _checkpoint
-    bk = _checkpoint(rows.groupBy("__cls", "__b").agg(F.count(F.lit(1)).alias("__bn")))
+    rows, bk = bucket_counts(bucket_digits)
+    # The boundary bucket holds ~n_c / 16^d rows and the bucket table 16^d
+    # rows per class; 16^d ~ sqrt(n_c) balances the two.  Small data keeps
+    # the minimum; a large class triggers one recount with more digits.
+    n_max = bk.groupBy("__cls").agg(F.sum("__bn").alias("n")).agg(F.max("n")).first()[0] or 0
+    want = min(8, max(bucket_digits, math.ceil(math.log(max(n_max, 1)) / (2 * math.log(16)))))
+    if want > bucket_digits:
+        rows, bk = bucket_counts(want)
     per = bk.groupBy("__cls").agg(F.sum("__bn").alias("__n"))
     tot = float(per.agg(F.sum("__n")).first()[0] or 0)
     n_test = F.ceil(F.lit(float(test_frac)) * F.lit(tot))

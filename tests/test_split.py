@@ -30,3 +30,11 @@ def test_weights(spark):
     df = spark.createDataFrame([("a",)] * 3 + [("b",)], "y string")
     w = {r.y: r.weight for r in J.class_weights(df, "y").collect()}
     assert w == {"a": round(4 / 6, 6), "b": 2.0}
+
+
+def test_more_bucket_digits_same_split(spark):
+    rows = [(str(i), "A" if i % 4 else "B") for i in range(1500)]
+    df = spark.createDataFrame(rows, "ID_VICTIMA string, y string")
+    a = {r.ID_VICTIMA: r.split for r in J.stratified_split(df, "y", 0.2, 7, bucket_digits=1).collect()}
+    b = {r.ID_VICTIMA: r.split for r in J.stratified_split(df, "y", 0.2, 7, bucket_digits=5).collect()}
+    assert a == b
