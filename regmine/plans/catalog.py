@@ -27,11 +27,33 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
 
 
+def _bigint_count_if(sql: str) -> str:
+    """DuckDB's count_if returns HUGEINT; Spark's returns BIGINT.  Wrap every
+    call (balanced parentheses) so that both engines report the same type."""
+    out, i, key = [], 0, "count_if("
+    while True:
+        j = sql.find(key, i)
+        if j < 0:
+            out.append(sql[i:])
+            return "".join(out)
+        depth, k = 1, j + len(key)
+        while depth:
+            depth += {"(": 1, ")": -1}.get(sql[k], 0)
+            k += 1
+        out.append(sql[i:j] + "CAST(" + _bigint_count_if_inner(sql[j:k]) + " AS BIGINT)")
+        i = k
+
+
+def _bigint_count_if_inner(call: str) -> str:
+    head, body = call[:len("count_if(")], call[len("count_if("):-1]
+    return head + _bigint_count_if(body) + ")"
+
+
 def register(name: str, sql: str | None = None):
     def deco(fn):
         QUERIES[name] = fn
         if sql is not None:
-            ORACLE[name] = sql
+            ORACLE[name] = _bigint_count_if(sql)
         return fn
     return deco
 
@@ -602,7 +624,7 @@ def g3(spark, sf):
 
 
 def _spread_sql(c, src="measures"):
-    return (f"SELECT '{c}' AS variable, round(max({c}) - min({c}), 6) AS range, "
+    return (f"SELECT '{c}' AS variable, round(CAST(max({c}) - min({c}) AS DOUBLE), 6) AS range, "
             f"round(quantile_cont({c}, 0.25), 6) AS q1, round(quantile_cont({c}, 0.75), 6) AS q3, "
             f"round(quantile_cont({c}, 0.75) - quantile_cont({c}, 0.25), 6) AS iqr, "
             f"round(var_samp({c}), 6) AS variance, round(stddev_samp({c}), 6) AS std FROM {src}")
@@ -621,7 +643,7 @@ def g5(spark, sf):
 
 
 @register("g6_compare_spread", P_CLEAN + """
-SELECT dataset, count(x) AS n, round(max(x) - min(x), 6) AS range,
+SELECT dataset, count(x) AS n, round(CAST(max(x) - min(x) AS DOUBLE), 6) AS range,
   round(quantile_cont(x, 0.75) - quantile_cont(x, 0.25), 6) AS iqr, round(var_samp(x), 6) AS variance,
   round(stddev_samp(x), 6) AS std FROM (
   SELECT 'general' AS dataset, year(FECHA_DESAPARICION_DT) - year(FECHA_NACIMIENTO_DT) AS x FROM general
