@@ -5,6 +5,6 @@ Every public operator is ``DataFrame (+ params) -> DataFrame`` built on the
 Spark SQL / Spark ML public APIs.
 """
 
-from regmine.session import get_session, checkpoint_dir  # noqa: F401
+from regmine.session import checkpoint_dir, get_session, materialize  # noqa: F401
 
 __version__ = "0.1.0"

@@ -67,7 +67,7 @@ def stratified_split(df: DataFrame, label: str | None, test_frac: float = 0.2, s
     ``bucket_digits`` is the minimum number of hex digits of the hash bucket;
     it grows with the largest class (see below)."""
     import math
-    from regmine.operators.itemsets import _checkpoint
+    from regmine.session import materialize as _checkpoint
     cls = F.col(label).cast("string") if label else F.lit("")
     h = _hash(id_col, seed)
 

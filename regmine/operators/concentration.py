@@ -35,7 +35,7 @@ def running_sums(table: DataFrame, order, cols: list[str],
     totals (one row per partition), their exclusive prefix sums broadcast back
     as offsets, and a window inside each range partition -- no single task
     ever holds more than one range."""
-    from regmine.operators.itemsets import _checkpoint
+    from regmine.session import materialize as _checkpoint
     max_single = SINGLE_WINDOW_ROWS if max_single is None else max_single
     rows_per_range = ROWS_PER_RANGE if rows_per_range is None else rows_per_range
     order = [order] if isinstance(order, str) else list(order)
@@ -60,7 +60,7 @@ def running_sums(table: DataFrame, order, cols: list[str],
 def value_counts_table(df: DataFrame, col: str, max_single: int | None = None) -> DataFrame:
     """(v, c, a, cum_sum): counts per distinct value, records strictly before
     v and the running total of the measure up to and including v."""
-    from regmine.operators.itemsets import _checkpoint
+    from regmine.session import materialize as _checkpoint
     x = F.col(col)
     # the compressed table is the one pass over the source; everything else
     # (size check, totals, running sums) reads its checkpoint

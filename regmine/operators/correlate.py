@@ -77,7 +77,7 @@ def flag_category_correlation(df: DataFrame, flag: str, col: str) -> DataFrame:
     """H3: Pearson (phi) between a 0/1 flag and each category indicator,
     r = (N*n11 - n_o*n_c) / sqrt(n_o(N-n_o) * n_c(N-n_c)); descending.
     A null category is an all-zero indicator row, as with dummy columns."""
-    from regmine.operators.itemsets import _checkpoint
+    from regmine.session import materialize as _checkpoint
     # one pass: per-category counts (null category kept for the totals)
     allg = _checkpoint(df.groupBy(F.col(col).alias("category"))
                        .agg(F.count(F.lit(1)).cast("double").alias("no"),
@@ -94,7 +94,7 @@ def flag_category_correlation(df: DataFrame, flag: str, col: str) -> DataFrame:
 def numeric_category_correlation(df: DataFrame, num: str, col: str) -> DataFrame:
     """K7: point-biserial r between a numeric column and each category
     indicator, over rows where the number is present."""
-    from regmine.operators.itemsets import _checkpoint
+    from regmine.session import materialize as _checkpoint
     x = F.col(num).cast("double")
     base = df.where(x.isNotNull())
     # one pass: per-category n, sum and sum of squares (null category kept
@@ -121,7 +121,7 @@ def spearman_matrix(df: DataFrame, cols: list[str]) -> DataFrame:
     sums over each pair's marginal value counts, and the correlation is a
     count-weighted sum over the joint table; average ranks have mean (n+1)/2
     exactly, so the centred sums need no second pass."""
-    from regmine.operators.itemsets import _checkpoint
+    from regmine.session import materialize as _checkpoint
     pairs = [(a, a) for a in cols] + list(combinations(cols, 2))
     trip = F.array(*[F.struct(F.lit(i).alias("p"), F.col(a).cast("double").alias("va"),
                               F.col(b).cast("double").alias("vb")) for i, (a, b) in enumerate(pairs)])

@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from regmine.functions.numeric import r6
-from regmine.session import checkpoint_dir
+from regmine.session import materialize
 
 KEY_SEP = "\u0001"
 # Candidate tables up to this many rows are broadcast to the counting join;
@@ -194,9 +194,7 @@ class MiningResult:
     min_count: int
 
 
-def _checkpoint(df: DataFrame) -> DataFrame:
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+_checkpoint = materialize
 
 
 def _item_counts_and_n(tx: DataFrame) -> tuple[DataFrame, int, int]:

@@ -145,7 +145,7 @@ def kde(df: DataFrame, col: str, grid: int = 200, cut: float = 3.0) -> DataFrame
 
     Works on the value->count table (compressed measure) and expands each
     distinct value over the grid with a generator, then sums per grid point."""
-    from regmine.operators.itemsets import _checkpoint
+    from regmine.session import materialize as _checkpoint
     x = F.col(col).cast("double")
     # one pass over the source into the value->count table; n, mean, sample
     # std, min and max come from it (two small passes over the checkpoint)
@@ -198,7 +198,7 @@ def top_categories(df: DataFrame, col: str, k: int = 10) -> DataFrame:
 def _proportions(df: DataFrame, col: str, exclude: list[str] | None) -> DataFrame:
     """Category counts (nulls and excluded classes dropped), checkpointed: a
     table bounded by the number of categories, read by every later step."""
-    from regmine.operators.itemsets import _checkpoint
+    from regmine.session import materialize as _checkpoint
     c = F.col(col)
     base = df.where(c.isNotNull())
     if exclude:
@@ -250,7 +250,7 @@ def withheld_share_by(df: DataFrame, group: str, flag: str = "confidencial_total
                       k: int = 15) -> DataFrame:
     """Withheld sum, count, percent (1 dp) per group; the k highest
     (ties by group), with the national mean percent alongside."""
-    from regmine.operators.itemsets import _checkpoint
+    from regmine.session import materialize as _checkpoint
     g = _checkpoint(df.groupBy(group).agg(F.sum(flag).cast("long").alias("withheld"),
                                           F.count(F.lit(1)).alias("n")))
     # national mean from the same grouped table (all groups, the null group too)

@@ -85,3 +85,11 @@ def ensure_utc(spark: SparkSession) -> None:
     The operators therefore require (and set) a UTC session time zone."""
     if spark.conf.get("spark.sql.session.timeZone", None) != "UTC":
         spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
+def materialize(df):
+    """Cut lineage by writing ``df`` to the shared checkpoint folder (reliable,
+    survives executor loss; never a machine-local checkpoint).  Used for the
+    compressed tables and intermediate results that later passes re-read."""
+    checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
