@@ -49,3 +49,22 @@ def test_minimum_information_rows_removed_once(spark):
     summary = B2.minimum_info_summary(raw).collect()[0]
     assert before - after == summary.minimum_info
     assert B2.drop_minimum_info(B2.drop_minimum_info(raw)).count() == after
+
+
+def test_queries_invariant_to_shuffle_partitions(spark):
+    from regmine.plans import catalog as CAT
+    names = ["q0_state_profile", "g1_mode_table", "g17_concentration_index", "k1_spearman_matrix",
+             "i7_apriori", "i13_generate_rules", "j4_stratified_split_rows", "h3_flag_category_correlation"]
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    results = {}
+    try:
+        for parts in ("1", "13"):
+            spark.conf.set("spark.sql.shuffle.partitions", parts)
+            CAT.reset_memo()
+            results[parts] = {n: sorted(tuple(r) for r in CAT.QUERIES[n](spark, SF_SMALL).collect())
+                              for n in names}
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)
+        CAT.reset_memo()
+    for n in names:
+        assert results["1"][n] == results["13"][n], n
