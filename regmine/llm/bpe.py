@@ -31,8 +31,8 @@ import pyarrow as pa
 
 from regmine.llm.common import texts_of
 
-MEMO_CHUNKS = 350_000        # chunk -> ids entries kept per Python worker
-MEMO_PAIRS = 500_000         # pair-compatibility entries kept per worker
+MEMO_CHUNKS = 800_000        # chunk -> ids entries kept per Python worker
+MEMO_PAIRS = 1_000_000       # pair-compatibility entries kept per worker
 MEMO_KEY_CHARS = 64          # longer chunks are encoded, not remembered
 INT32 = np.dtype("<u4")
 

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from regmine.llm import bpe, dedup, packing, sharding
+from pyspark.sql import functions as F
+
+from regmine.llm import bpe, dedup, jaccard, langid, packing, quality, secrets, sharding, topk, training_order
 from regmine.llm.common import tokenizer_path
 
 
@@ -15,6 +17,30 @@ def op1_bpe_codec(spark, sf_dir):
     return bpe.encode_documents(_docs(spark, sf_dir), tokenizer_path())
 
 
+def _remainder(column: str, n: int):
+    """crc32 of the id as text, modulo n."""
+    return F.pmod(F.crc32(F.col(column).cast("string").cast("binary")), F.lit(n))
+
+
+def op2_language_id(spark, sf_dir):
+    """Language of every text; learns from the other two thirds."""
+    docs = _docs(spark, sf_dir)
+    model = langid.train(docs, _remainder("doc_id", 3) != 1)
+    out = langid.predict(docs, model)
+    return out.select("doc_id", (_remainder("doc_id", 3) == 1).alias("held_out"), "lang_pred", "score", "rejected")
+
+
+def op3_exact_topk(spark, sf_dir):
+    """The five best candidates of every 50th vector."""
+    vectors = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
+    return topk.top_k(vectors, F.pmod(F.col("vec_id"), F.lit(50)) == 0, k=5)
+
+
+def op4_jaccard_join(spark, sf_dir):
+    """Components of documents with a shingle similarity of 0.8 or more."""
+    return jaccard.near_copies(_docs(spark, sf_dir))
+
+
 def op5_best_fit_packing(spark, sf_dir):
     """Pack all documents into sequences of 1024 ids."""
     return packing.pack_documents(_docs(spark, sf_dir), tokenizer_path(), capacity=1024, end_id=2)
@@ -26,14 +52,59 @@ def op6_exact_dedup(spark, sf_dir):
     return out.select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
+def op7_training_order(spark, sf_dir):
+    """Shards of all documents' ids in a keyed random order."""
+    return training_order.materialise(_docs(spark, sf_dir), tokenizer_path(), key=20240229)
+
+
 def op8_byte_shards(spark, sf_dir):
     """All documents in 24 shards of near-equal bytes."""
     return sharding.shard_by_bytes(_docs(spark, sf_dir), 24)
 
 
-QUERIES = {f.__name__: f for f in (op1_bpe_codec, op5_best_fit_packing, op6_exact_dedup, op8_byte_shards)}
+def op9_quality_classifier(spark, sf_dir):
+    """Quality score of every text; learns from three quarters of the labels."""
+    docs = _docs(spark, sf_dir)
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    model = quality.train(docs, labels, _remainder("doc_id", 4) != 2)
+    out = quality.score(docs, model)
+    return out.select("doc_id", (_remainder("doc_id", 4) == 2).alias("held_out"), "score", "predicted")
+
+
+def op10_secret_scan(spark, sf_dir):
+    """Secrets of every text, weak ones only with their complements."""
+    return secrets.scan_secrets(_docs(spark, sf_dir))
+
+
+QUERIES = {f.__name__: f for f in (
+    op1_bpe_codec, op2_language_id, op3_exact_topk, op4_jaccard_join,
+    op5_best_fit_packing, op6_exact_dedup, op7_training_order, op8_byte_shards, op9_quality_classifier, op10_secret_scan)}
 
 ORACLE = {
+    "op3_exact_topk": """
+        WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS e FROM embeddings
+                   WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+                     AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+             s AS (SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.e, c.e)::BIGINT AS score
+                   FROM v q JOIN v c ON q.vec_id <> c.vec_id AND len(q.e) = len(c.e) WHERE q.vec_id % 50 = 0)
+        SELECT query_id, rank::INTEGER AS rank, vec_id, score FROM (
+            SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s)
+        WHERE rank <= 5""",
+    "op4_jaccard_join": r"""
+        WITH RECURSIVE t AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''),
+                     'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w
+                   FROM documents),
+             g AS (SELECT doc_id, CASE WHEN len(w) = 0 THEN []::VARCHAR[] WHEN len(w) < 5 THEN [list_aggregate(w, 'string_agg', ' ')]
+                     ELSE list_distinct(list_transform(range(1, len(w) - 3),
+                          lambda i: list_aggregate(w[i:i + 4], 'string_agg', ' '))) END AS s FROM t),
+             u AS (SELECT doc_id, len(s) AS n, unnest(s) AS x FROM g),
+             o AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c, any_value(a.n) AS na, any_value(b.n) AS nb
+                   FROM u a JOIN u b ON a.x = b.x AND a.doc_id <> b.doc_id AND 100 * a.n >= 80 * b.n
+                     AND 100 * b.n >= 80 * a.n GROUP BY 1, 2),
+             l AS (SELECT a, b FROM o WHERE 100 * c >= 80 * (na + nb - c)),
+             r(doc_id, reach) AS (SELECT doc_id, doc_id FROM g UNION SELECT r.doc_id, l.b FROM r JOIN l ON r.reach = l.a)
+        SELECT g.doc_id, len(g.s) AS n_shingles, c.component_id FROM g
+        JOIN (SELECT doc_id, min(reach) AS component_id FROM r GROUP BY 1) c USING (doc_id)""",
     "op6_exact_dedup": """
         WITH t AS (SELECT doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
                                             'abcdefghijklmnopqrstuvwxyz') AS x FROM documents)
