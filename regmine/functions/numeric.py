@@ -60,16 +60,24 @@ def scalars(one_row: DataFrame) -> dict:
     return out
 
 
-# Largest lookup table (rows) shipped to every executor.
+# Largest lookup table shipped to every executor, by rows and by estimated bytes.
 BROADCAST_MAX_ROWS = 1_000_000
+BROADCAST_MAX_BYTES = 64 << 20
+
+
+def _row_bytes(df: DataFrame) -> int:
+    """Estimated bytes of a row (Spark's default sizes: 20 for a text)."""
+    size = {"string": 40, "double": 8, "bigint": 8, "int": 4, "boolean": 1, "date": 4, "timestamp": 8}
+    return 16 + sum(size.get(f.dataType.simpleString(), 64) for f in df.schema.fields)
 
 
 def broadcast_checked(small: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
     """Broadcast a lookup table only after counting it (bounded by design:
-    distinct values, groups, classes x buckets).  Above the limit the plain
-    table is returned and the join shuffles, with AQE splitting skewed keys.
-    Broadcasting also keeps a key that holds a large share of the big side
-    (a hot value or group) out of a single shuffle partition."""
+    distinct values, groups, classes x buckets) and estimating its bytes.
+    Above the limits the plain table is returned and the join shuffles, with
+    AQE splitting skewed keys.  Broadcasting also keeps a key that holds a
+    large share of the big side (a hot value or group) out of a single shuffle
+    partition."""
     from pyspark.sql import functions as F
-    n = small.limit(max_rows + 1).count()
-    return F.broadcast(small) if n <= max_rows else small
+    most = min(max_rows, BROADCAST_MAX_BYTES // _row_bytes(small))
+    return F.broadcast(small) if small.limit(most + 1).count() <= most else small

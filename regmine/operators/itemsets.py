@@ -1,20 +1,21 @@
 """Frequent itemsets.
 
-Apriori runs as a bounded loop over levels k = 1..max_k, each level one
-distributed job:
-
-* transactions keep only frequent single items (a bounded list: at most
-  width / min_support items) so that the per-row work shrinks early;
-* every row emits its k-combinations with JVM array lambdas (no Python UDF;
-  at most C(width, k) per row, width = number of item columns);
-* combinations are semi-joined with the candidate table (prefix join + subset
-  pruning of the previous level) and counted with a partially aggregated
-  ``groupBy`` -- a hot itemset is combined map-side before the shuffle;
-* each level's result is checkpointed to the shared checkpoint folder so the
-  loop's lineage stays short and survives executor loss.
-
-Only level counts and the frequent single-item list (bounded) reach the
-driver.
+Apriori is a loop over levels k = 1..max_k, each level one distributed job on
+one path, whatever the width of the baskets or the number of items:
+
+* transactions are written once as Parquet; single items and the number of
+  transactions are counted in one scan of that copy;
+* frequent items get integer codes in item order, and the baskets are encoded
+  with them by a join, so later levels compare integers;
+* a level extends prefixes by one item at a time: ``(c1, rest)`` ->
+  ``(c1, c2, rest)`` -> ... .  After each step the prefixes are semi-joined with
+  the prefixes of the candidates, so a wide basket only expands what may become
+  frequent.  The plan has one step per level number; it does not depend on the
+  data;
+* counts use a partially aggregated ``groupBy`` -- a hot itemset is combined
+  map-side before the shuffle.
+
+Only level counts reach the driver.
 """
 
 from __future__ import annotations
@@ -23,20 +24,13 @@ import math
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from regmine.functions.numeric import r6
+from regmine.functions.numeric import broadcast_checked, r6
 from regmine.session import materialize
 
 KEY_SEP = "\u0001"
-# Candidate tables up to this many rows are broadcast to the counting join;
-# beyond it the semi-join is skipped (support is anti-monotone, so the result
-# is the same) and the partial aggregation carries the load.
-BROADCAST_CANDIDATES = 2_000_000
-# Frequent single items up to this many are shipped as a literal set into the
-# row filter; beyond it a broadcast-free join path is used.
-LITERAL_ITEMS = 50_000
 
 
 def item_key(items: Column) -> Column:
@@ -69,27 +63,27 @@ def transaction_items(tx: DataFrame) -> DataFrame:
     return explode_items(tx, "items", "item", "tx_id")
 
 
-def encode_transactions(tx: DataFrame, min_df: float = 1.0):
-    """Sparse binary encoding over the item vocabulary (CountVectorizer),
-    never a dense pivot.  Returns (encoded DataFrame, fitted model)."""
-    from pyspark.ml.feature import CountVectorizer
-    cv = CountVectorizer(inputCol="items", outputCol="features", binary=True, minDF=min_df,
-                         vocabSize=1 << 20)
-    model = cv.fit(tx)
-    return model.transform(tx), model
+def encode_transactions(tx: DataFrame):
+    """Sparse binary encoding over all items.  Returns (encoded, items):
+    ``encoded`` (tx_id, indices) with the sorted indices of each transaction's
+    items (empty for an empty basket), ``items`` (item, index) numbering the
+    items from 0 in item order.  Both are distributed; no item is dropped."""
+    from regmine.operators.concentration import running_sums
+    long_form = transaction_items(tx)
+    names = materialize(long_form.select("item").distinct().withColumn("one", F.lit(1).cast("long")))
+    items = running_sums(names, "item", ["one"]).select("item", (F.col("cum_one") - 1).alias("index"))
+    items = materialize(items)
+    found = (long_form.join(items, "item").groupBy("tx_id")
+             .agg(F.array_sort(F.collect_set("index")).alias("indices")))
+    none = F.array().cast("array<bigint>")
+    return tx.select("tx_id").join(found, "tx_id", "left").select(
+        "tx_id", F.coalesce("indices", none).alias("indices")), items
 
 
-def item_totals(encoded: DataFrame, vocabulary: list[str]) -> DataFrame:
-    """Column sums of the sparse encoding (one distributed vector sum), as
-    (item, count).  The vocabulary is the fitted model's (already on the
-    driver by design of CountVectorizer) and joins as a small table."""
-    from pyspark.ml.functions import vector_to_array
-    from pyspark.ml.stat import Summarizer
-    spark = encoded.sparkSession
-    s = encoded.select(Summarizer.sum(encoded.features).alias("s"))
-    sums = s.select(F.posexplode(vector_to_array("s")).alias("pos", "cnt"))
-    vocab = spark.createDataFrame(list(enumerate(vocabulary)), "pos int, item string")
-    return sums.join(vocab, "pos").select("item", F.col("cnt").cast("long").alias("count"))
+def item_totals(encoded: DataFrame, items: DataFrame) -> DataFrame:
+    """Column sums of the sparse encoding, as (item, count)."""
+    sums = explode_items(encoded, "indices", "index").groupBy("index").agg(F.count(F.lit(1)).alias("count"))
+    return sums.join(items, "index").select("item", "count")
 
 
 def min_count_for(min_support: float, n: int) -> int:
@@ -97,36 +91,25 @@ def min_count_for(min_support: float, n: int) -> int:
     return math.ceil(min_support * n) if 0 < min_support < 1 else int(min_support)
 
 
-def combinations_expr(arr: Column, k: int) -> Column:
-    """All k-combinations of an array, in array order, as array<array<T>>."""
-    if k == 1:
-        return F.transform(arr, lambda x: F.array(x))
-
-    def extend(x, i):
-        rest = F.filter(arr, lambda y, j: j > i)
-        return F.transform(combinations_expr(rest, k - 1), lambda c: F.concat(F.array(x), c))
-    return F.flatten(F.transform(arr, extend))
-
-
-# Above this many index combinations per row the generic lambda form is used.
-MAX_INDEX_COMBOS = 5000
-# Above this many k-combinations per row (very wide baskets) the remaining
-# levels are mined by FP-growth instead -- exact, without per-row expansion.
-MAX_ROW_COMBOS = 100_000
+def subsets(tx: DataFrame, k: int, allowed: dict[int, DataFrame] | None = None) -> DataFrame:
+    """Columns c1..ck: every k-subset, in array order, of the sorted arrays in
+    ``items``.  ``allowed[j]`` (columns c1..cj) keeps only those prefixes."""
+    names = [f"c{j}" for j in range(1, k + 1)]
+    cur = tx.where(F.size("items") >= k).select(F.col("items").alias("__rest"))
+    for j in range(1, k + 1):
+        cur = cur.select(*names[:j - 1], "__rest", F.posexplode("__rest").alias("__at", names[j - 1]))
+        if j < k:
+            cur = cur.where(F.size("__rest") - F.col("__at") > k - j).select(
+                *names[:j], F.slice("__rest", F.col("__at") + 2, F.size("__rest")).alias("__rest"))
+        else:
+            cur = cur.select(*names)
+        if allowed and j in allowed:
+            cur = cur.join(broadcast_checked(allowed[j]), names[:j], "left_semi")
+    return cur
 
 
-def combination_keys_expr(items: Column, k: int, width: int) -> Column:
-    """k-combinations of a sorted array of at most ``width`` elements, as
-    canonical text keys, built from fixed index tuples with element_at and
-    concat_ws only (whole-stage codegen, no lambdas).  Tuples beyond the
-    row's length give null and are dropped after the explode."""
-    from itertools import combinations as _comb
-    n = F.size(items)
-    keys = []
-    for c in _comb(range(1, width + 1), k):
-        key = F.concat_ws(KEY_SEP, *[F.element_at(items, i) for i in c])
-        keys.append(F.when(n >= c[-1], key))
-    return F.array(*keys)
+def _columns(sets: DataFrame, k: int) -> DataFrame:
+    return sets.select(*[F.element_at("items", j).alias(f"c{j}") for j in range(1, k + 1)])
 
 
 def frequent_items(tx: DataFrame, min_count: int) -> DataFrame:
@@ -138,52 +121,43 @@ def frequent_items(tx: DataFrame, min_count: int) -> DataFrame:
 
 def generate_candidates(prev: DataFrame, k: int) -> DataFrame:
     """I4: join frequent (k-1)-sets sharing their first k-2 items, last item
-    ascending.  Runs on the frequent-itemset table, whose size is bounded by
-    C(width, k-1) / min_support independent of the number of rows."""
-    a = prev.select(F.slice("items", 1, k - 2).alias("prefix"),
-                    F.element_at("items", -1).alias("x"))
-    b = prev.select(F.slice("items", 1, k - 2).alias("prefix"),
-                    F.element_at("items", -1).alias("y"))
-    j = a.join(b, (a.prefix == b.prefix) & (a.x < b.y)).select(
+    ascending.  At k = 2 there is no common prefix to join on: the items are
+    numbered and every item meets the numbers before its own."""
+    if k == 2:
+        one = prev.select(F.element_at("items", 1).alias("y"))
+        # numbers of the frequent single items (at most width / min_support)
+        numbered = materialize(one.select("y", F.row_number().over(Window.orderBy("y")).alias("n")))
+        earlier = (numbered.where("n > 1")
+                   .select("y", F.explode(F.sequence(F.lit(1), F.col("n") - 1)).alias("m")))
+        first = numbered.select(F.col("y").alias("x"), F.col("n").alias("m"))
+        return earlier.join(first, "m").select(F.array("x", "y").alias("items"))
+    a = prev.select(F.slice("items", 1, k - 2).alias("prefix"), F.element_at("items", -1).alias("x"))
+    b = prev.select(F.slice("items", 1, k - 2).alias("prefix"), F.element_at("items", -1).alias("y"))
+    return a.join(b, (a.prefix == b.prefix) & (a.x < b.y)).select(
         F.concat(a.prefix, F.array(a.x, b.y)).alias("items"))
-    return j
 
 
 def prune_candidates(cand: DataFrame, prev: DataFrame, k: int) -> DataFrame:
     """Keep candidates whose k subsets of size k-1 are all frequent
     (explode the subsets, equi-join the previous level, count = k)."""
-    subs = cand.select("items", F.posexplode(F.sequence(F.lit(0), F.lit(k - 1))).alias("p", "drop"))
-    subs = subs.select("items", item_key(F.filter("items", lambda x, i: i != F.col("drop")))
-                       .alias("sub"))
-    known = prev.select(item_key("items").alias("sub"))
+    subs = cand.select("items", F.explode(F.sequence(F.lit(0), F.lit(k - 1))).alias("drop"))
+    subs = subs.select("items", F.filter("items", lambda x, i: i != F.col("drop")).alias("sub"))
+    known = prev.select(F.col("items").alias("sub"))
     ok = subs.join(known, "sub").groupBy("items").agg(F.count(F.lit(1)).alias("m"))
     return ok.where(F.col("m") == k).select("items")
 
 
-def restrict_to_items(tx: DataFrame, items: list[str]) -> DataFrame:
-    """Keep only listed items in each transaction (bounded literal set)."""
-    lit = F.array(*[F.lit(i) for i in sorted(items)]) if items else F.array().cast("array<string>")
-    return tx.select(F.array_sort(F.array_intersect("items", lit)).alias("items"))
-
-
-def count_support(tx: DataFrame, cand: DataFrame | None, k: int, min_count: int,
-                  n_cand: int | None = None, width: int | None = None) -> DataFrame:
-    """Emit each row's k-combinations (as text keys), keep the candidates,
-    count with a partially aggregated groupBy, keep count >= min_count.
-    ``width`` (longest transaction) enables the lambda-free combination form."""
-    from math import comb
-    rows = tx.where(F.size("items") >= k)
-    if width is not None and comb(width, k) <= MAX_INDEX_COMBOS:
-        combos = explode_items(rows, combination_keys_expr(F.col("items"), k, width), "key")
-    else:
-        combos = explode_items(rows, combinations_expr(F.col("items"), k), "c").select(
-            item_key("c").alias("key"))
-    if cand is not None and (n_cand is None or n_cand <= BROADCAST_CANDIDATES):
-        ck = F.broadcast(cand.select(item_key("items").alias("key")))
-        combos = combos.join(ck, "key", "left_semi")
-    counted = combos.groupBy("key").agg(F.count(F.lit(1)).alias("freq"))
-    return counted.where(F.col("freq") >= min_count).select(
-        F.lit(k).alias("k"), F.split("key", KEY_SEP).alias("items"), "freq")
+def count_support(tx: DataFrame, cand: DataFrame | None, k: int, min_count: int) -> DataFrame:
+    """Support of the candidates (of all k-subsets when ``cand`` is None):
+    extend prefixes item by item, keep those of candidates, count with a
+    partially aggregated groupBy, keep count >= min_count."""
+    allowed = None
+    names = [f"c{j}" for j in range(1, k + 1)]
+    if cand is not None:
+        full = materialize(_columns(cand, k))
+        allowed = {j: full.select(*names[:j]).distinct() for j in range(1, k)} | {k: full}
+    counted = subsets(tx, k, allowed).groupBy(*names).agg(F.count(F.lit(1)).alias("freq"))
+    return counted.where(F.col("freq") >= min_count).select(F.lit(k).alias("k"), F.array(*names).alias("items"), "freq")
 
 
 @dataclass
@@ -196,95 +170,63 @@ class MiningResult:
 
 _checkpoint = materialize
 
+_MARK = "\u0000tx"
 
-def _item_counts_and_n(tx: DataFrame) -> tuple[DataFrame, int, int]:
-    """One pass over the transactions: count every item and, through marker
-    items present once in each row, the number of transactions and the
-    basket sizes.  The result (one row per distinct item or size) is
-    checkpointed; returns (item counts, n, widest basket)."""
-    marked = tx.select(F.concat(F.array(F.lit(_MARK), F.concat(F.lit(_SIZE), F.size("items").cast("string"))),
-                                "items").alias("items"))
-    counts = _checkpoint(explode_items(marked, "items", "item").groupBy("item")
-                         .agg(F.count(F.lit(1)).alias("freq")))
-    meta = counts.where(F.col("item").startswith("\u0000")).collect()   # 1 + distinct sizes rows
-    n = sum(r.freq for r in meta if r.item == _MARK)
-    width = max([int(r.item[len(_SIZE):]) for r in meta if r.item.startswith(_SIZE)] or [0])
-    return counts.where(~F.col("item").startswith("\u0000")), n, width
 
+def _item_counts_and_n(tx: DataFrame) -> tuple[DataFrame, int]:
+    """One pass over the transactions: every item's count and, through a marker
+    item present once in each row, the number of transactions."""
+    marked = tx.select(F.concat(F.array(F.lit(_MARK)), "items").alias("items"))
+    counts = materialize(explode_items(marked, "items", "item").groupBy("item").agg(F.count(F.lit(1)).alias("freq")))
+    n = counts.where(F.col("item") == _MARK).agg(F.sum("freq")).first()[0] or 0
+    return counts.where(F.col("item") != _MARK), n
 
-_MARK = "\u0000tx"
-_SIZE = "\u0000size="
+
+def encode_frequent(tx: DataFrame, codes: DataFrame) -> DataFrame:
+    """Baskets as sorted arrays of the codes (item, code) of their frequent
+    items; items without a code and baskets without one are left out."""
+    rows = explode_items(tx.withColumn("__id", F.monotonically_increasing_id()), "items", "item", "__id")
+    return (rows.join(broadcast_checked(codes), "item").groupBy("__id")
+            .agg(F.array_sort(F.collect_list("code")).alias("items")).select("items"))
 
 
 def apriori(tx: DataFrame, min_support: float = 0.02, max_k: int | None = 3) -> MiningResult:
     """Level-wise Apriori with candidate generation, subset pruning and
-    distributed support counting; stops at max_k or when a level is empty.
-
-    The source is read once (transactions checkpointed); item counts and the
-    transaction count come from one scan of that copy, the frequent-item
-    restriction is checkpointed again and scanned once per level."""
+    distributed support counting; stops at max_k or when a level is empty."""
     spark = tx.sparkSession
-    # Single pass over the (expensive) source: materialise the transactions,
-    # then every later pass scans the checkpoint.
-    tx = _checkpoint(tx.select("items"))
-    counts, n, width = _item_counts_and_n(tx)
+    tx = materialize(tx.select("items"))
+    counts, n = _item_counts_and_n(tx)
     min_count = min_count_for(min_support, n)
-    f1 = counts.where(F.col("freq") >= min_count).select(
-        F.lit(1).alias("k"), F.array("item").alias("items"), "freq")
-    # the frequent single items are bounded (<= width / min_support): read
-    # them once, at most LITERAL_ITEMS + 1 rows
-    head = [r[0] for r in f1.select(F.element_at("items", 1)).limit(LITERAL_ITEMS + 1).collect()]
-    n1 = len(head) if len(head) <= LITERAL_ITEMS else f1.count()
+    # codes in item order, so that sorted codes are sorted items; the window
+    # runs over the frequent items only
+    f1 = materialize(counts.where(F.col("freq") >= min_count)
+                     .select("item", F.row_number().over(Window.orderBy("item")).alias("code"), "freq"))
+    codes = f1.select("item", "code")
+    n1 = f1.count()
     levels = [(1, None, n1)]
-    out = [f1]
-    if n1 <= LITERAL_ITEMS:
-        txf = restrict_to_items(tx, head)
-    else:
-        keep = f1.select(F.element_at("items", 1).alias("item"))
-        txf = (explode_items(tx.withColumn("__id", F.monotonically_increasing_id()), "items", "item", "__id")
-               .join(keep, "item")
-               .groupBy("__id").agg(F.array_sort(F.collect_list("item")).alias("items")))
-    # Materialise before any predicate on the derived array: a filter on it
-    # would be pushed below the projection, re-inlining the whole upstream
-    # expression tree into the scan/join (count_support filters the copy).
-    txf = _checkpoint(txf)   # width: widest original basket bounds the restricted ones
-    prev, n_prev, k = f1, n1, 1
-    from math import comb
-    while n_prev > 0:
+    out = [f1.select(F.lit(1).alias("k"), F.array("item").alias("items"), "freq")]
+    baskets = materialize(encode_frequent(tx, codes))
+    prev, n_prev, k = f1.select(F.array("code").alias("items")), n1, 1
+    while n_prev > 0 and (max_k is None or k < max_k):
         k += 1
-        if max_k is not None and k > max_k:
-            break
-        if comb(width, k) > MAX_ROW_COMBOS:
-            # wide baskets: the remaining levels come from FP-growth (same
-            # threshold, exact), so no row ever expands into C(width, k) keys
-            rest = fp_growth(txf, min_count, max_k).itemsets.where(F.col("k") >= k)
-            rest = _checkpoint(rest.select("k", "items", "freq"))
-            for kk, cnt in sorted((r[0], r[1]) for r in rest.groupBy("k").count().collect()):
-                levels.append((kk, None, cnt))
-            out.append(rest)
-            break
         if k == 2:
-            # Every pair of frequent items is a candidate and the transactions
-            # hold only frequent items, so the candidate filter cannot drop
-            # anything: count the pairs directly, report C2 arithmetically.
+            # every pair of frequent items is a candidate and the baskets hold
+            # only frequent items: nothing to restrict
             cand, n_cand = None, n1 * (n1 - 1) // 2
         else:
-            cand = _checkpoint(prune_candidates(generate_candidates(prev, k), prev, k))
+            cand = materialize(prune_candidates(generate_candidates(prev, k), prev, k))
             n_cand = cand.count()
         if n_cand == 0:
             levels.append((k, 0, 0))
             break
-        fk = _checkpoint(count_support(txf, cand, k, min_count, n_cand, width))
-        n_prev = fk.count()
+        prev = materialize(count_support(baskets, cand, k, min_count))
+        n_prev = prev.count()
         levels.append((k, n_cand, n_prev))
-        if n_prev == 0:
-            break
-        out.append(fk)
-        prev = fk
+        if n_prev:
+            out.append(_decode(prev, codes, k))
     allsets = reduce(DataFrame.unionByName, out).select(
-        "k", "items", "freq", (F.col("freq") / F.lit(float(n))).alias("support"))
-    lv = spark.createDataFrame(
-        [(kk, c, f) for kk, c, f in levels], "k int, candidates long, frequent long")
+        "k", "items", "freq", (F.col("freq") / F.lit(float(n or 1))).alias("support"))
+    lv = spark.createDataFrame(levels, "k int, candidates long, frequent long")
     lv = lv.select("k", "candidates", "frequent",
                    r6(F.when(F.col("candidates") > 0,
                              100.0 * (F.col("candidates") - F.col("frequent")) / F.col("candidates")))
@@ -292,6 +234,14 @@ def apriori(tx: DataFrame, min_support: float = 0.02, max_k: int | None = 3) ->
     return MiningResult(allsets, lv, n, min_count)
 
 
+def _decode(sets: DataFrame, codes: DataFrame, k: int) -> DataFrame:
+    """Itemsets of codes back to item texts, one small join per position."""
+    cur = sets.select("freq", *[F.element_at("items", j).alias(f"c{j}") for j in range(1, k + 1)])
+    for j in range(1, k + 1):
+        cur = cur.join(codes.select(F.col("code").alias(f"c{j}"), F.col("item").alias(f"i{j}")), f"c{j}")
+    return cur.select(F.lit(k).alias("k"), F.array(*[f"i{j}" for j in range(1, k + 1)]).alias("items"), "freq")
+
+
 def fp_growth(tx: DataFrame, min_support: float = 0.02, max_k: int | None = 3,
               num_partitions: int | None = None) -> MiningResult:
     """Parallel FP-growth (Spark ML) with the same threshold rule, then

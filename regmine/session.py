@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -24,9 +25,6 @@ BASE_CONF = {
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
-    # remove checkpoint files (transactions, itemset levels, split buckets)
-    # once their DataFrames are garbage collected
-    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
@@ -87,9 +85,34 @@ def ensure_utc(spark: SparkSession) -> None:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
 
 
+_WRITTEN: list[str] = []
+
+
+def scratch(spark: SparkSession, tag: str = "table") -> str:
+    """A new path in the shared checkpoint folder, removed by ``release``."""
+    path = f"{checkpoint_dir(spark).rstrip('/')}/regmine-{tag}-{uuid.uuid4().hex}"
+    _WRITTEN.append(path)
+    return path
+
+
 def materialize(df):
-    """Cut lineage by writing ``df`` to the shared checkpoint folder (reliable,
-    survives executor loss; never a machine-local checkpoint).  Used for the
+    """Cut lineage by writing ``df`` once, as Parquet, to the shared checkpoint
+    folder (survives executor loss) and reading it back.  Used for the
     compressed tables and intermediate results that later passes re-read."""
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    path = scratch(df.sparkSession)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def remove(spark: SparkSession, path: str) -> bool:
+    """Delete a path that ``scratch`` gave."""
+    if path in _WRITTEN:
+        _WRITTEN.remove(path)
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return bool(place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True))
+
+
+def release(spark: SparkSession) -> int:
+    """Remove what ``materialize`` and ``scratch`` have written; call it when
+    no result that reads them is needed any more."""
+    return sum(remove(spark, path) for path in list(_WRITTEN))

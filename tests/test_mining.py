@@ -77,28 +77,49 @@ def test_lift_symmetric(spark):
         assert abs(r[(c, a)] - lift) < 1e-12
 
 
-def test_combination_forms_agree(spark):
-    tx = baskets(spark, [["a", "b", "c", "d"], ["b", "c"], ["a", "c", "d"]])
-    k1 = sorted(r[0] for r in I.count_support(tx, None, 2, 1, width=4).select(
-        F.array_join("items", ",")).collect())
-    k2 = sorted(r[0] for r in I.count_support(tx, None, 2, 1).select(F.array_join("items", ",")).collect())
-    assert k1 == k2
+def brute(rows, min_count, max_k):
+    from collections import Counter
+    from itertools import combinations
+    out = Counter()
+    for r in rows:
+        for k in range(1, max_k + 1):
+            out.update(combinations(sorted(set(r)), k))
+    return {s: n for s, n in out.items() if n >= min_count}
 
 
-def test_wide_baskets_fall_back_to_fp_growth(spark):
+def test_against_brute_force_and_candidate_counts(spark):
     import random
-    import regmine.operators.itemsets as II
     rnd = random.Random(3)
-    rows = [[f"i{rnd.randint(0, 11)}" for _ in range(9)] for _ in range(200)]
+    rows = [[f"i{rnd.randint(0, 11)}" for _ in range(9)] for _ in range(200)] + [[]]
     tx = baskets(spark, rows)
-    full = as_dict(I.apriori(tx, 0.1, 3).itemsets)
-    old = II.MAX_ROW_COMBOS
-    II.MAX_ROW_COMBOS = 10
-    try:
-        res = I.apriori(tx, 0.1, 3)
-        mixed = as_dict(res.itemsets)
-        lv = {r.k: r.candidates for r in res.levels.collect()}
-    finally:
-        II.MAX_ROW_COMBOS = old
-    assert mixed == full
-    assert lv[3] is None  # level 3 came from FP-growth
+    m = I.apriori(tx, 20, 4)
+    assert as_dict(m.itemsets) == brute(rows, 20, 4)
+    assert all(r.candidates is not None for r in m.levels.collect() if r.k > 1)
+    assert m.n_transactions == len(rows)
+
+
+def test_one_wide_basket_among_narrow_ones(spark):
+    import random
+    rnd = random.Random(5)
+    rows = [[f"i{rnd.randint(0, 30)}" for _ in range(3)] for _ in range(300)] + [[f"i{i}" for i in range(200)]]
+    m = I.apriori(baskets(spark, rows), 5, 3)
+    assert as_dict(m.itemsets) == {s: n for s, n in brute(rows[:-1] + [rows[-1][:31]], 5, 3).items()}
+    assert all(r.candidates is not None for r in m.levels.collect() if r.k > 1)
+
+
+def test_count_support_of_given_candidates(spark):
+    tx = baskets(spark, [["a", "b", "c", "d"], ["b", "c"], ["a", "c", "d"]])
+    cand = spark.createDataFrame([(["a", "c", "d"],), (["a", "b", "d"],), (["b", "c", "z"],)], "items array<string>")
+    got = {tuple(r["items"]): r.freq for r in I.count_support(tx, cand, 3, 1).collect()}
+    assert got == {("a", "c", "d"): 2, ("a", "b", "d"): 1}
+    pairs = {tuple(r["items"]) for r in I.generate_candidates(I.frequent_items(tx, 2), 2).collect()}
+    assert pairs == {("a", "b"), ("a", "c"), ("a", "d"), ("b", "c"), ("b", "d"), ("c", "d")}
+
+
+def test_encoding_keeps_every_item(spark):
+    rows = [["b", "a"], [], ["c"], ["a", "c"]]
+    enc, items = I.encode_transactions(baskets(spark, rows))
+    index = {r.item: r["index"] for r in items.collect()}
+    assert index == {"a": 0, "b": 1, "c": 2}
+    assert {r.tx_id: r.indices for r in enc.collect()} == {0: [0, 1], 1: [], 2: [2], 3: [0, 2]}
+    assert {r.item: r["count"] for r in I.item_totals(enc, items).collect()} == {"a": 2, "b": 1, "c": 2}
