@@ -15,41 +15,71 @@ DEFAULT_NULL_TOKENS = ["", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-N
                        "None", "n/a", "nan", "null"]
 
 
+MALFORMED = "_malformed"
+
+
 def text_schema(columns: list[str]) -> T.StructType:
     return T.StructType([T.StructField(c, T.StringType(), True) for c in columns])
 
 
+def csv_header(spark: SparkSession, path: str) -> list[str]:
+    """Column names of the file, in file order: reads one header line only."""
+    return spark.read.option("header", True).option("inferSchema", False).option("escape", '"').csv(path).columns
+
+
 def read_registry_text(spark: SparkSession, path: str, columns: list[str] | None = None,
-                       multi_line: bool = False) -> DataFrame:
-    """A2: every column text, only the empty field is null (no inference pass)."""
+                       multi_line: bool = False, malformed: str = "fail") -> DataFrame:
+    """A2: every column text, chosen by its header name; only the empty field is
+    null.  The schema is the header line, all text (no inference pass); quotes
+    inside quoted fields are doubled.  A row with too few or too many fields
+    fails the read; with ``malformed="report"`` it is kept and its raw line
+    stands in ``_malformed`` (null for all other rows)."""
     from regmine.session import ensure_utc
     ensure_utc(spark)
+    header = csv_header(spark, path)
     cols = columns or S.RAW_COLUMNS
-    return (spark.read.schema(text_schema(cols)).option("header", True)
-            .option("multiLine", multi_line).option("mode", "PERMISSIVE").csv(path))
+    missing = [c for c in cols if c not in header]
+    if missing:
+        raise ValueError(f"columns {missing} are not in the header {header}")
+    report = malformed == "report"
+    schema = text_schema(header + [MALFORMED] * report)
+    reader = (spark.read.schema(schema).option("header", True).option("enforceSchema", False)
+              .option("multiLine", multi_line).option("escape", '"').option("columnPruning", False)
+              # an empty field is null, a quoted empty text is not: any value no
+              # field can have tells them apart
+              .option("nullValue", "\u0000"))
+    if report:
+        reader = reader.option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", MALFORMED)
+        # the reader checks the header against the schema, which has one column more
+        reader = reader.option("enforceSchema", True)
+    else:
+        reader = reader.option("mode", "FAILFAST")
+    return reader.csv(path).select(*cols, *[MALFORMED] * report)
 
 
 def read_registry(spark: SparkSession, path: str, columns: list[str] | None = None,
-                  null_tokens: list[str] | None = None, multi_line: bool = False) -> DataFrame:
+                  null_tokens: list[str] | None = None, multi_line: bool = False,
+                  malformed: str = "fail") -> DataFrame:
     """A1: CSV scan with the reader's default null tokens mapped to null.
 
     Typing happens later with try_* functions (E1, E4); sentinels stay text.
     """
     tokens = DEFAULT_NULL_TOKENS if null_tokens is None else null_tokens
-    df = read_registry_text(spark, path, columns, multi_line)
+    df = read_registry_text(spark, path, columns, multi_line, malformed)
     if not tokens:
         return df
     tok = F.array(*[F.lit(t) for t in tokens])
-    return df.select([F.when(F.array_contains(tok, F.col(c)), F.lit(None).cast("string"))
+    return df.select([F.col(c) if c == MALFORMED else
+                      F.when(F.array_contains(tok, F.col(c)), F.lit(None).cast("string"))
                       .otherwise(F.col(c)).alias(c) for c in df.columns])
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
     """CSV with header; whitespace kept as is (the writer trims by default),
-    nulls as empty fields, empty strings quoted."""
+    quotes doubled, nulls as empty fields, empty strings quoted."""
     (df.write.mode(mode).option("header", True).option("ignoreLeadingWhiteSpace", False)
      .option("ignoreTrailingWhiteSpace", False).option("nullValue", "").option("emptyValue", '""')
-     .csv(path))
+     .option("escape", '"').csv(path))
 
 
 def write_products(products: dict[str, DataFrame], path: str, fmt: str = "parquet",
@@ -67,10 +97,10 @@ def write_products(products: dict[str, DataFrame], path: str, fmt: str = "parque
 
 
 def read_product(spark: SparkSession, path: str, fmt: str = "parquet",
-                 columns: list[str] | None = None) -> DataFrame:
-    if fmt == "csv":
-        reader = spark.read.option("header", True)
-        if columns:
-            reader = reader.schema(text_schema(columns))
-        return reader.csv(path)
-    return spark.read.parquet(path)
+                 schema: T.StructType | None = None) -> DataFrame:
+    """A product as written; CSV comes back as text, or cast to ``schema``."""
+    if fmt != "csv":
+        return spark.read.parquet(path)
+    names = schema.names if schema else csv_header(spark, path)
+    df = read_registry_text(spark, path, names)
+    return df.select([F.col(f.name).cast(f.dataType) for f in schema.fields]) if schema else df

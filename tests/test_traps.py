@@ -127,44 +127,81 @@ def test_skew_kurtosis_bias_corrected(spark):
     assert math.isclose(r.kurtosis, -2.946492, abs_tol=1e-6)
 
 
-def test_running_sums_distributed_equals_single_window(spark):
+def test_running_sums_over_many_ranges(spark):
     from regmine.operators.concentration import running_sums
     rows = [(float(i), float(i % 7 + 1)) for i in range(5000)]
-    t = spark.createDataFrame(rows, "v double, c double")
-    a = {r.v: r.cum_c for r in running_sums(t, "v", ["c"]).collect()}
-    b = {r.v: r.cum_c for r in running_sums(t, "v", ["c"], max_single=10, rows_per_range=700).collect()}
-    assert a == b
-
+    got = {r.v: r.cum_c for r in running_sums(spark.createDataFrame(rows, "v double, c double"), "v", ["c"]).collect()}
+    total, want = 0.0, {}
+    for v, c in rows:
+        total += c
+        want[v] = total
+    assert got == want
 
-def test_concentration_distributed_path(spark):
-    xs = [(float(v % 97) * 1.5,) for v in range(3000)]
-    df = spark.createDataFrame(xs, "x double")
-    one = C.concentration_index(df, "x").collect()[0].r
-    import regmine.operators.concentration as CC
-    old = CC.SINGLE_WINDOW_ROWS, CC.ROWS_PER_RANGE
-    CC.SINGLE_WINDOW_ROWS, CC.ROWS_PER_RANGE = 10, 20
-    try:
-        many = C.concentration_index(df, "x").collect()[0].r
-    finally:
-        CC.SINGLE_WINDOW_ROWS, CC.ROWS_PER_RANGE = old
-    assert one == many
 
-
-def test_spearman_distributed_ranks(spark):
-    import regmine.operators.concentration as CC
+def test_spearman_against_pandas(spark):
+    import pandas as pd
     rows = [(float(i % 53), float((i * 7) % 31), None if i % 10 == 0 else float(i % 5)) for i in range(800)]
     df = spark.createDataFrame(rows, "a double, b double, c double")
-    one = sorted(tuple(r) for r in H.spearman_matrix(df, ["a", "b", "c"]).collect())
-    old = CC.SINGLE_WINDOW_ROWS, CC.ROWS_PER_RANGE
-    CC.SINGLE_WINDOW_ROWS, CC.ROWS_PER_RANGE = 5, 17
-    try:
-        many = sorted(tuple(r) for r in H.spearman_matrix(df, ["a", "b", "c"]).collect())
-    finally:
-        CC.SINGLE_WINDOW_ROWS, CC.ROWS_PER_RANGE = old
-    assert one == many
-    import pandas as pd
-    pdf = pd.DataFrame(rows, columns=["a", "b", "c"])
-    ref = pdf.corr(method="spearman")
-    got = {(r[0], r[1]): r[3] for r in one}
+    got = {(r[0], r[1]): r[3] for r in H.spearman_matrix(df, ["a", "b", "c"]).collect()}
+    ref = pd.DataFrame(rows, columns=["a", "b", "c"]).corr(method="spearman")
     assert abs(got[("a", "b")] - round(ref.loc["a", "b"], 6)) < 1e-6
     assert abs(got[("b", "c")] - round(ref.loc["b", "c"], 6)) < 1e-6
+
+
+def test_counts_beyond_64_bit_products(spark):
+    """Value tables with counts of 1e11: products of counts exceed 64 bits."""
+    big = 10 ** 11
+    vct = spark.createDataFrame([(0.0, big, 0, 0.0), (1.0, big, big, float(big)), (3.0, 2 * big, 2 * big, 7.0 * big)],
+                                "v double, c long, a long, cum_sum double")
+    s = C._sums(C._with_n(vct)).first()
+    # limit of the index for many records: 1 - 2 * area under the Lorenz line
+    area = 0.25 * (1 / 7) / 2 + 0.5 * (1 / 7 + 1) / 2
+    assert abs((1 - 2 * s.T0 / ((s.N - 1) * s.S)) - (1 - 2 * area)) < 1e-9
+    assert abs((1 - 2 * ((s.T1 / s.S - (s.xmin / s.S + 1) / 2) / s.N)) - (1 - 2 * area)) < 1e-9
+
+
+def test_gini_impurity_of_large_counts(spark, monkeypatch):
+    from regmine.operators import stats as G
+    counts = spark.createDataFrame([("a", 10 ** 11), ("b", 3 * 10 ** 11)], "value string, c long")
+    monkeypatch.setattr(G, "_proportions", lambda *a: counts)
+    assert G.gini_impurity(counts, "value").first().gini == 0.375
+
+
+def test_numeric_category_correlation_with_a_large_mean(spark):
+    rows = [(1e9 + i % 2, "odd" if i % 2 else "even") for i in range(1000)]
+    got = {r.category: r.r for r in H.numeric_category_correlation(
+        spark.createDataFrame(rows, "x double, k string"), "x", "k").collect()}
+    assert got == {"odd": 1.0, "even": -1.0}
+
+
+def test_report_counts_a_class_that_is_only_predicted(spark):
+    from regmine.operators import classify as J
+    pred = spark.createDataFrame([("a", "a"), ("a", "c"), ("b", "b")], "y string, predicted string")
+    rep = {r["class"]: r for r in J.classification_report(pred, "y").collect()}
+    assert rep["c"].support == 0 and rep["c"].precision == 0.0
+    assert rep["macro avg"].precision == 0.666667
+
+
+def test_csv_by_header_name_quotes_and_malformed_rows(spark, tmp_path):
+    from regmine.sources import io as IO
+    p = tmp_path / "in.csv"
+    p.write_text('B,A,C\nb1,"x ""q"", y",\nb2,NA,"c,2"\n')
+    got = [tuple(r) for r in IO.read_registry_text(spark, str(p), ["A", "B"]).collect()]
+    assert got == [('x "q", y', "b1"), ("NA", "b2")]
+    assert [r.A for r in IO.read_registry(spark, str(p), ["A"]).collect()] == ['x "q", y', None]
+    with pytest.raises(ValueError):
+        IO.read_registry_text(spark, str(p), ["A", "Z"])
+    p.write_text("A,B\na1,b1\na2,b2,extra\na3\n")
+    rep = {r.A: r._malformed for r in IO.read_registry_text(spark, str(p), ["A", "B"], malformed="report").collect()}
+    assert rep["a1"] is None and rep["a2"] == "a2,b2,extra" and rep["a3"] == "a3"
+    with pytest.raises(Exception):
+        IO.read_registry_text(spark, str(p), ["A", "B"]).collect()
+    df = spark.createDataFrame([('say ""hi""', ' a, "b" '), ("", None)], "A string, B string")
+    IO.write_csv(df, str(tmp_path / "out"))
+    back = sorted(map(tuple, IO.read_registry_text(spark, str(tmp_path / "out"), ["A", "B"]).collect()), key=repr)
+    assert back == sorted(map(tuple, df.collect()), key=repr)
+
+
+def test_dummy_items_long_form(spark):
+    df = spark.createDataFrame([(1, "a"), (2, None), (3, "b")], "i long, k string")
+    assert sorted(map(tuple, H.dummy_items(df, "i", "k").collect())) == [(1, "k_a"), (3, "k_b")]
