@@ -137,13 +137,20 @@ def class_weights(df: DataFrame, label: str) -> DataFrame:
 
 
 def train_forest(train: DataFrame, features: list[str], label: str, num_trees: int = 100,
-                 max_depth: int = 12, max_bins: int = 64, seed: int = 42,
+                 max_depth: int = 12, max_bins: int | None = None, seed: int = 42,
                  weight_col: str | None = "weight", subsampling_rate: float = 1.0):
     """Random forest on numeric feature columns (label-encoded codes are
-    plain doubles, i.e. ordinal).  Returns (fitted PipelineModel)."""
+    plain doubles, i.e. ordinal).  Returns (fitted PipelineModel).
+
+    ``max_depth`` bounds the trees (the library allows at most 30); by default
+    ``max_bins`` is the largest number of codes of a feature, so every code can
+    be a threshold."""
     from pyspark.ml import Pipeline
     from pyspark.ml.classification import RandomForestClassifier
     from pyspark.ml.feature import StringIndexer, VectorAssembler
+    if max_bins is None:
+        top = train.agg(*[F.max(c).alias(c) for c in features]).first()
+        max_bins = max([64, *[int(v) + 2 for v in top if v is not None]])
     lab = StringIndexer(inputCol=label, outputCol="label", stringOrderType="alphabetAsc")
     vec = VectorAssembler(inputCols=features, outputCol="features", handleInvalid="keep")
     rf = RandomForestClassifier(featuresCol="features", labelCol="label", numTrees=num_trees,
@@ -171,8 +178,9 @@ def confusion_matrix(pred: DataFrame, label: str, predicted: str = "predicted")
 
 
 def classification_report(pred: DataFrame, label: str, predicted: str = "predicted") -> DataFrame:
-    """J8 + J9: precision, recall, F1, support per class, then accuracy,
-    macro and weighted averages (undefined ratios -> 0)."""
+    """J8 + J9: precision, recall, F1, support per class -- the classes of both
+    sides, so one that is only predicted has support 0 and counts in the macro
+    average -- then accuracy, macro and weighted averages (undefined ratios -> 0)."""
     cm = confusion_matrix(pred, label, predicted)
     act = cm.groupBy(F.col("actual").alias("cls")).agg(F.sum("count").alias("support"),
                                                       F.sum(F.when(F.col("actual") == F.col("predicted"),
@@ -187,7 +195,6 @@ def classification_report(pred: DataFrame, label: str, predicted: str = "predict
     f1 = F.coalesce(try_ratio(2 * p * r, p + r), z)
     per = per.select(F.col("cls").alias("class"), p.alias("precision"), r.alias("recall"),
                      f1.alias("f1"), F.col("support").cast("long").alias("support"), "tp")
-    per = per.where(F.col("support") > 0)
     summ = per.agg(F.sum("support").alias("n"), F.sum("tp").alias("tp"),
                    F.avg("precision").alias("mp"), F.avg("recall").alias("mr"), F.avg("f1").alias("mf"),
                    F.sum(F.col("precision") * F.col("support")).alias("wp"),

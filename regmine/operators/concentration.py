@@ -18,34 +18,17 @@ from pyspark.sql import functions as F
 from regmine.functions.numeric import scalars, r6, try_ratio
 
 
-# Compressed tables up to this many rows take their running sums in one
-# window; larger ones (high-cardinality real measures) use the range-
-# partitioned form below.
-SINGLE_WINDOW_ROWS = 2_000_000
-ROWS_PER_RANGE = 1_000_000
-
-
-def running_sums(table: DataFrame, order, cols: list[str],
-                 max_single: int | None = None, rows_per_range: int | None = None) -> DataFrame:
+def running_sums(table: DataFrame, order, cols: list[str]) -> DataFrame:
     """Inclusive running sums ``cum_<c>`` of ``cols`` in ``order`` (a column
     name or list of names forming a unique key).
 
-    Small tables: one window.  Large tables: range-partition on the key
-    (checkpointed, so the partition of each row is fixed), per-partition
-    totals (one row per partition), their exclusive prefix sums broadcast back
-    as offsets, and a window inside each range partition -- no single task
-    ever holds more than one range."""
-    from regmine.session import materialize as _checkpoint
-    max_single = SINGLE_WINDOW_ROWS if max_single is None else max_single
-    rows_per_range = ROWS_PER_RANGE if rows_per_range is None else rows_per_range
+    Range-partition on the key (written, so the partition of each row is
+    fixed), per-partition totals (one row per partition), their exclusive
+    prefix sums broadcast back as offsets, and a window inside each range
+    partition -- no single task ever holds more than one range."""
+    from regmine.session import materialize
     order = [order] if isinstance(order, str) else list(order)
-    n = table.limit(max_single + 1).count()
-    if n <= max_single:
-        w = Window.orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-        return table.select("*", *[F.sum(c).over(w).alias(f"cum_{c}") for c in cols])
-    parts = max(2, -(-table.count() // rows_per_range))
-    ranged = _checkpoint(table.repartitionByRange(parts, *order)
-                         .withColumn("__pid", F.spark_partition_id()))
+    ranged = materialize(table.repartitionByRange(*order).withColumn("__pid", F.spark_partition_id()))
     tot = ranged.groupBy("__pid").agg(*[F.sum(c).alias(f"__t_{c}") for c in cols])
     wp = Window.orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)
     offs = tot.select("__pid", *[F.coalesce(F.sum(f"__t_{c}").over(wp), F.lit(0)).alias(f"__o_{c}")
@@ -57,7 +40,7 @@ def running_sums(table: DataFrame, order, cols: list[str],
                                       for c in cols])
 
 
-def value_counts_table(df: DataFrame, col: str, max_single: int | None = None) -> DataFrame:
+def value_counts_table(df: DataFrame, col: str) -> DataFrame:
     """(v, c, a, cum_sum): counts per distinct value, records strictly before
     v and the running total of the measure up to and including v."""
     from regmine.session import materialize as _checkpoint
@@ -66,17 +49,19 @@ def value_counts_table(df: DataFrame, col: str, max_single: int | None = None) -
     # (size check, totals, running sums) reads its checkpoint
     vc = _checkpoint(df.where(x.isNotNull()).groupBy(x.cast("double").alias("v")).agg(
         F.count(F.lit(1)).alias("c")).withColumn("vc", F.col("v") * F.col("c")))
-    rs = running_sums(vc, "v", ["c", "vc"], max_single=max_single)
+    rs = running_sums(vc, "v", ["c", "vc"])
     return rs.select("v", "c", (F.col("cum_c") - F.col("c")).alias("a"),
                      F.col("cum_vc").alias("cum_sum"))
 
 
 def _sums(vct: DataFrame) -> DataFrame:
-    n_before = F.col("c") * F.col("a") + F.col("c") * (F.col("c") + 1) / 2.0
+    # doubles before any product: counts of 1e10 and more would overflow 64 bits
+    c, a = F.col("c").cast("double"), F.col("a").cast("double")
+    n_before = c * a + c * (c + 1) / 2.0
     return vct.agg(F.sum("c").cast("double").alias("N"),
                    F.sum(F.col("v") * F.col("c")).alias("S"), F.min("v").alias("xmin"),
-                   F.sum(F.col("v") * (F.col("c") * F.col("__n") - n_before)).alias("T0"),
-                   F.sum(F.col("v") * (F.col("c") * (F.col("__n") + 1) - n_before)).alias("T1"))
+                   F.sum(F.col("v") * (c * F.col("__n") - n_before)).alias("T0"),
+                   F.sum(F.col("v") * (c * (F.col("__n") + 1) - n_before)).alias("T1"))
 
 
 def _with_n(vct: DataFrame) -> DataFrame:

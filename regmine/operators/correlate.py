@@ -16,24 +16,23 @@ from pyspark.sql import functions as F
 from regmine.functions.numeric import scalars, r6
 
 
-MAX_DUMMIES = 1000
-
-
 def dummies(df: DataFrame, col: str, prefix: str | None = None,
-            values: list[str] | None = None, max_values: int = MAX_DUMMIES) -> DataFrame:
+            values: list[str] | None = None) -> DataFrame:
     """H1: one 0/1 column per listed value; null -> all zeros.  Without
-    ``values`` the distinct values are read (bounded: more than ``max_values``
-    raises -- use the long form of H3/K7 or a sparse OneHotEncoder instead)."""
+    ``values`` all distinct values are listed (a wide table has a column for
+    each by definition; ``dummy_items`` is the sparse form for any number)."""
     prefix = prefix or col
     if values is None:
-        found = [r[0] for r in df.where(F.col(col).isNotNull()).select(col).distinct()
-                 .limit(max_values + 1).collect()]
-        if len(found) > max_values:
-            raise ValueError(f"{col} has more than {max_values} distinct values; "
-                             "use flag_category_correlation / a sparse encoder instead")
-        values = sorted(found)
-    return df.withColumns({f"{prefix}_{v}": F.coalesce((F.col(col) == v).cast("int"), F.lit(0))
-                           for v in values})
+        values = sorted(r[0] for r in df.where(F.col(col).isNotNull()).select(col).distinct().collect())
+    return df.select("*", *[F.coalesce((F.col(col) == v).cast("int"), F.lit(0)).alias(f"{prefix}_{v}")
+                            for v in values])
+
+
+def dummy_items(df: DataFrame, id_col: str, col: str, prefix: str | None = None) -> DataFrame:
+    """H1 (sparse): one (id, dummy) row per non-null value, whatever the number
+    of distinct values."""
+    return df.where(F.col(col).isNotNull()).select(
+        id_col, F.concat(F.lit(f"{prefix or col}_"), F.col(col).cast("string")).alias("dummy"))
 
 
 def _pearson(x: Column, y: Column) -> list[Column]:
@@ -97,16 +96,17 @@ def numeric_category_correlation(df: DataFrame, num: str, col: str) -> DataFrame
     from regmine.session import materialize as _checkpoint
     x = F.col(num).cast("double")
     base = df.where(x.isNotNull())
-    # one pass: per-category n, sum and sum of squares (null category kept
-    # for the totals)
+    # one pass: per-category n, mean and variance (null category kept for the
+    # totals); centred quantities, so a large mean does not cancel
     allg = _checkpoint(base.groupBy(F.col(col).alias("category"))
-                       .agg(F.count(F.lit(1)).cast("double").alias("no"), F.sum(x).alias("So"),
-                            F.sum(x * x).alias("Qo")))
-    tot = scalars(allg.agg(F.sum("no").alias("N"), F.sum("So").alias("S"), F.sum("Qo").alias("Q")))
+                       .agg(F.count(F.lit(1)).cast("double").alias("no"), F.avg(x).alias("mo"),
+                            F.var_pop(x).alias("vo")))
+    mean = scalars(allg.agg(F.sum("no").alias("N"), (F.sum(F.col("no") * F.col("mo")) / F.sum("no")).alias("m")))
+    N, m = mean["N"], mean["m"]
+    between = (F.col("mo") - m) * (F.col("mo") - m)
+    sd = scalars(allg.agg(F.sqrt(F.sum(F.col("no") * (F.col("vo") + between)) / F.sum("no")).alias("sd")))["sd"]
     g = allg.where(F.col("category").isNotNull())
-    N, S, Q = tot["N"], tot["S"], tot["Q"]
-    r = F.try_divide(N * F.col("So") - F.col("no") * S,
-                     F.sqrt(F.col("no") * (N - F.col("no")) * (N * Q - S * S)))
+    r = F.try_divide((F.col("mo") - m) * F.sqrt(F.try_divide(F.col("no"), N - F.col("no"))), sd)
     return g.select("category", F.col("no").cast("long").alias("n"), r6(r).alias("r")).orderBy(
         F.desc_nulls_last("r"), "category")
 
@@ -143,7 +143,8 @@ def spearman_matrix(df: DataFrame, cols: list[str]) -> DataFrame:
             .alias(out))
 
     n = joint.groupBy("p").agg(F.sum("c").alias("n"))
-    j = joint.join(ranks("va", "ra"), ["p", "va"]).join(ranks("vb", "rb"), ["p", "vb"]).join(n, "p")
+    j = joint.join(ranks("va", "ra"), ["p", "va"]).join(ranks("vb", "rb"), ["p", "vb"])\
+        .join(F.broadcast(n), "p")  # one row per pair of columns
     mid = (F.col("n") + 1) / 2.0
     da, db = F.col("ra") - mid, F.col("rb") - mid
     agg = j.groupBy("p").agg(F.first("n").alias("n"), F.sum(F.col("c") * da * db).alias("sab"),

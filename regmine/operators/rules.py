@@ -147,7 +147,7 @@ def max_lift_by_term(rules: DataFrame, min_lift: float = 1.2) -> DataFrame:
                      F.filter(F.concat("antecedents", "consequents"),
                               lambda x: x.startswith("GRUPO_EDAD=")).alias("ages"))
     same = same.where(F.col("term") == F.col("term_r"))
-    return same.groupBy("term").agg(
+    rows = same.select("term", "lift", F.explode_outer("ages").alias("age"))
+    return rows.groupBy("term").agg(
         r6(F.max("lift")).alias("max_lift"),
-        F.array_join(F.array_sort(F.array_distinct(F.flatten(F.collect_list("ages")))), ", ")
-        .alias("age_groups"))
+        F.array_join(F.array_sort(F.collect_set("age")), ", ").alias("age_groups"))

@@ -211,7 +211,7 @@ def diversity(df: DataFrame, col: str, exclude: list[str] | None = None) -> Data
     (0 when one category) from the category count table."""
     vc = _proportions(df, col, exclude)
     t = vc.agg(F.sum("c").alias("n"), F.count(F.lit(1)).alias("k"),
-               F.sum(F.col("c") * F.col("c")).alias("ss"),
+               F.sum(F.col("c").cast("double") * F.col("c").cast("double")).alias("ss"),
                F.sum(F.col("c") * F.log2(F.col("c"))).alias("clc"))
     n = F.col("n").cast("double")
     h = F.log2(n) - F.col("clc") / n

@@ -7,7 +7,6 @@ the derived registry view) and, where SQL can express it, has an oracle in
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -19,7 +18,7 @@ from regmine.operators import (anomalies as K, block as B2, classify as J, clean
                                concentration as C, correlate as H, features as FE,
                                itemsets as I, profile as B, rules as R, stats as G)
 from regmine.plans import oracle as O
-from regmine.session import checkpoint_dir
+from regmine.session import remove, scratch
 from regmine.sources import io as IO
 from regmine.sources.registry import registry_view
 
@@ -85,32 +84,16 @@ def transactions(spark, sf):
     return I.to_transactions(mining(spark, sf), S.ITEM_COLUMNS, id_col=S.ID)
 
 
-_MEMO: dict = {}
-
-
 def transactions_years(spark, sf):
     """Earlier item set: status and calendar years instead of terms."""
     return I.to_transactions(FE.mining_table(raw(spark, sf), years=True), S.ITEM_COLUMNS_YEARS,
                              id_col=S.ID)
 
 
-def mined(spark, sf, algo: str = "apriori", literal: bool = True, years: bool = False):
-    """Frequent itemsets of the mining transactions (memoised per session;
-    the levels are checkpointed to the shared folder)."""
-    key = (spark.sparkContext.applicationId, sf, algo, literal, years)
-    if key not in _MEMO:
-        tx = transactions_years(spark, sf) if years else transactions(spark, sf)
-        if algo == "fpgrowth":
-            _MEMO[key] = I.fp_growth(tx, 0.02, 3)
-        else:
-            old = I.LITERAL_ITEMS
-            if not literal:
-                I.LITERAL_ITEMS = -1
-            try:
-                _MEMO[key] = I.apriori(tx, 0.02, 3)
-            finally:
-                I.LITERAL_ITEMS = old
-    return _MEMO[key]
+def mined(spark, sf, algo: str = "apriori", years: bool = False):
+    """Frequent itemsets of the mining transactions, mined anew in every query."""
+    tx = transactions_years(spark, sf) if years else transactions(spark, sf)
+    return I.fp_growth(tx, 0.02, 3) if algo == "fpgrowth" else I.apriori(tx, 0.02, 3)
 
 
 def rules(spark, sf, years: bool = False):
@@ -128,23 +111,33 @@ RAW_COLS = S.RAW_COLUMNS
 # ---- A: scans and sinks ----------------------------------------------------
 
 
-def _scratch(spark) -> str:
-    return f"{checkpoint_dir(spark).rstrip('/')}/regmine-io-{uuid.uuid4().hex}"
+def _csv_round_trip(spark, df, read):
+    """Write ``df`` as CSV to shared storage, read it back with ``read``; the
+    CSV goes when the result has been read."""
+    path = scratch(spark, "csv")
+    IO.write_csv(df, path)
+    out = I._checkpoint(read(path))
+    remove(spark, path)
+    return out
 
 
 @register("a1_read_registry", P_RAW + "SELECT * FROM registry")
 def a1(spark, sf):
     """Write the registry as CSV to shared storage, scan it back (A1)."""
-    path = _scratch(spark)
-    IO.write_csv(raw(spark, sf), path)
-    return IO.read_registry(spark, path)
+    return _csv_round_trip(spark, raw(spark, sf), lambda p: IO.read_registry(spark, p))
+
+
+@register("a1_read_registry_null_tokens", P_RAW + "SELECT " + ", ".join(
+    f"nullif({c}, 'SE DESCONOCE') AS {c}" for c in RAW_COLS) + " FROM registry")
+def a1t(spark, sf):
+    """A1 with another token read as null, columns in another order in the file."""
+    df = raw(spark, sf).select(*reversed(RAW_COLS))
+    return _csv_round_trip(spark, df, lambda p: IO.read_registry(spark, p, null_tokens=[S.UNKNOWN]))
 
 
 @register("a2_read_registry_text", P_RAW + "SELECT * FROM registry")
 def a2(spark, sf):
-    path = _scratch(spark)
-    IO.write_csv(raw(spark, sf), path)
-    return IO.read_registry_text(spark, path)
+    return _csv_round_trip(spark, raw(spark, sf), lambda p: IO.read_registry_text(spark, p))
 
 
 @register("a3_write_products", P_CLEAN + """
@@ -154,9 +147,22 @@ SELECT ID_VICTIMA, ORIGEN_REPORTE, FECHA_NACIMIENTO, strftime(FECHA_NACIMIENTO_D
   ESTATUS_VICTIMA, CVE_ENT, ENTIDAD, CVE_MUN, MUNICIPIO, confidencial_con_estado, confidencial_sin_estado
 FROM general""")
 def a3(spark, sf):
+    return _product(spark, sf, "general", "parquet")
+
+
+def _product(spark, sf, name, fmt):
+    """Both products written, one read back."""
     g, t = E.export_products(raw(spark, sf))
-    out = IO.write_products({"general": g, "temporal": t}, _scratch(spark), fmt="parquet")
-    return IO.read_product(spark, out["general"])
+    path = scratch(spark, "products")
+    out = IO.write_products({"general": g, "temporal": t}, path, fmt=fmt)
+    back = I._checkpoint(IO.read_product(spark, out[name], fmt, {"general": g, "temporal": t}[name].schema))
+    remove(spark, path)
+    return back
+
+
+@register("a3_write_products_csv_general", ORACLE["a3_write_products"])
+def a3cg(spark, sf):
+    return _product(spark, sf, "general", "csv")
 
 
 # ---- B: profiling (raw registry) --------------------------------------------
@@ -260,12 +266,14 @@ def b11(spark, sf):
     return B.duplicate_rows(raw(spark, sf))
 
 
-@register("b11_duplicate_rows_lineitem", """SELECT CAST(coalesce(sum(c - 1), 0) AS BIGINT) AS duplicates
-FROM (SELECT count(*) AS c FROM (SELECT l_orderkey, l_linenumber, l_returnflag, l_linestatus FROM lineitem)
-      GROUP BY l_orderkey, l_linenumber, l_returnflag, l_linestatus)""")
+_LINEITEM = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount",
+             "l_tax", "l_returnflag", "l_linestatus", "l_shipdate"]
+
+
+@register("b11_duplicate_rows_lineitem", f"""SELECT CAST(coalesce(sum(c - 1), 0) AS BIGINT) AS duplicates
+FROM (SELECT count(*) AS c FROM lineitem GROUP BY {', '.join(_LINEITEM)})""")
 def b11l(spark, sf):
-    li = spark.read.parquet(f"{sf}/lineitem.parquet")
-    return B.duplicate_rows(li.select("l_orderkey", "l_linenumber", "l_returnflag", "l_linestatus"))
+    return B.duplicate_rows(spark.read.parquet(f"{sf}/lineitem.parquet"))
 
 
 @register("b12_duplicate_keys", P_RAW + """SELECT CAST(coalesce(sum(c - 1), 0) AS BIGINT) AS duplicates
@@ -489,6 +497,11 @@ def e12t(spark, sf):
     return E.export_products(raw(spark, sf))[1]
 
 
+@register("a3_write_products_csv_temporal", ORACLE["e12_project_temporal"])
+def a3ct(spark, sf):
+    return _product(spark, sf, "temporal", "csv")
+
+
 @register("e13_export_summary", P_CLEAN + """
 SELECT 'general' AS product, count(*) AS n_rows, CAST(16 AS BIGINT) AS n_columns,
   CAST(sum(confidencial_con_estado) AS BIGINT) AS confidencial_con_estado,
@@ -729,18 +742,21 @@ dv AS (SELECT ENTIDAD AS value, count(*) AS c FROM general
 dt AS (SELECT sum(c) AS n, count(*) AS k, sum(c * c) AS ss, sum(c * log2(c)) AS clc FROM dv)""")
 
 
-@register("g13_gini_impurity", _DIV + "SELECT 'ENTIDAD' AS variable, round(1.0 - ss / (n * n), 6) AS gini FROM dt")
+@register("g13_gini_impurity", _DIV + """SELECT 'ENTIDAD' AS variable,
+  round(sum((c / n) * (1 - c / n)), 6) AS gini FROM dv, dt""")
 def g13(spark, sf):
     return G.gini_impurity(general(spark, sf), S.STATE, [S.UNKNOWN])
 
 
-@register("g14_shannon_entropy", _DIV + "SELECT 'ENTIDAD' AS variable, round(log2(n) - clc / n, 6) AS entropy FROM dt")
+@register("g14_shannon_entropy", _DIV + """SELECT 'ENTIDAD' AS variable,
+  round(-sum((c / n) * log2(c / n)), 6) AS entropy FROM dv, dt""")
 def g14(spark, sf):
     return G.shannon_entropy(general(spark, sf), S.STATE, [S.UNKNOWN])
 
 
 @register("g15_pielou_evenness", _DIV + """SELECT 'ENTIDAD' AS variable,
-  round(CASE WHEN k > 1 THEN (log2(n) - clc / n) / log2(k) ELSE 0.0 END, 6) AS evenness FROM dt""")
+  round(CASE WHEN any_value(k) > 1 THEN -sum((c / n) * log2(c / n)) / log2(any_value(k)) ELSE 0.0 END, 6) AS evenness
+  FROM dv, dt""")
 def g15(spark, sf):
     return G.pielou_evenness(general(spark, sf), S.STATE, [S.UNKNOWN])
 
@@ -752,30 +768,29 @@ def g16(spark, sf):
     return G.proportion_vs_uniform(general(spark, sf), S.STATE, [S.UNKNOWN])
 
 
+# record by record: sorted values and cumulative sums, no grouped closed form
 _CONC = O.with_ctes(O.REGISTRY, O.CLEAN, """
-cv AS (SELECT CAST(DIAS_REGISTRO AS DOUBLE) AS v, count(*) AS c FROM measures WHERE DIAS_REGISTRO IS NOT NULL GROUP BY 1),
-ca AS (SELECT v, c, sum(c) OVER (ORDER BY v ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) - c AS a,
-              sum(v * c) OVER (ORDER BY v ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS cs FROM cv),
-ct AS (SELECT CAST(sum(c) AS DOUBLE) AS N, sum(v * c) AS S, min(v) AS xmin FROM ca),
-cs AS (SELECT any_value(N) AS N, any_value(S) AS S, any_value(xmin) AS xmin,
-              sum(v * (c * N - (c * a + c * (c + 1) / 2.0))) AS T0,
-              sum(v * (c * (N + 1) - (c * a + c * (c + 1) / 2.0))) AS T1 FROM ca, ct)""")
+cr AS (SELECT CAST(DIAS_REGISTRO AS DOUBLE) AS v FROM measures WHERE DIAS_REGISTRO IS NOT NULL),
+ct AS (SELECT count(*) AS N, sum(v) AS S FROM cr),
+ca AS (SELECT v, row_number() OVER w AS i, sum(v) OVER w AS cum FROM cr
+       WINDOW w AS (ORDER BY v ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)),
+cq AS (SELECT i, i / N AS p, cum / S AS q, lag(cum / S) OVER (ORDER BY i) AS q0, N, S FROM ca, ct WHERE S <> 0)""")
 
 
-@register("g17_concentration_index", _CONC + """SELECT 'DIAS_REGISTRO' AS variable, CAST(N AS BIGINT) AS n,
-  round(CASE WHEN N >= 2 AND S <> 0 THEN 1.0 - 2.0 * T0 / ((N - 1) * S) END, 6) AS r FROM cs""")
+@register("g17_concentration_index", _CONC + """SELECT 'DIAS_REGISTRO' AS variable, (SELECT N FROM ct) AS n,
+  round((SELECT sum(p - q) / sum(p) FROM cq WHERE i < N), 6) AS r""")
 def g17(spark, sf):
     return C.concentration_index(measures(spark, sf), "DIAS_REGISTRO")
 
 
-@register("g18_lorenz_curve", _CONC + """SELECT 0.0 AS f, 0.0 AS q UNION ALL
-SELECT round((a + c) / N, 6) AS f, round(cs / S, 6) AS q FROM ca, ct""")
+@register("g18_lorenz_curve", _CONC + """SELECT 0.0::DOUBLE AS f, 0.0::DOUBLE AS q UNION ALL
+SELECT round(max(i) / any_value(N), 6), round(max(cum) / any_value(S), 6) FROM ca, ct GROUP BY v""")
 def g18(spark, sf):
     return C.lorenz_curve(measures(spark, sf), "DIAS_REGISTRO")
 
 
-@register("g19_concentration_trapezoid", _CONC + """SELECT 'DIAS_REGISTRO' AS variable, CAST(N AS BIGINT) AS n,
-  round(CASE WHEN N >= 2 AND S <> 0 THEN 1.0 - 2.0 * ((T1 / S - (xmin / S + 1) / 2.0) / N) END, 6) AS r FROM cs""")
+@register("g19_concentration_trapezoid", _CONC + """SELECT 'DIAS_REGISTRO' AS variable, (SELECT N FROM ct) AS n,
+  round((SELECT 1.0 - 2.0 * sum((q + q0) / 2.0 / N) FROM cq WHERE i > 1), 6) AS r""")
 def g19(spark, sf):
     return C.concentration_trapezoid(measures(spark, sf), "DIAS_REGISTRO")
 
@@ -832,12 +847,11 @@ def h2(spark, sf):
 
 
 @register("h3_flag_category_correlation", O.with_ctes(O.REGISTRY, O.CLEAN, f"""
-hg AS (SELECT *, {_WH} AS ct FROM general),
-ht AS (SELECT CAST(count(*) AS DOUBLE) AS N, CAST(sum(ct) AS DOUBLE) AS nc FROM hg),
-hc AS (SELECT ORIGEN_REPORTE AS category, CAST(count(*) AS DOUBLE) AS no, CAST(sum(ct) AS DOUBLE) AS n11
-       FROM hg WHERE ORIGEN_REPORTE IS NOT NULL GROUP BY 1)""") + """
-SELECT category, CAST(no AS BIGINT) AS n,
-  round((N * n11 - no * nc) / nullif(sqrt(no * (N - no) * nc * (N - nc)), 0), 6) AS r FROM hc, ht""")
+hg AS (SELECT ORIGEN_REPORTE AS o, {_WH} AS ct FROM general),
+hc AS (SELECT o AS category, count(*) AS n FROM hg WHERE o IS NOT NULL GROUP BY 1)""") + """
+SELECT category, any_value(n) AS n,
+  round(CASE WHEN stddev_pop(ct) > 0 AND stddev_pop(CAST(o IS NOT DISTINCT FROM category AS INTEGER)) > 0
+        THEN corr(ct, CAST(o IS NOT DISTINCT FROM category AS INTEGER)) END, 6) AS r FROM hg, hc GROUP BY category""")
 def h3(spark, sf):
     return H.flag_category_correlation(B2.withheld_total(general(spark, sf)), "confidencial_total", S.SOURCE)
 
@@ -874,12 +888,11 @@ def k2(spark, sf):
 
 
 @register("k7_numeric_category_correlation", O.with_ctes(O.REGISTRY, O.CLEAN, """
-kb AS (SELECT ENTIDAD, CAST(DIAS_REGISTRO AS DOUBLE) AS x FROM measures WHERE DIAS_REGISTRO IS NOT NULL),
-kt AS (SELECT CAST(count(*) AS DOUBLE) AS N, sum(x) AS S, sum(x * x) AS Q FROM kb),
-kc AS (SELECT ENTIDAD AS category, CAST(count(*) AS DOUBLE) AS no, sum(x) AS So FROM kb
-       WHERE ENTIDAD IS NOT NULL GROUP BY 1)""") + """
-SELECT category, CAST(no AS BIGINT) AS n,
-  round((N * So - no * S) / nullif(sqrt(no * (N - no) * (N * Q - S * S)), 0), 6) AS r FROM kc, kt""")
+kb AS (SELECT ENTIDAD AS o, CAST(DIAS_REGISTRO AS DOUBLE) AS x FROM measures WHERE DIAS_REGISTRO IS NOT NULL),
+kc AS (SELECT o AS category, count(*) AS n FROM kb WHERE o IS NOT NULL GROUP BY 1)""") + """
+SELECT category, any_value(n) AS n,
+  round(CASE WHEN stddev_pop(x) > 0 AND stddev_pop(CAST(o IS NOT DISTINCT FROM category AS INTEGER)) > 0
+        THEN corr(x, CAST(o IS NOT DISTINCT FROM category AS INTEGER)) END, 6) AS r FROM kb, kc GROUP BY category""")
 def k7(spark, sf):
     return H.numeric_category_correlation(measures(spark, sf), "DIAS_REGISTRO", S.STATE)
 
@@ -1006,8 +1019,7 @@ def i1(spark, sf):
 
 @register("i2_encode_transactions", P_ITEMS + "SELECT item, count(*) AS count FROM tx_items GROUP BY item")
 def i2(spark, sf):
-    enc, model = I.encode_transactions(transactions(spark, sf))
-    return I.item_totals(enc, model.vocabulary)
+    return I.item_totals(*I.encode_transactions(transactions(spark, sf)))
 
 
 @register("i3_frequent_items", P_ITEMS + "SELECT i1 AS item, freq FROM f1")
@@ -1043,13 +1055,11 @@ def i5(spark, sf):
 
 @register("i6_count_support", P_ITEMS + "SELECT i1 || ', ' || i2 AS itemset, freq FROM f2")
 def i6(spark, sf):
-    m = mined(spark, sf)
-    f1 = _level(spark, sf, 1)
-    items = [r[0] for r in f1.select(F.element_at("items", 1)).collect()]
-    txf = I._checkpoint(I.restrict_to_items(transactions(spark, sf), items))
-    cand = I.generate_candidates(f1, 2)
-    out = I.count_support(txf, cand, 2, m.min_count, width=len(S.ITEM_COLUMNS))
-    return out.select(F.array_join("items", ", ").alias("itemset"), "freq")
+    """Support of all candidate pairs, counted on the item texts themselves."""
+    tx = I._checkpoint(transactions(spark, sf).select("items"))
+    m = I.min_count_for(0.02, tx.count())
+    cand = I.generate_candidates(I.frequent_items(tx, m), 2)
+    return I.count_support(tx, cand, 2, m).select(F.array_join("items", ", ").alias("itemset"), "freq")
 
 
 @register("i7_apriori", _ITEMSET_SQL)
@@ -1059,7 +1069,9 @@ def i7(spark, sf):
 
 @register("i8_apriori_join_path", _ITEMSET_SQL)
 def i8(spark, sf):
-    return _itemset_out(mined(spark, sf, literal=False).itemsets)
+    """Apriori on a repartitioned copy of the transactions: the same sets."""
+    tx = transactions(spark, sf).select("items").repartition("items")
+    return _itemset_out(I.apriori(tx, 0.02, 3).itemsets)
 
 
 @register("i9_fp_growth", _ITEMSET_SQL)
@@ -1163,12 +1175,9 @@ def model_table(spark, sf):
 
 
 def split_table(spark, sf):
-    """Stratified 80/20 split of the model table, checkpointed once: train and
-    test parts, weights, encoders and reports all read the same copy."""
-    key = (spark.sparkContext.applicationId, sf, "split")
-    if key not in _MEMO:
-        _MEMO[key] = I._checkpoint(J.stratified_split(model_table(spark, sf), _LABEL, 0.2, 42, S.ID))
-    return _MEMO[key]
+    """Stratified 80/20 split of the model table, written once per query: train
+    and test parts, weights, encoders and reports all read the same copy."""
+    return I._checkpoint(J.stratified_split(model_table(spark, sf), _LABEL, 0.2, 42, S.ID))
 
 
 _SPLIT_SQL = O.with_ctes(O.REGISTRY, O.MINING, """
@@ -1229,22 +1238,13 @@ def j5(spark, sf):
     return J.class_weights(split_table(spark, sf).where(F.col(J.SPLIT) == "train"), _LABEL)
 
 
-_FOREST: dict = {}
-
-
-def forest(spark, sf, features=None, name="model1"):
-    """Forest on label-encoded item features with balanced weights
-    (memoised per session; model metadata is bounded by the feature count)."""
+def forest(spark, sf, features=None):
+    """Forest on label-encoded item features with balanced weights."""
     feats = features or _FEATS
-    key = (spark.sparkContext.applicationId, sf, name)
-    if key not in _FOREST:
-        enc, _ = J.label_encode(split_table(spark, sf), feats)
-        train = J.balanced_weights(enc.where(F.col(J.SPLIT) == "train"), _LABEL)
-        test = enc.where(F.col(J.SPLIT) == "test")
-        model = J.train_forest(train, [c + "_idx" for c in feats], _LABEL, num_trees=100,
-                               max_depth=12, seed=42)
-        _FOREST[key] = (model, test, feats)
-    return _FOREST[key]
+    enc, _ = J.label_encode(split_table(spark, sf), feats)
+    train = J.balanced_weights(enc.where(F.col(J.SPLIT) == "train"), _LABEL)
+    model = J.train_forest(train, [c + "_idx" for c in feats], _LABEL, num_trees=100, max_depth=12, seed=42)
+    return model, enc.where(F.col(J.SPLIT) == "test"), feats
 
 
 @register("j6_train_forest")
@@ -1288,8 +1288,7 @@ per AS (SELECT c AS class,
 pr AS (SELECT class, support, tp,
           coalesce(CAST(tp AS DOUBLE) / nullif(npred, 0), 0.0) AS precision,
           coalesce(CAST(tp AS DOUBLE) / nullif(support, 0), 0.0) AS recall FROM per),
-pf AS (SELECT *, coalesce(2 * precision * recall / nullif(precision + recall, 0), 0.0) AS f1 FROM pr
-       WHERE support > 0)
+pf AS (SELECT *, coalesce(2 * precision * recall / nullif(precision + recall, 0), 0.0) AS f1 FROM pr)
 """
 
 
@@ -1315,7 +1314,7 @@ def j9(spark, sf):
 @register("j10_feature_importance")
 def j10(spark, sf):
     feats = [c for c in _FEATS if c != S.MUNI]
-    model, _, _ = forest(spark, sf, feats, "model2")
+    model, _, _ = forest(spark, sf, feats)
     return J.feature_importance(model, feats)
 
 
@@ -1323,7 +1322,7 @@ def j10(spark, sf):
 def j11(spark, sf):
     reps = {}
     for name, feats in [("model1", _FEATS), ("model2", [c for c in _FEATS if c != S.MUNI])]:
-        model, test, _ = forest(spark, sf, feats, name)
+        model, test, _ = forest(spark, sf, feats)
         reps[name] = J.classification_report(J.predict(model, test, _LABEL), _LABEL)
     reps["group_majority"] = J.classification_report(_rule_pred(spark, sf), _LABEL)
     return J.compare_models(reps, "NO LOCALIZADA")
@@ -1366,12 +1365,6 @@ def q0(spark, sf):
         r6(F.avg("DIAS_REGISTRO")).alias("mean_delay"), r6(F.median("DIAS_REGISTRO")).alias("median_delay"))
 
 
-def reset_memo() -> None:
-    """Forget memoised mining results and models (benchmarks time them anew)."""
-    _MEMO.clear()
-    _FOREST.clear()
-
-
 _M3_CATS = [S.SOURCE, S.SEX, S.STATE]
 
 
@@ -1379,15 +1372,12 @@ def forest_model3(spark, sf):
     """J6 model 3: clean general product (withheld rows kept, so the target
     has three classes and the withheld sentinel leaks through SEXO), one-hot
     institution / sex / state plus imputed age and delay, 70/30 random split."""
-    key = (spark.sparkContext.applicationId, sf, "model3")
-    if key not in _FOREST:
-        g = FE.delay_imputed(FE.age_floor_imputed(general(spark, sf)))
-        g = g.select(S.ID, _LABEL, *_M3_CATS, "EDAD", "RETRASO_REGISTRO")
-        sp = J.random_split(g, 0.3, 42, S.ID)
-        train = J.balanced_weights(sp.where(F.col(J.SPLIT) == "train"), _LABEL)
-        model, names = J.train_forest_onehot(train, _M3_CATS, ["EDAD", "RETRASO_REGISTRO"], _LABEL)
-        _FOREST[key] = (model, sp.where(F.col(J.SPLIT) == "test"), names)
-    return _FOREST[key]
+    g = FE.delay_imputed(FE.age_floor_imputed(general(spark, sf)))
+    g = g.select(S.ID, _LABEL, *_M3_CATS, "EDAD", "RETRASO_REGISTRO")
+    sp = I._checkpoint(J.random_split(g, 0.3, 42, S.ID))
+    train = J.balanced_weights(sp.where(F.col(J.SPLIT) == "train"), _LABEL)
+    model, names = J.train_forest_onehot(train, _M3_CATS, ["EDAD", "RETRASO_REGISTRO"], _LABEL)
+    return model, sp.where(F.col(J.SPLIT) == "test"), names
 
 
 @register("j6_forest_model3_importance")

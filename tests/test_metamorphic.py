@@ -60,11 +60,9 @@ def test_queries_invariant_to_shuffle_partitions(spark):
     try:
         for parts in ("1", "13"):
             spark.conf.set("spark.sql.shuffle.partitions", parts)
-            CAT.reset_memo()
             results[parts] = {n: sorted(tuple(r) for r in CAT.QUERIES[n](spark, SF_SMALL).collect())
                               for n in names}
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", old)
-        CAT.reset_memo()
     for n in names:
         assert results["1"][n] == results["13"][n], n
