@@ -3,8 +3,8 @@
 Splits are decided by an md5 hash of a stable key, so they do not change
 with partitioning or task retries.  The exact per-class cut never sorts a
 whole class in one task: rows are counted per (class, hash bucket), running
-sums run over the small bucket table, and only the one boundary bucket of
-each class is ranked row by row.
+sums run over the bucket table, and only the one bucket of each class that holds
+its cut is ranked; all rows are then compared with the cut.
 """
 
 from __future__ import annotations
@@ -64,30 +64,21 @@ def stratified_split(df: DataFrame, label: str | None, test_frac: float = 0.2, s
     shared among classes as floor(n_test * n_c / N) plus one extra row for the
     largest remainders (ties by class); within a class the rows with the
     smallest hash of (id, seed) go to test.  ``label=None`` -> unstratified.
-    ``bucket_digits`` is the minimum number of hex digits of the hash bucket;
-    it grows with the largest class (see below)."""
+    Ids are unique; ``bucket_digits`` is the least number of hex digits of the
+    hash bucket, it grows with the largest class.
+
+    The source is read twice: once for the narrow (class, hash, id) table, from
+    which each class's cut -- the hash and id of its last test row -- is found
+    by bucket counts and one ranked bucket per class, and once for the rows,
+    which are compared with their class's cut."""
     import math
-    from regmine.session import materialize as _checkpoint
-    cls = F.col(label).cast("string") if label else F.lit("")
-    h = _hash(id_col, seed)
-
-    def bucket_counts(digits: int):
-        r = df.withColumns({"__cls": F.coalesce(cls, F.lit("\u0000null")), "__h": h,
-                            "__b": F.substring(h, 1, digits)})
-        return r, _checkpoint(r.groupBy("__cls", "__b").agg(F.count(F.lit(1)).alias("__bn")))
-
-    # Pass 1: counts per (class, hash bucket) -- a table of at most
-    # classes x 16^digits rows, checkpointed; every total derives from it.
-    rows, bk = bucket_counts(bucket_digits)
-    # The boundary bucket holds ~n_c / 16^d rows and the bucket table 16^d
-    # rows per class; 16^d ~ sqrt(n_c) balances the two.  Small data keeps
-    # the minimum; a large class triggers one recount with more digits.
-    n_max = bk.groupBy("__cls").agg(F.sum("__bn").alias("n")).agg(F.max("n")).first()[0] or 0
-    want = min(8, max(bucket_digits, math.ceil(math.log(max(n_max, 1)) / (2 * math.log(16)))))
-    if want > bucket_digits:
-        rows, bk = bucket_counts(want)
-    per = bk.groupBy("__cls").agg(F.sum("__bn").alias("__n"))
-    tot = float(per.agg(F.sum("__n")).first()[0] or 0)
+    from regmine.session import materialize
+    cls = F.coalesce(F.col(label).cast("string"), F.lit("\u0000null")) if label else F.lit("")
+    key = F.coalesce(F.col(id_col).cast("string"), F.lit(""))
+    keys = materialize(df.select(cls.alias("__cls"), _hash(id_col, seed).alias("__h"), key.alias("__key")))
+    per = materialize(keys.groupBy("__cls").agg(F.count(F.lit(1)).alias("__n")))
+    t = per.agg(F.sum("__n"), F.max("__n")).first()
+    tot, n_max = float(t[0] or 0), t[1] or 0
     n_test = F.ceil(F.lit(float(test_frac)) * F.lit(tot))
     exact = n_test * F.col("__n") / F.lit(tot)
     per = per.withColumns({"__base": F.floor(exact), "__frac": exact - F.floor(exact)})
@@ -95,22 +86,24 @@ def stratified_split(df: DataFrame, label: str | None, test_frac: float = 0.2, s
     wr = Window.orderBy(F.desc("__frac"), "__cls")  # one row per class
     per = per.withColumn("__t", (F.col("__base") + F.when(F.row_number().over(wr) <= rem, 1)
                                  .otherwise(0)).cast("long")).select("__cls", "__t")
-    # running sums over the bucket table, side of each bucket
+    # the ranked bucket holds ~n_c / 16^d rows and the bucket table 16^d rows per
+    # class; 16^d ~ sqrt(n_c) balances the two
+    digits = max(bucket_digits, math.ceil(math.log(max(n_max, 1)) / (2 * math.log(16))))
+    bucket = F.substring("__h", 1, digits)
     wb = Window.partitionBy("__cls").orderBy("__b").rowsBetween(Window.unboundedPreceding, 0)
-    bk = bk.withColumn("__cum", F.sum("__bn").over(wb)).join(per, "__cls")
-    bk = bk.select("__cls", "__b",
-                   F.when(F.col("__cum") <= F.col("__t"), F.lit("test"))
-                   .when(F.col("__cum") - F.col("__bn") >= F.col("__t"), F.lit("train"))
-                   .otherwise(F.lit("edge")).alias("__side"),
-                   (F.col("__t") - (F.col("__cum") - F.col("__bn"))).alias("__take"))
-    # Pass 2: assign rows; only the boundary bucket of each class is ranked.
-    j = rows.join(broadcast_checked(bk), ["__cls", "__b"])
-    whole = j.where(F.col("__side") != "edge").withColumn(SPLIT, F.col("__side"))
-    edge = j.where(F.col("__side") == "edge")
-    we = Window.partitionBy("__cls", "__b").orderBy("__h", F.col(id_col).cast("string"))
-    edge = edge.withColumn(SPLIT, F.when(F.row_number().over(we) <= F.col("__take"), F.lit("test"))
-                           .otherwise(F.lit("train")))
-    return whole.unionByName(edge).drop("__cls", "__h", "__b", "__side", "__take")
+    edge = (keys.groupBy("__cls", bucket.alias("__b")).agg(F.count(F.lit(1)).alias("__bn"))
+            .withColumn("__cum", F.sum("__bn").over(wb)).join(per, "__cls")
+            .where((F.col("__cum") >= F.col("__t")) & (F.col("__cum") - F.col("__bn") < F.col("__t")))
+            .select("__cls", "__b", (F.col("__t") - F.col("__cum") + F.col("__bn")).alias("__take")))
+    we = Window.partitionBy("__cls").orderBy("__h", "__key")
+    cuts = (keys.withColumn("__b", bucket).join(broadcast_checked(edge), ["__cls", "__b"])
+            .withColumn("__rn", F.row_number().over(we)).where(F.col("__rn") == F.col("__take"))
+            .select("__cls", F.struct(F.col("__h").alias("h"), F.col("__key").alias("k")).alias("__cut")))
+    cuts = materialize(cuts)  # one row per class
+    rows = df.withColumn("__cls", cls).join(broadcast_checked(cuts), "__cls", "left")
+    mine = F.struct(_hash(id_col, seed).alias("h"), key.alias("k"))
+    return rows.withColumn(SPLIT, F.when(mine <= F.col("__cut"), F.lit("test")).otherwise(F.lit("train"))).drop(
+        "__cls", "__cut")
 
 
 def random_split(df: DataFrame, test_frac: float = 0.3, seed: int = 42,
