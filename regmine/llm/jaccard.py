@@ -21,7 +21,8 @@ Two rounds keep groups of copies from forming all pairs.  The first deals only
 the first two shingles and, in each group, keeps the most similar pairs that
 connect it (a spanning forest); verified links make components.  The second
 deals all prefix shingles, drops every group that lies in one component, and
-tests all remaining pairs of different components: no link is lost.
+tests all remaining pairs of different components where they first meet: no
+link is lost.
 
 Components come from alternating star contractions, all in DataFrames.  Texts are
 shingled anew where sets are needed instead of storing all sets.
@@ -49,9 +50,11 @@ SHARE = (80, 100)            # 100 * intersection >= 80 * union
 HOT_LIMIT = 500_000          # frequent shingles put last in the order (8 bytes each, broadcast)
 HOT_COUNT = 8                # fewest early appearances that make a shingle frequent
 PROBE = 20                   # 1/20 of a set's shingles are counted to find frequent ones
-LEAF = 16                    # sets per leaf
+LEAF = 32                    # sets per leaf
 FANOUT = 8                   # children per node
-RUN = 256                    # sets compared at a time where a group need only be connected
+RUN = 2048                   # sets compared at a time where a group need only be connected
+HUBS = 8                     # best connected sets of a run that also stand in the next one
+EARLIER = 8                  # prefix shingles before a group's own that are compared
 BLOCK = 2048                 # larger groups are split into blocks; every pair of blocks is compared
 TEXT_BLOCK = 1 << 20         # bytes hashed at a time
 BROADCAST_BYTES = 16 << 20   # ids are broadcast below this size, joined by a shuffle beyond
@@ -236,81 +239,110 @@ def _compare(a: _Tree, b: _Tree, sizes, maps, comps, blocks):
     if a is b:
         ok &= np.arange(a.lo, a.hi)[:, None] < np.arange(b.lo, b.hi)[None, :]
     i, j = np.nonzero(ok)
-    if not len(i):
-        return []
-    out = []
     i, j = i + a.lo, j + b.lo
-    width = np.array([min(len(maps[p]), len(maps[q])) for p, q in zip(i.tolist(), j.tolist())])
+    width = np.minimum([len(maps[p]) for p in i.tolist()], [len(maps[q]) for q in j.tolist()])
+    out = [(i[:0], j[:0], np.zeros(0))]
     for w in np.unique(width):
         p, q = i[width == w], j[width == w]
-        bp = np.stack([fold(maps[k], w) for k in p.tolist()])
-        bq = np.stack([fold(maps[k], w) for k in q.tolist()])
+        bp = np.stack([fold(maps[k], w) for k in range(a.lo, a.hi) if len(maps[k]) >= w])
+        bq = np.stack([fold(maps[k], w) for k in range(b.lo, b.hi) if len(maps[k]) >= w])
+        # sets are sorted by size, so those with narrower maps come first
+        bp, bq = bp[p - (a.hi - len(bp))], bq[q - (b.hi - len(bq))]
         common = np.bitwise_count(bp & bq).sum(axis=1).astype(np.int64)
         most = np.minimum(sizes[p] - np.bitwise_count(bp).sum(axis=1) + common,
                           sizes[q] - np.bitwise_count(bq).sum(axis=1) + common)
         good = most >= needed(sizes[p], sizes[q])
-        out.extend(zip(p[good].tolist(), q[good].tolist(), (most[good] / (sizes[p] + sizes[q])[good]).tolist()))
-    return out
+        out.append((p[good], q[good], most[good] / (sizes[p] + sizes[q])[good]))
+    return tuple(np.concatenate(x) for x in zip(*out))
 
 
 def candidates(sizes: np.ndarray, maps: list, comps: np.ndarray, blocks=None):
-    """Pairs (i, j, bound) of a group, sorted by size, that may link and lie in
-    different components: dual traversal of its signature tree."""
-    if len(maps) < 2:
-        return
-    root = signature_tree(sizes, maps)
-    stack = [(root, root)]
-    while stack:
-        a, b = stack.pop()
-        if a is not b and not _possible(a, b):
-            continue
-        if not a.children and not b.children:
-            yield from _compare(a, b, sizes, maps, comps, blocks)
-        elif a is b:
-            c = a.children
-            stack.extend((c[i], c[j]) for i in range(len(c)) for j in range(i, len(c)))
-        elif not b.children or (a.children and a.hi - a.lo >= b.hi - b.lo):
-            stack.extend((c, b) for c in a.children)
-        else:
-            stack.extend((a, c) for c in b.children)
-
-
-def _root(parent, i):
-    while parent[i] != i:
-        parent[i] = parent[parent[i]]
-        i = parent[i]
-    return i
-
-
-def _spanning(pairs, n):
-    """The most similar of ``pairs`` that connect what they connect."""
-    parent = list(range(n))
-    for i, j, _ in sorted(pairs, key=lambda x: -x[2]):
-        a, b = _root(parent, i), _root(parent, j)
-        if a != b:
-            parent[b] = a
-            yield i, j
+    """Pairs (i, j, bound; three arrays) of a group, sorted by size, that may
+    link and lie in different components: dual traversal of its signature
+    tree."""
+    found = [(np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0))]
+    if len(maps) > 1:
+        root = signature_tree(sizes, maps)
+        stack = [(root, root)]
+        while stack:
+            a, b = stack.pop()
+            if a is not b and not _possible(a, b):
+                continue
+            if not a.children and not b.children:
+                found.append(_compare(a, b, sizes, maps, comps, blocks))
+            elif a is b:
+                c = a.children
+                stack.extend((c[i], c[j]) for i in range(len(c)) for j in range(i, len(c)))
+            elif not b.children or (a.children and a.hi - a.lo >= b.hi - b.lo):
+                stack.extend((c, b) for c in a.children)
+            else:
+                stack.extend((a, c) for c in b.children)
+    return tuple(np.concatenate(x) for x in zip(*found))
+
+
+def _spanning(pairs, n: int):
+    """The most similar of ``pairs`` that connect what they connect (a maximum
+    spanning forest, grown set by set), and how often each set is used."""
+    i, j, score = pairs
+    weight = np.zeros((n, n), dtype=np.float32)
+    weight[i, j] = weight[j, i] = score
+    best, parent, left = np.zeros(n, dtype=np.float32), np.zeros(n, dtype=np.int64), np.ones(n, dtype=bool)
+    edges, degree = [], np.zeros(n, dtype=np.int64)
+    for _ in range(n):
+        v = int(np.where(left, best, -1).argmax())
+        if best[v] > 0:
+            edges.append((int(parent[v]), v))
+            degree[[v, parent[v]]] += 1
+        left[v] = False
+        nearer = weight[v] > best
+        best[nearer] = weight[v][nearer]
+        parent[nearer] = v
+    return edges, degree
+
+
+def _first_meeting(i, j, n, pos, earlier):
+    """Which pairs of a group may have its shingle as their first common one.
+    They share none of the EARLIER shingles before it (else they meet there),
+    and what follows it suffices for a link."""
+    if not len(i):
+        return np.zeros(0, dtype=bool)
+    rest = 1 + np.minimum(n[i] - 1 - pos[i], n[j] - 1 - pos[j])
+    ok = rest >= needed(n[i], n[j])
+    for at in range(0, len(i), 1 << 14):
+        s = slice(at, at + (1 << 14))
+        ok[s] &= ~(earlier[i[s]][:, :, None] == earlier[j[s]][:, None, :]).any(axis=(1, 2))
+    return ok
 
 
 def _group_pairs(spanning: bool):
     """Candidate pairs of the groups (token, p, q) of partitions sorted by group
-    and size; columns token, p, q, block, nid, n, comp, bits.  With
-    ``spanning`` a long group is worked off in runs of RUN sets that overlap in
-    one, which is enough to connect it."""
+    and size; columns token, p, q, block, nid, n, comp, bits, pos, earlier.
+    With ``spanning`` a group is only to be connected: long ones are worked off
+    in runs of RUN sets, the best connected sets of a run stand in the next."""
     def run(batches):
         group, held = None, []
 
         def flush():
             if len(held) < 2:
                 return []
-            block, nid, n, comp, bits = zip(*held)
+            block, nid, n, comp, bits, pos, earlier = zip(*held)
             comp = np.array(comp)
             if (comp == comp[0]).all():
                 return []
-            maps = [np.frombuffer(b, dtype="<u8") for b in bits]
-            pairs = candidates(np.array(n, dtype=np.int64), maps, comp,
+            n, m = np.array(n, dtype=np.int64), len(held)
+            pairs = candidates(n, [np.frombuffer(b, dtype="<u8") for b in bits], comp,
                                np.array(block) if group[1] != group[2] else None)
-            chosen = _spanning(pairs, len(held)) if spanning else ((i, j) for i, j, _ in pairs)
+            if spanning:
+                chosen, degree = _spanning(pairs, m)
+                held[:] = [held[k] for k in sorted(np.argsort(-degree, kind="stable")[:HUBS].tolist())]
+            else:
+                before = np.empty((m, EARLIER), dtype=np.int64)
+                before[:] = np.arange(m)[:, None]            # no shingle: equal to no other row's
+                for k, e in enumerate(earlier):
+                    before[k, :len(e)] = e
+                i, j, _ = pairs
+                ok = _first_meeting(i, j, n, np.array(pos, dtype=np.int64), before)
+                chosen = zip(i[ok].tolist(), j[ok].tolist())
             return [(min(nid[i], nid[j]), max(nid[i], nid[j])) for i, j in chosen]
 
         def batch(rows):
@@ -320,14 +352,14 @@ def _group_pairs(spanning: bool):
 
         for b in batches:
             out = []
-            for *key, block, nid, n, comp, bits in zip(*(b.column(i).to_pylist() for i in range(8))):
+            for *key, block, nid, n, comp, bits, pos, earlier in zip(*(b.column(i).to_pylist() for i in range(10))):
                 if key != group:
                     out += flush()
                     group, held = key, []
                 elif spanning and len(held) == RUN:
                     out += flush()
-                    held = held[-1:]
-                held.append((block, nid, n, comp, bits))
+                    held.sort(key=lambda r: r[2])
+                held.append((block, nid, n, comp, bits, pos, earlier))
                 if len(out) > 20_000:
                     yield batch(out)
                     out = []
@@ -511,8 +543,11 @@ def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
                     .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("k") - 1)))
                     .select("token", F.least("block", "other").alias("p"), F.greatest("block", "other").alias("q"),
                             "block", "nid", "n", "comp"))
-        full = rows.join(reps.select("nid", "bits"), "nid").select(
-            "token", "p", "q", "block", "nid", "n", "comp", "bits")
+        full = rows.join(reps.select("nid", "bits", "prefix"), "nid")
+        full = full.withColumn("at", F.array_position("prefix", F.col("token")).cast("int")).select(
+            "token", "p", "q", "block", "nid", "n", "comp", "bits", (F.col("at") - 1).alias("pos"),
+            F.slice("prefix", F.greatest(F.lit(1), F.col("at") - EARLIER),
+                    F.least(F.lit(EARLIER), F.col("at") - 1)).alias("earlier"))
         return (full.repartition("token", "p", "q").sortWithinPartitions("token", "p", "q", "n", "nid")
                 .mapInArrow(_group_pairs(spanning), "a bigint, b bigint"))
 

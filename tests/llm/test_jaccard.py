@@ -18,6 +18,12 @@ def shingles(text):
     return frozenset(tuple(w[i:i + 5]) for i in range(len(w) - 4))
 
 
+def root(parent, i):
+    while parent[i] != i:
+        i = parent[i]
+    return i
+
+
 def brute(rows):
     sets = [shingles(t) for _, t in rows]
     parent = list(range(len(rows)))
@@ -26,12 +32,12 @@ def brute(rows):
             a, b = sets[i], sets[j]
             if a and b and (a == b or rows[i][0] is not None and rows[j][0] is not None) \
                     and 100 * len(a & b) >= 80 * len(a | b):
-                parent[jaccard._root(parent, i)] = jaccard._root(parent, j)
+                parent[root(parent, i)] = root(parent, j)
     low = defaultdict(list)
     for i, (d, _) in enumerate(rows):
         if d is not None:
-            low[jaccard._root(parent, i)].append(d)
-    return sorted(((d if d is not None else -1), len(s), min(low[jaccard._root(parent, i)], default=-1))
+            low[root(parent, i)].append(d)
+    return sorted(((d if d is not None else -1), len(s), min(low[root(parent, i)], default=-1))
                   for i, ((d, _), s) in enumerate(zip(rows, sets)))
 
 
@@ -96,7 +102,8 @@ def test_tree_loses_no_pair():
             sets.append(np.unique(s))
     sets.sort(key=len)
     sizes = np.array([len(s) for s in sets])
-    got = {(i, j) for i, j, _ in jaccard.candidates(sizes, [jaccard.bitmap(s) for s in sets], np.arange(len(sets)))}
+    i, j, _ = jaccard.candidates(sizes, [jaccard.bitmap(s) for s in sets], np.arange(len(sets)))
+    got = set(zip(i.tolist(), j.tolist()))
     for i in range(len(sets)):
         for j in range(i + 1, len(sets)):
             both = len(np.intersect1d(sets[i], sets[j]))

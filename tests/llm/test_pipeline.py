@@ -2,8 +2,8 @@
 import corpus_pipeline
 from regmine.llm.common import write_shared
 
-from test_jaccard import brute as near_brute
-from test_secrets import all_spans
+from .test_jaccard import brute as near_brute
+from .test_secrets import all_spans
 
 
 def test_stages_on_documents(spark, sf):
