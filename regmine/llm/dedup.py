@@ -279,12 +279,21 @@ def exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
         "text_sha256", "part", "row")
 
 
+def _lower_hash(text_col: str):
+    """The text_sha256 of ``exact_duplicates`` as a column."""
+    upper = "".join(map(chr, range(65, 91)))
+    text = F.translate(F.coalesce(F.col(text_col).cast("string"), F.lit("")), upper, upper.lower())
+    return F.sha2(text, 256)
+
+
 def drop_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                     keep: str = "largest") -> DataFrame:
-    """``docs`` without the rows that ``exact_duplicates`` drops; all columns.
-    Ids must be unique for this filter (a repeated id keeps all its rows that
-    are not dropped as copies)."""
+    """``docs`` without the rows whose text another id keeps; all columns.
+    Rows are told apart by (id, text): rows that agree in both, null ids
+    included, are one document and stay together."""
     res = exact_duplicates(docs, id_col, text_col, keep)
-    gone = res.where(~F.col("kept") & (F.col("doc_id").isNull() | (F.col("doc_id") != F.col("keep_id"))))
-    gone = gone.select(F.col("doc_id").alias("_gone_id")).distinct()
-    return docs.join(gone, docs[id_col].eqNullSafe(gone["_gone_id"]), "left_anti")
+    gone = res.where(~F.col("doc_id").eqNullSafe(F.col("keep_id"))).select(
+        F.col("doc_id").alias("_gone_id"), F.col("text_sha256").alias("_gone_text")).distinct()
+    marked = docs.withColumn("_text_hash", _lower_hash(text_col))
+    same = marked[id_col].eqNullSafe(gone["_gone_id"]) & (marked["_text_hash"] == gone["_gone_text"])
+    return marked.join(gone, same, "left_anti").select(*docs.columns)

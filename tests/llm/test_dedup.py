@@ -57,10 +57,11 @@ def test_edges(spark, make_docs, monkeypatch):
 
 
 def test_drop(spark, make_docs):
-    docs = make_docs([(1, "a"), (2, "A"), (3, "b"), (None, None)])
+    docs = make_docs([(1, "a"), (2, "A"), (3, "b"), (None, None), (None, "B"), (None, "c"), (2, "z"), (4, "É"), (5, "é")])
     left = dedup.drop_duplicates(docs)
     assert left.columns == docs.columns
-    assert sorted((r.doc_id or 0) for r in left.collect()) == [0, 2, 3]
+    assert sorted(((r.doc_id or 0), r.text or "") for r in left.collect()) == [
+        (0, ""), (0, "c"), (2, "A"), (2, "z"), (3, "b"), (4, "É"), (5, "é")]
 
 
 def test_query_against_sql(spark, sf):
