@@ -299,6 +299,27 @@ class BytePairEncoding:
         return self.decode_bytes(np.asarray(ids, dtype=np.int64)).decode("utf-8", "replace")
 
 
+LONG_TEXT = 1 << 20          # characters; beyond it the linear-time encoder is used
+
+
+def library_encoder(path: str):
+    """text -> ids (uint32 array) by the tiktoken library on the same
+    vocabulary, for operators that need ids but are not about encoding; very
+    long texts go to the encoder above, whose time is linear in any case."""
+    import tiktoken
+    own = load(path)
+    special = set(own.specials.values())
+    lib = tiktoken.Encoding("ids", pat_str=own.pattern.pattern, special_tokens=own.specials,
+                            mergeable_ranks={t: i for i, t in enumerate(own.tokens) if i not in special})
+
+    def ids(text: str) -> np.ndarray:
+        if len(text) > LONG_TEXT:
+            return np.frombuffer(own.encode(text), dtype=INT32)
+        return lib.encode_to_numpy(text, allowed_special="all")
+
+    return ids
+
+
 def encode_documents(docs, tokenizer_path: str, id_col: str = "doc_id", text_col: str = "text",
                      with_ids: bool = False):
     """Encode and decode every text of ``docs``.

@@ -70,3 +70,12 @@ def test_table_edges_and_decode(spark, make_docs):
     back = {r.doc_id: r.text for r in bpe.decode_documents(out, tokenizer_path()).collect()}
     assert all(back[i] == (t or "") for i, t in enumerate(EDGES))
     assert bpe.encode_documents(docs.limit(0), tokenizer_path()).count() == 0
+
+
+def test_library_encoder_gives_the_same_ids(both, monkeypatch):
+    enc, _ = both
+    for limit in (bpe.LONG_TEXT, 3):
+        monkeypatch.setattr(bpe, "LONG_TEXT", limit)
+        ids = bpe.library_encoder(tokenizer_path())
+        for text in EDGES:
+            assert ids(text or "").tolist() == np.frombuffer(enc.encode(text), dtype="<u4").tolist()
