@@ -49,7 +49,9 @@ def write_shared(df: DataFrame, tag: str) -> DataFrame:
     executor costs only the tasks it had.  ``release`` removes the tables."""
     spark = df.sparkSession
     path = f"{checkpoint_dir(spark).rstrip('/')}/llm-{tag}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    # zstd works in pooled buffers; the default codec keeps direct memory per
+    # reader, which adds up over many small partitions
+    df.write.option("compression", "zstd").parquet(path)
     _WRITTEN.append(path)
     return spark.read.schema(df.schema).parquet(path)
 
