@@ -8,7 +8,7 @@ from regmine.plans.verify import compare, duck_connect
 
 from conftest import SF_SMALL
 
-SKIP = {"j6_train_forest", "j7_predict", "j8_forest_report", "j10_feature_importance", "j11_compare_models"}
+pytestmark = pytest.mark.usefixtures("shared_mining")
 
 
 @pytest.fixture(scope="module")

@@ -11,6 +11,8 @@ from regmine.plans.inspect import python_udf_nodes, single_partition_violations
 
 from conftest import SF_SMALL
 
+pytestmark = pytest.mark.usefixtures("shared_mining")
+
 FORESTS = {"j6_train_forest", "j7_predict", "j8_forest_report", "j10_feature_importance",
            "j11_compare_models", "j6_forest_model3_importance", "j8_forest_model3_report"}
 
