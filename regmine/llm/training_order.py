@@ -25,6 +25,7 @@ import zlib
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -70,7 +71,7 @@ def materialise(docs: DataFrame, tokenizer_path: str, key: int, stride: int = 10
     src = id_and_text(docs, id_col, text_col).select("text")
     folder = folder or shared_path(spark, "shards")
     dtype = np.dtype(f"<u{width}")
-    end = np.array([end_id], dtype=bpe.INT32).tobytes()
+    end = np.array([end_id], dtype=dtype)
 
     # an upper bound of the sequences of each input partition; one row each
     bounds = (src.select(F.spark_partition_id().alias("part"), (F.coalesce(F.octet_length("text"), F.lit(0)) + 1)
@@ -84,7 +85,8 @@ def materialise(docs: DataFrame, tokenizer_path: str, key: int, stride: int = 10
     def cut(batches):
         from pyspark import TaskContext
         part = TaskContext.get().partitionId()
-        enc = bpe.load(tokenizer_path)
+        encode = bpe.library_encoder(tokenizer_path)
+        squeeze = zstandard.ZstdCompressor(level=1)      # the shuffle carries about two thirds of the ids' bytes
         first, most = base.value.get(part, (0, 0))
         rest, idx = np.zeros(0, dtype=dtype), 0
 
@@ -99,7 +101,7 @@ def materialise(docs: DataFrame, tokenizer_path: str, key: int, stride: int = 10
             if idx + n > most:
                 raise RuntimeError("an input partition has changed between two reads of it")
             place = feistel(np.arange(first + idx, first + idx + n), size, key) if n else np.zeros(0, np.int64)
-            packed = [zlib.compress(ids[i * stride:(i + 1) * stride].tobytes(), 1) for i in range(n)]
+            packed = [squeeze.compress(ids[i * stride:(i + 1) * stride].tobytes()) for i in range(n)]
             out = pa.RecordBatch.from_arrays(
                 [pa.array(place // shard_places, pa.int64()), pa.array(place, pa.int64()),
                  pa.array(np.full(n, part), pa.int64()), pa.array(np.arange(idx, idx + n), pa.int64()),
@@ -111,9 +113,9 @@ def materialise(docs: DataFrame, tokenizer_path: str, key: int, stride: int = 10
         for b in batches:
             got, held = [rest], len(rest)
             for text in texts_of(b.column(0)):
-                ids = np.frombuffer(enc.encode(text) + end, dtype=bpe.INT32).astype(dtype)
-                got.append(ids)
-                held += len(ids)
+                ids = encode(text).astype(dtype)
+                got += [ids, end]
+                held += len(ids) + 1
                 if held > (1 << 20):
                     got = np.concatenate(got)
                     whole = len(got) // stride * stride
@@ -131,6 +133,7 @@ def materialise(docs: DataFrame, tokenizer_path: str, key: int, stride: int = 10
 
     def write(batches):
         from pyarrow import fs
+        swell = zstandard.ZstdDecompressor()
         files, root = fs.FileSystem.from_uri(folder)
         files.create_dir(root, recursive=True)
         shard, out, record, temp = None, None, 0, None
@@ -148,7 +151,7 @@ def materialise(docs: DataFrame, tokenizer_path: str, key: int, stride: int = 10
                     shard, record = s, 0
                     temp = f"{root}/.{uuid.uuid4().hex}"
                     out = files.open_output_stream(temp)
-                raw = zlib.decompress(packed)
+                raw = swell.decompress(packed)
                 out.write(raw)
                 rows.append((s, record, part, idx, n, zlib.crc32(raw)))
                 record += 1
