@@ -54,7 +54,7 @@ LEAF = 32                    # sets per leaf
 FANOUT = 8                   # children per node
 RUN = 2048                   # sets compared at a time where a group need only be connected
 HUBS = 8                     # best connected sets of a run that also stand in the next one
-EARLIER = 8                  # prefix shingles before a group's own that are compared
+EARLIER = 4                  # prefix shingles before a group's own that are compared
 BLOCK = 2048                 # larger groups are split into blocks; every pair of blocks is compared
 TEXT_BLOCK = 1 << 20         # bytes hashed at a time
 BROADCAST_BYTES = 16 << 20   # ids are broadcast below this size, joined by a shuffle beyond
@@ -168,8 +168,10 @@ def needed(nx, ny):
 
 
 def bitmap(s: np.ndarray) -> np.ndarray:
-    """Token bitmap: at least two bits per shingle, a power of two of them."""
-    bits = max(64, 1 << (2 * len(s) - 1).bit_length())
+    """Token bitmap, a power of two of bits: at least two per shingle, and eight
+    for small sets (up to 2,048 bits), whose bound is then almost exact."""
+    power = lambda n: 1 << (n - 1).bit_length()
+    bits = max(64, power(2 * len(s)), min(2048, power(8 * len(s))))
     out = np.zeros(bits // 8, dtype=np.uint8)
     place = (s & np.uint64(bits - 1)).astype(np.int64)
     np.bitwise_or.at(out, place >> 3, (1 << (place & 7)).astype(np.uint8))
