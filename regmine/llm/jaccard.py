@@ -574,5 +574,8 @@ def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     """``docs`` with one document of each component, the one with the smallest
     id; rows without shingles or without id stay.  All columns."""
     found = near_copies(docs, id_col, text_col)
-    gone = found.where(F.col("component_id") != F.col("doc_id")).select(F.col("doc_id").alias("_gone_id")).distinct()
+    gone = write_shared(found.where(F.col("component_id") != F.col("doc_id"))
+                        .select(F.col("doc_id").alias("_gone_id")).distinct(), "jaccard-gone")
+    if gone.count() * 48 <= BROADCAST_BYTES:          # else the join shuffles the texts
+        gone = F.broadcast(gone)
     return docs.join(gone, docs[id_col] == gone["_gone_id"], "left_anti")
