@@ -5,7 +5,9 @@ Features of a text are its words and the character 3- and 4-grams of its words
 the average of its features' vectors; a softmax layer gives the label
 probabilities.  Vectors and layer are trained together by numpy stochastic
 gradient descent on a bounded sample of labelled rows (``TRAIN_ROWS``, spread
-evenly over the classes, chosen by a hash of the id).
+evenly over the classes, chosen by a hash of the id).  The log of each class's
+learnable rows per sampled row goes into the bias, so the prior is that of all
+learnable rows whatever their number.
 
 With the two-class softmax, averaging commutes with the layer: each bucket
 contributes one number, so scoring a text is the mean of a table lookup.  It is
@@ -92,11 +94,20 @@ class SubwordModel:
         return float(1 / (1 + np.exp(-np.clip(z, -50, 50))))
 
 
-def fit(samples: list, epochs: int = EPOCHS, rate: float = RATE, seed: int = SEED) -> SubwordModel:
-    """samples: (label 0/1, buckets, counts) in a fixed order.  Classes weigh
-    as the sample has them."""
+def prior_shift(samples: list, totals: dict) -> float:
+    """What sampling took from the log-odds of label 1: the classes' log ratio
+    in the corpus (``totals``, rows per label) less that of the sample."""
+    sampled = {y: sum(s[0] == y for s in samples) for y in (0, 1)}
+    return float(np.log(totals[1] / sampled[1]) - np.log(totals[0] / sampled[0]))
+
+
+def fit(samples: list, epochs: int = EPOCHS, rate: float = RATE, seed: int = SEED,
+        totals: dict | None = None) -> SubwordModel:
+    """samples: (label 0/1, buckets, counts) in a fixed order.  The prior is
+    that of ``totals`` (rows per label), without it that of the sample."""
     if not samples or len({s[0] for s in samples}) < 2:
         return SubwordModel(np.zeros(BUCKETS, np.float32), 0.0)
+    shift = prior_shift(samples, totals) if totals else 0.0
     rng = np.random.default_rng(seed)
     table = (rng.random((BUCKETS, WIDTH), dtype=np.float32) - 0.5) / WIDTH
     layer = np.zeros((2, WIDTH), dtype=np.float32)
@@ -120,7 +131,7 @@ def fit(samples: list, epochs: int = EPOCHS, rate: float = RATE, seed: int = SEE
             # factor keeps long texts' many small shares moving
             table[at] = rows - (lr * np.sqrt(len(at))) * np.outer(w, back)
             steps += 1
-    return SubwordModel((table @ (layer[1] - layer[0])).astype(np.float32), float(bias[1] - bias[0]))
+    return SubwordModel((table @ (layer[1] - layer[0])).astype(np.float32), float(bias[1] - bias[0]) + shift)
 
 
 def train(docs: DataFrame, labels: DataFrame, learnable, id_col: str = "doc_id", text_col: str = "text",
@@ -130,15 +141,17 @@ def train(docs: DataFrame, labels: DataFrame, learnable, id_col: str = "doc_id",
     lab = labels.select(F.col(id_col).alias("_id"), F.col(label_col).cast("int").alias("y")).where(
         F.col("y").isin(0, 1) & F.col("_id").isNotNull())
     lab = lab.withColumn("h", F.pmod(F.xxhash64(F.col("_id").cast("string")), F.lit(1 << 30)))
-    n = {r["y"]: r["n"] for r in lab.groupBy("y").agg(F.count("*").alias("n")).collect()}
+    text = docs.where(learnable & F.col(text_col).isNotNull()).select(
+        F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    # learnable labels of the whole corpus, ids only
+    n = {r["y"]: r["n"] for r in text.select("doc_id").join(lab, text["doc_id"] == lab["_id"])
+         .groupBy("y").agg(F.count("*").alias("n")).collect()}
     if len(n) < 2:
         return fit([])
     share = F.create_map(*[F.lit(x) for y, k in n.items()
                            for x in (y, int(min(1.0, rows_per_class / k) * (1 << 30)))])
     lab = lab.where(F.col("h") < share[F.col("y")])
     # the sample is bounded (about 2 * rows_per_class ids), so it may be broadcast
-    text = docs.where(learnable & F.col(text_col).isNotNull()).select(
-        F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     rows = text.join(F.broadcast(lab), text["doc_id"] == lab["_id"]).select("y", "h", "text")
 
     def vectorise(batches):
@@ -162,7 +175,7 @@ def train(docs: DataFrame, labels: DataFrame, learnable, id_col: str = "doc_id",
     at, count = got.column(2), got.column(3)
     order = np.lexsort((y, h))
     return fit([(int(y[i]), np.asarray(at[i].values, dtype=np.int64), np.asarray(count[i].values, dtype=np.float32))
-                for i in order.tolist()])
+                for i in order.tolist()], totals=n)
 
 
 def score(docs: DataFrame, model: SubwordModel, id_col: str = "doc_id", text_col: str = "text",

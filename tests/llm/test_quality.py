@@ -51,3 +51,31 @@ def test_edges(spark, sf, make_docs):
     assert quality.score(make_docs(rows).limit(0), model).count() == 0
     one = quality.train(docs, labels.where("quality = 1"), F.lit(True))
     assert {r.score for r in quality.score(make_docs(rows), one).collect()} == {0.5}
+
+
+def test_prior_is_the_corpus_whatever_the_sample(spark, monkeypatch):
+    docs = spark.read.parquet(f"{SF_MID}/documents.parquet")
+    labels = spark.read.parquet(f"{SF_MID}/labels.parquet").where("quality IS NOT NULL")
+    learnable = F.col("doc_id") % 4 != 2
+    n = {r.quality: r["count"] for r in labels.where(learnable).groupBy("quality").count().collect()}
+    assert n[1] > 3 * n[0]
+    seen, fit = {}, quality.fit
+
+    def spy(samples, **kw):
+        seen["model"], seen["samples"], seen["kw"] = fit(samples, **kw), samples, kw
+        return seen["model"]
+
+    monkeypatch.setattr(quality, "fit", spy)
+    full = quality.train(docs, labels, learnable)
+    every = seen["samples"]
+    assert {y: sum(s[0] == y for s in every) for y in n} == n
+    low = quality.train(docs, labels, learnable, rows_per_class=n[0])
+    sampled = {y: sum(s[0] == y for s in seen["samples"]) for y in n}
+    assert sampled[1] < 2 * sampled[0]
+    assert seen["kw"]["totals"] == n                           # held-out labels do not count
+
+    def mean_margin(model):
+        return model.bias + np.mean([model.margin[at] @ c / c.sum() for _, at, c in every if len(at)])
+
+    flat = fit(seen["samples"])                                # the classes as the sample has them
+    assert abs(mean_margin(low) - mean_margin(full)) < 0.5 * abs(mean_margin(flat) - mean_margin(full))
