@@ -9,6 +9,7 @@ its cut is ranked; all rows are then compared with the cut.
 
 from __future__ import annotations
 
+import math
 from functools import reduce
 
 from pyspark.sql import DataFrame, Window
@@ -263,12 +264,19 @@ def group_majority_predict(train: DataFrame, test: DataFrame, group: str, label:
 
 def train_forest_onehot(train: DataFrame, categorical: list[str], numeric: list[str], label: str,
                         num_trees: int = 100, max_depth: int = 12, seed: int = 42,
-                        weight_col: str | None = "weight"):
+                        weight_col: str | None = "weight", max_bins: int | None = None):
     """J6 (model 3): sparse one-hot categories (never a dense dummy table) plus
-    numeric columns; returns (PipelineModel, feature names)."""
+    numeric columns; returns (PipelineModel, feature names).
+
+    ``max_bins`` is the largest number of bins of a numeric column.  By default
+    there is one for every value, and enough (the root of the row count) that
+    the library reads all rows for thresholds, not a sample of them."""
     from pyspark.ml import Pipeline
     from pyspark.ml.classification import RandomForestClassifier
     from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
+    if max_bins is None:
+        n, *values = train.agg(F.count(F.lit(1)), *[F.count_distinct(c) for c in numeric]).first()
+        max_bins = max([32, math.isqrt(n) + 1, *[v + 1 for v in values]])
     idx = StringIndexer(inputCols=categorical, outputCols=[c + "__i" for c in categorical],
                         stringOrderType="alphabetAsc", handleInvalid="keep")
     ohe = OneHotEncoder(inputCols=[c + "__i" for c in categorical],
@@ -277,7 +285,7 @@ def train_forest_onehot(train: DataFrame, categorical: list[str], numeric: list[
     vec = VectorAssembler(inputCols=[c + "__v" for c in categorical] + numeric, outputCol="features",
                           handleInvalid="keep")
     rf = RandomForestClassifier(featuresCol="features", labelCol="label", numTrees=num_trees,
-                                maxDepth=max_depth, seed=seed, featureSubsetStrategy="sqrt")
+                                maxDepth=max_depth, maxBins=max_bins, seed=seed, featureSubsetStrategy="sqrt")
     if weight_col:
         rf = rf.setWeightCol(weight_col)
     model = Pipeline(stages=[lab, idx, ohe, vec, rf]).fit(train)

@@ -1369,10 +1369,11 @@ _M3_CATS = [S.SOURCE, S.SEX, S.STATE]
 
 
 def forest_model3(spark, sf):
-    """J6 model 3: clean general product (withheld rows kept, so the target
-    has three classes and the withheld sentinel leaks through SEXO), one-hot
-    institution / sex / state plus imputed age and delay, 70/30 random split."""
-    g = FE.delay_imputed(FE.age_floor_imputed(general(spark, sf)))
+    """J6 model 3: the registry as read, no row removed and no category
+    normalised (withheld rows kept, so the target has three classes and the
+    withheld sentinel leaks through SEXO), one-hot institution / sex / state
+    plus imputed age and delay, 70/30 random split."""
+    g = FE.delay_imputed(FE.age_floor_imputed(E.parse_dates(raw(spark, sf))))
     g = g.select(S.ID, _LABEL, *_M3_CATS, "EDAD", "RETRASO_REGISTRO")
     sp = I._checkpoint(J.random_split(g, 0.3, 42, S.ID))
     train = J.balanced_weights(sp.where(F.col(J.SPLIT) == "train"), _LABEL)

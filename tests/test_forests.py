@@ -1,9 +1,11 @@
 """Property checks for the forest queries (no SQL form exists for them)."""
 
 import math
+import re
 
 from pyspark.sql import functions as F
 
+from regmine import schema as S
 from regmine.operators import classify as J
 from regmine.plans import catalog as CAT
 
@@ -28,3 +30,24 @@ def test_model3_three_classes_and_leak(spark):
     assert sorted(model.stages[0].labels) == ["CONFIDENCIAL", "DESAPARECIDA", "NO LOCALIZADA"]
     top = J.feature_importance(model, names, 3).collect()
     assert any(r.feature == "SEXO_CONFIDENCIAL" for r in top)
+
+
+def test_model3_on_the_registry_as_read(spark):
+    _, test, names = CAT.forest_model3(spark, SF_SMALL)
+    raw = CAT.raw(spark, SF_SMALL)
+    want = J.random_split(raw, 0.3, 42, S.ID).where(F.col(J.SPLIT) == "test")
+    assert sorted(r[0] for r in test.select(S.ID).collect()) == sorted(r[0] for r in want.select(S.ID).collect())
+    states = {f"{S.STATE}_{r[0]}" for r in raw.select(S.STATE).distinct().collect()}
+    assert any(x != x.upper() for x in states)                   # as read: lower case, outer blanks
+    assert {x for x in names if x.startswith(S.STATE + "_")} - {f"{S.STATE}_invalidValues", f"{S.STATE}___unknown"} <= states
+    assert any(x != x.upper() for x in names if x in states)
+
+
+def test_onehot_forest_tries_every_threshold(spark):
+    rows = spark.range(2000).select(
+        F.when(F.col("id") % 3 == 0, "a").otherwise("b").alias("cat"), (F.col("id") % 200).cast("double").alias("x"),
+        F.when(F.col("id") % 2 == 0, "even").otherwise("odd").alias("y"))
+    model, names = J.train_forest_onehot(rows, ["cat"], ["x"], "y", num_trees=5, weight_col=None)
+    at = names.index("x")
+    cuts = set(re.findall(rf"feature {at} <= ([0-9.]+)", model.stages[-1].toDebugString))
+    assert len(cuts) > 31                                        # 32 bins allow 31
