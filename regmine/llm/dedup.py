@@ -288,12 +288,21 @@ def _lower_hash(text_col: str):
 
 def drop_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                     keep: str = "largest") -> DataFrame:
-    """``docs`` without the rows whose text another id keeps; all columns.
-    Rows are told apart by (id, text): rows that agree in both, null ids
-    included, are one document and stay together."""
+    """One row of each group of equal texts, the one ``exact_duplicates`` keeps
+    by id; all columns.  Where that id (or null) stands on several rows of a
+    group, the smallest of them by its columns stays, so the choice does not
+    depend on how the rows are read."""
     res = exact_duplicates(docs, id_col, text_col, keep)
-    gone = res.where(~F.col("doc_id").eqNullSafe(F.col("keep_id"))).select(
-        F.col("doc_id").alias("_gone_id"), F.col("text_sha256").alias("_gone_text")).distinct()
+    gone = write_shared(res.where(~F.col("kept")).select(
+        F.col("doc_id").alias("_gone_id"), F.col("text_sha256").alias("_gone_text"),
+        F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("_again")).distinct(), "dedup-gone")
     marked = docs.withColumn("_text_hash", _lower_hash(text_col))
     same = marked[id_col].eqNullSafe(gone["_gone_id"]) & (marked["_text_hash"] == gone["_gone_text"])
-    return marked.join(gone, same, "left_anti").select(*docs.columns)
+    left = marked.join(gone, same, "left_anti").select(*docs.columns)
+    again = gone.where("_again")
+    if again.isEmpty():
+        return left
+    same = marked[id_col].eqNullSafe(again["_gone_id"]) & (marked["_text_hash"] == again["_gone_text"])
+    once = (marked.join(again, same, "left_semi")
+            .groupBy(id_col, "_text_hash").agg(F.min(F.struct(*docs.columns)).alias("_row")))
+    return left.unionByName(once.select("_row.*"))

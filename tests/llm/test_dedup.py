@@ -64,6 +64,15 @@ def test_drop(spark, make_docs):
         (0, ""), (0, "c"), (2, "A"), (2, "z"), (3, "b"), (4, "É"), (5, "é")]
 
 
+def test_drop_keeps_one_of_repeated_rows(spark, make_docs):
+    rows = [(1, "a"), (9, "a"), (9, "a"), (9, "A"), (None, "n"), (None, "N"), (None, "n"), (None, "a"), (9, "b"), (4, "c")]
+    docs = make_docs(rows)
+    left = dedup.drop_duplicates(docs)
+    assert left.columns == docs.columns
+    assert sorted((r.doc_id or 0, r.text.lower()) for r in left.collect()) == [(0, "n"), (4, "c"), (9, "a"), (9, "b")]
+    assert dedup.drop_duplicates(docs, keep="smallest").count() == 4
+
+
 def test_query_against_sql(spark, sf):
     from regmine.llm.queries import ORACLE, op6_exact_dedup
     r = compare(op6_exact_dedup(spark, sf), ORACLE["op6_exact_dedup"], duck_connect(sf))
