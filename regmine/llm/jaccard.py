@@ -572,10 +572,19 @@ def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
 
 def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` with one document of each component, the one with the smallest
-    id; rows without shingles or without id stay.  All columns."""
-    found = near_copies(docs, id_col, text_col)
+    id (null ids last, then by text hash); rows without shingles stay.  All
+    columns.  A document is an id and a text: an id with two texts is two of
+    them, null ids link as others do.  Rows equal in both stay together (exact
+    copies are not this function's)."""
+    text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
+    # in this order the smallest document of a component has its smallest id
+    document = F.struct(F.col(id_col).isNull().alias("no_id"), F.col(id_col).alias("id"), F.md5(text).alias("text"))
+    found = near_copies(docs.select(document.alias("doc_id"), text.alias("text")))
     gone = write_shared(found.where(F.col("component_id") != F.col("doc_id"))
-                        .select(F.col("doc_id").alias("_gone_id")).distinct(), "jaccard-gone")
-    if gone.count() * 48 <= BROADCAST_BYTES:          # else the join shuffles the texts
+                        .select(F.col("doc_id.id").alias("_gone_id"), F.col("doc_id.text").alias("_gone_text"))
+                        .distinct(), "jaccard-gone")
+    if gone.count() * 80 <= BROADCAST_BYTES:          # else the join shuffles the texts
         gone = F.broadcast(gone)
-    return docs.join(gone, docs[id_col] == gone["_gone_id"], "left_anti")
+    marked = docs.withColumn("_text_hash", F.md5(text))
+    same = marked[id_col].eqNullSafe(gone["_gone_id"]) & (marked["_text_hash"] == gone["_gone_text"])
+    return marked.join(gone, same, "left_anti").select(*docs.columns)

@@ -124,6 +124,19 @@ def test_drop(spark, make_docs):
     assert left.columns == docs.columns and sorted(r.doc_id for r in left.collect()) == [1, 2, 4, 5]
 
 
+def test_drop_tells_rows_apart_by_id_and_text(spark, make_docs):
+    words = [f"w{i}" for i in range(40)]
+    b, near, far = " ".join(words), " ".join(words[:39] + ["x"]), " ".join(words[:38] + ["x", "y"])
+    lone, lone2 = " ".join(f"n{i}" for i in range(40)), " ".join(f"n{i}" for i in range(39))
+    rows = [(5, "a text that is no copy of any other"), (5, b), (3, near), (None, far), (None, lone), (None, lone2),
+            (None, None), (8, "")]
+    left = jaccard.drop_near_copies(make_docs(rows)).collect()
+    got = sorted((r.doc_id or 0, r.text or "") for r in left)
+    assert [r for r in got if r[0]] == [(3, near), (5, "a text that is no copy of any other"), (8, "")]
+    null = [t for i, t in got if not i]
+    assert len(null) == 2 and "" in null and (lone in null) != (lone2 in null)
+
+
 def test_query_against_sql(spark, sf):
     r = compare(op4_jaccard_join(spark, sf), ORACLE["op4_jaccard_join"], duck_connect(sf))
     assert r["match"], r
