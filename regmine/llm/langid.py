@@ -11,7 +11,8 @@ chosen by a hash of the id (a documented bound; their vectors, not their texts,
 go to the driver).  Prediction is one narrow pass over all rows and whole texts.
 
 Null texts and texts without a letter get ``und`` with score 0 and are rejected.
-With no labelled row at all every text gets ``und``.  Ties go to the first
+With no labelled row at all every text gets ``und``; those with a letter are not
+rejected.  Ties go to the first
 language by name.  Empty tables give no rows; repeated rows equal results.
 """
 
@@ -93,7 +94,7 @@ class CentroidModel:
         """(language, cosine, rejected) per text."""
         out = [(UNKNOWN, 0.0, True)] * len(texts)
         if not self.languages:
-            return out
+            return [(UNKNOWN, 0.0, not has_letter(t)) for t in texts]
         known = [i for i, t in enumerate(texts) if has_letter(t)]
         for at in range(0, len(known), 64):
             some = known[at:at + 64]

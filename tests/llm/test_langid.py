@@ -86,3 +86,10 @@ def test_nothing_to_learn(spark, make_docs):
     docs = make_docs([(1, "the house")])
     model = langid.train(docs.withColumn("lang", F.lit(None).cast("string")), F.lit(True))
     assert [(r.lang_pred, r.score) for r in langid.predict(docs, model).collect()] == [("und", 0.0)]
+
+
+def test_without_a_model_texts_with_letters_stay(spark, make_docs):
+    rows = [(1, "the house"), (2, None), (3, "12 34"), (4, "das Haus")]
+    docs = make_docs(rows).withColumn("lang", F.lit(None).cast("string"))
+    model = langid.train(docs, F.lit(True))
+    assert sorted(r.doc_id for r in langid.drop_rejected(docs, model).collect()) == [1, 4]
