@@ -4,7 +4,9 @@ A text becomes a normalised TF-IDF vector of hashed character n-grams (1 to 3) o
 its letters.  Each language has several centroids, the clusters of its training
 vectors (spherical k-means, farthest-first start); a text takes the language of
 the centroid with the highest cosine.  A text whose distance to its centroid is
-beyond that centroid's radius is marked rejected.
+beyond that centroid's radius is marked rejected.  Radii come from the cosines of
+the centroid's own cluster, whose texts are also thinned to fewer n-grams: one per
+band of the number of distinct n-grams (``BANDS``), wider for texts with few.
 
 Training reads at most about ``TRAIN_PER_LANGUAGE`` labelled rows per language,
 chosen by a hash of the id (a documented bound; their vectors, not their texts,
@@ -30,8 +32,12 @@ from regmine.llm.common import id_and_text, id_type
 DIM = 1 << 13                # hashed n-gram features
 TRAIN_PER_LANGUAGE = 400     # labelled rows used per language (about)
 CENTROIDS = 4                # clusters per language
-RADIUS_SLACK = 0.2           # a text is rejected below this share of the lowest training cosine; short texts
-                             # are far from any centroid, other scripts much farther
+BANDS = (64, 256, 1024)      # distinct n-grams from which the second to fourth radius hold
+SLACK = (0.2, 0.5, 0.5, 0.5)     # a text is rejected below this share of the lowest cosine of its band; the
+                             # shortest texts are far from any centroid, other scripts much farther
+THIN = (50, 150, 500, 1500)  # n-grams left in the thinned training texts (about)
+LOW = 0.01                   # quantile taken as the lowest cosine, as a stray training text must not set a radius
+FEW = 20                     # smaller clusters take the language's lowest cosines, their own are too high
 BLOCK = 1 << 16              # code points hashed at a time
 UNKNOWN = "und"
 
@@ -98,14 +104,46 @@ class CentroidModel:
         known = [i for i, t in enumerate(texts) if has_letter(t)]
         for at in range(0, len(known), 64):
             some = known[at:at + 64]
-            cos = self.vectors(np.stack([ngram_counts(texts[i]) for i in some])) @ self.centroids.T
+            counts = np.stack([ngram_counts(texts[i]) for i in some])
+            cos = self.vectors(counts) @ self.centroids.T
             best = cos.argmax(axis=1)
-            for i, b, c in zip(some, best, cos[np.arange(len(some)), best]):
+            for i, b, c, band in zip(some, best, cos[np.arange(len(some)), best], bands(counts)):
                 score = float(min(1.0, max(0.0, c)))
-                out[i] = (self.languages[self.owner[b]], score, bool(1 - score > self.radius[b]))
+                out[i] = (self.languages[self.owner[b]], score, bool(1 - score > self.radius[b][band]))
         return out
 
 
+def bands(counts: np.ndarray) -> np.ndarray:
+    """Band of each row by its number of distinct n-grams."""
+    return np.searchsorted(BANDS, (counts > 0).sum(axis=1), side="right")
+
+
+def _radii(model: CentroidModel, counts: np.ndarray, c: np.ndarray) -> list:
+    """Radius per band of each centroid of a language, from its training texts
+    (``counts``), whole and thinned."""
+    rng = np.random.default_rng(5)
+    near = (model.vectors(counts) @ c.T).argmax(axis=1)
+    total = np.maximum(counts.sum(axis=1, keepdims=True), 1)
+    seen = []
+    for m in (None, *THIN):
+        some = counts if m is None else rng.binomial(counts.astype(np.int64), np.minimum(1, m / total)).astype(np.float32)
+        ok = some.any(axis=1)
+        seen.append(np.stack([near, bands(some), (model.vectors(some) * c[near]).sum(axis=1)], axis=1)[ok])
+    cluster, band, cos = np.concatenate(seen).T
+    few = np.bincount(near, minlength=len(c)) < FEW
+    low = np.full((len(c), len(SLACK)), np.inf)
+    for j in range(len(c)):
+        for k in range(len(SLACK)):
+            own = cos[(band == k) & ((cluster == j) | few[j])]
+            if len(own):
+                low[j, k] = np.quantile(own, LOW)
+    # fewer n-grams never have the narrower radius; a band no text is in has that of the one below
+    for k in range(1, len(SLACK)):
+        low[:, k] = np.where(np.isinf(low[:, k]), low[:, k - 1], low[:, k])
+    low = np.minimum.accumulate(low[:, ::-1], axis=1)[:, ::-1]
+    return [[float(1 - s * max(0.0, x)) for s, x in zip(SLACK, row)] for row in low]
+
+
 def fit(samples: list, centroids: int = CENTROIDS) -> CentroidModel:
     """samples: (language, counts) in a fixed order."""
     languages = sorted({lang for lang, _ in samples})
@@ -118,7 +156,8 @@ def fit(samples: list, centroids: int = CENTROIDS) -> CentroidModel:
     vecs = model.vectors(counts)
     rows, owner, radius = [], [], []
     for k, lang in enumerate(languages):
-        x = vecs[[i for i, (name, _) in enumerate(samples) if name == lang]]
+        mine = [i for i, (name, _) in enumerate(samples) if name == lang]
+        x = vecs[mine]
         mean = x.mean(axis=0)
         seeds = [int((x @ mean).argmax())]
         while len(seeds) < min(centroids, len(x)):
@@ -131,10 +170,9 @@ def fit(samples: list, centroids: int = CENTROIDS) -> CentroidModel:
             if np.allclose(new, c, atol=1e-6):
                 break
             c = new
-        low = float((x @ c.T).max(axis=1).min())
         rows.append(c)
         owner += [k] * len(c)
-        radius += [1 - RADIUS_SLACK * low] * len(c)
+        radius += _radii(model, counts[mine], c)
     model.centroids, model.owner, model.radius = np.concatenate(rows).astype(np.float32), owner, radius
     return model
 

@@ -88,6 +88,20 @@ def test_nothing_to_learn(spark, make_docs):
     assert [(r.lang_pred, r.score) for r in langid.predict(docs, model).collect()] == [("und", 0.0)]
 
 
+def test_long_unlearned_text_is_rejected_short_clean_text_stays(spark):
+    model = fitted(spark, SF_MID)
+    r = random.Random(3)
+    finnish = ("Suomen kieli kuuluu uralilaisiin kieliin ja sitä puhuu noin viisi miljoonaa ihmistä pääasiassa "
+               "Suomessa. Se on yksi maan kahdesta virallisesta kielestä. Kielelle on ominaista vokaalisointu ja "
+               "runsas sijamuotojen käyttö. Kesällä lapset juoksevat järven rannalla, uivat viileässä vedessä ja "
+               "syövät mustikoita metsän reunassa. Talvella lumi peittää pihat, ja illat ovat pitkiä ja pimeitä. ")
+    words = " ".join("".join(r.choices("abcdefghijklmnopqrstuvwxyz", k=r.randint(3, 9))) for _ in range(400))
+    junk = "".join(r.choices("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/", k=2000))
+    assert [x[2] for x in model.predict([finnish * 3, words, junk])] == [True] * 3
+    clean = ["the", "the house and the garden", "das Haus und der Garten", "la maison et le jardin"]
+    assert [x[2] for x in model.predict(clean)] == [False] * 4
+
+
 def test_without_a_model_texts_with_letters_stay(spark, make_docs):
     rows = [(1, "the house"), (2, None), (3, "12 34"), (4, "das Haus")]
     docs = make_docs(rows).withColumn("lang", F.lit(None).cast("string"))
