@@ -11,8 +11,9 @@ endpoint (a URL or host).  Within a scope of ``SCOPE`` code points, an interval
 join by two ordered windows per document finds, for every part, the nearest
 identifier and the nearest secret before and after it.  A weak identifier is
 reported if a secret is in its scope, a weak secret if an identifier is, an
-endpoint if both are.  Base spans always stay and serve as strong parts.  No
-pairs are formed, so thousands of parts in one document cost a sort.
+endpoint if both are.  Base spans always stay; an access key serves as a strong
+identifier, an assignment as a strong secret, a hex run as neither, so a text
+without an assignment links nothing.  No pairs are formed, so thousands of parts in one document cost a sort.
 
 Null and empty texts have no spans.  Rows are told apart by (id, text hash,
 length), null ids included; repeated rows get equal results.  Empty tables give
