@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from regmine.llm import bpe, dedup, jaccard, langid, packing, quality, secrets, sharding, topk, training_order
+from regmine.llm import (bpe, dedup, jaccard, langid, packing, quality, secrets, sharding, topk, training_order,
+                         whitening)
 from regmine.llm.common import tokenizer_path
 
 
@@ -76,9 +77,15 @@ def op10_secret_scan(spark, sf_dir):
     return secrets.scan_secrets(_docs(spark, sf_dir))
 
 
+def op11_whitening(spark, sf_dir):
+    """Every vector on the four leading components, whitened."""
+    return whitening.whiten(spark.read.parquet(f"{sf_dir}/embeddings.parquet"), k=4)
+
+
 QUERIES = {f.__name__: f for f in (
     op1_bpe_codec, op2_language_id, op3_exact_topk, op4_jaccard_join,
-    op5_best_fit_packing, op6_exact_dedup, op7_training_order, op8_byte_shards, op9_quality_classifier, op10_secret_scan)}
+    op5_best_fit_packing, op6_exact_dedup, op7_training_order, op8_byte_shards, op9_quality_classifier, op10_secret_scan,
+    op11_whitening)}
 
 ORACLE = {
     "op3_exact_topk": """
