@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from regmine.llm import (bpe, dedup, jaccard, langid, packing, quality, secrets, sharding, topk, training_order,
-                         whitening)
+from regmine.llm import (bpe, dedup, jaccard, langid, mining, packing, quality, secrets, sharding, topk,
+                         training_order, whitening)
 from regmine.llm.common import tokenizer_path
 
 
@@ -82,10 +82,17 @@ def op11_whitening(spark, sf_dir):
     return whitening.whiten(spark.read.parquet(f"{sf_dir}/embeddings.parquet"), k=4)
 
 
+def op12_hard_negatives(spark, sf_dir):
+    """Ten hard negatives for the five positives of every 100th vector."""
+    vectors = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return mining.hard_negatives(vectors, label, F.col("vec_id") % 100 == 0)
+
+
 QUERIES = {f.__name__: f for f in (
     op1_bpe_codec, op2_language_id, op3_exact_topk, op4_jaccard_join,
     op5_best_fit_packing, op6_exact_dedup, op7_training_order, op8_byte_shards, op9_quality_classifier, op10_secret_scan,
-    op11_whitening)}
+    op11_whitening, op12_hard_negatives)}
 
 ORACLE = {
     "op3_exact_topk": """
@@ -97,6 +104,22 @@ ORACLE = {
         SELECT query_id, rank::INTEGER AS rank, vec_id, score FROM (
             SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s)
         WHERE rank <= 5""",
+    "op12_hard_negatives": """
+        WITH v AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+                          list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS e FROM embeddings
+                   WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+                     AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+             s AS (SELECT a.vec_id AS anchor_id, c.vec_id, a.label = c.label AS same,
+                          list_inner_product(a.e, c.e)::BIGINT AS score
+                   FROM v a JOIN v c ON a.vec_id <> c.vec_id AND len(a.e) = len(c.e) WHERE a.vec_id % 100 = 0),
+             p AS (SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM s WHERE same
+                   QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5)
+        SELECT anchor_id, positive_id, rank::INTEGER AS rank, negative_id, positive_score, negative_score FROM (
+            SELECT anchor_id, positive_id, positive_score, s.vec_id AS negative_id, s.score AS negative_score,
+                   row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY s.score DESC, s.vec_id) AS rank
+            FROM p JOIN s USING (anchor_id)
+            WHERE NOT same AND 30 * positive_score <= 100 * s.score AND 100 * s.score <= 90 * positive_score)
+        WHERE rank <= 10""",
     "op4_jaccard_join": r"""
         WITH RECURSIVE t AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''),
                      'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w
