@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from regmine.llm import (bpe, dedup, jaccard, langid, mining, packing, quality, secrets, sharding, topk,
-                         training_order, whitening)
+from regmine.llm import (bpe, decontamination, dedup, jaccard, langid, mining, packing, quality, secrets,
+                         sharding, topk, training_order, whitening)
 from regmine.llm.common import tokenizer_path
 
 
@@ -89,10 +89,17 @@ def op12_hard_negatives(spark, sf_dir):
     return mining.hard_negatives(vectors, label, F.col("vec_id") % 100 == 0)
 
 
+def op13_decontamination(spark, sf_dir):
+    """Words of every document inside ten-word windows of the benchmark."""
+    index = decontamination.build_index(_docs(spark, sf_dir))
+    found = decontamination.phrase_matches(index, spark.read.parquet(f"{sf_dir}/benchmark.parquet"), window=10)
+    return decontamination.contamination(index, found)
+
+
 QUERIES = {f.__name__: f for f in (
     op1_bpe_codec, op2_language_id, op3_exact_topk, op4_jaccard_join,
     op5_best_fit_packing, op6_exact_dedup, op7_training_order, op8_byte_shards, op9_quality_classifier, op10_secret_scan,
-    op11_whitening, op12_hard_negatives)}
+    op11_whitening, op12_hard_negatives, op13_decontamination)}
 
 ORACLE = {
     "op3_exact_topk": """
@@ -141,4 +148,25 @@ ORACLE = {
         SELECT doc_id, max(doc_id) OVER (PARTITION BY x) AS keep_id,
                count(*) OVER (PARTITION BY x) AS group_size,
                doc_id = max(doc_id) OVER (PARTITION BY x) AS kept, sha256(x) AS text_sha256 FROM t""",
+    "op13_decontamination": r"""
+        WITH d AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(translate(coalesce(text, ''),
+                     'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+                   FROM documents),
+             b AS (SELECT item_id::VARCHAR AS item_id, regexp_extract_all(translate(coalesce(text, ''),
+                     'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+                   FROM benchmark),
+             k AS (SELECT item_id, w, least(10, len(w)) AS k FROM b WHERE len(w) > 0),
+             u AS (SELECT DISTINCT item_id, k, list_aggregate(w[i:i + k - 1], 'string_agg', ' ') AS g
+                   FROM (SELECT *, unnest(range(1, len(w) - k + 2)) AS i FROM k)),
+             g AS (SELECT r, k, i, list_aggregate(w[i:i + k - 1], 'string_agg', ' ') AS g
+                   FROM (SELECT r, w, k, unnest(range(1, len(w) - k + 2)) AS i
+                         FROM d, (SELECT DISTINCT k FROM u) WHERE len(w) >= k)),
+             h AS (SELECT r, k, i, item_id FROM g JOIN u USING (k, g)),
+             p AS (SELECT r, count(DISTINCT p) AS n_hit FROM (SELECT r, i + unnest(range(0, k)) AS p FROM h) GROUP BY r),
+             n AS (SELECT r, count(DISTINCT item_id) AS n_items,
+                          coalesce(string_agg(DISTINCT item_id, ',' ORDER BY item_id), '') AS ids FROM h GROUP BY r)
+        SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit,
+               coalesce(n_items, 0)::BIGINT AS n_items, sha256(coalesce(ids, '')) AS items_sha256,
+               coalesce(n_hit, 0) > 0 AS contaminated
+        FROM d LEFT JOIN p USING (r) LEFT JOIN n USING (r)""",
 }
