@@ -1,21 +1,21 @@
 """Frequent itemsets.
 
-Apriori is a loop over levels k = 1..max_k, each level one distributed job on
-one path, whatever the width of the baskets or the number of items:
-
-* transactions are written once as Parquet; single items and the number of
-  transactions are counted in one scan of that copy;
-* frequent items get integer codes in item order, and the baskets are encoded
-  with them by a join, so later levels compare integers;
-* a level extends prefixes by one item at a time: ``(c1, rest)`` ->
-  ``(c1, c2, rest)`` -> ... .  After each step the prefixes are semi-joined with
-  the prefixes of the candidates, so a wide basket only expands what may become
-  frequent.  The plan has one step per level number; it does not depend on the
-  data;
-* counts use a partially aggregated ``groupBy`` -- a hot itemset is combined
-  map-side before the shuffle.
-
-Only level counts reach the driver.
+Three miners share the preparation and differ in how they count:
+
+* ``apriori`` (I7) folds equal baskets, once infrequent items are gone, into one
+  weighted basket; a level extends prefixes by one item at a time, ``(c1, rest)``
+  -> ``(c1, c2, rest)`` -> ..., semi-joined with the prefixes of the candidates,
+  and adds up weights;
+* ``apriori_bitmaps`` (I8, ``operators.vertical``) keeps, per block of baskets and
+  item, a bit for every basket and counts candidates by AND and bit count;
+* ``fp_growth`` (I9) grows patterns from item-conditional projected baskets and
+  stops at max_k.
+
+Preparation: transactions are written once as Parquet and counted on that pass;
+frequent items get integer codes in item order (a range-partitioned sort), so
+later levels compare integers.  Counts use partially aggregated ``groupBy``s -- a
+hot itemset is combined map-side before the shuffle.  Only level counts reach the
+driver, and the item names while they are few (``LITERAL_ITEMS``).
 """
 
 from __future__ import annotations
@@ -24,11 +24,11 @@ import math
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from regmine.functions.numeric import broadcast_checked, r6
-from regmine.session import materialize
+from regmine.functions.numeric import BROADCAST_MAX_ROWS, broadcast_checked, r6
+from regmine.session import materialize, materialize_with
 
 KEY_SEP = "\u0001"
 
@@ -91,20 +91,21 @@ def min_count_for(min_support: float, n: int) -> int:
     return math.ceil(min_support * n) if 0 < min_support < 1 else int(min_support)
 
 
-def subsets(tx: DataFrame, k: int, allowed: dict[int, DataFrame] | None = None) -> DataFrame:
-    """Columns c1..ck: every k-subset, in array order, of the sorted arrays in
-    ``items``.  ``allowed[j]`` (columns c1..cj) keeps only those prefixes."""
+def subsets(tx: DataFrame, k: int, allowed: dict[int, DataFrame] | None = None, *keep: str) -> DataFrame:
+    """Columns c1..ck (and ``keep``): every k-subset, in array order, of the
+    sorted arrays in ``items``.  ``allowed[j]`` (columns c1..cj) keeps only those
+    prefixes."""
     names = [f"c{j}" for j in range(1, k + 1)]
-    cur = tx.where(F.size("items") >= k).select(F.col("items").alias("__rest"))
+    cur = tx.where(F.size("items") >= k).select(F.col("items").alias("__rest"), *keep)
     for j in range(1, k + 1):
-        cur = cur.select(*names[:j - 1], "__rest", F.posexplode("__rest").alias("__at", names[j - 1]))
+        cur = cur.select(*names[:j - 1], "__rest", *keep, F.posexplode("__rest").alias("__at", names[j - 1]))
         if j < k:
             cur = cur.where(F.size("__rest") - F.col("__at") > k - j).select(
-                *names[:j], F.slice("__rest", F.col("__at") + 2, F.size("__rest")).alias("__rest"))
+                *names[:j], F.slice("__rest", F.col("__at") + 2, F.size("__rest")).alias("__rest"), *keep)
         else:
-            cur = cur.select(*names)
+            cur = cur.select(*names, *keep)
         if allowed and j in allowed:
-            cur = cur.join(broadcast_checked(allowed[j]), names[:j], "left_semi")
+            cur = cur.join(allowed[j], names[:j], "left_semi")
     return cur
 
 
@@ -124,9 +125,10 @@ def generate_candidates(prev: DataFrame, k: int) -> DataFrame:
     ascending.  At k = 2 there is no common prefix to join on: the items are
     numbered and every item meets the numbers before its own."""
     if k == 2:
-        one = prev.select(F.element_at("items", 1).alias("y"))
-        # numbers of the frequent single items (at most width / min_support)
-        numbered = materialize(one.select("y", F.row_number().over(Window.orderBy("y")).alias("n")))
+        from regmine.operators.concentration import running_sums
+        one = prev.select(F.element_at("items", 1).alias("y"), F.lit(1).cast("long").alias("one"))
+        # numbers of the frequent single items, by range partitions
+        numbered = materialize(running_sums(one, "y", ["one"]).select("y", F.col("cum_one").alias("n")))
         earlier = (numbered.where("n > 1")
                    .select("y", F.explode(F.sequence(F.lit(1), F.col("n") - 1)).alias("m")))
         first = numbered.select(F.col("y").alias("x"), F.col("n").alias("m"))
@@ -147,16 +149,24 @@ def prune_candidates(cand: DataFrame, prev: DataFrame, k: int) -> DataFrame:
     return ok.where(F.col("m") == k).select("items")
 
 
-def count_support(tx: DataFrame, cand: DataFrame | None, k: int, min_count: int) -> DataFrame:
+def prefixes(cand: DataFrame, k: int) -> dict[int, DataFrame]:
+    """The candidates' prefixes of every length (columns c1..cj)."""
+    names = [f"c{j}" for j in range(1, k + 1)]
+    full = materialize(_columns(cand, k))
+    out = {j: full.select(*names[:j]).distinct() for j in range(1, k)} | {k: full}
+    return {j: broadcast_checked(p) for j, p in out.items()}
+
+
+def count_support(tx: DataFrame, cand: DataFrame | None, k: int, min_count: int,
+                  weight: str | None = None) -> DataFrame:
     """Support of the candidates (of all k-subsets when ``cand`` is None):
-    extend prefixes item by item, keep those of candidates, count with a
-    partially aggregated groupBy, keep count >= min_count."""
-    allowed = None
+    extend prefixes item by item, keep those of candidates, count (or add up
+    ``weight``) with a partially aggregated groupBy, keep count >= min_count."""
+    allowed = None if cand is None else prefixes(cand, k)
     names = [f"c{j}" for j in range(1, k + 1)]
-    if cand is not None:
-        full = materialize(_columns(cand, k))
-        allowed = {j: full.select(*names[:j]).distinct() for j in range(1, k)} | {k: full}
-    counted = subsets(tx, k, allowed).groupBy(*names).agg(F.count(F.lit(1)).alias("freq"))
+    rows = subsets(tx, k, allowed, *([weight] if weight else []))
+    total = F.sum(weight) if weight else F.count(F.lit(1))
+    counted = rows.groupBy(*names).agg(total.alias("freq"))
     return counted.where(F.col("freq") >= min_count).select(F.lit(k).alias("k"), F.array(*names).alias("items"), "freq")
 
 
@@ -170,103 +180,160 @@ class MiningResult:
 
 _checkpoint = materialize
 
-_MARK = "\u0000tx"
+# Up to so many frequent items, their names travel as literals of the plan (one
+# look-up per item, no join); beyond it baskets are encoded by a join.
+LITERAL_ITEMS = 256
 
 
-def _item_counts_and_n(tx: DataFrame) -> tuple[DataFrame, int]:
-    """One pass over the transactions: every item's count and, through a marker
-    item present once in each row, the number of transactions."""
-    marked = tx.select(F.concat(F.array(F.lit(_MARK)), "items").alias("items"))
-    counts = materialize(explode_items(marked, "items", "item").groupBy("item").agg(F.count(F.lit(1)).alias("freq")))
-    n = counts.where(F.col("item") == _MARK).agg(F.sum("freq")).first()[0] or 0
-    return counts.where(F.col("item") != _MARK), n
+@dataclass
+class Codes:
+    """Frequent items (item, code, freq); codes rise with the item text."""
+    table: DataFrame
+    n: int
+    names: dict | None       # {item: code} if they are few
+
+    def encoded(self, tx: DataFrame, *keep: str) -> DataFrame:
+        """``items`` as the sorted codes of the frequent items; rows without one
+        are left out."""
+        if self.names is not None:
+            known = F.create_map(*[F.lit(x) for kv in self.names.items() for x in kv]) if self.names else None
+            if known is None:
+                return tx.select(F.array().cast("array<bigint>").alias("items"), *keep).where("false")
+            found = F.array_compact(F.transform("items", lambda x: F.try_element_at(known, x)))
+            return tx.select(found.alias("items"), *keep).where(F.size("items") > 0)
+        rows = explode_items(tx.withColumn("__id", F.monotonically_increasing_id()), "items", "item", "__id", *keep)
+        return (rows.join(broadcast_checked(self.table.select("item", "code")), "item").groupBy("__id", *keep)
+                .agg(F.array_sort(F.collect_list("code")).alias("items")).select("items", *keep))
+
+    def decoded(self, sets: DataFrame, k: int) -> DataFrame:
+        """(k, items, freq) with item texts instead of codes."""
+        if self.names is not None:
+            text = F.create_map(*[F.lit(x) for item, code in self.names.items() for x in (code, item)])
+            items = F.transform("items", lambda c: F.try_element_at(text, c))
+            return sets.select(F.lit(k).alias("k"), items.alias("items"), "freq")
+        cur = sets.select("freq", *[F.element_at("items", j).alias(f"c{j}") for j in range(1, k + 1)])
+        for j in range(1, k + 1):
+            cur = cur.join(self.table.select(F.col("code").alias(f"c{j}"), F.col("item").alias(f"i{j}")), f"c{j}")
+        return cur.select(F.lit(k).alias("k"), F.array(*[f"i{j}" for j in range(1, k + 1)]).alias("items"), "freq")
+
+
+def frequent_codes(tx: DataFrame, min_support: float) -> tuple[DataFrame, Codes, int, int]:
+    """(written transactions, codes of their frequent items, number of
+    transactions, absolute threshold)."""
+    rows = F.count(F.lit(1))
+    tx, seen = materialize_with(tx.select("items"), n=rows)
+    n = seen["n"]
+    min_count = min_count_for(min_support, n)
+    counts = explode_items(tx, "items", "item").groupBy("item").agg(rows.alias("freq"))
+    # a global sort is range-partitioned and ids rise from partition to partition
+    table, seen = materialize_with(counts.where(F.col("freq") >= min_count).orderBy("item").select(
+        "item", F.monotonically_increasing_id().alias("code"), "freq"), n=rows)
+    n1 = seen["n"]
+    names = {r["item"]: r["code"] for r in table.select("item", "code").collect()} if n1 <= LITERAL_ITEMS else None
+    return tx, Codes(table, n1, names), n, min_count
 
 
-def encode_frequent(tx: DataFrame, codes: DataFrame) -> DataFrame:
-    """Baskets as sorted arrays of the codes (item, code) of their frequent
-    items; items without a code and baskets without one are left out."""
-    rows = explode_items(tx.withColumn("__id", F.monotonically_increasing_id()), "items", "item", "__id")
-    return (rows.join(broadcast_checked(codes), "item").groupBy("__id")
-            .agg(F.array_sort(F.collect_list("code")).alias("items")).select("items"))
+def weighted_baskets(tx: DataFrame, codes: Codes) -> DataFrame:
+    """(items, w): every different basket of frequent items once, with its
+    number of transactions (combined map-side, so copies are not shuffled)."""
+    return materialize(codes.encoded(tx).groupBy("items").agg(F.count(F.lit(1)).alias("w")))
 
 
-def apriori(tx: DataFrame, min_support: float = 0.02, max_k: int | None = 3) -> MiningResult:
-    """Level-wise Apriori with candidate generation, subset pruning and
-    distributed support counting; stops at max_k or when a level is empty."""
-    spark = tx.sparkSession
-    tx = materialize(tx.select("items"))
-    counts, n = _item_counts_and_n(tx)
-    min_count = min_count_for(min_support, n)
-    # codes in item order, so that sorted codes are sorted items; the window
-    # runs over the frequent items only
-    f1 = materialize(counts.where(F.col("freq") >= min_count)
-                     .select("item", F.row_number().over(Window.orderBy("item")).alias("code"), "freq"))
-    codes = f1.select("item", "code")
-    n1 = f1.count()
-    levels = [(1, None, n1)]
-    out = [f1.select(F.lit(1).alias("k"), F.array("item").alias("items"), "freq")]
-    baskets = materialize(encode_frequent(tx, codes))
-    prev, n_prev, k = f1.select(F.array("code").alias("items")), n1, 1
+def next_candidates(prev: DataFrame, n_prev: int, k: int) -> tuple[DataFrame | None, int]:
+    """(candidates, their number) of level k; at level 2 every pair of frequent
+    items is one, and no table is needed."""
+    if k == 2:
+        return None, n_prev * (n_prev - 1) // 2
+    cand, seen = materialize_with(prune_candidates(generate_candidates(prev, k), prev, k), n=F.count(F.lit(1)))
+    return cand, seen["n"]
+
+
+def level_wise(codes: Codes, n: int, min_count: int, max_k: int | None, count) -> MiningResult:
+    """The levels of Apriori; ``count(candidates or None, k)`` gives the frequent
+    ones as (k, items, freq).  Stops at max_k or when a level is empty."""
+    spark = codes.table.sparkSession
+    levels = [(1, None, codes.n)]
+    out = [codes.table.select(F.lit(1).alias("k"), F.array("item").alias("items"), "freq")]
+    prev, n_prev, k = codes.table.select(F.array("code").alias("items")), codes.n, 1
     while n_prev > 0 and (max_k is None or k < max_k):
         k += 1
-        if k == 2:
-            # every pair of frequent items is a candidate and the baskets hold
-            # only frequent items: nothing to restrict
-            cand, n_cand = None, n1 * (n1 - 1) // 2
-        else:
-            cand = materialize(prune_candidates(generate_candidates(prev, k), prev, k))
-            n_cand = cand.count()
+        cand, n_cand = next_candidates(prev, n_prev, k)
         if n_cand == 0:
             levels.append((k, 0, 0))
             break
-        prev = materialize(count_support(baskets, cand, k, min_count))
-        n_prev = prev.count()
+        prev, seen = materialize_with(count(cand, k), n=F.count(F.lit(1)))
+        n_prev = seen["n"]
         levels.append((k, n_cand, n_prev))
         if n_prev:
-            out.append(_decode(prev, codes, k))
-    allsets = reduce(DataFrame.unionByName, out).select(
-        "k", "items", "freq", (F.col("freq") / F.lit(float(n or 1))).alias("support"))
+            out.append(codes.decoded(prev, k))
     lv = spark.createDataFrame(levels, "k int, candidates long, frequent long")
     lv = lv.select("k", "candidates", "frequent",
                    r6(F.when(F.col("candidates") > 0,
                              100.0 * (F.col("candidates") - F.col("frequent")) / F.col("candidates")))
                    .alias("pct_dropped"))
-    return MiningResult(allsets, lv, n, min_count)
+    return MiningResult(_with_support(out, n), lv, n, min_count)
 
 
-def _decode(sets: DataFrame, codes: DataFrame, k: int) -> DataFrame:
-    """Itemsets of codes back to item texts, one small join per position."""
-    cur = sets.select("freq", *[F.element_at("items", j).alias(f"c{j}") for j in range(1, k + 1)])
-    for j in range(1, k + 1):
-        cur = cur.join(codes.select(F.col("code").alias(f"c{j}"), F.col("item").alias(f"i{j}")), f"c{j}")
-    return cur.select(F.lit(k).alias("k"), F.array(*[f"i{j}" for j in range(1, k + 1)]).alias("items"), "freq")
-
-
-def fp_growth(tx: DataFrame, min_support: float = 0.02, max_k: int | None = 3,
-              num_partitions: int | None = None) -> MiningResult:
-    """Parallel FP-growth (Spark ML) with the same threshold rule, then
-    itemsets longer than max_k dropped."""
-    from pyspark.ml.fpm import FPGrowth
-    spark = tx.sparkSession
-    tx = _checkpoint(tx.select("items"))
-    n = tx.count()
-    min_count = min_count_for(min_support, n)
-    frac = (min_count - 0.5) / n if n else 1.0
-    fp = FPGrowth(itemsCol="items", minSupport=min(max(frac, 0.0), 1.0), minConfidence=1.0)
-    fp = fp.setNumPartitions(num_partitions or spark.sparkContext.defaultParallelism)
-    model = fp.fit(tx)
-    fi = model.freqItemsets.select(F.array_sort("items").alias("items"), "freq")
-    fi = fi.where(F.col("freq") >= min_count)
-    if max_k is not None:
-        fi = fi.where(F.size("items") <= max_k)
-    fi = _checkpoint(fi.select(F.size("items").alias("k"), "items", "freq"))
-    allsets = fi.select("k", "items", "freq", (F.col("freq") / F.lit(float(n))).alias("support"))
+def _with_support(levels: list[DataFrame], n: int) -> DataFrame:
+    return reduce(DataFrame.unionByName, levels).select(
+        "k", "items", "freq", (F.col("freq") / F.lit(float(n or 1))).alias("support"))
+
+
+def apriori(tx: DataFrame, min_support: float = 0.02, max_k: int | None = 3) -> MiningResult:
+    """Level-wise Apriori with candidate generation, subset pruning and
+    support counting on weighted baskets."""
+    tx, codes, n, min_count = frequent_codes(tx, min_support)
+    baskets = weighted_baskets(tx, codes)
+    return level_wise(codes, n, min_count, max_k,
+                      lambda cand, k: count_support(baskets, cand, k, min_count, "w"))
+
+
+def fp_growth(tx: DataFrame, min_support: float = 0.02, max_k: int | None = 3) -> MiningResult:
+    """Pattern growth.  A pattern's projected baskets are the parts before
+    its first item, of the baskets that hold it, cut to the items frequent
+    there and folded with their weights; an item frequent in them makes the next
+    pattern.  All patterns of a length grow in one job, without candidates, and
+    nothing longer than max_k is counted or projected."""
+    tx, codes, n, min_count = frequent_codes(tx, min_support)
+    out = [codes.table.select(F.lit(1).alias("k"), F.array("item").alias("items"), "freq")]
+    db, k, n_prev = weighted_baskets(tx, codes), 1, codes.n
+    found = codes.table.select(F.col("code").alias("c1"), "freq")
+    while n_prev > 0 and (max_k is None or k < max_k):
+        # columns of a pattern of k items, first item last found: p1 (first) .. pk
+        tail = [f"p{j}" for j in range(2, k + 1)]
+        part = db.select(*tail, "items", "w", F.posexplode("items").alias("__at", "p1")).where("__at > 0")
+        before = F.slice("items", 1, F.col("__at"))
+        if k > 1:
+            grown = found.groupBy(*tail).agg(F.collect_list("p1").alias("__known"))   # at most codes.n items
+            part = (part.join(_few(found.select("p1", *tail), n_prev), ["p1", *tail], "left_semi")
+                    .join(_few(grown, n_prev), tail))
+            before = F.array_intersect(before, "__known")
+        db = part.select("p1", *tail, before.alias("items"), "w").where(F.size("items") > 0)
+        k += 1
+        # the projection of the patterns of k - 1 items, whose columns move up by one
+        db = db.select(*[F.col(f"p{j - 1}").alias(f"p{j}") for j in range(2, k + 1)], "items", "w")
+        tail = [f"p{j}" for j in range(2, k + 1)]
+        if max_k is None or k < max_k:
+            db = materialize(db.groupBy(*tail, "items").agg(F.sum("w").alias("w")))
+        counted = (db.select(*tail, "w", F.explode("items").alias("p1")).groupBy("p1", *tail)
+                   .agg(F.sum("w").alias("freq")).where(F.col("freq") >= min_count))
+        found, seen = materialize_with(counted, n=F.count(F.lit(1)))
+        n_prev = seen["n"]
+        if n_prev:
+            sets = found.select(F.array("p1", *tail).alias("items"), "freq")
+            out.append(codes.decoded(sets, k))
+    allsets = _with_support(out, n)
     lv = allsets.groupBy("k").agg(F.count(F.lit(1)).alias("frequent")).select(
         "k", F.lit(None).cast("long").alias("candidates"), "frequent",
         F.lit(None).cast("double").alias("pct_dropped"))
     return MiningResult(allsets, lv, n, min_count)
 
 
+def _few(table: DataFrame, rows: int) -> DataFrame:
+    """Broadcast a table that is known to have at most ``rows`` rows, if few."""
+    return broadcast_checked(table) if rows <= BROADCAST_MAX_ROWS else table
+
+
 def compare_itemsets(a: DataFrame, b: DataFrame) -> DataFrame:
     """(only_a, only_b, common) over (items, freq) rows, multiset
     semantics, in one grouped pass (no joins)."""

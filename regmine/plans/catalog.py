@@ -16,7 +16,7 @@ from regmine import schema as S
 from regmine.functions.numeric import r6
 from regmine.operators import (anomalies as K, block as B2, classify as J, clean as E,
                                concentration as C, correlate as H, features as FE,
-                               itemsets as I, profile as B, rules as R, stats as G)
+                               itemsets as I, profile as B, rules as R, stats as G, vertical as V)
 from regmine.plans import oracle as O
 from regmine.session import remove, scratch
 from regmine.sources import io as IO
@@ -93,7 +93,8 @@ def transactions_years(spark, sf):
 def mined(spark, sf, algo: str = "apriori", years: bool = False):
     """Frequent itemsets of the mining transactions, mined anew in every query."""
     tx = transactions_years(spark, sf) if years else transactions(spark, sf)
-    return I.fp_growth(tx, 0.02, 3) if algo == "fpgrowth" else I.apriori(tx, 0.02, 3)
+    miner = {"apriori": I.apriori, "bitmaps": V.apriori_bitmaps, "fpgrowth": I.fp_growth}[algo]
+    return miner(tx, 0.02, 3)
 
 
 def rules(spark, sf, years: bool = False):
@@ -1067,11 +1068,10 @@ def i7(spark, sf):
     return _itemset_out(mined(spark, sf).itemsets)
 
 
-@register("i8_apriori_join_path", _ITEMSET_SQL)
+@register("i8_apriori_bitmaps", _ITEMSET_SQL)
 def i8(spark, sf):
-    """Apriori on a repartitioned copy of the transactions: the same sets."""
-    tx = transactions(spark, sf).select("items").repartition("items")
-    return _itemset_out(I.apriori(tx, 0.02, 3).itemsets)
+    """Apriori on vertical bitmaps."""
+    return _itemset_out(mined(spark, sf, "bitmaps").itemsets)
 
 
 @register("i9_fp_growth", _ITEMSET_SQL)

@@ -104,6 +104,21 @@ def materialize(df):
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def materialize_with(df, **totals):
+    """``materialize`` that also returns totals (name = aggregate column over
+    the written columns) of the written rows as a dict: observed on the writing
+    pass itself, so the rows are not read again.  Where the optimizer finds the
+    input empty it drops the observation with it; the totals then come from the
+    (empty) written table."""
+    from pyspark.sql import Observation
+    spark, seen = df.sparkSession, Observation()
+    exprs = [c.alias(name) for name, c in totals.items()]
+    out = materialize(df.observe(seen, *exprs))
+    # observations arrive by the listener bus
+    spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty(600_000)
+    return out, seen.get if seen._jo.future().isCompleted() else out.agg(*exprs).first().asDict()
+
+
 def remove(spark: SparkSession, path: str) -> bool:
     """Delete a path that ``scratch`` gave."""
     if path in _WRITTEN:

@@ -1,9 +1,13 @@
 """Itemsets and rules on literal baskets, plus metamorphic checks."""
 
+import pytest
 from pyspark.sql import functions as F
 
 from regmine.operators import itemsets as I
 from regmine.operators import rules as R
+from regmine.operators import vertical as V
+
+MINERS = [I.apriori, V.apriori_bitmaps, I.fp_growth]
 
 
 def baskets(spark, rows):
@@ -123,3 +127,66 @@ def test_encoding_keeps_every_item(spark):
     assert index == {"a": 0, "b": 1, "c": 2}
     assert {r.tx_id: r.indices for r in enc.collect()} == {0: [0, 1], 1: [], 2: [2], 3: [0, 2]}
     assert {r.item: r["count"] for r in I.item_totals(enc, items).collect()} == {"a": 2, "b": 1, "c": 2}
+
+
+@pytest.mark.parametrize("few", [256, 0])
+def test_miners_agree_on_both_encodings(spark, monkeypatch, few):
+    import random
+    monkeypatch.setattr(I, "LITERAL_ITEMS", few)
+    rnd = random.Random(11)
+    rows = [[f"i{rnd.randint(0, 13)}" for _ in range(rnd.randint(0, 9))] for _ in range(2500)]
+    tx = baskets(spark, rows).repartition(3)
+    want = brute(rows, 60, 4)
+    for mine in MINERS:
+        m = mine(tx, 60, 4)
+        assert as_dict(m.itemsets) == want and m.n_transactions == 2500 and m.min_count == 60
+
+
+@pytest.mark.parametrize("mine", MINERS)
+def test_empty_and_hopeless_input(spark, mine):
+    tx = baskets(spark, [["a"], ["b"], []])
+    assert mine(tx, 2, 3).itemsets.collect() == [] and mine(tx.where("false"), 0.5, 3).itemsets.collect() == []
+    assert as_dict(mine(tx, 1, 1).itemsets) == {("a",): 1, ("b",): 1}
+
+
+@pytest.mark.parametrize("mine", MINERS)
+def test_no_length_limit(spark, mine):
+    tx = baskets(spark, [["a", "b", "c", "d", "e"]] * 3 + [["a", "c"]] * 2)
+    got = as_dict(mine(tx, 3, None).itemsets)
+    assert len(got) == 31 and got[("a", "c")] == 5 and got[("a", "b", "c", "d", "e")] == 3
+
+
+def test_a_million_copies_are_expanded_once(spark):
+    """Weighted baskets: as many rows as there are different baskets."""
+    kinds = F.array(F.lit("a"), F.lit("b"), F.concat(F.lit("c"), (F.col("id") % 3).cast("string")),
+                    F.concat(F.lit("rare"), F.col("id").cast("string")))
+    tx = spark.range(1_000_000).select(F.array_sort(kinds).alias("items"))
+    written, codes, n, least = I.frequent_codes(tx, 0.02)
+    folded = I.weighted_baskets(written, codes)
+    assert n == 1_000_000 and codes.n == 5 and sorted(r.w for r in folded.collect()) == [333333, 333333, 333334]
+    want = as_dict(I.level_wise(codes, n, least, 3, lambda c, k: I.count_support(folded, c, k, least, "w")).itemsets)
+    assert len(want) == 5 + 7 + 3 and want[("a", "b")] == 1_000_000
+
+
+def test_growth_stops_at_the_length_asked_for(spark, monkeypatch):
+    """18 items in every basket: 987 sets of up to 3 items, none longer made."""
+    written = []
+    keep = I.materialize
+
+    def watched(df):
+        out = keep(df)
+        written.append((out.columns, out.count()))
+        return out
+
+    monkeypatch.setattr(I, "materialize", watched)
+    rows = [[f"i{j:02}" for j in range(18)]] * 20
+    sets = as_dict(I.fp_growth(baskets(spark, rows), 20, 3).itemsets)
+    assert len(sets) == 987 and set(sets.values()) == {20}
+    assert all("p4" not in cols for cols, _ in written) and max(n for _, n in written) <= 987
+
+
+def test_bitmaps_count_across_blocks(spark, monkeypatch):
+    rows = [["a", "b"] if i % 3 == 0 else ["a"] if i % 3 == 1 else ["b", "c"] for i in range(5000)]
+    m = V.apriori_bitmaps(baskets(spark, rows).repartition(4), 1, 3)
+    assert as_dict(m.itemsets) == brute(rows, 1, 3)
+    assert {(r.k, r.candidates, r.frequent) for r in m.levels.collect()} == {(1, None, 3), (2, 3, 2), (3, 0, 0)}
