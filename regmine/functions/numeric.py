@@ -81,3 +81,10 @@ def broadcast_checked(small: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> D
     from pyspark.sql import functions as F
     most = min(max_rows, BROADCAST_MAX_BYTES // _row_bytes(small))
     return F.broadcast(small) if small.limit(most + 1).count() <= most else small
+
+
+def broadcast_bounded(small: DataFrame, rows: int, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+    """``broadcast_checked`` for a table that is already known to have at most
+    ``rows`` rows, so nothing is counted again."""
+    most = min(max_rows, BROADCAST_MAX_BYTES // _row_bytes(small))
+    return F.broadcast(small) if rows <= most else small

@@ -27,7 +27,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from regmine.functions.numeric import BROADCAST_MAX_ROWS, broadcast_checked, r6
+from regmine.functions.numeric import broadcast_bounded, broadcast_checked, r6
 from regmine.session import materialize, materialize_with
 
 KEY_SEP = "\u0001"
@@ -149,20 +149,25 @@ def prune_candidates(cand: DataFrame, prev: DataFrame, k: int) -> DataFrame:
     return ok.where(F.col("m") == k).select("items")
 
 
-def prefixes(cand: DataFrame, k: int) -> dict[int, DataFrame]:
-    """The candidates' prefixes of every length (columns c1..cj)."""
+def prefixes(cand: DataFrame, k: int, n_cand: int) -> dict[int, DataFrame]:
+    """The candidates' prefixes of every length (columns c1..cj), broadcast if
+    the ``n_cand`` candidates, which bound them all, are few."""
     names = [f"c{j}" for j in range(1, k + 1)]
-    full = materialize(_columns(cand, k))
+    full = _columns(cand, k)
     out = {j: full.select(*names[:j]).distinct() for j in range(1, k)} | {k: full}
-    return {j: broadcast_checked(p) for j, p in out.items()}
+    return {j: broadcast_bounded(p, n_cand) for j, p in out.items()}
 
 
 def count_support(tx: DataFrame, cand: DataFrame | None, k: int, min_count: int,
-                  weight: str | None = None) -> DataFrame:
+                  weight: str | None = None, n_cand: int | None = None) -> DataFrame:
     """Support of the candidates (of all k-subsets when ``cand`` is None):
     extend prefixes item by item, keep those of candidates, count (or add up
-    ``weight``) with a partially aggregated groupBy, keep count >= min_count."""
-    allowed = None if cand is None else prefixes(cand, k)
+    ``weight``) with a partially aggregated groupBy, keep count >= min_count.
+    ``cand`` without its number is written first, which counts it."""
+    if cand is not None and n_cand is None:
+        cand, seen = materialize_with(cand, n=F.count(F.lit(1)))
+        n_cand = seen["n"]
+    allowed = None if cand is None else prefixes(cand, k, n_cand)
     names = [f"c{j}" for j in range(1, k + 1)]
     rows = subsets(tx, k, allowed, *([weight] if weight else []))
     total = F.sum(weight) if weight else F.count(F.lit(1))
@@ -249,8 +254,8 @@ def next_candidates(prev: DataFrame, n_prev: int, k: int) -> tuple[DataFrame | N
 
 
 def level_wise(codes: Codes, n: int, min_count: int, max_k: int | None, count) -> MiningResult:
-    """The levels of Apriori; ``count(candidates or None, k)`` gives the frequent
-    ones as (k, items, freq).  Stops at max_k or when a level is empty."""
+    """The levels of Apriori; ``count(candidates or None, k, their number)`` gives
+    the frequent ones as (k, items, freq).  Stops at max_k or when a level is empty."""
     spark = codes.table.sparkSession
     levels = [(1, None, codes.n)]
     out = [codes.table.select(F.lit(1).alias("k"), F.array("item").alias("items"), "freq")]
@@ -261,7 +266,7 @@ def level_wise(codes: Codes, n: int, min_count: int, max_k: int | None, count) -
         if n_cand == 0:
             levels.append((k, 0, 0))
             break
-        prev, seen = materialize_with(count(cand, k), n=F.count(F.lit(1)))
+        prev, seen = materialize_with(count(cand, k, n_cand), n=F.count(F.lit(1)))
         n_prev = seen["n"]
         levels.append((k, n_cand, n_prev))
         if n_prev:
@@ -285,7 +290,7 @@ def apriori(tx: DataFrame, min_support: float = 0.02, max_k: int | None = 3) ->
     tx, codes, n, min_count = frequent_codes(tx, min_support)
     baskets = weighted_baskets(tx, codes)
     return level_wise(codes, n, min_count, max_k,
-                      lambda cand, k: count_support(baskets, cand, k, min_count, "w"))
+                      lambda cand, k, m: count_support(baskets, cand, k, min_count, "w", m))
 
 
 def fp_growth(tx: DataFrame, min_support: float = 0.02, max_k: int | None = 3) -> MiningResult:
@@ -305,8 +310,8 @@ def fp_growth(tx: DataFrame, min_support: float = 0.02, max_k: int | None = 3) -
         before = F.slice("items", 1, F.col("__at"))
         if k > 1:
             grown = found.groupBy(*tail).agg(F.collect_list("p1").alias("__known"))   # at most codes.n items
-            part = (part.join(_few(found.select("p1", *tail), n_prev), ["p1", *tail], "left_semi")
-                    .join(_few(grown, n_prev), tail))
+            part = (part.join(broadcast_bounded(found.select("p1", *tail), n_prev), ["p1", *tail], "left_semi")
+                    .join(broadcast_bounded(grown, n_prev), tail))
             before = F.array_intersect(before, "__known")
         db = part.select("p1", *tail, before.alias("items"), "w").where(F.size("items") > 0)
         k += 1
@@ -329,11 +334,6 @@ def fp_growth(tx: DataFrame, min_support: float = 0.02, max_k: int | None = 3) -
     return MiningResult(allsets, lv, n, min_count)
 
 
-def _few(table: DataFrame, rows: int) -> DataFrame:
-    """Broadcast a table that is known to have at most ``rows`` rows, if few."""
-    return broadcast_checked(table) if rows <= BROADCAST_MAX_ROWS else table
-
-
 def compare_itemsets(a: DataFrame, b: DataFrame) -> DataFrame:
     """(only_a, only_b, common) over (items, freq) rows, multiset
     semantics, in one grouped pass (no joins)."""

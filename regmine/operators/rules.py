@@ -1,19 +1,23 @@
 """Association rules (I13-I21) built from the itemset table.
 
-Every non-empty proper split of each frequent itemset is enumerated with a
-bitmask over array positions (at most 2^k - 2 per itemset, k <= max_k), and
-the antecedent / consequent supports come from two equi-joins on a canonical
-text key.  Multi-item consequents are kept (the ML FPGrowth rule generator
-would only give single-item consequents).
+Consequents grow level by level.  A rule's confidence only falls when items move
+from its antecedent to its consequent, so consequents of m items are made from
+pairs of kept consequents of m - 1 items of the same itemset, and one that misses
+the confidence bound takes all that contain it with it.  Long itemsets therefore
+cost as much as they have rules, not 2^k splits.  Supports come from equi-joins
+on a canonical text key.  Multi-item consequents are kept.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from regmine.functions.numeric import r6
 from regmine.operators.itemsets import item_key
+from regmine.session import materialize_with
 
 # Fixed labels of the lift reading.
 LIFT_POSITIVE = "Asociación positiva"
@@ -21,35 +25,48 @@ LIFT_INDEPENDENT = "Independencia"
 LIFT_NEGATIVE = "Asociación negativa"
 
 
-def _bit(mask: Column, i: Column) -> Column:
-    """Bit i of an integer mask (exact for k <= 52)."""
-    return (mask / F.pow(F.lit(2.0), i)).cast("long") % 2
+def _grown(kept: DataFrame, m: int) -> DataFrame:
+    """Consequents of m positions from kept ones of m - 1 that share all but
+    their last position."""
+    head = F.slice("cons", 1, m - 2) if m > 2 else F.array().cast("array<int>")
+    a = kept.select("__id", head.alias("head"), F.element_at("cons", -1).alias("x"), F.col("cons").alias("first"))
+    b = kept.select("__id", head.alias("head"), F.element_at("cons", -1).alias("y"))
+    return a.join(b, ["__id", "head"]).where(F.col("x") < F.col("y")).select(
+        "__id", F.concat("first", F.array("y")).alias("cons"))
 
 
 def generate_rules(itemsets: DataFrame, n_transactions: int,
                    min_confidence: float = 0.70) -> DataFrame:
     """(antecedents, consequents, antecedent_support, consequent_support,
-    support, confidence, lift, freq) for confidence >= min_confidence."""
-    sets = itemsets.where(F.col("k") >= 2).select("items", "freq", "k")
-    masks = sets.select("items", "freq", F.explode(
-        F.sequence(F.lit(1), F.pow(F.lit(2), F.col("k")).cast("int") - 2)).alias("m"))
-    split = masks.select(
-        "freq",
-        F.filter("items", lambda x, i: _bit(F.col("m"), i) == 1).alias("ante"),
-        F.filter("items", lambda x, i: _bit(F.col("m"), i) == 0).alias("cons"))
+    support, confidence, lift, freq) for confidence >= min_confidence.
+    ``itemsets`` holds every subset of its sets, as mining gives them."""
+    sets, seen = materialize_with(
+        itemsets.where(F.col("k") >= 2).select(F.monotonically_increasing_id().alias("__id"), "items", "freq", "k"),
+        longest=F.max("k"))
     sup = itemsets.select(item_key("items").alias("key"), F.col("freq").alias("f"))
+    inside = lambda x, i: F.array_contains("cons", i)
+    outside = lambda x, i: ~F.array_contains("cons", i)
+    cand = sets.select("__id", F.posexplode("items").alias("at", "item")).select("__id", F.array("at").alias("cons"))
+    levels, m = [], 1
+    while True:
+        split = cand.join(sets, "__id").where(F.size("cons") < F.col("k")).select(
+            "__id", "cons", "freq", item_key(F.filter("items", outside)).alias("key"))
+        kept, found = materialize_with(
+            split.join(sup, "key").where(F.col("freq") / F.col("f") >= min_confidence)
+            .select("__id", "cons", F.col("f").alias("fa")), n=F.count(F.lit(1)))
+        levels.append(kept)
+        m += 1
+        if not found["n"] or m >= (seen["longest"] or 0):
+            break
+        cand = _grown(kept, m)
+    rules = reduce(DataFrame.unionByName, levels).join(sets, "__id").select(
+        F.filter("items", outside).alias("antecedents"), F.filter("items", inside).alias("consequents"), "freq", "fa")
     n = F.lit(float(n_transactions))
-    r = (split.join(sup.withColumnRenamed("key", "akey").withColumnRenamed("f", "fa"),
-                    item_key(split.ante) == F.col("akey"))
-         .join(sup.withColumnRenamed("key", "ckey").withColumnRenamed("f", "fc"),
-               item_key(split.cons) == F.col("ckey")))
     conf = F.col("freq") / F.col("fa")
-    return (r.select(F.col("ante").alias("antecedents"), F.col("cons").alias("consequents"),
-                     (F.col("fa") / n).alias("antecedent_support"),
-                     (F.col("fc") / n).alias("consequent_support"),
-                     (F.col("freq") / n).alias("support"), conf.alias("confidence"),
-                     (conf / (F.col("fc") / n)).alias("lift"), "freq")
-            .where(F.col("confidence") >= min_confidence))
+    return rules.join(sup, item_key("consequents") == F.col("key")).select(
+        "antecedents", "consequents", (F.col("fa") / n).alias("antecedent_support"),
+        (F.col("f") / n).alias("consequent_support"), (F.col("freq") / n).alias("support"),
+        conf.alias("confidence"), (conf / (F.col("f") / n)).alias("lift"), "freq")
 
 
 def _any_contains(arr: str, text: str) -> Column:

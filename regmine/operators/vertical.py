@@ -23,12 +23,12 @@ from regmine.operators.itemsets import (Codes, MiningResult, explode_items, freq
                                         prefixes)
 from regmine.session import materialize
 
-WORDS = 16                   # 64-bit columns of a bitmap row
+WORDS = 8                    # 64-bit columns of a bitmap row
 _W = [f"w{j}" for j in range(WORDS)]
 
 
 def bitmaps(tx: DataFrame, codes: Codes) -> DataFrame:
-    """(block, code, w0 .. w15): the bits of one item in one block of baskets."""
+    """(block, code, w0 .. w7): the bits of one item in one block of baskets."""
     numbered = codes.encoded(tx.select("items", F.monotonically_increasing_id().alias("__n")), "__n")
     rows = explode_items(numbered, "items", "code", "__n")
     at = F.col("__n") % (64 * WORDS)
@@ -48,11 +48,12 @@ def _bits() -> Column:
     return F.expr(" + ".join(f"bit_count({w})" for w in _W)).cast("bigint")
 
 
-def count_bitmaps(maps: DataFrame, cand: DataFrame | None, k: int, min_count: int) -> DataFrame:
+def count_bitmaps(maps: DataFrame, cand: DataFrame | None, k: int, min_count: int,
+                  n_cand: int = 0) -> DataFrame:
     """Support of the candidates (of all pairs when ``cand`` is None) as
     (k, items, freq) of those with freq >= min_count."""
     cur = maps.withColumnRenamed("code", "c1")
-    allowed = prefixes(cand, k) if cand is not None else None
+    allowed = prefixes(cand, k, n_cand) if cand is not None else None
     for j in range(2, k + 1):
         head = [f"c{i}" for i in range(1, j)]
         a = (cur if allowed is None else cur.join(allowed[j], head)).alias("a")
@@ -71,4 +72,4 @@ def apriori_bitmaps(tx: DataFrame, min_support: float = 0.02, max_k: int | None
     """I8: level-wise Apriori whose supports are bit counts of vertical bitmaps."""
     tx, codes, n, min_count = frequent_codes(tx, min_support)
     maps = materialize(bitmaps(tx, codes)) if max_k is None or max_k > 1 else None
-    return level_wise(codes, n, min_count, max_k, lambda cand, k: count_bitmaps(maps, cand, k, min_count))
+    return level_wise(codes, n, min_count, max_k, lambda cand, k, m: count_bitmaps(maps, cand, k, min_count, m))

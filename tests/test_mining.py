@@ -164,7 +164,7 @@ def test_a_million_copies_are_expanded_once(spark):
     written, codes, n, least = I.frequent_codes(tx, 0.02)
     folded = I.weighted_baskets(written, codes)
     assert n == 1_000_000 and codes.n == 5 and sorted(r.w for r in folded.collect()) == [333333, 333333, 333334]
-    want = as_dict(I.level_wise(codes, n, least, 3, lambda c, k: I.count_support(folded, c, k, least, "w")).itemsets)
+    want = as_dict(I.level_wise(codes, n, least, 3, lambda c, k, m: I.count_support(folded, c, k, least, "w", m)).itemsets)
     assert len(want) == 5 + 7 + 3 and want[("a", "b")] == 1_000_000
 
 
@@ -190,3 +190,43 @@ def test_bitmaps_count_across_blocks(spark, monkeypatch):
     m = V.apriori_bitmaps(baskets(spark, rows).repartition(4), 1, 3)
     assert as_dict(m.itemsets) == brute(rows, 1, 3)
     assert {(r.k, r.candidates, r.frequent) for r in m.levels.collect()} == {(1, None, 3), (2, 3, 2), (3, 0, 0)}
+
+
+def _rules(spark, sets, n, conf):
+    df = spark.createDataFrame([(len(k), list(k), f) for k, f in sets.items()], "k int, items array<string>, freq long")
+    return {(tuple(r.antecedents), tuple(r.consequents)): r for r in R.generate_rules(df, n, conf).collect()}
+
+
+def test_rules_of_four_items_against_all_splits(spark):
+    from itertools import combinations
+    import random
+    rnd = random.Random(8)
+    rows = [[f"i{j}" for j in range(6) if rnd.random() < 0.6] for _ in range(120)]
+    sets = brute(rows, 6, 5)
+    for conf in (0.0, 0.55, 1.0):
+        want = {(a, tuple(x for x in z if x not in a)) for z in sets for m in range(1, len(z))
+                for a in combinations(z, m) if sets[z] / sets[a] >= conf}
+        got = _rules(spark, sets, len(rows), conf)
+        assert set(got) == want
+        for (a, c), r in got.items():
+            assert r.freq == sets[tuple(sorted(a + c))] and abs(r.lift - r.confidence * 120 / sets[c]) < 1e-9
+
+
+def test_rules_of_a_long_itemset(spark):
+    """A set of 40 items: consequents that fail are not extended."""
+    items = [f"i{j:02}" for j in range(40)]
+    sets = {(i,): 100 for i in items} | {tuple(items): 10}
+    sets |= {tuple(x for x in items if x != i): 11 if i in items[:2] else 90 for i in items}
+    sets[tuple(items[2:])] = 12
+    got = _rules(spark, sets, 100, 0.8)
+    rest = tuple(items[2:])
+    want = {(tuple(x for x in items if x != i), (i,)) for i in items[:2]} | {(rest, (i,)) for i in items[:2]}
+    assert set(got) == want
+    sets[tuple(items[:2])] = 100
+    got = _rules(spark, sets, 100, 0.8)
+    pair = {(items[0],): (items[1],), (items[1],): (items[0],)}
+    assert set(got) == want | {(rest, tuple(items[:2]))} | set(pair.items())
+
+
+def test_rules_of_nothing(spark):
+    assert _rules(spark, {("a",): 3}, 3, 0.5) == {} and _rules(spark, {("a", "b"): 1}, 3, 0.5) == {}
