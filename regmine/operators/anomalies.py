@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from regmine import schema as S
 from regmine.functions.bands import term_band_expr
 from regmine.functions.numeric import scalars, r6, try_ratio
+from regmine.session import materialize
 
 ANOMALY = "flag_registro_antes_desaparicion"
 DIS_DT, REG_DT = S.DISAPPEARED + "_DT", S.REGISTERED + "_DT"
@@ -20,8 +21,8 @@ def _computable():
 def anomaly_concentration(df: DataFrame, k: int = 5, group: str = S.SOURCE) -> DataFrame:
     """K3: share of anomalies held by the k sources with most anomalies, and
     those sources' share of rows with computable dates."""
-    g = df.where(_computable()).groupBy(group).agg(
-        F.sum(ANOMALY).alias("a"), F.count(F.lit(1)).alias("c"))
+    g = materialize(df.where(_computable()).groupBy(group).agg(
+        F.sum(ANOMALY).alias("a"), F.count(F.lit(1)).alias("c")))
     top = g.orderBy(F.desc("a"), group).limit(k)
     tot = scalars(g.agg(F.sum("a").alias("a"), F.sum("c").alias("c")))
     return top.agg(F.sum("a").alias("ta"), F.sum("c").alias("tc")).select(

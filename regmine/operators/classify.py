@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from regmine.functions.numeric import broadcast_checked, scalars, r6, try_ratio
+from regmine.session import materialize
 
 SPLIT = "split"
 
@@ -43,15 +44,16 @@ def label_codes(df: DataFrame, cols: list[str]) -> DataFrame:
 
 
 def class_distribution(df: DataFrame, label: str, split: str | None = None) -> DataFrame:
-    """Count and percent per class (per split part when given)."""
+    """Count and percent per class (per split part when given).  The class
+    counts are written, totals come from them."""
     keys = [split] if split else []
-    g = df.groupBy(*keys, label).agg(F.count(F.lit(1)).alias("count"))
+    g = materialize(df.groupBy(*keys, label).agg(F.count(F.lit(1)).alias("count")))
     if split:
-        tot = df.groupBy(split).agg(F.count(F.lit(1)).alias("__t"))
+        tot = g.groupBy(split).agg(F.sum("count").alias("__t"))
         g = g.join(tot, split)
         pct = try_ratio(F.col("count") * 100, F.col("__t"))
     else:
-        pct = try_ratio(F.col("count") * 100, scalars(df.agg(F.count(F.lit(1)).alias("n")))["n"])
+        pct = try_ratio(F.col("count") * 100, scalars(g.agg(F.sum("count").alias("n")))["n"])
     return g.select(*keys, label, "count", r6(pct).alias("pct"))
 
 
@@ -73,7 +75,6 @@ def stratified_split(df: DataFrame, label: str | None, test_frac: float = 0.2, s
     by bucket counts and one ranked bucket per class, and once for the rows,
     which are compared with their class's cut."""
     import math
-    from regmine.session import materialize
     cls = F.coalesce(F.col(label).cast("string"), F.lit("\u0000null")) if label else F.lit("")
     key = F.coalesce(F.col(id_col).cast("string"), F.lit(""))
     keys = materialize(df.select(cls.alias("__cls"), _hash(id_col, seed).alias("__h"), key.alias("__key")))
@@ -113,21 +114,22 @@ def random_split(df: DataFrame, test_frac: float = 0.3, seed: int = 42,
     return stratified_split(df, None, test_frac, seed, id_col)
 
 
+def _weighted_classes(df: DataFrame, label: str) -> DataFrame:
+    """(label, count, weight) from class counts that are written once."""
+    per = materialize(df.groupBy(label).agg(F.count(F.lit(1)).alias("count")))
+    t = scalars(per.agg(F.sum("count").cast("double").alias("N"), F.count(F.lit(1)).cast("double").alias("K")))
+    return per.select(label, "count", (t["N"] / (t["K"] * F.col("count"))).alias("weight"))
+
+
 def balanced_weights(df: DataFrame, label: str, out: str = "weight") -> DataFrame:
     """Weight N / (K * n_c) per row (one small class table joined back)."""
-    per = df.groupBy(label).agg(F.count(F.lit(1)).alias("__nc"))
-    t = scalars(per.agg(F.sum("__nc").cast("double").alias("N"),
-                        F.count(F.lit(1)).cast("double").alias("K")))
-    per = per.select(label, (t["N"] / (t["K"] * F.col("__nc"))).alias(out))
+    per = _weighted_classes(df, label).select(label, F.col("weight").alias(out))
     return df.join(broadcast_checked(per), label)
 
 
 def class_weights(df: DataFrame, label: str) -> DataFrame:
     """J5 as a table: (class, count, weight)."""
-    per = df.groupBy(label).agg(F.count(F.lit(1)).alias("count"))
-    t = scalars(per.agg(F.sum("count").cast("double").alias("N"),
-                        F.count(F.lit(1)).cast("double").alias("K")))
-    return per.select(label, "count", r6(t["N"] / (t["K"] * F.col("count"))).alias("weight"))
+    return _weighted_classes(df, label).select(label, "count", r6(F.col("weight")).alias("weight"))
 
 
 def train_forest(train: DataFrame, features: list[str], label: str, num_trees: int = 100,

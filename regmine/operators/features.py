@@ -42,8 +42,9 @@ def age_fractional(df: DataFrame, out: str = "EDAD_FRAC", lo: float = 0, hi: flo
 
 
 def _median_scalar(df: DataFrame, col: str):
-    """Exact median of a column as a scalar subquery (one bounded row)."""
-    return scalars(df.agg(F.median(col).alias("m")))["m"]
+    """Exact median of a column, from its range-partitioned value table."""
+    from regmine.operators.quantiles import ranked_values, summary
+    return scalars(summary(ranked_values(df, col), median=0.5).select("median"))["median"]
 
 
 def age_floor_imputed(df: DataFrame, out: str = "EDAD", birth: str = BIRTH_DT,

@@ -1,9 +1,9 @@
 """Descriptive statistics.
 
 Totals reach row-level expressions as literals from one-row aggregates
-(never an unpartitioned window); ordered statistics use exact ``percentile``
-(value->count map per task, fine for the integer measures here) with a
-``percentile_approx`` switch for high-cardinality reals.
+(never an unpartitioned window).  Ordered statistics, and the totals that go with
+them, come from the range-partitioned value table (``operators.quantiles``), which
+is the only pass over the source.
 """
 
 from __future__ import annotations
@@ -14,125 +14,110 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from regmine.functions.numeric import broadcast_checked, scalars, r6, try_ratio
-
-
-def _q(col: str, p, approx: bool = False, accuracy: int = 10000) -> Column:
-    if approx:
-        return F.percentile_approx(col, p, accuracy)
-    return F.percentile(col, p)
+from regmine.operators.quantiles import ranked_values, summary
 
 
 def mode_table(df: DataFrame, cols: list[str], denom: int | None = None) -> DataFrame:
     """G1: most frequent non-null value per column (ties -> smallest value),
     its count, and percent of ``denom`` (default: the input's row count).
 
-    One stacked ``groupBy(variable, value)`` with map-side combine, then a tiny
-    per-variable ``min(struct(-count, value))``."""
+    One stacked ``groupBy(variable, value)`` with map-side combine, written; nulls
+    are groups of it too, so every column's groups add up to the row count."""
+    from regmine.session import materialize
     stacked = df.select(F.inline_outer(F.array(*[
         F.struct(F.lit(c).alias("variable"), F.col(c).cast("string").alias("value"))
         for c in cols])))
-    counts = (stacked.where(F.col("value").isNotNull())
-              .groupBy("variable", "value").agg(F.count(F.lit(1)).alias("n")))
-    best = counts.groupBy("variable").agg(
+    counts = materialize(stacked.groupBy("variable", "value").agg(F.count(F.lit(1)).alias("n")))
+    best = counts.where(F.col("value").isNotNull()).groupBy("variable").agg(
         F.min(F.struct((-F.col("n")).alias("neg"), F.col("value").alias("value"))).alias("b"))
-    total = F.lit(denom) if denom is not None else scalars(df.agg(F.count(F.lit(1)).alias("n")))["n"]
+    total = F.lit(denom) if denom is not None else scalars(
+        counts.where(F.col("variable") == cols[0]).agg(F.sum("n").alias("n")))["n"]
     return best.select("variable", F.col("b.value").alias("mode"),
                        (-F.col("b.neg")).cast("long").alias("count"),
                        r6(try_ratio(-F.col("b.neg") * 100, total)).alias("pct"))
 
 
-def location_stats(df: DataFrame, col: str, approx: bool = False) -> DataFrame:
+def location_stats(df: DataFrame, col: str) -> DataFrame:
     """N, mean and median of a numeric column (nulls skipped)."""
-    return df.agg(F.count(col).alias("n"), r6(F.avg(col)).alias("mean"),
-                  r6(_q(col, 0.5, approx)).alias("median")).select(
-        F.lit(col).alias("variable"), "n", "mean", "median")
+    return summary(ranked_values(df, col), median=0.5).select(
+        F.lit(col).alias("variable"), "n", r6(F.col("mean")).alias("mean"), r6(F.col("median")).alias("median"))
 
 
 def delay_summary(df: DataFrame, col: str = "DIAS_REGISTRO") -> DataFrame:
     """N, median, mean, max days, max years, share registered the same day."""
-    c = F.col(col)
-    return df.where(c.isNotNull()).agg(
-        F.count(F.lit(1)).alias("n"), r6(F.median(c)).alias("median"), r6(F.avg(c)).alias("mean"),
-        F.max(c).cast("long").alias("max_days"), r6(F.max(c) / F.lit(365.0)).alias("max_years"),
-        r6(try_ratio(F.count_if(c == 0), F.count(F.lit(1)))).alias("same_day_share"))
+    values = ranked_values(df, col)
+    same_day = scalars(values.agg(F.coalesce(F.sum(F.when(F.col("v") == 0, F.col("c"))), F.lit(0)).alias("s")))["s"]
+    return summary(values, median=0.5).select(
+        "n", r6(F.col("median")).alias("median"), r6(F.col("mean")).alias("mean"),
+        F.col("mx").cast("long").alias("max_days"), r6(F.col("mx") / F.lit(365.0)).alias("max_years"),
+        r6(try_ratio(same_day, F.col("n"))).alias("same_day_share"))
 
 
-def spread_stats(df: DataFrame, col: str, approx: bool = False) -> DataFrame:
+def spread_stats(df: DataFrame, col: str) -> DataFrame:
     """G4 + G5: range, quartiles (linear interpolation), IQR, sample var / std."""
-    q = _q(col, [0.25, 0.75], approx)
-    a = df.agg(F.min(col).alias("mn"), F.max(col).alias("mx"), q.alias("q"),
-               F.var_samp(col).alias("var"), F.stddev_samp(col).alias("std"))
+    a = summary(ranked_values(df, col), q1=0.25, q3=0.75)
     return a.select(F.lit(col).alias("variable"), r6(F.col("mx") - F.col("mn")).alias("range"),
-                    r6(F.col("q")[0]).alias("q1"), r6(F.col("q")[1]).alias("q3"),
-                    r6(F.col("q")[1] - F.col("q")[0]).alias("iqr"),
+                    r6(F.col("q1")).alias("q1"), r6(F.col("q3")).alias("q3"),
+                    r6(F.col("q3") - F.col("q1")).alias("iqr"),
                     r6(F.col("var")).alias("variance"), r6(F.col("std")).alias("std"))
 
 
-def compare_spread(frames: dict[str, DataFrame], col: str, approx: bool = False) -> DataFrame:
-    """The spread report for several datasets in one grouped aggregate."""
+def compare_spread(frames: dict[str, DataFrame], col: str) -> DataFrame:
+    """The spread report for several datasets from one value table; a
+    dataset without values reports n = 0."""
     names = list(frames)
     u = frames[names[0]].select(F.lit(names[0]).alias("dataset"), F.col(col).alias("x"))
     for n in names[1:]:
         u = u.unionByName(frames[n].select(F.lit(n).alias("dataset"), F.col(col).alias("x")))
-    q = _q("x", [0.25, 0.75], approx)
-    a = u.groupBy("dataset").agg(F.count("x").alias("n"), F.min("x").alias("mn"),
-                                 F.max("x").alias("mx"), q.alias("q"),
-                                 F.var_samp("x").alias("var"), F.stddev_samp("x").alias("std"))
+    a = summary(ranked_values(u, "x", ["dataset"]), ["dataset"], q1=0.25, q3=0.75)
     return a.select("dataset", "n", r6(F.col("mx") - F.col("mn")).alias("range"),
-                    r6(F.col("q")[1] - F.col("q")[0]).alias("iqr"),
+                    r6(F.col("q3") - F.col("q1")).alias("iqr"),
                     r6(F.col("var")).alias("variance"), r6(F.col("std")).alias("std"))
 
 
-def box_stats(df: DataFrame, col: str, by: str | None = None, approx: bool = False) -> DataFrame:
+def box_stats(df: DataFrame, col: str, by: str | None = None) -> DataFrame:
     """Quartiles, 1.5 IQR fences, whiskers (most extreme points inside the
-    fences), mean and outlier count; per group when ``by`` is given.
-    Pass 1 computes fences per group (a table with one row per group), pass 2
-    joins them back (broadcast when AQE sees it is small) and counts."""
+    fences), mean and outlier count; per group when ``by`` is given.  Fences
+    (one row per group) meet the value table again, never the source."""
     keys = [by] if by else []
-    x = F.col(col)
-    base = df.where(x.isNotNull())
-    p = base.groupBy(*keys).agg(_q(col, [0.25, 0.5, 0.75], approx).alias("q"),
-                                F.avg(x).alias("mean"))
-    p = p.select(*keys, F.col("q")[0].alias("q1"), F.col("q")[1].alias("median"),
-                 F.col("q")[2].alias("q3"), "mean")
-    p = p.withColumns({"lo_fence": F.col("q1") - 1.5 * (F.col("q3") - F.col("q1")),
-                       "hi_fence": F.col("q3") + 1.5 * (F.col("q3") - F.col("q1"))})
+    values = ranked_values(df, col, keys)
+    reach = 1.5 * (F.col("q3") - F.col("q1"))
+    p = summary(values, keys, q1=0.25, median=0.5, q3=0.75).select(
+        *keys, "q1", "median", "q3", F.col("mean").alias("m"), (F.col("q1") - reach).alias("lo_fence"),
+        (F.col("q3") + reach).alias("hi_fence"))
     if by:
-        j = base.join(broadcast_checked(p), by)
+        p = p.withColumnRenamed(by, "__by")
+        j = values.join(broadcast_checked(p), F.col(by).eqNullSafe(F.col("__by")))
     else:
-        prow = scalars(p.select("q1", "median", "q3", "mean", "lo_fence", "hi_fence"))
-        j = base.withColumns({"lo_fence": prow["lo_fence"], "hi_fence": prow["hi_fence"]})
-    inside = (x >= F.col("lo_fence")) & (x <= F.col("hi_fence"))
-    w = j.groupBy(*keys).agg(F.min(F.when(inside, x)).alias("whisker_low"),
-                             F.max(F.when(inside, x)).alias("whisker_high"),
-                             F.count_if(~inside).alias("outliers"),
-                             F.count(F.lit(1)).alias("n"))
-    if by:
-        out = p.join(w, keys)
-    else:
-        out = w.select("*", *[prow[c].alias(c) for c in ("q1", "median", "q3", "mean", "lo_fence",
-                                                         "hi_fence")])
-    return out.select(*keys, "n", r6(F.col("q1")).alias("q1"), r6(F.col("median")).alias("median"),
-                      r6(F.col("q3")).alias("q3"), r6(F.col("q3") - F.col("q1")).alias("iqr"),
-                      r6(F.col("lo_fence")).alias("lo_fence"), r6(F.col("hi_fence")).alias("hi_fence"),
-                      r6(F.col("whisker_low")).alias("whisker_low"),
-                      r6(F.col("whisker_high")).alias("whisker_high"),
-                      r6(F.col("mean")).alias("mean"), F.col("outliers").cast("long").alias("outliers"))
+        j = values.withColumns(scalars(p))
+    v, c = F.col("v"), F.col("c")
+    inside = (v >= F.col("lo_fence")) & (v <= F.col("hi_fence"))
+    known = [r6(F.max(x)).alias(x) for x in ("q1", "median", "q3")]
+    out = j.groupBy(*keys).agg(
+        F.coalesce(F.sum("c"), F.lit(0)).alias("n"), *known,
+        r6(F.max("q3") - F.max("q1")).alias("iqr"), r6(F.max("lo_fence")).alias("lo_fence"),
+        r6(F.max("hi_fence")).alias("hi_fence"), r6(F.min(F.when(inside, v))).alias("whisker_low"),
+        r6(F.max(F.when(inside, v))).alias("whisker_high"), r6(F.max("m")).alias("mean"),
+        F.coalesce(F.sum(F.when(~inside, c)), F.lit(0)).alias("outliers"))
+    return out
 
 
 def histogram(df: DataFrame, col: str, bins: int = 60, density: bool = False,
               cap: float | None = None) -> DataFrame:
     """Equal-width bins over [min, max] (last bin closed), counts and density.
-    Only non-empty bins are emitted."""
+    Only non-empty bins are emitted.  The value -> count table is the one pass
+    over the source."""
+    from regmine.session import materialize
     x = F.col(col).cast("double")
-    base = df.where(x.isNotNull())
+    base = df.select(x.alias("v")).where(F.col("v").isNotNull())
     if cap is not None:
-        base = base.where(x <= cap)
-    rng = scalars(base.agg(F.min(x).alias("mn"), F.max(x).alias("mx"), F.count(F.lit(1)).alias("n")))
+        base = base.where(F.col("v") <= cap)
+    vc = materialize(base.groupBy("v").agg(F.count(F.lit(1)).alias("c")))
+    rng = scalars(vc.agg(F.min("v").alias("mn"), F.max("v").alias("mx"), F.sum("c").alias("n")))
     width = (rng["mx"] - rng["mn"]) / F.lit(float(bins))
     idx = F.when(width == 0, F.lit(0)).otherwise(
-        F.least(F.floor((x - rng["mn"]) / width), F.lit(bins - 1))).cast("long")
-    h = base.groupBy(idx.alias("bin")).agg(F.count(F.lit(1)).alias("count"))
+        F.least(F.floor((F.col("v") - rng["mn"]) / width), F.lit(bins - 1))).cast("long")
+    h = vc.groupBy(idx.alias("bin")).agg(F.sum("c").alias("count"))
     dens = try_ratio(F.col("count"), rng["n"] * F.when(width == 0, F.lit(1.0)).otherwise(width))
     return h.select("bin", r6(rng["mn"] + F.col("bin") * width).alias("lo"),
                     r6(rng["mn"] + (F.col("bin") + 1) * width).alias("hi"),
@@ -170,13 +155,19 @@ def kde(df: DataFrame, col: str, grid: int = 200, cut: float = 3.0) -> DataFrame
 
 
 def sigma_band(df: DataFrame, col: str) -> DataFrame:
-    """Mean +- one sample std and the share of values inside the band."""
-    x = F.col(col)
-    st = scalars(df.agg(F.avg(x).alias("m"), F.stddev_samp(x).alias("s")))
-    lo, hi = st["m"] - st["s"], st["m"] + st["s"]
-    return df.where(x.isNotNull()).agg(
-        F.count(F.lit(1)).alias("n"), F.count_if((x >= lo) & (x <= hi)).alias("inside")).select(
-        "n", r6(st["m"]).alias("mean"), r6(st["s"]).alias("std"), r6(lo).alias("low"),
+    """Mean +- one sample std and the share of values inside the band, from
+    the value -> count table (the one pass over the source)."""
+    from regmine.session import materialize
+    vc = materialize(df.select(F.col(col).cast("double").alias("v")).where(F.col("v").isNotNull())
+                     .groupBy("v").agg(F.count(F.lit(1)).alias("c")))
+    mean = scalars(vc.agg((F.sum(F.col("v") * F.col("c")) / F.sum("c")).alias("m")))["m"]
+    d = F.col("v") - mean
+    n = F.coalesce(F.sum("c"), F.lit(0))
+    std = scalars(vc.agg(F.sqrt(F.when(n > 1, F.sum(F.col("c") * d * d) / (n - 1))).alias("s")))["s"]
+    lo, hi = mean - std, mean + std
+    inside = F.coalesce(F.sum(F.when((F.col("v") >= lo) & (F.col("v") <= hi), F.col("c"))), F.lit(0))
+    return vc.agg(n.alias("n"), inside.alias("inside")).select(
+        "n", r6(mean).alias("mean"), r6(std).alias("std"), r6(lo).alias("low"),
         r6(hi).alias("high"), "inside", r6(try_ratio(F.col("inside"), F.col("n"))).alias("share"))
 
 
