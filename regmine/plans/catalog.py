@@ -16,7 +16,7 @@ from regmine import schema as S
 from regmine.functions.numeric import r6
 from regmine.operators import (anomalies as K, block as B2, classify as J, clean as E,
                                concentration as C, correlate as H, features as FE,
-                               itemsets as I, profile as B, rules as R, stats as G, vertical as V)
+                               inference as IN, itemsets as I, profile as B, rules as R, stats as G, vertical as V)
 from regmine.plans import oracle as O
 from regmine.session import remove, scratch
 from regmine.sources import io as IO
@@ -128,6 +128,23 @@ def a1(spark, sf):
     return _csv_round_trip(spark, raw(spark, sf), lambda p: IO.read_registry(spark, p))
 
 
+_TYPE_SQL = " UNION ALL ".join(f"""SELECT '{c}' AS "column", CASE WHEN r = 3 THEN 'text'
+  WHEN r = 1 AND NOT n THEN 'integer' ELSE 'decimal' END AS "type", n AS has_null FROM (
+  SELECT max(CASE WHEN {c} IS NULL THEN 0 WHEN regexp_full_match(trim({c}), '[+-]?[0-9]{{1,18}}') THEN 1
+    WHEN regexp_full_match(trim({c}), '[+-]?([0-9]+[.]?[0-9]*|[.][0-9]+)([eE][+-]?[0-9]+)?') THEN 2 ELSE 3 END) AS r,
+    bool_or({c} IS NULL) AS n FROM typed)""" for c in RAW_COLS)
+
+
+@register("a1_inferred_types", O.with_ctes(O.REGISTRY, "typed AS (SELECT " + ", ".join(
+    f"CASE WHEN {c} NOT IN ('SE DESCONOCE', 'CONFIDENCIAL') THEN {c} END AS {c}" for c in RAW_COLS)
+    + " FROM registry)") + _TYPE_SQL)
+def a1i(spark, sf):
+    """A1 with both sentinels read as null: the type of every column."""
+    df = _csv_round_trip(spark, raw(spark, sf), lambda p: IO.read_registry(
+        spark, p, null_tokens=[*IO.DEFAULT_NULL_TOKENS, S.UNKNOWN, S.WITHHELD]))
+    return IN.column_types(df)
+
+
 @register("a1_read_registry_null_tokens", P_RAW + "SELECT " + ", ".join(
     f"nullif({c}, 'SE DESCONOCE') AS {c}" for c in RAW_COLS) + " FROM registry")
 def a1t(spark, sf):
@@ -430,6 +447,23 @@ def e5(spark, sf):
     return _fmt_dt_spark(mining(spark, sf), _DTS)
 
 
+@register("e5_parse_dates_undeclared", O.with_ctes(O.REGISTRY, """
+u AS (SELECT ID_VICTIMA, 'birth' AS kind, FECHA_NACIMIENTO AS t FROM registry
+      UNION ALL SELECT ID_VICTIMA, 'event', FECHA_DESAPARICION FROM registry),
+best AS (SELECT regexp_replace(t, '[0-9]', '9', 'g') AS s FROM u
+         WHERE regexp_replace(t, '[0-9]', '9', 'g') IN ('9999-99-99', '9999-99-99 99:99:99')
+         GROUP BY 1 ORDER BY count(*) DESC, s LIMIT 1)""") + """
+SELECT ID_VICTIMA, kind, strftime(CASE WHEN (SELECT s FROM best) = '9999-99-99' THEN try_strptime(t, '%Y-%m-%d')
+  ELSE try_strptime(t, '%Y-%m-%d %H:%M:%S') END, '%Y-%m-%d %H:%M:%S') AS parsed FROM u""")
+def e5u(spark, sf):
+    """E5 on a column of two formats, neither declared."""
+    r = raw(spark, sf)
+    u = (r.select(S.ID, F.lit("birth").alias("kind"), F.col(S.BIRTH).alias("t"))
+         .unionByName(r.select(S.ID, F.lit("event").alias("kind"), F.col(S.DISAPPEARED).alias("t"))))
+    return IN.parse_dates_inferred(u, ["t"]).select(
+        S.ID, "kind", F.date_format("t_DT", "yyyy-MM-dd HH:mm:ss").alias("parsed"))
+
+
 @register("e6_temporal_subset", P_CLEAN + "SELECT ID_VICTIMA FROM temporal")
 def e6(spark, sf):
     return E.temporal_subset(general(spark, sf)).select(S.ID)
@@ -681,6 +715,27 @@ def g7(spark, sf):
     return G.box_stats(measures(spark, sf), "EDAD")
 
 
+@register("g7_box_stats_datasets", O.with_ctes(O.REGISTRY, O.CLEAN, """
+b AS (SELECT 'general' AS dataset, CAST(year(FECHA_DESAPARICION_DT) - year(FECHA_NACIMIENTO_DT) AS DOUBLE) AS x
+      FROM general WHERE year(FECHA_DESAPARICION_DT) - year(FECHA_NACIMIENTO_DT) IS NOT NULL
+      UNION ALL SELECT 'temporal', CAST(EDAD AS DOUBLE) FROM measures WHERE EDAD IS NOT NULL),
+p AS (SELECT dataset, quantile_cont(x, 0.25) AS q1, quantile_cont(x, 0.5) AS med, quantile_cont(x, 0.75) AS q3,
+             avg(x) AS mean FROM b GROUP BY dataset),
+f AS (SELECT *, q1 - 1.5 * (q3 - q1) AS lo, q3 + 1.5 * (q3 - q1) AS hi FROM p)""") + """
+SELECT dataset, count(*) AS n, round(any_value(q1), 6) AS q1, round(any_value(med), 6) AS median,
+  round(any_value(q3), 6) AS q3, round(any_value(q3) - any_value(q1), 6) AS iqr,
+  round(any_value(lo), 6) AS lo_fence, round(any_value(hi), 6) AS hi_fence,
+  round(min(CASE WHEN x BETWEEN lo AND hi THEN x END), 6) AS whisker_low,
+  round(max(CASE WHEN x BETWEEN lo AND hi THEN x END), 6) AS whisker_high,
+  round(any_value(mean), 6) AS mean, count_if(NOT (x BETWEEN lo AND hi)) AS outliers
+FROM b JOIN f USING (dataset) GROUP BY dataset""")
+def g7d(spark, sf):
+    """G7 of two datasets side by side."""
+    gen = FE.age_years_diff(general(spark, sf), None, None).select(F.lit("general").alias("dataset"), "EDAD")
+    tmp = measures(spark, sf).select(F.lit("temporal").alias("dataset"), "EDAD")
+    return G.box_stats(gen.unionByName(tmp), "EDAD", by="dataset")
+
+
 def _hist_sql(col, bins, cap=None):
     where = f"{col} IS NOT NULL" + (f" AND {col} <= {cap}" if cap is not None else "")
     return O.with_ctes(O.REGISTRY, O.CLEAN, f"""
