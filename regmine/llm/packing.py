@@ -116,12 +116,12 @@ def token_pieces(docs: DataFrame, tokenizer_path: str, capacity: int, end_id: in
     def run(batches):
         from pyspark import TaskContext
         part = TaskContext.get().partitionId()
-        enc = bpe.load(tokenizer_path)
+        encode = bpe.library_encoder(tokenizer_path)
         seen = np.zeros(capacity + 1, dtype=np.int64)
         for batch in batches:
             which, piece, start, length, crc, rank, kept = [], [], [], [], [], [], []
             for i, text in enumerate(texts_of(batch.column(1))):
-                ids = enc.encode(text) + end
+                ids = encode(text).astype(bpe.INT32).tobytes() + end
                 n = len(ids) // 4
                 first = n % capacity or capacity
                 cuts = [0, *range(first, n + 1, capacity)]
