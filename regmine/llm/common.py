@@ -43,6 +43,27 @@ def bytes_of(column, step: int = 256):
             yield v or b""
 
 
+def unused(df: DataFrame, *names: str) -> list[str]:
+    """The names, lengthened until no column of ``df`` has them."""
+    taken, out = {c.lower() for c in df.columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
+#: Largest table, by counted rows times a row's bytes, that a join sends to all.
+BROADCAST_BYTES = 16 << 20
+
+
+def sent_if_small(table: DataFrame, row_bytes: int) -> DataFrame:
+    """``table`` (written) for a broadcast join if it is counted to be small;
+    else as it is, and the join shuffles."""
+    return F.broadcast(table) if table.count() * row_bytes <= BROADCAST_BYTES else table
+
+
 def write_shared(df: DataFrame, tag: str) -> DataFrame:
     """Write ``df`` as Parquet into the shared folder of spark.checkpoint.dir
     and read it back: lineage is cut, every executor sees the files, and a lost

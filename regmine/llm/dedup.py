@@ -12,7 +12,8 @@ key is hotter than one input partition.
 Texts are equal when identical after lower-casing A-Z only; null counts as
 empty.  The row with the largest (or smallest) id stays; null ids lose to all
 others; among rows with the same id the first by (partition, position) stays,
-so exactly one row of a group is kept.  Empty tables give no rows.
+so exactly one row of a group is kept.  Very long texts are compared whole; one
+fills a fold, and a trie's label, of its own.  Empty tables give no rows.
 """
 
 from __future__ import annotations
@@ -23,12 +24,13 @@ import pickle
 import tempfile
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from regmine.llm.common import bytes_of, id_and_text, id_type, write_shared
+from regmine.llm.common import bytes_of, id_and_text, id_type, sent_if_small, unused, write_shared
 
 FOLD_BYTES = 32 << 20        # text held by the map-side combine before it flushes
+GONE_BYTES = 120             # of an id and a hash in hexadecimal
 TRIE_BYTES = 64 << 20        # label bytes a trie holds before it spills a subtree
 
 
@@ -229,7 +231,8 @@ def _fold(arrow_id, largest):
 
 def _owners(arrow_id, largest):
     def merge(a, b):
-        return (a[0] + b[0], _better(a[1], b[1], largest), a[2] + b[2])
+        a[2].extend(b[2])                            # in place: a text of many folds costs as many steps
+        return (a[0] + b[0], _better(a[1], b[1], largest), a[2])
 
     def run(batches):
         trie = PatriciaTrie(merge)
@@ -290,19 +293,26 @@ def drop_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                     keep: str = "largest") -> DataFrame:
     """One row of each group of equal texts, the one ``exact_duplicates`` keeps
     by id; all columns.  Where that id (or null) stands on several rows of a
-    group, the smallest of them by its columns stays, so the choice does not
-    depend on how the rows are read."""
+    group, the first of them by its columns as JSON text stays, so the choice does
+    not depend on how the rows are read.  Columns of any name and type; the texts
+    are only shuffled if the dropped rows' keys exceed ``BROADCAST_BYTES``."""
     res = exact_duplicates(docs, id_col, text_col, keep)
+    mark, rank, gone_id, gone_text, again = unused(docs, "_text_hash", "_rank", "_gone_id", "_gone_text", "_again")
+    # (id, hash) of the rows to drop; the texts stay where they are while these are few
     gone = write_shared(res.where(~F.col("kept")).select(
-        F.col("doc_id").alias("_gone_id"), F.col("text_sha256").alias("_gone_text"),
-        F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("_again")).distinct(), "dedup-gone")
-    marked = docs.withColumn("_text_hash", _lower_hash(text_col))
-    same = marked[id_col].eqNullSafe(gone["_gone_id"]) & (marked["_text_hash"] == gone["_gone_text"])
-    left = marked.join(gone, same, "left_anti").select(*docs.columns)
-    again = gone.where("_again")
-    if again.isEmpty():
+        F.col("doc_id").alias(gone_id), F.col("text_sha256").alias(gone_text),
+        F.col("doc_id").eqNullSafe(F.col("keep_id")).alias(again)).distinct(), "dedup-gone")
+    marked = docs.withColumn(mark, _lower_hash(text_col))
+
+    def same(table):
+        return marked[id_col].eqNullSafe(table[gone_id]) & (marked[mark] == table[gone_text])
+
+    left = marked.join(sent_if_small(gone, GONE_BYTES), same(gone), "left_anti").select(*docs.columns)
+    repeated = write_shared(gone.where(again), "dedup-again")
+    if repeated.isEmpty():
         return left
-    same = marked[id_col].eqNullSafe(again["_gone_id"]) & (marked["_text_hash"] == again["_gone_text"])
-    once = (marked.join(again, same, "left_semi")
-            .groupBy(id_col, "_text_hash").agg(F.min(F.struct(*docs.columns)).alias("_row")))
-    return left.unionByName(once.select("_row.*"))
+    # of rows that share id and text, the first by all their columns as text
+    first = Window.partitionBy(id_col, mark).orderBy(F.to_json(F.struct(*docs.columns)))
+    once = (marked.join(sent_if_small(repeated, GONE_BYTES), same(repeated), "left_semi")
+            .withColumn(rank, F.row_number().over(first)).where(F.col(rank) == 1))
+    return left.unionByName(once.select(*docs.columns))

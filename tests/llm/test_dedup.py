@@ -77,3 +77,34 @@ def test_query_against_sql(spark, sf):
     from regmine.llm.queries import ORACLE, op6_exact_dedup
     r = compare(op6_exact_dedup(spark, sf), ORACLE["op6_exact_dedup"], duck_connect(sf))
     assert r["match"], r
+
+
+def test_dropping_with_clashing_names_and_map_columns(spark):
+    rows = [(1, "A b", "x", {"k": 1}), (2, "a B", "y", {"k": 2}), (2, "a B", "z", {"k": 3}), (None, "q", "u", None),
+            (None, "Q", "v", None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, _text_hash string, _rank map<string,int>")
+    left = dedup.drop_duplicates(docs.repartition(2))
+    assert left.columns == docs.columns
+    assert sorted((r.doc_id or 0, r["_text_hash"]) for r in left.collect()) in ([(0, "u"), (2, "y")], [(0, "v"), (2, "y")])
+
+
+def test_a_text_of_very_many_folds():
+    """Owners of one text from a million folds, in steps that do not grow."""
+    import time
+
+    import pyarrow as pa
+    run = dedup._owners(pa.int64(), True)
+    n = 200_000
+
+    def batches():
+        for at in range(0, n, 20_000):
+            ids = range(at, at + 20_000)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([b"text"] * 20_000, pa.binary()), pa.array(ids, pa.int64()), pa.array([0] * 20_000, pa.int64()),
+                 pa.array([1] * 20_000, pa.int64()), pa.array(ids, pa.int64()), pa.array([0] * 20_000, pa.int64())],
+                names=["text", "part", "fold", "n", "owner", "owner_row"])
+
+    began = time.time()
+    out = list(run(batches()))
+    assert sum(b.num_rows for b in out) == n and time.time() - began < 30
+    assert {v for b in out for v in b.column(2).to_pylist()} == {n - 1}
