@@ -16,8 +16,8 @@ identifier, an assignment as a strong secret, a hex run as neither, so a text
 without an assignment links nothing.  No pairs are formed, so thousands of parts in one document cost a sort.
 
 Null and empty texts have no spans.  Rows are told apart by (id, text hash,
-length), null ids included; repeated rows get equal results.  Empty tables give
-no rows.  Candidate rows are shuffled by document; texts are not.
+length), null ids included; repeated rows get equal results.  Very long texts are
+cut whole into pieces, one array per kind.  Empty tables give no rows.  Candidate rows are shuffled by document; texts are not.
 """
 
 from __future__ import annotations
@@ -25,7 +25,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from regmine.llm.common import id_and_text
+from regmine.llm.common import BROADCAST_BYTES, id_and_text, unused, write_shared
 
 # fixed values: the patterns of the contract, and its limits
 ASSIGN = r"""(?i)(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
@@ -44,6 +44,7 @@ ENDPOINT = r"""(?i)(?<![A-Za-z0-9_])(?:(?:https?|ftp|ssh|postgres(?:ql)?|mysql|m
 ENDPOINT += r"""|(?:host(?:name)?|endpoint|server)["']?\x20*[:=]\x20*["']?[A-Za-z0-9_.-]+)"""
 KINDS = ("assign", "access", "hex", "identifier", "secret", "endpoint")
 MASK = "[SECRET]"
+SPAN_BYTES, KEY_BYTES = 48, 96   # of a span and of a document's key in a broadcast table
 
 
 def _pieces(text, kind: str, pattern: str, strong):
@@ -108,15 +109,19 @@ def find_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
         .otherwise(F.col("kind")).alias("kind"), "start", "end")
 
 
-def _by_document(docs, id_col, text_col, columns):
-    """(rows of docs with ``columns`` and a key, spans gathered per document)."""
-    spans = find_spans(docs, id_col, text_col)
+def _gathered(docs, id_col, text_col):
+    """Spans per document: id, text hash and length (the key), found."""
     rank = F.array_position(F.array(*map(F.lit, KINDS)), F.col("kind"))
-    gathered = (spans.groupBy("doc_id", "h", "chars")
-                .agg(F.array_sort(F.collect_list(F.struct("start", rank.alias("rank"), "kind", "end"))).alias("found"))
-                .select(F.col("doc_id").alias("_k_id"), F.col("h").alias("_k_h"), F.col("chars").alias("_k_chars"),
-                        F.col("found").alias("_found")))
-    left = docs.select(*columns, F.col(id_col).alias("_id"), F.xxhash64(F.col(text_col).cast("string")).alias("_h"),
+    return (find_spans(docs, id_col, text_col).groupBy("doc_id", "h", "chars")
+            .agg(F.array_sort(F.collect_list(F.struct("start", rank.alias("rank"), "kind", "end"))).alias("found"))
+            .select(F.col("doc_id").alias("_k_id"), F.col("h").alias("_k_h"), F.col("chars").alias("_k_chars"),
+                    F.col("found").alias("_found")))
+
+
+def _by_document(docs, id_col, text_col):
+    """(_id, spans) of every row of docs."""
+    gathered = _gathered(docs, id_col, text_col)
+    left = docs.select(F.col(id_col).alias("_id"), F.xxhash64(F.col(text_col).cast("string")).alias("_h"),
                        F.octet_length(F.col(text_col).cast("string")).alias("_chars"))
     same = (left["_id"].eqNullSafe(gathered["_k_id"]) & (left["_h"] == gathered["_k_h"])
             & (left["_chars"] == gathered["_k_chars"]))
@@ -127,7 +132,7 @@ def scan_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     """One row per input row: doc_id, n_assign, n_access, n_hex, base_sha256
     (of the base spans as kind:start:end by start, then kind, comma-joined),
     spans (all spans, joined likewise) and n_linked (added spans)."""
-    rows = _by_document(docs, id_col, text_col, [])
+    rows = _by_document(docs, id_col, text_col)
     found = F.coalesce(F.col("_found"), F.array().cast(rows.schema["_found"].dataType))
     count = lambda k: F.size(F.filter(found, lambda s: s["kind"] == k)).cast("bigint")
     write = lambda a: F.array_join(F.transform(a, lambda s: F.concat_ws(
@@ -141,18 +146,25 @@ def scan_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
 def redact_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` with every reported span replaced by ``MASK`` (overlapping spans
-    by one); all rows and columns stay, documents without spans are unchanged."""
-    # the spans go to the texts, so only one side carries text through the join
-    rows = _by_document(docs, id_col, text_col, docs.columns)
+    by one); all rows and columns, of any name, stay; documents without spans are
+    unchanged.  Texts are only shuffled if the spans exceed ``BROADCAST_BYTES``."""
+    k_id, k_h, k_chars, found = unused(docs, "_k_id", "_k_h", "_k_chars", "_found")
+    spans = write_shared(_gathered(docs, id_col, text_col).toDF(k_id, k_h, k_chars, found), "secret-spans")
+    size = spans.agg(F.coalesce(F.sum(F.size(found) * SPAN_BYTES + KEY_BYTES), F.lit(0))).first()[0]
+    if size <= BROADCAST_BYTES:          # few documents have any: the texts stay where they are
+        spans = F.broadcast(spans)
     text = F.col(text_col)
+    whole = text.cast("string")
+    rows = docs.join(spans, docs[id_col].eqNullSafe(spans[k_id]) & (F.xxhash64(whole) == spans[k_h])
+                     & (F.octet_length(whole) == spans[k_chars]), "left")
     start = F.struct(F.lit("").alias("out"), F.lit(0).cast("bigint").alias("pos"))
     walked = F.aggregate(
-        F.col("_found"), start,
+        F.col(found), start,
         lambda acc, s: F.when(s["start"] >= acc["pos"], F.struct(
             F.concat(acc["out"], F.substring(text, (acc["pos"] + 1).cast("int"),
                                              (s["start"] - acc["pos"]).cast("int")), F.lit(MASK)).alias("out"),
             s["end"].alias("pos"))).otherwise(F.struct(
                 acc["out"].alias("out"), F.greatest(acc["pos"], s["end"]).alias("pos"))),
         lambda acc: F.concat(acc["out"], F.substring(text, (acc["pos"] + 1).cast("int"), F.lit(2 ** 31 - 1))))
-    new = F.when(F.col("_found").isNull(), text).otherwise(walked)
+    new = F.when(F.col(found).isNull(), text).otherwise(walked)
     return rows.select(*[new.alias(c) if c == text_col else F.col(c) for c in docs.columns])

@@ -101,3 +101,17 @@ def test_redaction(spark, make_docs):
 def test_no_python_in_the_plan(spark, sf):
     plan = op10_secret_scan(spark, sf)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_redaction_with_clashing_names(spark):
+    rows = [(1, "password = abcdefgh123456 end", "a", "b"), (2, "nothing", "c", "d"), (None, None, "e", "f")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, _id string, _found string")
+    got = {r.doc_id: r for r in secrets.redact_secrets(docs).collect()}
+    assert got[1].text == "[SECRET] end" and (got[1]["_id"], got[1]["_found"]) == ("a", "b")
+    assert got[2].text == "nothing" and got[None].text is None and got[None]["_found"] == "f"
+
+
+def test_spans_too_many_to_send(spark, monkeypatch, make_docs):
+    monkeypatch.setattr(secrets, "BROADCAST_BYTES", 0)
+    docs = make_docs([(1, "password = abcdefgh123456 end"), (2, "x")])
+    assert {r.doc_id: r.text for r in secrets.redact_secrets(docs).collect()} == {1: "[SECRET] end", 2: "x"}
