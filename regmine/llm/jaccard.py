@@ -43,7 +43,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from regmine.llm.common import bytes_of, id_and_text, id_type, write_shared
+from regmine.llm.common import bytes_of, id_and_text, id_type, unused, write_shared
 
 WORDS = 5
 SHARE = (80, 100)            # 100 * intersection >= 80 * union
@@ -580,11 +580,12 @@ def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     # in this order the smallest document of a component has its smallest id
     document = F.struct(F.col(id_col).isNull().alias("no_id"), F.col(id_col).alias("id"), F.md5(text).alias("text"))
     found = near_copies(docs.select(document.alias("doc_id"), text.alias("text")))
+    mark, gone_id, gone_text = unused(docs, "_text_hash", "_gone_id", "_gone_text")
     gone = write_shared(found.where(F.col("component_id") != F.col("doc_id"))
-                        .select(F.col("doc_id.id").alias("_gone_id"), F.col("doc_id.text").alias("_gone_text"))
+                        .select(F.col("doc_id.id").alias(gone_id), F.col("doc_id.text").alias(gone_text))
                         .distinct(), "jaccard-gone")
     if gone.count() * 80 <= BROADCAST_BYTES:          # else the join shuffles the texts
         gone = F.broadcast(gone)
-    marked = docs.withColumn("_text_hash", F.md5(text))
-    same = marked[id_col].eqNullSafe(gone["_gone_id"]) & (marked["_text_hash"] == gone["_gone_text"])
+    marked = docs.withColumn(mark, F.md5(text))
+    same = marked[id_col].eqNullSafe(gone[gone_id]) & (marked[mark] == gone[gone_text])
     return marked.join(gone, same, "left_anti").select(*docs.columns)
