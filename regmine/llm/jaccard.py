@@ -20,9 +20,14 @@ set on bitmaps, again by an upper bound.  Survivors are verified on full sets.
 Two rounds keep groups of copies from forming all pairs.  The first deals only
 the first two shingles and, in each group, keeps the most similar pairs that
 connect it (a spanning forest); verified links make components.  The second
-deals all prefix shingles, drops every group that lies in one component, and
-tests all remaining pairs of different components where they first meet: no
-link is lost.
+deals all prefix shingles, drops every set that has no set of another component
+within its range of sizes in the group, and tests all remaining pairs of
+different components: no link is lost.
+
+Shingles that very many sets share (found by counts of hashed shingles) are dealt
+by range of sizes in both rounds: linked sets lie in the same range or in
+neighbouring ones.  Which of their sets have a partner follows from aggregates by
+size, so no task holds such a group; what remains is split into blocks.
 
 Components come from alternating star contractions, all in DataFrames.  Texts are
 shingled anew where sets are needed instead of storing all sets.
@@ -37,13 +42,14 @@ themselves.  Repeated rows get equal results; empty tables give no rows.
 from __future__ import annotations
 
 import hashlib
+import math
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from regmine.llm.common import bytes_of, id_and_text, id_type, unused, write_shared
+from regmine.llm.common import bytes_of, id_and_text, id_type, sent_if_small, unused, write_shared
 
 WORDS = 5
 SHARE = (80, 100)            # 100 * intersection >= 80 * union
@@ -54,8 +60,12 @@ LEAF = 32                    # sets per leaf
 FANOUT = 8                   # children per node
 RUN = 2048                   # sets compared at a time where a group need only be connected
 HUBS = 8                     # best connected sets of a run that also stand in the next one
-EARLIER = 4                  # prefix shingles before a group's own that are compared
 BLOCK = 2048                 # larger groups are split into blocks; every pair of blocks is compared
+SPLIT = 16_384               # groups above this many sets are dealt by range of sizes, and in parts
+COMMON = 256                 # sets of a group (about) that all its parts of the first round have
+BUCKETS = 1 << 16            # of hashed shingles, counted to find the large groups
+HELD = 1 << 20               # rows of a group held to test it; longer ones pass untested
+RANGE = math.log(SHARE[1] / SHARE[0])  # sizes of linked sets differ by at most this in logarithm
 TEXT_BLOCK = 1 << 20         # bytes hashed at a time
 BROADCAST_BYTES = 16 << 20   # ids are broadcast below this size, joined by a shuffle beyond
 
@@ -302,69 +312,67 @@ def _spanning(pairs, n: int):
     return edges, degree
 
 
-def _first_meeting(i, j, n, pos, earlier):
-    """Which pairs of a group may have its shingle as their first common one.
-    They share none of the EARLIER shingles before it (else they meet there),
-    and what follows it suffices for a link."""
-    if not len(i):
-        return np.zeros(0, dtype=bool)
-    rest = 1 + np.minimum(n[i] - 1 - pos[i], n[j] - 1 - pos[j])
-    ok = rest >= needed(n[i], n[j])
-    for at in range(0, len(i), 1 << 14):
-        s = slice(at, at + (1 << 14))
-        ok[s] &= ~(earlier[i[s]][:, :, None] == earlier[j[s]][:, None, :]).any(axis=(1, 2))
-    return ok
+def most_size(n, pos):
+    """Largest size of a set that links with a set of ``n`` if the shingle at
+    ``pos`` of its order is the first that they share."""
+    a, b = SHARE
+    return ((a + b) * (n - pos) - a * n) // a
 
 
 def _group_pairs(spanning: bool):
-    """Candidate pairs of the groups (token, p, q) of partitions sorted by group
-    and size; columns token, p, q, block, nid, n, comp, bits, pos, earlier.
+    """Candidate pairs of the groups (token, part, p, q) of partitions sorted by
+    group and size; columns token, part, p, q, block, nid, n, comp, pos, bits.
     With ``spanning`` a group is only to be connected: long ones are worked off
     in runs of RUN sets, the best connected sets of a run stand in the next."""
     def run(batches):
         group, held = None, []
 
         def flush():
+            """Pairs (two arrays of nid) of the sets held."""
             if len(held) < 2:
                 return []
-            block, nid, n, comp, bits, pos, earlier = zip(*held)
+            block, nid, n, comp, pos, bits = zip(*held)
             comp = np.array(comp)
             if (comp == comp[0]).all():
                 return []
-            n, m = np.array(n, dtype=np.int64), len(held)
+            n, nid = np.array(n, dtype=np.int64), np.array(nid, dtype=np.int64)
             pairs = candidates(n, [np.frombuffer(b, dtype="<u8") for b in bits], comp,
-                               np.array(block) if group[1] != group[2] else None)
+                               np.array(block) if group[2] != group[3] else None)
             if spanning:
-                chosen, degree = _spanning(pairs, m)
+                chosen, degree = _spanning(pairs, len(held))
                 held[:] = [held[k] for k in sorted(np.argsort(-degree, kind="stable")[:HUBS].tolist())]
+                i, j = np.array(chosen, dtype=np.int64).reshape(-1, 2).T
             else:
-                before = np.empty((m, EARLIER), dtype=np.int64)
-                before[:] = np.arange(m)[:, None]            # no shingle: equal to no other row's
-                for k, e in enumerate(earlier):
-                    before[k, :len(e)] = e
+                # pairs whose first common shingle comes earlier meet there too
+                most = most_size(n, np.array(pos, dtype=np.int64))
                 i, j, _ = pairs
-                ok = _first_meeting(i, j, n, np.array(pos, dtype=np.int64), before)
-                chosen = zip(i[ok].tolist(), j[ok].tolist())
-            return [(min(nid[i], nid[j]), max(nid[i], nid[j])) for i, j in chosen]
-
-        def batch(rows):
-            rows = sorted(set(rows))
-            return pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int64()),
-                                               pa.array([r[1] for r in rows], pa.int64())], names=["a", "b"])
+                ok = (n[j] <= most[i]) & (n[i] <= most[j])
+                i, j = i[ok], j[ok]
+            return [(np.minimum(nid[i], nid[j]), np.maximum(nid[i], nid[j]))] if len(i) else []
+
+        def batch(found):
+            a, b = (np.concatenate(x) for x in zip(*found)) if found else (np.zeros(0, np.int64),) * 2
+            order = np.lexsort((b, a))
+            a, b = a[order], b[order]
+            new = np.ones(len(a), dtype=bool)
+            new[1:] = (a[1:] != a[:-1]) | (b[1:] != b[:-1])
+            return pa.RecordBatch.from_arrays([pa.array(a[new], pa.int64()), pa.array(b[new], pa.int64())],
+                                              names=["a", "b"])
 
         for b in batches:
-            out = []
-            for *key, block, nid, n, comp, bits, pos, earlier in zip(*(b.column(i).to_pylist() for i in range(10))):
-                if key != group:
-                    out += flush()
-                    group, held = key, []
-                elif spanning and len(held) == RUN:
-                    out += flush()
+            out, size = [], 0
+            for *key, block, nid, n, comp, pos, bits in zip(*(b.column(i).to_pylist() for i in range(10))):
+                if key != group or (spanning and len(held) == RUN):
+                    got = flush()
+                    out += got
+                    size += sum(len(x) for x, _ in got)
+                    if key != group:
+                        group, held = key, []
                     held.sort(key=lambda r: r[2])
-                held.append((block, nid, n, comp, bits, pos, earlier))
-                if len(out) > 20_000:
+                held.append((block, nid, n, comp, pos, bits))
+                if size > 100_000:
                     yield batch(out)
-                    out = []
+                    out, size = [], 0
             yield batch(out)
         yield batch(flush())
 
@@ -487,35 +495,124 @@ def _links(src: DataFrame, classes: DataFrame, pairs: DataFrame, tag: str) -> Da
     return write_shared(met.mapInArrow(_verify, "a bigint, b bigint").distinct(), f"jaccard-links-{tag}")
 
 
-def _crossing(rows: DataFrame) -> DataFrame:
-    """Rows (token, nid, n, comp) of the groups that hold two components with
-    sizes close enough: checked on neighbours in order of size."""
-    def run(batches):
-        rest = None
-        for b in batches:
-            cols = [b.column(i).to_numpy() for i in range(4)]
-            if rest is not None:
-                cols = [np.concatenate([r, c]) for r, c in zip(rest, cols)]
-            last = np.searchsorted(cols[0], cols[0][-1]) if len(cols[0]) else 0
-            rest = [c[last:] for c in cols]
-            yield pick([c[:last] for c in cols])
-        if rest is not None:
-            yield pick(rest)
-
-    def pick(cols):
-        token, nid, n, comp = cols
-        if len(token) < 2:
-            keep = np.zeros(len(token), dtype=bool)
-        else:
-            same = token[1:] == token[:-1]
-            hit = same & (comp[1:] != comp[:-1]) & (SHARE[1] * n[:-1] >= SHARE[0] * n[1:])
-            group = np.concatenate([[0], np.cumsum(~same)])
-            keep = np.bincount(group[1:][hit], minlength=group[-1] + 1)[group] > 0
-        return pa.RecordBatch.from_arrays([pa.array(c[keep], pa.int64()) for c in cols],
-                                          names=["token", "nid", "n", "comp"])
-
-    return (rows.repartition("token").sortWithinPartitions("token", "n", "nid")
-            .mapInArrow(run, "token bigint, nid bigint, n bigint, comp bigint"))
+def _partnered(cols):
+    """Which rows (token, nid, n, pos, comp; sorted by token and n) have a row of
+    their token, of another component and of a size that they may link with."""
+    token, _, n, pos, comp = cols
+    if len(token) < 2:
+        return np.zeros(len(token), dtype=bool)
+    new = np.concatenate([[False], token[1:] != token[:-1]])
+    group = np.cumsum(new) << 32
+    turns = np.cumsum(new | np.concatenate([[False], comp[1:] != comp[:-1]]))
+    place = group + n
+    low = np.searchsorted(place, group - (-SHARE[0] * n // SHARE[1]))
+    high = np.searchsorted(place, group + np.maximum(most_size(n, pos), 0), side="right")
+    at, end = np.minimum(low, len(n) - 1), np.maximum(high - 1, 0)
+    return (high > low) & ((turns[end] > turns[at]) | (comp[at] != comp))
+
+
+def _test_groups(batches):
+    """The partnered rows of partitions sorted by token, n and nid."""
+    held, size, name, untested = [], 0, None, None
+
+    def out(parts, test):
+        cols = [np.concatenate(x) for x in zip(*parts)]
+        if test:
+            keep = _partnered(cols)
+            cols = [c[keep] for c in cols]
+        return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in cols],
+                                          names=["token", "nid", "n", "pos", "comp"])
+
+    for b in batches:
+        cols = [b.column(i).to_numpy() for i in range(5)]
+        if not b.num_rows:
+            continue
+        if untested is not None:                     # the rest of a group that was too long to hold
+            more = int(np.searchsorted(cols[0], untested, side="right"))
+            if more:
+                yield out([[c[:more] for c in cols]], False)
+                cols = [c[more:] for c in cols]
+                if not len(cols[0]):
+                    continue
+            untested = None
+        last = int(np.searchsorted(cols[0], cols[0][-1]))
+        if held and name != cols[0][-1] or last:
+            yield out([*held, [c[:last] for c in cols]], True)
+            held, size = [], 0
+        held.append([c[last:] for c in cols])
+        size, name = size + len(cols[0]) - last, cols[0][-1]
+        if size > HELD:
+            yield out(held, False)
+            held, size, untested = [], 0, name
+    if held:
+        yield out(held, True)
+
+
+def _large(tokens: DataFrame):
+    """The buckets (column bucket, at most BUCKETS / 4 rows) of shingles that may
+    stand for large groups; None if there is none.  Beyond SPLIT rows a bucket is
+    large if it has four times the mean, so their number is bounded."""
+    counts = write_shared(tokens.groupBy(F.pmod("token", F.lit(BUCKETS)).alias("bucket"))
+                          .agg(F.count("*").alias("c")), "jaccard-buckets")
+    total = counts.agg(F.coalesce(F.sum("c"), F.lit(0))).first()[0]
+    large = counts.where(F.col("c") > max(SPLIT, 4 * total // BUCKETS)).select("bucket")
+    return None if large.isEmpty() else large
+
+
+def _crossing(rows: DataFrame, large: DataFrame | None) -> DataFrame:
+    """The rows (token, nid, n, pos, comp) that may have a partner in another
+    component, with ``part``: 0, or the range of sizes from 1 in large groups."""
+    kind = "token bigint, nid bigint, n bigint, pos bigint, comp bigint"
+    small = rows
+    if large is not None:
+        rows = rows.withColumn("bucket", F.pmod("token", F.lit(BUCKETS)))
+        small = rows.join(F.broadcast(large), "bucket", "left_anti").drop("bucket")
+    tested = (small.select("token", "nid", "n", "pos", "comp").repartition("token")
+              .sortWithinPartitions("token", "n", "nid").mapInArrow(_test_groups, kind))
+    tested = tested.withColumn("part", F.lit(0))
+    if large is None:
+        return tested
+    big = rows.join(F.broadcast(large), "bucket", "left_semi").drop("bucket")
+    # components that meet within reach of each size, in millionths of a logarithm
+    reach = math.ceil(RANGE * 1e6) + 2
+    near = Window.partitionBy("token").orderBy("at").rangeBetween(-reach, reach)
+    met = (big.groupBy("token", "n").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"))
+           .withColumn("at", F.floor(F.log("n") * 1e6).cast("bigint"))
+           .select("token", "n", F.min("lo").over(near).alias("lo"), F.max("hi").over(near).alias("hi"))
+           .where("lo < hi").select("token", "n"))
+    met = sent_if_small(write_shared(met, "jaccard-met"), 32)
+    return tested.unionByName(big.join(met, ["token", "n"], "left_semi").withColumn(
+        "part", F.floor(F.log("n") / RANGE + 1e-9).cast("int") + 1))
+
+
+def _connecting(rows: DataFrame) -> DataFrame:
+    """Groups of the first round: parts of at most about SPLIT rows; some common
+    rows stand in every part of a group, so parts connect."""
+    counts = rows.groupBy("token", "part").agg(F.count("*").alias("c"))
+    own = F.pmod(F.xxhash64("nid"), F.col("k")).cast("int")
+    common = F.pmod(F.xxhash64("nid", F.lit(1)), F.greatest(F.lit(1), F.floor(F.col("c") / COMMON))) == 0
+    return (rows.join(counts, ["token", "part"]).withColumn("k", F.ceil(F.col("c") / SPLIT).cast("int"))
+            .withColumn("p", F.explode(F.when(common, F.sequence(F.lit(0), F.col("k") - 1)).otherwise(F.array(own))))
+            .select("token", "part", "p", F.col("p").alias("q"), F.lit(0).alias("block"), "nid", "n", "comp", "pos"))
+
+
+def _all_pairs(rows: DataFrame) -> DataFrame:
+    """Groups of the second round: pairs of blocks.  Ranges of sizes also have the
+    rows of the range below as guests, which do not meet each other."""
+    rows = rows.select("token", "nid", "n", "comp", "pos", F.explode(
+        F.when(F.col("part") == 0, F.array(F.struct(F.lit(0).alias("part"), F.lit(False).alias("guest"))))
+        .otherwise(F.array(F.struct(F.col("part").alias("part"), F.lit(False).alias("guest")),
+                           F.struct((F.col("part") + 1).alias("part"), F.lit(True).alias("guest"))))).alias("g"))
+    rows = rows.select("token", "nid", "n", "comp", "pos", "g.part", "g.guest")
+    blocks = lambda which: F.ceil(F.count(F.when(which, 1)) / BLOCK).cast("int")
+    counts = rows.groupBy("token", "part").agg(blocks(~F.col("guest")).alias("own"), blocks(F.col("guest")).alias("more"))
+    at = F.xxhash64("nid")
+    block = F.when(F.col("guest"), F.col("own") + F.pmod(at, F.col("more"))).otherwise(F.pmod(at, F.col("own")))
+    last = F.when(F.col("guest"), F.col("own") - 1).otherwise(F.col("own") + F.col("more") - 1)
+    return (rows.join(counts.where("own > 0"), ["token", "part"]).withColumn("block", block.cast("int"))
+            .withColumn("other", F.explode(F.sequence(F.lit(0), last)))
+            .select("token", "part", F.least("block", "other").alias("p"), F.greatest("block", "other").alias("q"),
+                    "block", "nid", "n", "comp", "pos"))
 
 
 def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -533,32 +630,24 @@ def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     reps = write_shared(found.join(classes.withColumnRenamed("rid", "doc_id"), ["doc_id", "key"])
                         .dropDuplicates(["doc_id", "key"]).select("nid", "n", "bits", "prefix"), "jaccard-prefixes")
 
-    def pairs(rows, spanning):
-        """Pairs of the groups of rows (token, nid, n, comp)."""
-        if spanning:
-            rows = rows.select("token", F.lit(0).alias("p"), F.lit(0).alias("q"), F.lit(0).alias("block"),
-                               "nid", "n", "comp")
-        else:
-            counts = rows.groupBy("token").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("k"))
-            rows = (rows.join(counts, "token")
-                    .withColumn("block", F.pmod(F.xxhash64("nid"), F.col("k")).cast("int"))
-                    .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("k") - 1)))
-                    .select("token", F.least("block", "other").alias("p"), F.greatest("block", "other").alias("q"),
-                            "block", "nid", "n", "comp"))
-        full = rows.join(reps.select("nid", "bits", "prefix"), "nid")
-        full = full.withColumn("at", F.array_position("prefix", F.col("token")).cast("int")).select(
-            "token", "p", "q", "block", "nid", "n", "comp", "bits", (F.col("at") - 1).alias("pos"),
-            F.slice("prefix", F.greatest(F.lit(1), F.col("at") - EARLIER),
-                    F.least(F.lit(EARLIER), F.col("at") - 1)).alias("earlier"))
-        return (full.repartition("token", "p", "q").sortWithinPartitions("token", "p", "q", "n", "nid")
+    def pairs(rows, large, spanning):
+        """Pairs of the groups of rows (token, nid, n, pos, comp)."""
+        rows = write_shared(_crossing(rows, large), "jaccard-crossing")
+        rows = _connecting(rows) if spanning else _all_pairs(rows)
+        group = ["token", "part", "p", "q"]
+        full = rows.join(reps.select("nid", "bits"), "nid").select(*group, "block", "nid", "n", "comp", "pos", "bits")
+        return (full.repartition(*group).sortWithinPartitions(*group, "n", "nid")
                 .mapInArrow(_group_pairs(spanning), "a bigint, b bigint"))
 
-    first = reps.select(F.explode(F.slice("prefix", 1, 2)).alias("token"), "nid", "n", F.col("nid").alias("comp"))
-    links = _links(src, classes, pairs(_crossing(first), True), "first")
+    two = reps.select(F.posexplode(F.slice("prefix", 1, 2)).alias("pos", "token"), "nid", "n",
+                      F.col("nid").alias("comp"))
+    links = _links(src, classes, pairs(two, _large(two), True), "first")
     comp = write_shared(components(links), "jaccard-first-components")
-    joined = reps.select("nid", "n", "prefix").join(comp, F.col("nid") == F.col("node"), "left")
-    rows = joined.select(F.explode("prefix").alias("token"), "nid", "n", F.coalesce("root", "nid").alias("comp"))
-    rest = _links(src, classes, pairs(_crossing(rows), False), "rest")
+    joined = reps.select("nid", "n", "prefix").join(sent_if_small(comp, 16), F.col("nid") == F.col("node"), "left")
+    rows = joined.select(F.posexplode("prefix").alias("pos", "token"), "nid", "n",
+                         F.coalesce("root", "nid").alias("comp"))
+    large = _large(reps.select(F.explode("prefix").alias("token")))
+    rest = _links(src, classes, pairs(rows, large, False), "rest")
     # the components so far, joined by the new links
     every = comp.where("node <> root").select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(rest)
     final = write_shared(components(every), "jaccard-components")

@@ -83,6 +83,42 @@ def test_blocks_of_a_large_group(spark, make_docs, monkeypatch):
     assert run(make_docs(rows)) == brute(rows)
 
 
+def test_large_groups_by_size_range(spark, make_docs, monkeypatch):
+    monkeypatch.setattr(jaccard, "BLOCK", 3)
+    monkeypatch.setattr(jaccard, "RUN", 4)
+    monkeypatch.setattr(jaccard, "SPLIT", 5)
+    monkeypatch.setattr(jaccard, "COMMON", 2)
+    monkeypatch.setattr(jaccard, "BUCKETS", 1 << 14)
+    rows = corpus(13)
+    assert run(make_docs(rows)) == brute(rows)
+
+
+def batches_of(rows, size):
+    import pyarrow as pa
+    for i in range(0, len(rows), size):
+        yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*rows[i:i + size])],
+                                         names=["token", "nid", "n", "pos", "comp"])
+
+
+def test_rows_with_a_partner(monkeypatch):
+    r = random.Random(4)
+    rows = sorted((r.randrange(12), i, r.randrange(1, 60), 0, r.randrange(3)) for i in range(150))
+    rows = sorted(((t, i, n, r.randrange(jaccard.prefix_length(n)), c) for t, i, n, _, c in rows),
+                  key=lambda x: (x[0], x[2], x[1]))
+
+    def may(x, y):
+        return (x[0] == y[0] and x[4] != y[4] and 100 * min(x[2], y[2]) >= 80 * max(x[2], y[2])
+                and 1 + x[2] - 1 - x[3] >= jaccard.needed(x[2], y[2]))
+    want = [x for x in rows if any(may(x, y) for y in rows)]
+    for size in (1, 3, 7, 150):
+        got = [tuple(x.values()) for b in jaccard._test_groups(batches_of(rows, size)) for x in b.to_pylist()]
+        assert got == want
+    # a group too long to hold passes whole
+    monkeypatch.setattr(jaccard, "HELD", 4)
+    got = [tuple(x.values()) for b in jaccard._test_groups(batches_of(rows, 3)) for x in b.to_pylist()]
+    assert len(got) == len(set(got)) and set(want) <= set(got)
+
+
 def test_frequent_shingles_last(spark, make_docs, monkeypatch):
     monkeypatch.setattr(jaccard, "HOT_COUNT", 2)
     monkeypatch.setattr(jaccard, "PROBE", 1)
