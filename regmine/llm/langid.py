@@ -8,9 +8,9 @@ beyond that centroid's radius is marked rejected.  Radii come from the cosines o
 the centroid's own cluster, whose texts are also thinned to fewer n-grams: one per
 band of the number of distinct n-grams (``BANDS``), wider for texts with few.
 
-Training reads at most about ``TRAIN_PER_LANGUAGE`` labelled rows per language,
-chosen by a hash of the id (a documented bound; their vectors, not their texts,
-go to the driver).  Prediction is one narrow pass over all rows and whole texts.
+Training uses about ``TRAIN_PER_LANGUAGE`` labelled rows per language, chosen by a
+hash of id and text (a documented bound; their vectors, not their texts, go to the
+driver).  Rows equal in both count once, so repeated and null ids keep the bound.  Prediction is one narrow pass over all rows and whole texts.
 
 Null texts and texts without a letter get ``und`` with score 0 and are rejected.
 With no labelled row at all every text gets ``und``; those with a letter are not
@@ -183,13 +183,14 @@ def train(docs: DataFrame, learnable, id_col: str = "doc_id", text_col: str = "t
     text are not null."""
     rows = docs.where(learnable & F.col(lang_col).isNotNull() & F.col(text_col).isNotNull()).select(
         F.col(lang_col).cast("string").alias("lang"), F.col(text_col).cast("string").alias("text"),
-        F.pmod(F.xxhash64(F.col(id_col).cast("string")), F.lit(1 << 30)).alias("h"))
-    n = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count("*").alias("n")).collect()}
+        F.xxhash64(F.col(id_col).cast("string"), F.col(text_col).cast("string")).alias("h"))
+    n = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.approx_count_distinct("h").alias("n")).collect()}
     if not n:
         return fit([])
     share = F.create_map(*[F.lit(x) for lang, k in n.items()
                            for x in (lang, int(min(1.0, per_language / k) * (1 << 30)))])
-    picked = rows.where(F.col("h") < share[F.col("lang")]).select("lang", "h", "text")
+    picked = (rows.where(F.pmod("h", F.lit(1 << 30)) < share[F.col("lang")])
+              .groupBy("lang", "h").agg(F.max("text").alias("text")))
 
     def vectorise(batches):
         for b in batches:

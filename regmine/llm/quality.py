@@ -5,7 +5,8 @@ Features of a text are its words and the character 3- and 4-grams of its words
 the average of its features' vectors; a softmax layer gives the label
 probabilities.  Vectors and layer are trained together by numpy stochastic
 gradient descent on a bounded sample of labelled rows (``TRAIN_ROWS``, spread
-evenly over the classes, chosen by a hash of the id).  The log of each class's
+evenly over the classes, chosen by a hash of id and text; rows equal in both count
+once, so repeated ids keep the bound).  The log of each class's
 learnable rows per sampled row goes into the bias, so the prior is that of all
 learnable rows whatever their number.
 
@@ -24,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from regmine.llm.common import id_and_text, id_type, texts_of
+from regmine.llm.common import id_and_text, id_type, texts_of, write_shared
 
 BUCKETS = 1 << 17            # hashed feature vectors
 WIDTH = 16                   # embedding size
@@ -140,19 +141,21 @@ def train(docs: DataFrame, labels: DataFrame, learnable, id_col: str = "doc_id",
     holds.  A document with several labels counts once for each."""
     lab = labels.select(F.col(id_col).alias("_id"), F.col(label_col).cast("int").alias("y")).where(
         F.col("y").isin(0, 1) & F.col("_id").isNotNull())
-    lab = lab.withColumn("h", F.pmod(F.xxhash64(F.col("_id").cast("string")), F.lit(1 << 30)))
     text = docs.where(learnable & F.col(text_col).isNotNull()).select(
         F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    # learnable labels of the whole corpus, ids only
-    n = {r["y"]: r["n"] for r in text.select("doc_id").join(lab, text["doc_id"] == lab["_id"])
-         .groupBy("y").agg(F.count("*").alias("n")).collect()}
-    if len(n) < 2:
+    text = text.withColumn("h", F.xxhash64(F.col("doc_id").cast("string"), "text"))
+    # learnable labels of the whole corpus, ids and hashes only
+    known = text.select("doc_id", "h").join(lab, text["doc_id"] == lab["_id"]).select("doc_id", "h", "y")
+    per = known.groupBy("y").agg(F.count("*").alias("n"), F.approx_count_distinct("h").alias("different")).collect()
+    if len(per) < 2:
         return fit([])
-    share = F.create_map(*[F.lit(x) for y, k in n.items()
-                           for x in (y, int(min(1.0, rows_per_class / k) * (1 << 30)))])
-    lab = lab.where(F.col("h") < share[F.col("y")])
-    # the sample is bounded (about 2 * rows_per_class ids), so it may be broadcast
-    rows = text.join(F.broadcast(lab), text["doc_id"] == lab["_id"]).select("y", "h", "text")
+    n = {r["y"]: r["n"] for r in per}
+    share = F.create_map(*[F.lit(x) for r in per
+                           for x in (r["y"], int(min(1.0, rows_per_class / r["different"]) * (1 << 30)))])
+    # about 2 * rows_per_class rows whatever the tables hold, so they may be broadcast
+    picked = write_shared(known.where(F.pmod("h", F.lit(1 << 30)) < share[F.col("y")]).distinct(), "quality-sample")
+    rows = (text.join(F.broadcast(picked), ["doc_id", "h"]).groupBy("y", "h").agg(F.max("text").alias("text"))
+            .select("y", "h", "text"))
 
     def vectorise(batches):
         for b in batches:

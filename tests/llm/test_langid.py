@@ -107,3 +107,14 @@ def test_without_a_model_texts_with_letters_stay(spark, make_docs):
     docs = make_docs(rows).withColumn("lang", F.lit(None).cast("string"))
     model = langid.train(docs, F.lit(True))
     assert sorted(r.doc_id for r in langid.drop_rejected(docs, model).collect()) == [1, 4]
+
+
+def test_repeated_and_null_ids_keep_the_bound(spark, make_docs, monkeypatch):
+    seen, fit = [], langid.fit
+    monkeypatch.setattr(langid, "fit", lambda samples, *a: seen.append(len(samples)) or fit(samples, *a))
+    for ids in (lambda i: None, lambda i: 20, lambda i: 7):
+        docs = make_docs([(ids(i), f"the house number {i} and its garden") for i in range(3000)])
+        model = langid.train(docs, F.lit(True), per_language=100)
+        assert model.languages == ["en"] and 50 <= seen[-1] <= 150
+    copies = make_docs([(None, "one and the same text")] * 2000)
+    assert langid.train(copies, F.lit(True)).languages == ["en"] and seen[-1] == 1

@@ -79,3 +79,15 @@ def test_prior_is_the_corpus_whatever_the_sample(spark, monkeypatch):
 
     flat = fit(seen["samples"])                                # the classes as the sample has them
     assert abs(mean_margin(low) - mean_margin(full)) < 0.5 * abs(mean_margin(flat) - mean_margin(full))
+
+
+def test_repeated_ids_keep_the_bound(spark, make_docs, monkeypatch):
+    seen, fit = [], quality.fit
+    monkeypatch.setattr(quality, "fit", lambda samples, **kw: seen.append((len(samples), kw)) or fit(samples, **kw))
+    docs = make_docs([(i % 2, f"text number {i} of its kind") for i in range(2000)])
+    labels = spark.createDataFrame([(0, 0), (1, 1)], "doc_id long, quality int")
+    quality.train(docs, labels, F.lit(True), rows_per_class=100)
+    assert 100 <= seen[-1][0] <= 300 and seen[-1][1]["totals"] == {0: 1000, 1: 1000}
+    same = make_docs([(i % 2, f"one text of {i % 2}") for i in range(2000)])
+    quality.train(same, labels, F.lit(True), rows_per_class=100)
+    assert seen[-1][0] == 2 and seen[-1][1]["totals"] == {0: 1000, 1: 1000}
