@@ -113,7 +113,10 @@ def materialise(docs: DataFrame, tokenizer_path: str, key: int, stride: int = 10
         for b in batches:
             got, held = [rest], len(rest)
             for text in texts_of(b.column(0)):
-                ids = encode(text).astype(dtype)
+                ids = np.asarray(encode(text))
+                if len(ids) and int(ids.max()) >> 8 * width:
+                    raise ValueError(f"id {int(ids.max())} needs more than {width} bytes; give a larger width")
+                ids = ids.astype(dtype)
                 got += [ids, end]
                 held += len(ids) + 1
                 if held > (1 << 20):

@@ -64,3 +64,9 @@ def test_edges(spark, make_docs):
     verify(out, rows, 16)
     empty = make_docs([(1, "a")]).limit(0)
     assert training_order.materialise(empty, tokenizer_path(), key=5).count() == 0
+
+
+def test_ids_beyond_the_width_are_an_error(spark, make_docs):
+    docs = make_docs([(1, "several ordinary words have larger ids")])
+    with pytest.raises(Exception, match="give a larger width"):
+        training_order.materialise(docs, tokenizer_path(), key=3, stride=8, width=1).count()
