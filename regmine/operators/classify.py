@@ -15,32 +15,42 @@ from functools import reduce
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from regmine.functions.numeric import broadcast_checked, scalars, r6, try_ratio
+from regmine.functions.numeric import broadcast_bounded, broadcast_checked, scalars, r6, try_ratio
+from regmine.operators.concentration import running_sums
 from regmine.session import materialize
 
 SPLIT = "split"
 
 
-def label_encode(df: DataFrame, cols: list[str], suffix: str = "_idx"):
-    """Codes by sorted value (0..k-1), like a label encoder.
-    Returns (encoded df with ``<col><suffix>`` plain doubles, fitted model)."""
-    from pyspark.ml.feature import StringIndexer
-    idx = StringIndexer(inputCols=cols, outputCols=[c + "_raw" + suffix for c in cols],
-                        stringOrderType="alphabetAsc", handleInvalid="keep")
-    model = idx.fit(df)
-    out = model.transform(df)
-    # Plain doubles (no nominal metadata): the forest then treats the codes as
-    # ordinal values, as a label-encoded matrix would be.
-    out = out.withColumns({c + suffix: F.col(c + "_raw" + suffix).cast("double") for c in cols})
-    return out.drop(*[c + "_raw" + suffix for c in cols]), model
+def label_codes(df: DataFrame, cols: list[str]) -> DataFrame:
+    """J1 as a table: (column, value, code) for every distinct value, null
+    last.  One pass over the rows finds the distinct (column, value) pairs; they
+    are numbered over ranges of (column, value), so no task or driver holds the
+    values of a column."""
+    pairs = F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("value")) for c in cols])
+    found = materialize(df.select(F.explode(pairs).alias("p")).select("p.*").distinct()
+                        .select("column", "value", F.col("value").isNull().alias("__null"),
+                                F.lit(1).cast("long").alias("one")))
+    ranked = materialize(running_sums(found, ["column", "__null", "value"], ["one"]))
+    first = ranked.groupBy("column").agg(F.min("cum_one").alias("__first"))  # one row per column
+    return ranked.join(F.broadcast(first), "column").select(
+        "column", "value", (F.col("cum_one") - F.col("__first")).alias("code"))
 
 
-def label_codes(df: DataFrame, cols: list[str]) -> DataFrame:
-    """J1 as a table: (column, value, code) for every distinct value."""
-    enc, _ = label_encode(df, cols)
-    parts = [enc.select(F.lit(c).alias("column"), F.col(c).cast("string").alias("value"),
-                        F.col(c + "_idx").cast("long").alias("code")).distinct() for c in cols]
-    return reduce(DataFrame.unionByName, parts)
+def label_encode(df: DataFrame, cols: list[str], suffix: str = "_idx"):
+    """Codes by sorted value (0..k-1, null last), like a label encoder.
+    Returns (encoded df with ``<col><suffix>`` plain doubles, the code table).
+    Plain doubles carry no nominal metadata: a forest treats the codes as
+    ordinal values, as a label-encoded matrix would be."""
+    codes = materialize(label_codes(df, cols))
+    sizes = {r[0]: r[1] for r in codes.groupBy("column").count().collect()}  # one row per column
+    out = df
+    for c in cols:
+        table = codes.where(F.col("column") == c).select(
+            F.col("value").alias("__value"), F.col("code").cast("double").alias(c + suffix))
+        side = broadcast_bounded(table, sizes.get(c, 0))
+        out = out.join(side, F.col(c).cast("string").eqNullSafe(F.col("__value")), "left").drop("__value")
+    return out, codes
 
 
 def class_distribution(df: DataFrame, label: str, split: str | None = None) -> DataFrame:
@@ -268,21 +278,27 @@ def train_forest_onehot(train: DataFrame, categorical: list[str], numeric: list[
                         num_trees: int = 100, max_depth: int = 12, seed: int = 42,
                         weight_col: str | None = "weight", max_bins: int | None = None):
     """J6 (model 3): sparse one-hot categories (never a dense dummy table) plus
-    numeric columns; returns (PipelineModel, feature names).
-
-    ``max_bins`` is the largest number of bins of a numeric column.  By default
-    there is one for every value, and enough (the root of the row count) that
-    the library reads all rows for thresholds, not a sample of them."""
+    numeric columns; returns (PipelineModel, feature names).  A null category,
+    like one that training never met, has zeros in all dummies of its column; a
+    column without any value has none.
+
+    ``max_bins`` is the largest number of bins of a numeric column, by default
+    one for every distinct value.  The library picks thresholds from a sample of
+    max(max_bins^2, 10,000) rows, so beyond that a very rare value may share
+    its neighbour's bin."""
     from pyspark.ml import Pipeline
     from pyspark.ml.classification import RandomForestClassifier
     from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
+    found = train.agg(*[F.max(F.col(c).isNotNull()).alias(c) for c in categorical],
+                      *[F.count_distinct(c).alias(c) for c in numeric]).first()
     if max_bins is None:
-        n, *values = train.agg(F.count(F.lit(1)), *[F.count_distinct(c) for c in numeric]).first()
-        max_bins = max([32, math.isqrt(n) + 1, *[v + 1 for v in values]])
+        max_bins = max([32, *[found[c] + 1 for c in numeric]])
+    categorical = [c for c in categorical if found[c]]
+    # "keep" adds a last category for null and unknown values, which dropLast leaves out
     idx = StringIndexer(inputCols=categorical, outputCols=[c + "__i" for c in categorical],
                         stringOrderType="alphabetAsc", handleInvalid="keep")
     ohe = OneHotEncoder(inputCols=[c + "__i" for c in categorical],
-                        outputCols=[c + "__v" for c in categorical], dropLast=False, handleInvalid="keep")
+                        outputCols=[c + "__v" for c in categorical], dropLast=True)
     lab = StringIndexer(inputCol=label, outputCol="label", stringOrderType="alphabetAsc")
     vec = VectorAssembler(inputCols=[c + "__v" for c in categorical] + numeric, outputCol="features",
                           handleInvalid="keep")
@@ -290,7 +306,7 @@ def train_forest_onehot(train: DataFrame, categorical: list[str], numeric: list[
                                 maxDepth=max_depth, maxBins=max_bins, seed=seed, featureSubsetStrategy="sqrt")
     if weight_col:
         rf = rf.setWeightCol(weight_col)
-    model = Pipeline(stages=[lab, idx, ohe, vec, rf]).fit(train)
+    model = Pipeline(stages=[lab, *([idx, ohe] if categorical else []), vec, rf]).fit(train)
     # slot names from the assembled vector's attribute metadata (bounded by
     # the number of features; read from a one-row transform)
     meta = model.transform(train.limit(1)).schema["features"].metadata["ml_attr"]

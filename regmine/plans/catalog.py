@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from regmine import schema as S
-from regmine.functions.numeric import r6
+from regmine.functions.numeric import r6, scalars
 from regmine.operators import (anomalies as K, block as B2, classify as J, clean as E,
                                concentration as C, correlate as H, features as FE,
                                inference as IN, itemsets as I, profile as B, rules as R, stats as G, vertical as V)
@@ -1276,6 +1276,13 @@ def j3(spark, sf):
         F.count(F.lit(1)).alias("count"))
 
 
+@register("j3_random_split_rows", P_MIN + """SELECT ID_VICTIMA,
+  CASE WHEN row_number() OVER (ORDER BY md5(ID_VICTIMA || '#42'), ID_VICTIMA)
+            <= ceil(0.3 * CAST(count(*) OVER () AS DOUBLE)) THEN 'test' ELSE 'train' END AS split FROM mining""")
+def j3r(spark, sf):
+    return J.random_split(model_table(spark, sf), 0.3, 42, S.ID).select(S.ID, J.SPLIT)
+
+
 @register("j4_stratified_split", _SPLIT_SQL + "SELECT split, ESTATUS_VICTIMA, count(*) AS count FROM splitted GROUP BY 1, 2")
 def j4(spark, sf):
     return split_table(spark, sf).groupBy(J.SPLIT, _LABEL).agg(F.count(F.lit(1)).alias("count"))
@@ -1293,10 +1300,17 @@ def j5(spark, sf):
     return J.class_weights(split_table(spark, sf).where(F.col(J.SPLIT) == "train"), _LABEL)
 
 
-def forest(spark, sf, features=None):
+def encoded_split(spark, sf, features=None):
+    """The split table with its label codes, written once, and the code table:
+    (rows, codes)."""
+    enc, codes = J.label_encode(split_table(spark, sf), features or _FEATS)
+    return I._checkpoint(enc), codes
+
+
+def forest(spark, sf, features=None, encoded=None):
     """Forest on label-encoded item features with balanced weights."""
     feats = features or _FEATS
-    enc, _ = J.label_encode(split_table(spark, sf), feats)
+    enc, _ = encoded or encoded_split(spark, sf, feats)
     train = J.balanced_weights(enc.where(F.col(J.SPLIT) == "train"), _LABEL)
     model = J.train_forest(train, [c + "_idx" for c in feats], _LABEL, num_trees=100, max_depth=12, seed=42)
     return model, enc.where(F.col(J.SPLIT) == "test"), feats
@@ -1308,22 +1322,71 @@ def j6(spark, sf):
     return J.feature_importance(model, feats)
 
 
+def _checked_importance(imp, codes):
+    """What SQL can say about importances: the feature's number of codes, that
+    each lies between 0 and 1, and their sum."""
+    total = scalars(imp.agg(F.sum("importance").alias("t")))["t"]
+    return imp.join(codes.groupBy(F.col("column").alias("feature")).agg(F.count(F.lit(1)).alias("codes")),
+                    "feature").select("feature", "codes", F.col("importance").between(0, 1).alias("in_range"),
+                                      r6(total).alias("total"))
+
+
+def _codes_sql(feats):
+    return _SPLIT_SQL + " UNION ALL ".join(
+        f"SELECT '{c}' AS feature, count(DISTINCT coalesce({c}, chr(1))) AS codes, TRUE AS in_range, "
+        "CAST(1 AS DOUBLE) AS total FROM splitted" for c in feats)
+
+
+@register("j6_forest_features", _codes_sql(_FEATS))
+def j6c(spark, sf):
+    encoded = encoded_split(spark, sf)
+    model, _, feats = forest(spark, sf, encoded=encoded)
+    return _checked_importance(J.feature_importance(model, feats), encoded[1])
+
+
 @register("j7_predict")
 def j7(spark, sf):
     model, test, _ = forest(spark, sf)
     return J.predict(model, test, _LABEL).select(S.ID, _LABEL, "predicted")
 
 
+@register("j7_predict_rows", _SPLIT_SQL + """SELECT ID_VICTIMA, ESTATUS_VICTIMA, TRUE AS known
+FROM splitted WHERE split = 'test'""")
+def j7r(spark, sf):
+    """Every test row gets one prediction, one of the training classes."""
+    model, test, _ = forest(spark, sf)
+    return J.predict(model, test, _LABEL).select(
+        S.ID, _LABEL, F.coalesce(F.col("predicted").isin(*model.stages[0].labels), F.lit(False)).alias("known"))
+
+
 @register("j8_forest_report")
 def j8f(spark, sf):
     model, test, _ = forest(spark, sf)
     return J.classification_report(J.predict(model, test, _LABEL), _LABEL)
 
 
-def _rule_pred(spark, sf):
+def _checked_report(rep):
+    """What SQL can say about a forest's report: its classes, supports and
+    that the scores lie between 0 and 1."""
+    scores = [F.coalesce(F.col(c).between(0, 1), F.lit(True)) for c in ("precision", "recall", "f1")]
+    return rep.select("class", "support", (scores[0] & scores[1] & scores[2]).alias("in_range"))
+
+
+def _support_sql(test):
+    return f"""SELECT ESTATUS_VICTIMA AS class, count(*) AS support, TRUE AS in_range FROM {test} GROUP BY 1
+UNION ALL SELECT unnest(['accuracy', 'macro avg', 'weighted avg']), (SELECT count(*) FROM {test}), TRUE"""
+
+
+@register("j8_forest_supports", _SPLIT_SQL + ", tested AS (SELECT * FROM splitted WHERE split = 'test')\n"
+          + _support_sql("tested"))
+def j8fs(spark, sf):
+    return _checked_report(j8f(spark, sf))
+
+
+def _rule_pred(spark, sf, by=S.MUNI):
     st = split_table(spark, sf)
     return J.group_majority_predict(st.where(F.col(J.SPLIT) == "train"), st.where(F.col(J.SPLIT) == "test"),
-                                    S.MUNI, _LABEL)
+                                    by, _LABEL)
 
 
 _PRED_SQL = _SPLIT_SQL.rstrip() + """,
@@ -1373,6 +1436,14 @@ def j10(spark, sf):
     return J.feature_importance(model, feats)
 
 
+@register("j10_importance_features", _codes_sql([c for c in _FEATS if c != S.MUNI]))
+def j10c(spark, sf):
+    feats = [c for c in _FEATS if c != S.MUNI]
+    encoded = encoded_split(spark, sf, feats)
+    model, _, _ = forest(spark, sf, feats, encoded)
+    return _checked_importance(J.feature_importance(model, feats), encoded[1])
+
+
 @register("j11_compare_models")
 def j11(spark, sf):
     reps = {}
@@ -1383,6 +1454,23 @@ def j11(spark, sf):
     return J.compare_models(reps, "NO LOCALIZADA")
 
 
+def _compared_sql(by):
+    """One row of ``compare_models`` for the majority class of the row's group."""
+    return f"""SELECT '{by}' AS model, * FROM (
+{_PRED_SQL.replace("MUNICIPIO", by)}
+SELECT round(sum(tp) / sum(support), 6) AS accuracy, round(avg(f1), 6) AS macro_f1,
+  max(CASE WHEN class = 'NO LOCALIZADA' THEN round(precision, 6) END) AS minority_precision,
+  max(CASE WHEN class = 'NO LOCALIZADA' THEN round(recall, 6) END) AS minority_recall,
+  max(CASE WHEN class = 'NO LOCALIZADA' THEN round(f1, 6) END) AS minority_f1 FROM pf)"""
+
+
+@register("j11_compare_rules", " UNION ALL ".join(_compared_sql(c) for c in (S.SEX, S.STATE)))
+def j11r(spark, sf):
+    """The comparison of predictions that SQL can repeat."""
+    return J.compare_models({c: J.classification_report(_rule_pred(spark, sf, c), _LABEL)
+                             for c in (S.SEX, S.STATE)}, "NO LOCALIZADA")
+
+
 @register("j12_confusion_matrix", _PRED_SQL + "SELECT actual, predicted, count FROM cm")
 def j12(spark, sf):
     return J.confusion_matrix(_rule_pred(spark, sf), _LABEL)
@@ -1436,12 +1524,29 @@ def forest_model3(spark, sf):
     return model, sp.where(F.col(J.SPLIT) == "test"), names
 
 
+_M3_SQL = O.with_ctes(O.REGISTRY, """
+placed AS (SELECT *, row_number() OVER (ORDER BY md5(ID_VICTIMA || '#42'), ID_VICTIMA)
+                       <= ceil(0.3 * CAST(count(*) OVER () AS DOUBLE)) AS tested FROM registry)""")
+
+
 @register("j6_forest_model3_importance")
 def j6m3(spark, sf):
     model, _, names = forest_model3(spark, sf)
     return J.feature_importance(model, names, 10)
 
 
+@register("j6_forest_model3_names", _M3_SQL + " UNION ALL ".join(
+    f"SELECT DISTINCT '{c}_' || {c} AS feature, TRUE AS in_range, CAST(1 AS DOUBLE) AS total FROM placed "
+    f"WHERE NOT tested AND {c} IS NOT NULL" for c in _M3_CATS)
+    + " UNION ALL SELECT unnest(['EDAD', 'RETRASO_REGISTRO']), TRUE, CAST(1 AS DOUBLE)")
+def j6m3n(spark, sf):
+    """One dummy for every value that training met, none for null."""
+    model, _, names = forest_model3(spark, sf)
+    imp = J.feature_importance(model, names)
+    total = scalars(imp.agg(F.sum("importance").alias("t")))["t"]
+    return imp.select("feature", F.col("importance").between(0, 1).alias("in_range"), r6(total).alias("total"))
+
+
 @register("j8_forest_model3_report")
 def j8m3(spark, sf):
     model, test, _ = forest_model3(spark, sf)
@@ -1451,6 +1556,11 @@ def j8m3(spark, sf):
     return J.classification_report(pred, _LABEL)
 
 
+@register("j8_forest_model3_supports", _M3_SQL + ", picked AS (SELECT * FROM placed WHERE tested)\n"
+          + _support_sql("picked"))
+def j8m3s(spark, sf):
+    return _checked_report(j8m3(spark, sf))
+
 
 # ---- earlier item set (status and years): same algorithms, own checks ----------
 

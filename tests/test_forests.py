@@ -1,4 +1,4 @@
-"""Property checks for the forest queries (no SQL form exists for them)."""
+"""Property checks for the forest queries (their trees have no SQL form)."""
 
 import math
 import re
@@ -39,7 +39,7 @@ def test_model3_on_the_registry_as_read(spark):
     assert sorted(r[0] for r in test.select(S.ID).collect()) == sorted(r[0] for r in want.select(S.ID).collect())
     states = {f"{S.STATE}_{r[0]}" for r in raw.select(S.STATE).distinct().collect()}
     assert any(x != x.upper() for x in states)                   # as read: lower case, outer blanks
-    assert {x for x in names if x.startswith(S.STATE + "_")} - {f"{S.STATE}_invalidValues", f"{S.STATE}___unknown"} <= states
+    assert {x for x in names if x.startswith(S.STATE + "_")} <= states
     assert any(x != x.upper() for x in names if x in states)
 
 
@@ -51,3 +51,26 @@ def test_onehot_forest_tries_every_threshold(spark):
     at = names.index("x")
     cuts = set(re.findall(rf"feature {at} <= ([0-9.]+)", model.stages[-1].toDebugString))
     assert len(cuts) > 31                                        # 32 bins allow 31
+
+
+def test_null_category_has_zero_dummies(spark):
+    rows = spark.range(300).select(
+        F.when(F.col("id") % 3 == 0, "a").when(F.col("id") % 3 == 1, "b").alias("cat"),
+        F.lit(None).cast("string").alias("none"), F.col("id").cast("double").alias("x"),
+        F.when(F.col("id") % 2 == 0, "even").otherwise("odd").alias("y"))
+    model, names = J.train_forest_onehot(rows, ["cat", "none"], ["x"], "y", num_trees=2, weight_col=None)
+    assert names == ["cat_a", "cat_b", "x"]
+    new = spark.createDataFrame([("a", None, 1.0, "odd"), (None, None, 2.0, "odd"), ("z", "q", 3.0, "odd")],
+                                "cat string, none string, x double, y string")
+    got = [r.features.toArray().tolist() for r in model.transform(new).orderBy("x").collect()]
+    assert got == [[1, 0, 1], [0, 0, 2], [0, 0, 3]]
+
+
+def test_label_codes_number_values_per_column_null_last(spark):
+    rows = spark.createDataFrame([("b", 2), (None, 1), ("a", 2), ("b", None), ("", 10)], "s string, n int")
+    enc, codes = J.label_encode(rows, ["s", "n"])
+    got = sorted(map(tuple, codes.collect()), key=lambda r: (r[0], r[2]))
+    assert got == [("n", "1", 0), ("n", "10", 1), ("n", "2", 2), ("n", None, 3),
+                   ("s", "", 0), ("s", "a", 1), ("s", "b", 2), ("s", None, 3)]
+    assert {(r.s, r.n, r.s_idx, r.n_idx) for r in enc.collect()} == {
+        ("b", 2, 2.0, 2.0), (None, 1, 3.0, 0.0), ("a", 2, 1.0, 2.0), ("b", None, 2.0, 3.0), ("", 10, 0.0, 1.0)}

@@ -14,7 +14,9 @@ from conftest import SF_SMALL
 pytestmark = pytest.mark.usefixtures("shared_mining")
 
 FORESTS = {"j6_train_forest", "j7_predict", "j8_forest_report", "j10_feature_importance",
-           "j11_compare_models", "j6_forest_model3_importance", "j8_forest_model3_report"}
+           "j11_compare_models", "j6_forest_model3_importance", "j8_forest_model3_report",
+           "j6_forest_features", "j7_predict_rows", "j8_forest_supports", "j10_importance_features",
+           "j6_forest_model3_names", "j8_forest_model3_supports"}
 
 
 def test_checker_flags_global_window_over_rows(spark):
