@@ -300,7 +300,7 @@ def train_forest_onehot(train: DataFrame, categorical: list[str], numeric: list[
     ohe = OneHotEncoder(inputCols=[c + "__i" for c in categorical],
                         outputCols=[c + "__v" for c in categorical], dropLast=True)
     lab = StringIndexer(inputCol=label, outputCol="label", stringOrderType="alphabetAsc")
-    vec = VectorAssembler(inputCols=[c + "__v" for c in categorical] + numeric, outputCol="features",
+    vec = VectorAssembler(inputCols=numeric + [c + "__v" for c in categorical], outputCol="features",
                           handleInvalid="keep")
     rf = RandomForestClassifier(featuresCol="features", labelCol="label", numTrees=num_trees,
                                 maxDepth=max_depth, maxBins=max_bins, seed=seed, featureSubsetStrategy="sqrt")

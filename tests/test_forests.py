@@ -59,11 +59,11 @@ def test_null_category_has_zero_dummies(spark):
         F.lit(None).cast("string").alias("none"), F.col("id").cast("double").alias("x"),
         F.when(F.col("id") % 2 == 0, "even").otherwise("odd").alias("y"))
     model, names = J.train_forest_onehot(rows, ["cat", "none"], ["x"], "y", num_trees=2, weight_col=None)
-    assert names == ["cat_a", "cat_b", "x"]
+    assert names == ["x", "cat_a", "cat_b"]
     new = spark.createDataFrame([("a", None, 1.0, "odd"), (None, None, 2.0, "odd"), ("z", "q", 3.0, "odd")],
                                 "cat string, none string, x double, y string")
     got = [r.features.toArray().tolist() for r in model.transform(new).orderBy("x").collect()]
-    assert got == [[1, 0, 1], [0, 0, 2], [0, 0, 3]]
+    assert got == [[1, 1, 0], [2, 0, 0], [3, 0, 0]]
 
 
 def test_label_codes_number_values_per_column_null_last(spark):
