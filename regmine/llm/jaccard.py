@@ -587,13 +587,19 @@ def _crossing(rows: DataFrame, large: DataFrame | None) -> DataFrame:
 
 def _connecting(rows: DataFrame) -> DataFrame:
     """Groups of the first round: parts of at most about SPLIT rows; some common
-    rows stand in every part of a group, so parts connect."""
+    rows stand in every part of a group and of the range of sizes above, so parts
+    and ranges connect."""
     counts = rows.groupBy("token", "part").agg(F.count("*").alias("c"))
+    counts = counts.withColumn("k", F.ceil(F.col("c") / SPLIT).cast("int"))
     own = F.pmod(F.xxhash64("nid"), F.col("k")).cast("int")
     common = F.pmod(F.xxhash64("nid", F.lit(1)), F.greatest(F.lit(1), F.floor(F.col("c") / COMMON))) == 0
-    return (rows.join(counts, ["token", "part"]).withColumn("k", F.ceil(F.col("c") / SPLIT).cast("int"))
-            .withColumn("p", F.explode(F.when(common, F.sequence(F.lit(0), F.col("k") - 1)).otherwise(F.array(own))))
-            .select("token", "part", "p", F.col("p").alias("q"), F.lit(0).alias("block"), "nid", "n", "comp", "pos"))
+    every = F.sequence(F.lit(0), F.col("k") - 1)
+    placed = rows.join(counts, ["token", "part"])
+    cols = ["token", "part", "p", F.col("p").alias("q"), F.lit(0).alias("block"), "nid", "n", "comp", "pos"]
+    guests = (placed.where((F.col("part") > 0) & common).withColumn("part", F.col("part") + 1).drop("c", "k")
+              .join(counts, ["token", "part"]).withColumn("p", F.explode(every)).select(*cols))
+    return placed.withColumn("p", F.explode(F.when(common, every).otherwise(F.array(own)))).select(
+        *cols).unionByName(guests)
 
 
 def _all_pairs(rows: DataFrame) -> DataFrame:
