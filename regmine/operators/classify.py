@@ -165,7 +165,15 @@ def train_forest(train: DataFrame, features: list[str], label: str, num_trees: i
                                 featureSubsetStrategy="sqrt")
     if weight_col:
         rf = rf.setWeightCol(weight_col)
-    return Pipeline(stages=[lab, vec, rf]).fit(train)
+    return _without_summary(Pipeline(stages=[lab, vec, rf]).fit(train))
+
+
+def _without_summary(model):
+    """The fitted pipeline without its training summary.  A two-class summary
+    keeps the session; prediction functions carry the model into the tasks, and
+    once the session has observed a table (``materialize_with``) it can no
+    longer be serialized.  A copied model has no summary."""
+    return model.copy()
 
 
 def predict(model, df: DataFrame, label: str) -> DataFrame:
@@ -306,7 +314,7 @@ def train_forest_onehot(train: DataFrame, categorical: list[str], numeric: list[
                                 maxDepth=max_depth, maxBins=max_bins, seed=seed, featureSubsetStrategy="sqrt")
     if weight_col:
         rf = rf.setWeightCol(weight_col)
-    model = Pipeline(stages=[lab, *([idx, ohe] if categorical else []), vec, rf]).fit(train)
+    model = _without_summary(Pipeline(stages=[lab, *([idx, ohe] if categorical else []), vec, rf]).fit(train))
     # slot names from the assembled vector's attribute metadata (bounded by
     # the number of features; read from a one-row transform)
     meta = model.transform(train.limit(1)).schema["features"].metadata["ml_attr"]

@@ -3,6 +3,7 @@
 import math
 import re
 
+from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from regmine import schema as S
@@ -66,6 +67,20 @@ def test_null_category_has_zero_dummies(spark):
     assert got == [[1, 1, 0], [2, 0, 0], [3, 0, 0]]
 
 
+def test_two_class_forests_predict_after_an_observation(spark):
+    rows = spark.range(300).select(
+        F.when(F.col("id") % 3 == 0, "a").otherwise("b").alias("cat"), (F.col("id") % 7).cast("double").alias("x"),
+        F.when(F.col("id") % 3 == 0, "even").otherwise("odd").alias("y"))
+    seen = Observation()
+    rows.observe(seen, F.count(F.lit(1)).alias("n")).collect()
+    assert seen.get == {"n": 300}
+    codes = J.train_forest(rows, ["x"], "y", num_trees=2, max_depth=3, weight_col=None)
+    onehot, _ = J.train_forest_onehot(rows, ["cat"], ["x"], "y", num_trees=2, max_depth=3, weight_col=None)
+    for model in (codes, onehot):
+        got = J.predict(model, rows, "y").select("predicted").collect()
+        assert len(got) == 300 and {r[0] for r in got} <= {"even", "odd"}
+
+
 def test_label_codes_number_values_per_column_null_last(spark):
     rows = spark.createDataFrame([("b", 2), (None, 1), ("a", 2), ("b", None), ("", 10)], "s string, n int")
     enc, codes = J.label_encode(rows, ["s", "n"])
