@@ -3,6 +3,7 @@
 import math
 import re
 
+from pyspark.ml import PipelineModel
 from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
@@ -89,3 +90,45 @@ def test_label_codes_number_values_per_column_null_last(spark):
                    ("s", "", 0), ("s", "a", 1), ("s", "b", 2), ("s", None, 3)]
     assert {(r.s, r.n, r.s_idx, r.n_idx) for r in enc.collect()} == {
         ("b", 2, 2.0, 2.0), (None, 1, 3.0, 0.0), ("a", 2, 1.0, 2.0), ("b", None, 2.0, 3.0), ("", 10, 0.0, 1.0)}
+
+
+def test_training_rows_are_dealt_over_all_cores(spark):
+    rows = spark.range(0, 5000, 1, 1).select(
+        (F.col("id") % 50).cast("double").alias("x"), F.when(F.col("id") % 3 == 0, "a").otherwise("b").alias("y"),
+        F.lit(1.0).alias("weight"), F.col("id").alias("unused"))
+    cores = spark.sparkContext.defaultParallelism
+    dealt = J._dealt(rows, ["y", "x", "weight"], 5000, 1, 100)
+    assert dealt.columns == ["y", "x", "weight"] and dealt.rdd.getNumPartitions() == 2 * cores
+    sizes = dealt.groupBy(F.spark_partition_id()).count().collect()
+    assert len(sizes) == 2 * cores and max(r[1] for r in sizes) <= 2 * 5000 / (2 * cores)
+    # a task's rows stay bounded at any size, whatever the cores
+    for n in (10 ** 6, 10 ** 8):
+        assert n * (150 + 4 * 158 + 800) / J._parts(n, 158, 100, 4) <= 128 << 20
+
+
+def test_onehot_forest_equals_the_one_on_attributes(spark):
+    rows = spark.range(2000).select(
+        F.concat(F.lit("c"), F.col("id") * 7 % 11).alias("cat"), (F.col("id") * 13 % 97).cast("double").alias("x"),
+        F.when(F.col("id") == 0, "rare").otherwise("often").alias("once"),
+        F.concat(F.lit("y"), (F.col("id") * 7 % 11 + F.col("id") * 13 % 97) % 3).alias("y"))
+    plain, names = J.train_forest_onehot(rows, ["cat", "once"], ["x"], "y", num_trees=5, max_depth=6, weight_col=None)
+    at = rows.count()
+    dealt = J._dealt(rows, ["y", "cat", "once", "x"], at, len(names), 5)
+    front = PipelineModel(stages=plain.stages[:-1])
+    named = J._grow(front, front.transform(dealt), None, numTrees=5, maxDepth=6, maxBins=98, seed=42)
+    assert "attrs" in front.transform(dealt).schema["features"].metadata["ml_attr"]
+    assert plain.stages[-1].totalNumNodes == named.stages[-1].totalNumNodes
+    a, b = ([m.featureImportances.toArray() for m in (plain.stages[-1], named.stages[-1])])
+    assert abs(a - b).max() < 1e-9
+    p, q = ([r[0] for r in m.transform(rows).orderBy("x", "cat").select("prediction").collect()] for m in (plain, named))
+    assert p == q
+
+
+def test_onehot_sample_holds_all_rows(spark):
+    # one row in 20,000 has its own category: a sample of 10,000 rows may miss it
+    rows = spark.range(20000).select(
+        F.when(F.col("id") == 7, "odd").otherwise("even").alias("cat"), (F.col("id") % 5).cast("double").alias("x"),
+        F.when(F.col("id") == 7, "a").otherwise("b").alias("y"))
+    model, names = J.train_forest_onehot(rows, ["cat"], ["x"], "y", num_trees=20, max_depth=2, weight_col=None)
+    assert model.stages[-1].featureImportances.toArray()[names.index("cat_odd")] > 0
+    assert model.stages[-1].getMaxBins() ** 2 >= 20000
