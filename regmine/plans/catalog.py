@@ -1300,10 +1300,10 @@ def j5(spark, sf):
     return J.class_weights(split_table(spark, sf).where(F.col(J.SPLIT) == "train"), _LABEL)
 
 
-def encoded_split(spark, sf, features=None):
+def encoded_split(spark, sf, features=None, split=None):
     """The split table with its label codes, written once, and the code table:
     (rows, codes)."""
-    enc, codes = J.label_encode(split_table(spark, sf), features or _FEATS)
+    enc, codes = J.label_encode(split or split_table(spark, sf), features or _FEATS)
     return I._checkpoint(enc), codes
 
 
@@ -1383,8 +1383,8 @@ def j8fs(spark, sf):
     return _checked_report(j8f(spark, sf))
 
 
-def _rule_pred(spark, sf, by=S.MUNI):
-    st = split_table(spark, sf)
+def _rule_pred(spark, sf, by=S.MUNI, split=None):
+    st = split or split_table(spark, sf)
     return J.group_majority_predict(st.where(F.col(J.SPLIT) == "train"), st.where(F.col(J.SPLIT) == "test"),
                                     by, _LABEL)
 
@@ -1446,11 +1446,11 @@ def j10c(spark, sf):
 
 @register("j11_compare_models")
 def j11(spark, sf):
-    reps = {}
+    reps, split = {}, split_table(spark, sf)
     for name, feats in [("model1", _FEATS), ("model2", [c for c in _FEATS if c != S.MUNI])]:
-        model, test, _ = forest(spark, sf, feats)
+        model, test, _ = forest(spark, sf, feats, encoded_split(spark, sf, feats, split))
         reps[name] = J.classification_report(J.predict(model, test, _LABEL), _LABEL)
-    reps["group_majority"] = J.classification_report(_rule_pred(spark, sf), _LABEL)
+    reps["group_majority"] = J.classification_report(_rule_pred(spark, sf, split=split), _LABEL)
     return J.compare_models(reps, "NO LOCALIZADA")
 
 

@@ -93,14 +93,14 @@ def test_label_codes_number_values_per_column_null_last(spark):
 
 
 def test_training_rows_are_dealt_over_all_cores(spark):
-    rows = spark.range(0, 5000, 1, 1).select(
+    rows = spark.range(0, 60000, 1, 1).select(
         (F.col("id") % 50).cast("double").alias("x"), F.when(F.col("id") % 3 == 0, "a").otherwise("b").alias("y"),
         F.lit(1.0).alias("weight"), F.col("id").alias("unused"))
     cores = spark.sparkContext.defaultParallelism
-    dealt = J._dealt(rows, ["y", "x", "weight"], 5000, 1, 100)
+    dealt = J._dealt(rows, ["y", "x", "weight"], 60000, 1, 100)
     assert dealt.columns == ["y", "x", "weight"] and dealt.rdd.getNumPartitions() == 2 * cores
     sizes = dealt.groupBy(F.spark_partition_id()).count().collect()
-    assert len(sizes) == 2 * cores and max(r[1] for r in sizes) <= 2 * 5000 / (2 * cores)
+    assert len(sizes) == 2 * cores and max(r[1] for r in sizes) <= 2 * 60000 / (2 * cores)
     # a task's rows stay bounded at any size, whatever the cores
     for n in (10 ** 6, 10 ** 8):
         assert n * (150 + 4 * 158 + 800) / J._parts(n, 158, 100, 4) <= 128 << 20
