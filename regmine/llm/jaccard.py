@@ -17,8 +17,10 @@ Traversing the tree against itself prunes node pairs whose largest possible
 overlap is below what the smallest sets would need; leaves are compared set by
 set on bitmaps, again by an upper bound.  Survivors are verified on full sets.
 
-Two rounds keep groups of copies from forming all pairs.  The first deals only
-the first two shingles and, in each group, keeps the most similar pairs that
+Two rounds keep groups of copies from forming all pairs.  The first deals the
+first two shingles and the few with the smallest hashes (which similar sets share
+most likely, while the first ones of a family of copies may be those of its edits)
+and, in each group, keeps the most similar pairs that
 connect it (a spanning forest); verified links make components.  The second
 deals all prefix shingles, drops every set that has no set of another component
 within its range of sizes in the group, and tests all remaining pairs of
@@ -54,6 +56,7 @@ from regmine.llm.common import bytes_of, id_and_text, id_type, sent_if_small, un
 WORDS = 5
 SHARE = (80, 100)            # 100 * intersection >= 80 * union
 HOT_LIMIT = 500_000          # frequent shingles put last in the order (8 bytes each, broadcast)
+LEAST = 6                    # shingles with the smallest hashes, of every set, by which the first round deals
 HOT_COUNT = 8                # fewest early appearances that make a shingle frequent
 PROBE = 20                   # 1/20 of a set's shingles are counted to find frequent ones
 LEAF = 32                    # sets per leaf
@@ -397,9 +400,10 @@ def _prefixes(hot):
     def run(batches):
         last = np.frombuffer(hot.value, dtype=np.uint64)
         for b in batches:
-            key, bits, prefix = [], [], []
+            key, bits, least, prefix = [], [], [], []
             for s in shingle_sets(bytes_of(b.column(1))):
                 key.append(set_key(s) if len(s) else None)
+                least.append(s[:LEAST].view(np.int64) if len(s) else None)
                 bits.append(bitmap(s).tobytes() if len(s) else None)
                 if len(last) and len(s):
                     at = np.minimum(np.searchsorted(last, s), len(last) - 1)
@@ -408,7 +412,8 @@ def _prefixes(hot):
                 prefix.append(s[:prefix_length(len(s))].view(np.int64) if len(s) else None)
             yield pa.RecordBatch.from_arrays(
                 [b.column(0), pa.array(key, pa.binary()), pa.array(bits, pa.binary()),
-                 pa.array(prefix, pa.list_(pa.int64()))], names=["doc_id", "key", "bits", "prefix"])
+                 pa.array(least, pa.list_(pa.int64())), pa.array(prefix, pa.list_(pa.int64()))],
+                names=["doc_id", "key", "bits", "least", "prefix"])
 
     return run
 
@@ -626,9 +631,10 @@ def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
                            .agg(F.min("doc_id").alias("rid"), F.max("n").alias("n"))
                            .withColumn("nid", F.monotonically_increasing_id()), "jaccard-classes")
     hot = src.sparkSession.sparkContext.broadcast(_frequent(profile, classes).tobytes())
-    found = src.mapInArrow(_prefixes(hot), f"doc_id {kind}, key binary, bits binary, prefix array<bigint>")
+    found = src.mapInArrow(_prefixes(hot), f"doc_id {kind}, key binary, bits binary, least array<bigint>, "
+                           "prefix array<bigint>")
     reps = write_shared(found.join(classes.withColumnRenamed("rid", "doc_id"), ["doc_id", "key"])
-                        .dropDuplicates(["doc_id", "key"]).select("nid", "n", "bits", "prefix"), "jaccard-prefixes")
+                        .dropDuplicates(["doc_id", "key"]).select("nid", "n", "bits", "least", "prefix"), "jaccard-prefixes")
 
     def pairs(rows, large, spanning):
         """Pairs of the groups of rows (token, nid, n, pos, comp)."""
@@ -639,9 +645,9 @@ def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
         return (full.repartition(*group).sortWithinPartitions(*group, "n", "nid")
                 .mapInArrow(_group_pairs(spanning), "a bigint, b bigint"))
 
-    two = reps.select(F.posexplode(F.slice("prefix", 1, 2)).alias("pos", "token"), "nid", "n",
-                      F.col("nid").alias("comp"))
-    links = _links(src, classes, pairs(two, _large(two), True), "first")
+    first = reps.select(F.explode(F.array_union("least", F.slice("prefix", 1, 2))).alias("token"), "nid", "n",
+                        F.lit(0).alias("pos"), F.col("nid").alias("comp"))
+    links = _links(src, classes, pairs(first, _large(first), True), "first")
     comp = write_shared(components(links), "jaccard-first-components")
     joined = reps.select("nid", "n", "prefix").join(sent_if_small(comp, 16), F.col("nid") == F.col("node"), "left")
     rows = joined.select(F.posexplode("prefix").alias("pos", "token"), "nid", "n",

@@ -126,6 +126,31 @@ def test_frequent_shingles_last(spark, make_docs, monkeypatch):
     assert run(make_docs(rows)) == brute(rows)
 
 
+def test_pairs_of_a_large_family(spark, make_docs, monkeypatch):
+    """The first round connects a family of near copies whose links are spread
+    thinly: the pairs left to the second do not grow with its square."""
+    links, made = jaccard._links, {}
+
+    def counted(src, classes, pairs, tag):
+        pairs = pairs.cache()
+        made[tag, size] = pairs.count()
+        return links(src, classes, pairs, tag)
+
+    monkeypatch.setattr(jaccard, "_links", counted)
+    r = random.Random(21)
+    base = [f"w{r.randrange(300)}" for _ in range(150)]
+    rows = []
+    for i in range(320):
+        words = list(base)
+        for j in range(r.choice([1, 1, 2])):
+            words[r.randrange(len(words))] = f"e{i}x{j}"
+        rows.append((i, " ".join(words)))
+    for size in (160, 320):
+        assert run(make_docs(rows[:size])) == brute(rows[:size])
+        assert made["first", size] <= 8 * size        # a spanning forest for each shingle it deals by
+    assert made["rest", 320] <= 3 * made["rest", 160] + 320
+
+
 def test_tree_loses_no_pair():
     rng = np.random.default_rng(3)
     sets = []
