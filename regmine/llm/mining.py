@@ -282,13 +282,15 @@ def hard_negatives(vectors: DataFrame, label: Column, is_anchor: Column, positiv
                            .mapInArrow(_anchor_blocks(ANCHOR_BLOCK), ANCHORS)
                            .withColumn("qb", F.monotonically_increasing_id()), "mining-anchors")
 
-    # candidate blocks are dealt to buckets, anchor blocks go to every bucket
+    # candidate blocks are dealt to buckets, anchor blocks go to every bucket.  The
+    # planner takes the copies for as small as one (compressed) anchor table, so
+    # the merge hints keep them from being broadcast through the driver
     buckets = max(1, min(int(spark.conf.get("spark.sql.shuffle.partitions")), cands.count()))
     dealt = cands.withColumn("bucket", F.pmod(F.hash("g"), F.lit(buckets))).drop("g")
     every = F.explode(F.sequence(F.lit(0), F.lit(buckets - 1))).alias("bucket")
 
     def meet(sent, same, windows, out):
-        pairs = sent.select("*", every).join(dealt, ["bucket", "d"]).sortWithinPartitions("qb")
+        pairs = sent.select("*", every).join(dealt.hint("merge"), ["bucket", "d"]).sortWithinPartitions("qb")
         return pairs.mapInArrow(_meet(same, windows, out), ", ".join(f"{f.name} bigint" for f in out))
 
     found = pa.schema([(c, pa.int64()) for c in ("qb", "qi", "window", "id", "score")])
@@ -309,7 +311,7 @@ def hard_negatives(vectors: DataFrame, label: Column, is_anchor: Column, positiv
     # at most ANCHOR_BLOCK * positives windows a block
     asked = near.select("qb", "qi", "window").distinct().groupBy("qb").agg(
         F.collect_list(F.struct("qi", "window")).alias("asked"))
-    hard = meet(anchors.join(asked, "qb"), False, windows, found)
+    hard = meet(anchors.join(asked.hint("merge"), "qb"), False, windows, found)
     hard = hard.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= negatives)
     names = anchors.select("qb", F.posexplode("a_ids").alias("qi", "anchor_id"))
     return (hard.join(near, ["qb", "qi", "window"]).join(names, ["qb", "qi"])

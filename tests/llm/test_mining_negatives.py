@@ -85,3 +85,13 @@ def test_query_against_sql(spark, sf):
 def test_clipped_scores(spark):
     got = run(spark, [(0, 1, [1e300, 1.0]), (1, 1, [1e200, 1.0]), (2, 0, [1.0, 1e9])])
     assert got == []                 # both scores are clipped to 2^56, beyond 90 %
+
+
+def test_anchors_for_every_bucket_are_not_broadcast(spark):
+    # one copy of the anchor blocks for each bucket: a broadcast would pass them all through the driver
+    df = spark.createDataFrame([(i, i % 2, [i / 50, 1 - i / 50]) for i in range(50)],
+                               "vec_id long, label int, embedding array<double>")
+    out = mining.hard_negatives(df, F.col("label"), F.col("vec_id") % 3 == 0)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin [bucket" in plan and "BroadcastHashJoin [bucket" not in plan
+    assert "a_vecs" not in "".join(x for x in plan.splitlines() if "BroadcastExchange" in x)
