@@ -92,14 +92,18 @@ def _scores(q: np.ndarray, c: np.ndarray) -> np.ndarray:
 
 
 def _pairs(batches):
-    """(query block, state arrays, scores, candidate ids) per row of the join."""
+    """(query block, state arrays, scores, candidate ids) per row of the join.
+    One row is unpacked at a time: a batch holds many copies of large blocks."""
     for b in batches:
-        for r in b.to_pylist():
+        at = {name: i for i, name in enumerate(b.schema.names)}
+        for i in range(b.num_rows):
+            r = {name: b.column(k)[i].as_py() for name, k in at.items() if name != "state"}
             qid, q = _unpack(r["q_ids"], r["q_vecs"], r["q_kind"], r["q_n"], r["dim"])
             cid, c = _unpack(r["ids"], r["vecs"], r["kind"], r["n"], r["dim"])
             lo, need = np.zeros(len(qid), dtype=np.int64), np.zeros(len(qid), dtype=np.int64)
-            for x in r["state"]:
-                lo[x["qi"]], need[x["qi"]] = x["lo"], x["need"]
+            state = b.column(at["state"])[i].values
+            qi, low, wanted = (state.field(x).to_numpy(zero_copy_only=False) for x in ("qi", "lo", "need"))
+            lo[qi], need[qi] = low, wanted
             yield r["qb"], qid, cid, lo, need, q, c
 
 
@@ -174,7 +178,8 @@ def top_k(vectors: DataFrame, is_query, k: int, scale: float = 256.0, id_col: st
         # at most QUERY_BLOCK entries per block
         held = state.groupBy("qb").agg(F.collect_list(F.struct("qi", "lo", "need")).alias("state"))
         sent = aimed.join(held, "qb").withColumn("g", F.explode("gs")).drop("gs")
-        return cands.drop("norm2").join(sent, "g").drop("g")
+        # (a copy of a query block for each candidate block: never a broadcast)
+        return cands.drop("norm2").join(sent.hint("merge"), "g").drop("g")
 
     shift = max(0, bits - BINS_LOG2)
     while True:

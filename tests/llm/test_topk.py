@@ -1,6 +1,8 @@
 """Histogram selection against full sorting."""
 import random
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from regmine.llm import topk
@@ -50,3 +52,18 @@ def test_repeated_query_rows_and_empty(spark):
 def test_query_against_sql(spark, sf):
     r = compare(op3_exact_topk(spark, sf), ORACLE["op3_exact_topk"], duck_connect(sf))
     assert r["match"], r
+
+
+def test_a_batch_of_block_pairs_is_not_unpacked_at_once():
+    vec = np.array([[1, 2], [3, 4]], dtype="<i2").tobytes()
+    ids = np.array([5, 6], dtype="<i8").tobytes()
+    row = {"dim": 2, "n": 2, "ids": ids, "vecs": vec, "kind": "<i2", "qb": 9, "q_n": 2, "q_ids": ids, "q_vecs": vec,
+           "q_kind": "<i2", "state": [{"qi": 1, "lo": -7, "need": 3}, {"qi": 0, "lo": 4, "need": 2}]}
+    batch = pa.RecordBatch.from_pylist([row, {**row, "qb": 10, "state": [{"qi": 1, "lo": 1, "need": 1}]}])
+
+    class Columns:                                   # a batch that can be read row by row only
+        schema, num_rows, column = batch.schema, batch.num_rows, batch.column
+
+    a, b = topk._pairs([Columns])
+    assert (a[0], a[1].tolist(), a[3].tolist(), a[4].tolist()) == (9, [5, 6], [4, -7], [2, 3])
+    assert (b[0], b[3].tolist(), b[4].tolist(), b[6].tolist()) == (10, [0, 1], [0, 1], [[1, 2], [3, 4]])
