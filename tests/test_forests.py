@@ -3,12 +3,14 @@
 import math
 import re
 
+import numpy as np
 from pyspark.ml import PipelineModel
 from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from regmine import schema as S
 from regmine.operators import classify as J
+from regmine.operators import forest
 from regmine.plans import catalog as CAT
 
 from conftest import SF_SMALL
@@ -132,3 +134,87 @@ def test_onehot_sample_holds_all_rows(spark):
     model, names = J.train_forest_onehot(rows, ["cat"], ["x"], "y", num_trees=20, max_depth=2, weight_col=None)
     assert model.stages[-1].featureImportances.toArray()[names.index("cat_odd")] > 0
     assert model.stages[-1].getMaxBins() ** 2 >= 20000
+
+
+def _coded(spark, n=60000):
+    """Rows whose class follows from the first two columns but for every seventh; few values, many copies."""
+    a, x, i = F.col("id") * 7 % 11, F.col("id") * 13 % 17, F.col("id")
+    odd = ((a < 4) & (x > 9)) | ((a >= 8) & (x <= 3))
+    return spark.range(n).select(
+        a.cast("double").alias("a"), x.cast("double").alias("x"),
+        F.when(i % 5 > 0, F.concat(F.lit("c"), i % 5)).alias("cat"), F.lit("one").alias("same"),
+        F.when(odd == (i % 7 > 0), "u").otherwise("v").alias("y"), F.when(i % 3 == 0, 2.0).otherwise(1.0).alias("weight"))
+
+
+def _refuse(*args, **kwargs):
+    raise AssertionError("the library's trainer got the rows")
+
+
+def test_many_rows_grow_on_folded_rows(spark, monkeypatch):
+    rows = _coded(spark)
+    folded = forest.fold(rows.withColumn("label", F.lit(0.0)), ["a", "x"], "weight")
+    assert folded.count() == 11 * 17 * 2 and folded.agg(F.sum("__n")).first()[0] == 60000
+    monkeypatch.setattr(J, "_dealt", _refuse)                   # one copy of each row and tree before
+    model = J.train_forest(rows, ["a", "x"], "y", num_trees=20, max_depth=6)
+    again = J.train_forest(rows.repartition(7), ["a", "x"], "y", num_trees=20, max_depth=6)
+    onehot, names = J.train_forest_onehot(rows, ["cat", "same"], ["a", "x"], "y", num_trees=20, max_depth=6)
+    cuts = lambda m: [t.toDebugString.split("\n", 1)[1] for t in m.stages[-1].trees]
+    assert cuts(model) == cuts(again)                                               # repeatable
+    assert len({tuple(t.featureImportances.toArray()) for t in model.stages[-1].trees}) > 1      # bootstraps differ
+    assert names == ["a", "x", "cat_c1", "cat_c2", "cat_c3", "cat_c4", "same_one"]
+    assert model.stages[-1].getNumTrees == 20 and model.stages[-1].numFeatures == 2
+    for m in (model, onehot):
+        good = J.predict(m, rows, "y").agg(F.avg((F.col("y") == F.col("predicted")).cast("double"))).first()[0]
+        assert good > 0.8 and all(t.depth <= 6 for t in m.stages[-1].trees)
+        imp = m.stages[-1].featureImportances.toArray()
+        assert math.isclose(imp.sum(), 1.0, abs_tol=1e-9) and imp[:2].sum() > 0.9
+
+
+def test_parts_give_the_same_cuts_as_one(monkeypatch):
+    rng = np.random.default_rng(3)
+    layout = forest.Layout([np.arange(5.0), np.arange(300.0)], [["p", "q", "r"]], 3)
+    codes = np.stack([rng.integers(0, b, 4000) for b in layout.bins]).astype("<u2")
+    part = forest.Part([{"block": 0, "codes": codes.tobytes(), "label": ((codes[0] + codes[2]) % 3).astype("u1").tobytes(),
+                         "weight": rng.choice([0.5, 2.0], 4000).astype("<f8").tobytes(), "count": np.ones(4000, "<i8").tobytes()}], 3)
+    m, everything = 40, (rng.integers(0, 40, 4000).astype(np.int32), np.arange(4000, dtype=np.int32), part.weight)
+    mask = layout.chosen(42, 7, 5, m)
+    used = layout.used(mask)
+    assert (mask.sum(axis=1) == 3).all() and layout.features == 5
+    whole = forest._best(layout, mask, used, forest._counted(layout, part, used, 0, m, everything))
+    monkeypatch.setattr(forest, "COUNT_BYTES", 1 << 15)
+    ranges, found = list(forest._ranges(layout, used, 2)), []
+    assert len(ranges) > 5 and ranges[0][0] == 0 and ranges[-1][1] == m
+    for low, high in ranges:
+        halves = [[v[h::2] for v in everything] for h in (0, 1)]
+        counts = sum(forest._counted(layout, part, used, low, high, x) for x in halves)
+        found.append(forest._best(layout, mask[low:high], used[low:high], counts))
+    assert np.allclose(whole, np.concatenate(found))
+    # against every cut, one by one
+    gini = lambda w: 1 - sum((x / sum(w)) ** 2 for x in w) if sum(w) else 0.0
+    at, weigh = everything[0], lambda ok: [part.weight[ok & (part.label == c)].sum() for c in range(3)]
+    for node in range(m):
+        mine, most = at == node, 0.0
+        for f in np.flatnonzero(mask[node]).tolist():
+            sides = [codes[f] > k for k in range(layout.bins[f] - 1)] if f < 2 else [codes[2] == f - 2]
+            for right in sides:
+                lw, rw, tw = weigh(mine & ~right), weigh(mine & right), weigh(mine)
+                if sum(lw) and sum(rw):
+                    most = max(most, gini(tw) - sum(lw) / sum(tw) * gini(lw) - sum(rw) / sum(tw) * gini(rw))
+        assert math.isclose(whole[node, 2], most, abs_tol=1e-9)
+
+
+def test_several_parts_grow_a_forest_like_one(spark, monkeypatch):
+    rows = _coded(spark)
+    monkeypatch.setattr(forest, "PART_ROWS", 150)
+    monkeypatch.setattr(forest, "COUNT_BYTES", 2000)
+    model = J.train_forest(rows, ["a", "x"], "y", num_trees=8, max_depth=5)
+    good = J.predict(model, rows, "y").agg(F.avg((F.col("y") == F.col("predicted")).cast("double"))).first()[0]
+    assert good > 0.8 and len(model.stages[-1].trees) == 8
+
+
+def test_training_data_that_cannot_be_coded_goes_to_the_library(spark, monkeypatch):
+    monkeypatch.setattr(forest, "grow", _refuse)
+    rows = _coded(spark)
+    assert J.train_forest(rows, ["a", "x"], "y", num_trees=1, max_depth=2, max_bins=8)
+    monkeypatch.setattr(forest, "MAX_CODES", 10)
+    assert J.train_forest(rows, ["a", "x"], "y", num_trees=1, max_depth=2)
